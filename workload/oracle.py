@@ -198,3 +198,37 @@ ORACLE.update({
                        WHERE list_has_all(regexp_split_to_array(lower(text), '[^\p{L}\p{N}_]+'), ['the', 'with'])
                          AND lang = 'en'""",
 })
+
+
+# ---------------------------------------------------------------- kernel, batch, matrix
+
+def self_knn(score_sql: str, k: int, direction: str = "DESC", exclude_self: bool = False) -> str:
+    where = "WHERE q.vec_id <> p.vec_id" if exclude_self else ""
+    return f"""
+SELECT query_id, id, score, rank FROM (
+  SELECT query_id, id, score,
+         row_number() OVER (PARTITION BY query_id ORDER BY score {direction}, id) AS rank
+  FROM (SELECT q.vec_id AS query_id, p.vec_id AS id, round({score_sql}, 6) AS score
+        FROM embeddings q, embeddings p {where}))
+WHERE rank <= {k}"""
+
+
+_PE, _QE = d("p.embedding"), d("q.embedding")
+ORACLE["search_batch"] = self_knn(cos(_PE, _QE), 10)
+ORACLE["search_batch_blocked"] = ORACLE["search_batch"]
+ORACLE["search_batch_euclid"] = self_knn(euclid(_PE, _QE), 5, "ASC", exclude_self=True)
+
+
+def _batch_requests_sql() -> str:
+    where = {0: "label >= 5", 1: "true", 2: "label IN (1, 2)", 3: "label >= 5"}
+    parts = []
+    for i, r in enumerate(SQ.BATCH_REQUESTS):
+        parts.append(f"""
+SELECT {i}::BIGINT AS query_id, id, score, rank FROM (
+  SELECT vec_id AS id, round({cos(E, vec_lit(r['vector']))}, 6) AS score,
+         row_number() OVER (ORDER BY round({cos(E, vec_lit(r['vector']))}, 6) DESC, vec_id) AS rank
+  FROM embeddings WHERE {where[i]}) WHERE rank <= {r['limit']}""")
+    return " UNION ALL ".join(parts)
+
+
+ORACLE["search_batch_requests"] = _batch_requests_sql()

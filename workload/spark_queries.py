@@ -230,3 +230,46 @@ def q_filter_text(spark, sf):
     return S.select_points(docs, {"must": [{"key": "text", "match": {"text": "the with"}},
                                            {"key": "lang", "match": {"value": "en"}}]},
                            with_payload=["lang", "source"])
+
+
+# ---------------------------------------------------------------- step 3: kernel, batch, matrix
+
+from pointframe.operators import batch as B  # noqa: E402
+
+
+def _self_queries(coll):
+    return coll.df.select(F.col(coll.id).alias("query_id"), F.col("embedding").alias("vector"))
+
+
+@register("search_batch")
+def q_search_batch(spark, sf):
+    e = W.embeddings(spark, sf)
+    return B.knn_join(e, _self_queries(e), k=10)
+
+
+@register("search_batch_blocked")
+def q_search_batch_blocked(spark, sf):
+    e = W.embeddings(spark, sf)
+    return B.knn_join(e, _self_queries(e), k=10, force="blocked",
+                      query_block_rows=128, point_block_rows=128)
+
+
+@register("search_batch_euclid")
+def q_search_batch_euclid(spark, sf):
+    e = W.embeddings_as(spark, sf, "Euclid")
+    q = e.df.select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("vector"),
+                    F.col("vec_id").alias("self_id"))
+    return B.knn_join(e, q, k=5, exclude="self_id")
+
+
+BATCH_REQUESTS = [
+    {"vector": QV, "limit": 5, "filter": {"must": [{"key": "label", "range": {"gte": 5}}]}},
+    {"vector": QV[::-1], "limit": 10},
+    {"vector": [-x for x in QV], "limit": 3, "filter": {"must": [{"key": "label", "match": {"any": [1, 2]}}]}},
+    {"vector": QV, "limit": 4, "filter": {"must": [{"key": "label", "range": {"gte": 5}}]}},
+]
+
+
+@register("search_batch_requests")
+def q_search_batch_requests(spark, sf):
+    return B.search_batch(W.embeddings(spark, sf), BATCH_REQUESTS)
