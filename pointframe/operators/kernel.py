@@ -150,7 +150,7 @@ def _finish(cands: DataFrame, distance: str, k_literal: int | None) -> DataFrame
     w = Window.partitionBy("query_id").orderBy(*order)
     ranked = scored.withColumn("rank", F.row_number().over(w))
     cut = F.col("rank") <= (F.lit(k_literal) if k_literal is not None else F.col("_k"))
-    return ranked.filter(cut).select("query_id", "id", "score", "rank")
+    return ranked.filter(cut).select("query_id", "id", "score", F.col("rank").cast("long").alias("rank"))
 
 
 def knn(points: DataFrame, id_col: str, vec_col: str, queries: DataFrame, *,

@@ -81,10 +81,10 @@ def point_vector(coll: Collection, point_id, using: str | None = None,
     return one.select("_q").scalar()
 
 
-def ranked(coll: Collection, df: DataFrame, query, *, using: str | None = None, limit: int = 10,
-           offset: int = 0, score_threshold: float | None = None, with_payload=True,
-           with_vector=False, distance: str | None = None) -> DataFrame:
-    """Score ``df`` (already filtered) against ``query`` and keep the top ``limit`` after ``offset``."""
+def scored(coll: Collection, df: DataFrame, query, *, using: str | None = None,
+           score_threshold: float | None = None, with_payload=True, with_vector=False,
+           distance: str | None = None) -> DataFrame:
+    """``df`` (already filtered) with a rounded ``score`` against ``query``; NULL scores dropped."""
     spec = coll.vector(using)
     dist = distance or spec.distance
     if not isinstance(query, (Column, str)):
@@ -94,16 +94,31 @@ def ranked(coll: Collection, df: DataFrame, query, *, using: str | None = None,
         # project the constant first: subqueries may not sit inside lambdas
         df = df.withColumn("_q", query)
         q = F.col("_q")
-    scored = project(coll, df, with_payload, with_vector,
-                     extra=[D.score(F.col(spec.column), q, dist).alias("score")])
+    out = project(coll, df, with_payload, with_vector,
+                  extra=[D.score(F.col(spec.column), q, dist).alias("score")])
     keep = F.col("score").isNotNull()
     thr = D.passes_threshold(F.col("score"), score_threshold, dist)
     if thr is not None:
         keep = keep & thr
-    out = scored.filter(keep).orderBy(*D.order_columns(dist)).limit(offset + limit)
+    return out.filter(keep)
+
+
+def top(df: DataFrame, distance: str, limit: int, offset: int = 0) -> DataFrame:
+    """Top ``limit`` rows after ``offset`` by (score, id): one TakeOrderedAndProject."""
+    out = df.orderBy(*D.order_columns(distance)).limit(offset + limit)
     return out.offset(offset) if offset else out
 
 
+def ranked(coll: Collection, df: DataFrame, query, *, using: str | None = None, limit: int = 10,
+           offset: int = 0, score_threshold: float | None = None, with_payload=True,
+           with_vector=False, distance: str | None = None) -> DataFrame:
+    """Score ``df`` (already filtered) against ``query`` and keep the top ``limit`` after ``offset``."""
+    dist = distance or coll.vector(using).distance
+    s = scored(coll, df, query, using=using, score_threshold=score_threshold,
+               with_payload=with_payload, with_vector=with_vector, distance=dist)
+    return top(s, dist, limit, offset)
+
+
 def search(coll: Collection, vector, *, using: str | None = None, limit: int = 10, offset: int = 0,
            filter: dict | None = None, with_payload=True, with_vector=False,
            score_threshold: float | None = None, params: dict | None = None) -> DataFrame:

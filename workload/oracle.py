@@ -232,3 +232,135 @@ SELECT {i}::BIGINT AS query_id, id, score, rank FROM (
 
 
 ORACLE["search_batch_requests"] = _batch_requests_sql()
+
+
+# ---------------------------------------------------------------- matrix, groups, recommend, discover
+
+def sig(x: str) -> str:
+    return f"(0.5 * (1 + ({x}) / (1 + abs({x}))))"
+
+
+_M = SQ.MATRIX
+_SAMPLE = f"""(SELECT vec_id, label, embedding FROM embeddings
+  ORDER BY md5(CAST(vec_id AS VARCHAR) || '{_M['seed']}'), vec_id LIMIT {_M['sample']})"""
+_PAIRS = f"""(SELECT a, b, score FROM (
+  SELECT a.vec_id AS a, b.vec_id AS b, round({cos(d('a.embedding'), d('b.embedding'))}, 6) AS score,
+         row_number() OVER (PARTITION BY a.vec_id ORDER BY round({cos(d('a.embedding'), d('b.embedding'))}, 6) DESC, b.vec_id) AS rn
+  FROM {_SAMPLE} a, {_SAMPLE} b WHERE a.vec_id <> b.vec_id) WHERE rn <= {_M['limit']})"""
+ORACLE["matrix_pairs"] = f"SELECT a, b, score FROM {_PAIRS}"
+_IDS = f"(SELECT row_number() OVER (ORDER BY vec_id) - 1 AS index, vec_id AS id FROM {_SAMPLE})"
+ORACLE["matrix_ids"] = f"SELECT index, id FROM {_IDS}"
+ORACLE["matrix_offsets"] = f"""
+SELECT ra.index AS offsets_row, rb.index AS offsets_col, p.score FROM {_PAIRS} p
+JOIN {_IDS} ra ON ra.id = p.a JOIN {_IDS} rb ON rb.id = p.b"""
+
+
+def groups_sql(scored: str, group_col: str, size: int, limit: int, extra_cols: str) -> str:
+    return f"""
+WITH s AS ({scored}),
+g AS (SELECT {group_col} AS group_id, max(score) AS best FROM s WHERE {group_col} IS NOT NULL
+      GROUP BY {group_col} ORDER BY best DESC, group_id LIMIT {limit}),
+gr AS (SELECT group_id, row_number() OVER (ORDER BY best DESC, group_id) AS group_rank FROM g),
+h AS (SELECT s.*, gr.group_id, gr.group_rank,
+             row_number() OVER (PARTITION BY gr.group_id ORDER BY s.score DESC, s.id) AS rank
+      FROM s JOIN gr ON s.{group_col} = gr.group_id)
+SELECT group_id, group_rank, id, score, rank{extra_cols} FROM h WHERE rank <= {size}"""
+
+
+_SCORED = f"SELECT vec_id AS id, label, round({cos(E, QV)}, 6) AS score FROM embeddings"
+ORACLE["query_groups"] = groups_sql(_SCORED, "label", 3, 4, ", label")
+ORACLE["query_groups_array"] = f"""
+WITH s0 AS (SELECT vec_id AS id, tags, round({cos(E, QV)}, 6) AS score FROM ({EMB_PAYLOAD.strip()[1:-1].replace('FROM embeddings', ', embedding FROM embeddings')})),
+s AS (SELECT id, tags, score, unnest(tags) AS g FROM s0),
+g AS (SELECT g AS group_id, max(score) AS best FROM s GROUP BY g ORDER BY best DESC, group_id LIMIT 5),
+gr AS (SELECT group_id, row_number() OVER (ORDER BY best DESC, group_id) AS group_rank FROM g),
+h AS (SELECT s.*, gr.group_id, gr.group_rank,
+             row_number() OVER (PARTITION BY gr.group_id ORDER BY s.score DESC, s.id) AS rank
+      FROM s JOIN gr ON s.g = gr.group_id)
+SELECT group_id, group_rank, id, score, rank, tags FROM h WHERE rank <= 2"""
+ORACLE["query_groups_lookup"] = f"""
+SELECT q.*, n.n_name AS lookup_n_name FROM ({groups_sql(_SCORED, 'label', 2, 3, ', label')}) q
+LEFT JOIN nation n ON n.n_nationkey = q.group_id"""
+
+
+def _in(ids) -> str:
+    return "(" + ", ".join(str(i) for i in ids) + ")"
+
+
+def mean_target_sql(pos, neg) -> str:
+    neg_part = f"UNION ALL SELECT 'neg' AS role, embedding FROM embeddings WHERE vec_id IN {_in(neg)}" if neg else ""
+    tgt = "list_transform(range(1, 65), lambda i: 2 * p.v[i] - n.v[i])" if neg else "p.v"
+    frm = "m p, m n WHERE p.role = 'pos' AND n.role = 'neg'" if neg else "m p WHERE p.role = 'pos'"
+    return f"""(WITH ex AS (SELECT 'pos' AS role, embedding FROM embeddings WHERE vec_id IN {_in(pos)} {neg_part}),
+dims AS (SELECT role, i, avg(CAST(embedding[i] AS DOUBLE)) AS x FROM ex, range(1, 65) t(i) GROUP BY role, i),
+m AS (SELECT role, list(x ORDER BY i) AS v FROM dims GROUP BY role)
+SELECT {tgt} FROM {frm})"""
+
+
+ORACLE["recommend_average"] = f"""
+SELECT vec_id AS id, label, round({cos(E, mean_target_sql(SQ.REC_POS, SQ.REC_NEG))}, 6) AS score
+FROM embeddings WHERE vec_id NOT IN {_in(SQ.REC_POS + SQ.REC_NEG)}
+ORDER BY score DESC, id LIMIT 10"""
+
+ORACLE["recommend_best_score"] = f"""
+WITH ex AS (SELECT 'pos' AS role, CAST(embedding AS DOUBLE[]) AS v FROM embeddings WHERE vec_id IN (7, 42)
+            UNION ALL SELECT 'neg', CAST(embedding AS DOUBLE[]) FROM embeddings WHERE vec_id IN (3, 250, 400)),
+s AS (SELECT p.vec_id AS id, p.label,
+             max(CASE WHEN ex.role = 'pos' THEN {cos(d('p.embedding'), 'ex.v')} END) AS bp,
+             max(CASE WHEN ex.role = 'neg' THEN {cos(d('p.embedding'), 'ex.v')} END) AS bn
+      FROM embeddings p, ex WHERE p.vec_id NOT IN (7, 42, 3, 250, 400) GROUP BY p.vec_id, p.label)
+SELECT id, label, round(CASE WHEN bn IS NULL THEN {sig('bp')} WHEN bp IS NULL THEN -{sig('bn')}
+                             WHEN bp > bn THEN {sig('bp')} ELSE -{sig('bn')} END, 6) AS score
+FROM s ORDER BY score DESC, id LIMIT 10"""
+
+
+def _rec_batch_sql() -> str:
+    parts = []
+    for qid, r in enumerate(SQ.REC_BATCH):
+        pos, neg = r["positive"], r.get("negative", [])
+        excl = pos + neg
+        parts.append(f"""
+SELECT {qid}::BIGINT AS query_id, id, score, rank FROM (
+  SELECT id, score, row_number() OVER (ORDER BY score DESC, id) AS rank FROM (
+    SELECT vec_id AS id, round({cos(E, mean_target_sql(pos, neg))}, 6) AS score FROM embeddings
+    WHERE vec_id NOT IN {_in(excl)})) WHERE rank <= {r['limit']}""")
+    return " UNION ALL ".join(parts)
+
+
+ORACLE["recommend_batch"] = _rec_batch_sql()
+ORACLE["recommend_groups"] = groups_sql(
+    f"""SELECT vec_id AS id, label, round({cos(E, mean_target_sql(SQ.REC_POS, SQ.REC_NEG))}, 6) AS score
+        FROM embeddings WHERE vec_id NOT IN {_in(SQ.REC_POS + SQ.REC_NEG)}""", "label", 2, 3, ", label")
+
+
+def _pairs_sql(context) -> str:
+    vals = ", ".join(f"({c['positive']}, {c['negative']})" for c in context)
+    return f"""(SELECT CAST(a.embedding AS DOUBLE[]) AS pv, CAST(b.embedding AS DOUBLE[]) AS nv
+  FROM (VALUES {vals}) x(pid, nid) JOIN embeddings a ON a.vec_id = x.pid JOIN embeddings b ON b.vec_id = x.nid)"""
+
+
+def discover_sql(target, context, limit, qid=None) -> str:
+    excl = [target] + [c["positive"] for c in context] + [c["negative"] for c in context]
+    P = d("p.embedding")
+    t = f"(SELECT {E} FROM embeddings WHERE vec_id = {target})"
+    inner = f"""
+SELECT p.vec_id AS id, p.label,
+       round(sum(sign({cos(P, 'pr.pv')} - {cos(P, 'pr.nv')})) + {sig(cos(P, t))}, 6) AS score
+FROM embeddings p, {_pairs_sql(context)} pr WHERE p.vec_id NOT IN {_in(excl)}
+GROUP BY p.vec_id, p.label, p.embedding"""
+    if qid is None:
+        return f"SELECT id, label, score FROM ({inner}) ORDER BY score DESC, id LIMIT {limit}"
+    return f"""SELECT {qid}::BIGINT AS query_id, id, score, rank FROM (
+      SELECT id, score, row_number() OVER (ORDER BY score DESC, id) AS rank FROM ({inner})) WHERE rank <= {limit}"""
+
+
+ORACLE["discover"] = discover_sql(QUERY_POINT, SQ.CONTEXT, 10)
+_CTX = SQ.CONTEXT + [{"positive": 11, "negative": 12}]
+ORACLE["context_search"] = f"""
+SELECT p.vec_id AS id, p.label,
+       round(sum(least({cos(d('p.embedding'), 'pr.pv')} - {cos(d('p.embedding'), 'pr.nv')}, 0)), 6) AS score
+FROM embeddings p, {_pairs_sql(_CTX)} pr
+WHERE p.vec_id NOT IN {_in([c['positive'] for c in _CTX] + [c['negative'] for c in _CTX])}
+GROUP BY p.vec_id, p.label ORDER BY score DESC, id LIMIT 10"""
+ORACLE["discover_batch"] = " UNION ALL ".join(
+    discover_sql(r["target"], r["context"], r["limit"], qid) for qid, r in enumerate(SQ.DISCOVER_BATCH))

@@ -273,3 +273,99 @@ BATCH_REQUESTS = [
 @register("search_batch_requests")
 def q_search_batch_requests(spark, sf):
     return B.search_batch(W.embeddings(spark, sf), BATCH_REQUESTS)
+
+
+# ---------------------------------------------------------------- step 3b/4: matrix, groups, recommend, discover
+
+from pointframe.operators import discover as XD  # noqa: E402
+from pointframe.operators import groups as G  # noqa: E402
+from pointframe.operators import matrix as M  # noqa: E402
+from pointframe.operators import recommend as R  # noqa: E402
+
+MATRIX = {"sample": 200, "limit": 5, "seed": 7}
+
+
+@register("matrix_pairs")
+def q_matrix_pairs(spark, sf):
+    return M.matrix_pairs(W.embeddings(spark, sf), **MATRIX)
+
+
+@register("matrix_offsets")
+def q_matrix_offsets(spark, sf):
+    return M.matrix_offsets(W.embeddings(spark, sf), **MATRIX)
+
+
+@register("matrix_ids")
+def q_matrix_ids(spark, sf):
+    return M.matrix_ids(W.embeddings(spark, sf), sample=MATRIX["sample"], seed=MATRIX["seed"])
+
+
+@register("query_groups")
+def q_query_groups(spark, sf):
+    return G.query_groups(W.embeddings(spark, sf), QV, group_by="label", group_size=3, limit=4)
+
+
+@register("query_groups_array")
+def q_query_groups_array(spark, sf):
+    return G.query_groups(W.embeddings_payload(spark, sf), QV, group_by="tags", group_size=2, limit=5,
+                          with_payload=["tags"])
+
+
+@register("query_groups_lookup")
+def q_query_groups_lookup(spark, sf):
+    nation = make_collection(W.load(spark, sf, "nation"), id="n_nationkey")
+    return G.query_groups(W.embeddings(spark, sf), QV, group_by="label", group_size=2, limit=3,
+                          lookup=nation, lookup_payload=["n_name"])
+
+
+REC_POS, REC_NEG = [7, 42, 99], [3, 250]
+
+
+@register("recommend_average")
+def q_recommend_average(spark, sf):
+    return R.recommend(W.embeddings(spark, sf), REC_POS, REC_NEG, "average_vector", limit=10)
+
+
+@register("recommend_best_score")
+def q_recommend_best_score(spark, sf):
+    return R.recommend(W.embeddings(spark, sf), [7, 42], [3, 250, 400], "best_score", limit=10)
+
+
+REC_BATCH = [{"positive": [7, 42, 99], "negative": [3, 250], "limit": 5},
+             {"positive": [11], "limit": 4},
+             {"positive": [100, 200], "negative": [300], "limit": 6}]
+
+
+@register("recommend_batch")
+def q_recommend_batch(spark, sf):
+    return R.recommend_batch(W.embeddings(spark, sf), REC_BATCH)
+
+
+@register("recommend_groups")
+def q_recommend_groups(spark, sf):
+    e = W.embeddings(spark, sf)
+    s, dist = R.recommend_scored(e, REC_POS, REC_NEG, "average_vector")
+    return G.group_hits(s, "label", dist, group_size=2, limit=3)
+
+
+CONTEXT = [{"positive": 42, "negative": 3}, {"positive": 99, "negative": 250}]
+
+
+@register("discover")
+def q_discover(spark, sf):
+    return XD.discover(W.embeddings(spark, sf), W.QUERY_POINT, CONTEXT, limit=10)
+
+
+@register("context_search")
+def q_context_search(spark, sf):
+    ctx = CONTEXT + [{"positive": 11, "negative": 12}]
+    return XD.context_search(W.embeddings(spark, sf), ctx, limit=10)
+
+
+DISCOVER_BATCH = [{"target": 7, "context": CONTEXT, "limit": 5},
+                  {"target": 300, "context": [{"positive": 11, "negative": 12}], "limit": 3}]
+
+
+@register("discover_batch")
+def q_discover_batch(spark, sf):
+    return XD.discover_batch(W.embeddings(spark, sf), DISCOVER_BATCH)
