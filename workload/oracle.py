@@ -364,3 +364,78 @@ WHERE p.vec_id NOT IN {_in([c['positive'] for c in _CTX] + [c['negative'] for c
 GROUP BY p.vec_id, p.label ORDER BY score DESC, id LIMIT 10"""
 ORACLE["discover_batch"] = " UNION ALL ".join(
     discover_sql(r["target"], r["context"], r["limit"], qid) for qid, r in enumerate(SQ.DISCOVER_BATCH))
+
+
+# ---------------------------------------------------------------- prefetch, fusion, sparse
+
+_FRONT = cos(d("embedding[1:32]"), vec_lit(QUERY_VECTOR[:32]))
+_BACK = euclid(d("embedding[33:64]"), vec_lit(QUERY_VECTOR[32:]))
+_BR = f"""
+b0 AS (SELECT vec_id AS id, round({_FRONT}, 6) AS s FROM embeddings ORDER BY s DESC, id LIMIT 30),
+b1 AS (SELECT vec_id AS id, -round({_BACK}, 6) AS s FROM embeddings ORDER BY s DESC, id LIMIT 30)"""
+ORACLE["query_prefetch"] = f"""
+WITH {_BR}
+SELECT vec_id AS id, label, round({cos(E, QV)}, 6) AS score FROM embeddings
+WHERE vec_id IN (SELECT id FROM b0 UNION SELECT id FROM b1) ORDER BY score DESC, id LIMIT 10"""
+ORACLE["fusion_rrf"] = f"""
+WITH {_BR},
+r AS (SELECT id, row_number() OVER (ORDER BY s DESC, id) AS r FROM b0
+      UNION ALL SELECT id, row_number() OVER (ORDER BY s DESC, id) FROM b1),
+f AS (SELECT id, round(sum(1.0 / (60 + r)), 6) AS score FROM r GROUP BY id)
+SELECT f.id, f.score, e.label FROM f JOIN embeddings e ON e.vec_id = f.id ORDER BY score DESC, id LIMIT 10"""
+ORACLE["fusion_dbsf"] = f"""
+WITH {_BR},
+t AS (SELECT 0 AS b, id, s FROM b0 UNION ALL SELECT 1, id, s FROM b1),
+st AS (SELECT b, avg(s) AS mu, stddev_samp(s) AS sd FROM t GROUP BY b),
+n AS (SELECT t.id, CASE WHEN sd IS NULL OR sd = 0 THEN 0.5
+                        ELSE least(1.0, greatest(0.0, (s - (mu - 3 * sd)) / ((mu + 3 * sd) - (mu - 3 * sd)))) END AS v
+      FROM t JOIN st USING (b)),
+f AS (SELECT id, round(sum(v), 6) AS score FROM n GROUP BY id)
+SELECT f.id, f.score, e.label FROM f JOIN embeddings e ON e.vec_id = f.id ORDER BY score DESC, id LIMIT 10"""
+
+
+def _qb_sql() -> str:
+    q0 = f"""SELECT 0::BIGINT AS query_id, id, score FROM (SELECT vec_id AS id, round({cos(E, QV)}, 6) AS score
+             FROM embeddings ORDER BY score DESC, id LIMIT 5)"""
+    nq = vec_lit([-x for x in QUERY_VECTOR])
+    q1 = f"""SELECT 1::BIGINT, id, score FROM (SELECT vec_id AS id, round({cos(E, nq)}, 6) AS score
+             FROM embeddings WHERE label < 4 ORDER BY score DESC, id LIMIT 3)"""
+    q2 = f"""SELECT 2::BIGINT, id, score FROM (SELECT vec_id AS id, round({cos(E, _QP)}, 6) AS score
+             FROM embeddings WHERE vec_id <> {QUERY_POINT} ORDER BY score DESC, id LIMIT 4)"""
+    q3 = f"""SELECT 3::BIGINT, id, score FROM (SELECT vec_id AS id, round({cos(E, mean_target_sql([7, 42], [3]))}, 6) AS score
+             FROM embeddings WHERE vec_id NOT IN (7, 42, 3) ORDER BY score DESC, id LIMIT 3)"""
+    return " UNION ALL ".join([q0, q1, q2, q3])
+
+
+ORACLE["query_batch"] = _qb_sql()
+
+_TOK = r"list_filter(regexp_split_to_array(lower({t}), '[^\p{{L}}\p{{N}}_]+'), lambda x: length(x) > 0)"
+
+
+def postings_sql(table: str, id_col: str, text: str, tok: str = _TOK) -> str:
+    return f"""(SELECT id, ('0x' || substr(md5(t), 1, 7))::INT AS idx, CAST(count(*) AS FLOAT) AS val FROM
+  (SELECT {id_col} AS id, unnest({tok.format(t=text)}) AS t FROM {table}) GROUP BY id, idx)"""
+
+
+_POST = postings_sql("documents", "doc_id", "text")
+_BQ = f"(SELECT idx, CAST(val AS DOUBLE) AS qval FROM {postings_sql('benchmark WHERE item_id = 0', 'item_id', 'text')})"
+ORACLE["sparse_vectors"] = f"""
+SELECT id, struct_pack(indices := list(idx ORDER BY idx), values := list(val ORDER BY idx)) AS sparse
+FROM {_POST} GROUP BY id"""
+ORACLE["sparse_search"] = f"""
+SELECT p.id, round(sum(CAST(p.val AS DOUBLE) * q.qval), 6) AS score FROM {_POST} p JOIN {_BQ} q USING (idx)
+GROUP BY p.id ORDER BY score DESC, id LIMIT 10"""
+ORACLE["sparse_idf"] = f"""
+WITH post AS {_POST}, q AS {_BQ},
+n AS (SELECT count(DISTINCT id) AS n FROM post),
+df AS (SELECT idx, count(DISTINCT id) AS df FROM post WHERE idx IN (SELECT idx FROM q) GROUP BY idx),
+qw AS (SELECT q.idx, q.qval * ln((n.n - df.df + 0.5) / (df.df + 0.5) + 1) AS qval FROM q JOIN df USING (idx), n)
+SELECT p.id, round(sum(CAST(p.val AS DOUBLE) * qw.qval), 6) AS score FROM post p JOIN qw USING (idx)
+GROUP BY p.id ORDER BY score DESC, id LIMIT 10"""
+ORACLE["sparse_search_batch"] = f"""
+WITH post AS {_POST},
+q AS (SELECT id AS query_id, idx, CAST(val AS DOUBLE) AS qval FROM {postings_sql('benchmark', 'item_id', 'text')}),
+s AS (SELECT q.query_id, p.id, round(sum(CAST(p.val AS DOUBLE) * q.qval), 6) AS score
+      FROM post p JOIN q USING (idx) GROUP BY q.query_id, p.id)
+SELECT query_id, id, score, rank FROM (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, id) AS rank FROM s) WHERE rank <= 5"""

@@ -369,3 +369,72 @@ DISCOVER_BATCH = [{"target": 7, "context": CONTEXT, "limit": 5},
 @register("discover_batch")
 def q_discover_batch(spark, sf):
     return XD.discover_batch(W.embeddings(spark, sf), DISCOVER_BATCH)
+
+
+# ---------------------------------------------------------------- step 5: prefetch, fusion, sparse
+
+from pointframe.operators import sparse as SP  # noqa: E402
+from pointframe.plans import query as PQ  # noqa: E402
+
+PREFETCH = [{"query": QV[:32], "using": "front", "limit": 30},
+            {"query": QV[32:], "using": "back", "limit": 30}]
+
+
+@register("query_prefetch")
+def q_query_prefetch(spark, sf):
+    return PQ.query(W.multi_embeddings(spark, sf), {"prefetch": PREFETCH, "query": QV, "limit": 10})
+
+
+@register("fusion_rrf")
+def q_fusion_rrf(spark, sf):
+    return PQ.query(W.multi_embeddings(spark, sf), {"prefetch": PREFETCH, "query": {"fusion": "rrf"}, "limit": 10})
+
+
+@register("fusion_dbsf")
+def q_fusion_dbsf(spark, sf):
+    return PQ.query(W.multi_embeddings(spark, sf), {"prefetch": PREFETCH, "query": {"fusion": "dbsf"}, "limit": 10})
+
+
+QUERY_BATCH = [
+    {"query": QV, "limit": 5},
+    {"query": [-x for x in QV], "limit": 3, "filter": {"must": [{"key": "label", "range": {"lt": 4}}]}},
+    {"query": {"nearest": W.QUERY_POINT}, "limit": 4},
+    {"query": {"recommend": {"positive": [7, 42], "negative": [3]}}, "limit": 3},
+]
+
+
+@register("query_batch")
+def q_query_batch(spark, sf):
+    return PQ.query_batch(W.embeddings(spark, sf), QUERY_BATCH)
+
+
+def doc_postings(spark, sf, tokenizer="word"):
+    return SP.token_counts(W.load(spark, sf, "documents"), "doc_id", "text", tokenizer)
+
+
+def bench_query(spark, sf, item=0):
+    b = W.load(spark, sf, "benchmark").filter(F.col("item_id") == item)
+    return SP.token_counts(b, "item_id", "text").select("idx", F.col("val").cast("double").alias("qval"))
+
+
+@register("sparse_vectors")
+def q_sparse_vectors(spark, sf):
+    return SP.text_to_sparse(W.load(spark, sf, "documents"), "doc_id", "text")
+
+
+@register("sparse_search")
+def q_sparse_search(spark, sf):
+    return SP.sparse_search(doc_postings(spark, sf), bench_query(spark, sf), limit=10)
+
+
+@register("sparse_idf")
+def q_sparse_idf(spark, sf):
+    return SP.sparse_search(doc_postings(spark, sf), bench_query(spark, sf), limit=10, modifier="idf")
+
+
+@register("sparse_search_batch")
+def q_sparse_search_batch(spark, sf):
+    b = W.load(spark, sf, "benchmark")
+    qs = SP.token_counts(b, "item_id", "text").select(F.col("id").alias("query_id"), "idx",
+                                                      F.col("val").cast("double").alias("qval"))
+    return SP.sparse_search_batch(doc_postings(spark, sf), qs, limit=5)

@@ -82,3 +82,14 @@ def events_variant(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = load(spark, sf_dir, "events")
     return e.select("event_id", "ts", "user_id", "event_type", "value",
                     F.parse_json("props").alias("payload"))
+
+
+def multi_embeddings(spark: SparkSession, sf_dir: str) -> Collection:
+    """Three named vectors over one table: ``full`` (cosine), ``front`` (cosine), ``back`` (Euclid)."""
+    df = (load(spark, sf_dir, "embeddings")
+          .select("vec_id", "label", "embedding",
+                  F.slice("embedding", 1, 32).alias("front"),
+                  F.slice("embedding", 33, 32).alias("back")))
+    return make_collection(df, id="vec_id", vectors={"": ("embedding", 64, "Cosine"),
+                                                     "front": ("front", 32, "Cosine"),
+                                                     "back": ("back", 32, "Euclid")})
