@@ -439,3 +439,76 @@ s AS (SELECT q.query_id, p.id, round(sum(CAST(p.val AS DOUBLE) * q.qval), 6) AS
       FROM post p JOIN q USING (idx) GROUP BY q.query_id, p.id)
 SELECT query_id, id, score, rank FROM (
   SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, id) AS rank FROM s) WHERE rank <= 5"""
+
+
+# ---------------------------------------------------------------- indexes, profile, shards, stats
+
+_TOKS = {
+    "word": r"list_filter(regexp_split_to_array(lower(text), '[^\p{L}\p{N}_]+'), lambda x: length(x) > 0)",
+    "whitespace": r"list_filter(regexp_split_to_array(lower(text), '\s+'), lambda x: length(x) > 0)",
+    "multilingual": r"list_filter(regexp_split_to_array(lower(text), '[^\p{L}\p{N}]+'), lambda x: length(x) > 0)",
+}
+
+
+def _dict_sql(tok_expr: str) -> str:
+    return f"""
+SELECT token, count(*) AS n_points, CAST(sum(tf) AS BIGINT) AS n_occurrences FROM (
+  SELECT token, id, count(*) AS tf FROM (SELECT doc_id AS id, unnest({tok_expr}) AS token FROM documents)
+  GROUP BY token, id) GROUP BY token"""
+
+
+for _t, _e in _TOKS.items():
+    ORACLE[f"text_index_{_t}"] = _dict_sql(_e)
+_PREFIX = (r"flatten(list_transform(" + _TOKS["word"] +
+           r", lambda w: list_transform(range(2, least(4, length(w)) + 1), lambda n: substr(w, 1, n))))")
+ORACLE["text_index_prefix"] = _dict_sql(_PREFIX)
+ORACLE["text_search"] = f"""
+SELECT doc_id AS id FROM documents WHERE list_has_all({_TOKS['word']}, ['the', 'with', 'and'])"""
+ORACLE["value_index"] = """SELECT c_mktsegment AS value, count(DISTINCT c_custkey) AS n_points FROM customer
+                           WHERE c_mktsegment IS NOT NULL GROUP BY c_mktsegment"""
+ORACLE["value_index_array"] = f"""SELECT value, count(DISTINCT vec_id) AS n_points FROM
+  (SELECT vec_id, unnest(tags) AS value FROM {EMB_PAYLOAD}) WHERE value IS NOT NULL GROUP BY value"""
+ORACLE["geo_cells"] = f"""SELECT CAST(floor(lat / 10.0) AS INT) AS cell_lat, CAST(floor(lon / 10.0) AS INT) AS cell_lon,
+  count(*) AS n_points FROM {CUST} GROUP BY ALL"""
+ORACLE["geo_radius_cells"] = f"""SELECT c_custkey AS id FROM {CUST}
+  WHERE {haversine_sql('lat', 'lon', 10.0, 20.0)} <= 2500000.0"""
+ORACLE["cast_payload"] = """
+SELECT 'o_orderpriority' AS field, 'integer' AS type, count(o_orderpriority) AS n_values,
+       CAST(sum(CASE WHEN o_orderpriority IS NOT NULL AND TRY_CAST(o_orderpriority AS BIGINT) IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS n_rejected FROM orders
+UNION ALL SELECT 'o_totalprice', 'float', count(o_totalprice), 0::BIGINT FROM orders
+UNION ALL SELECT 'o_orderdate', 'datetime', count(o_orderdate), 0::BIGINT FROM orders
+UNION ALL SELECT 'o_orderstatus', 'keyword', count(o_orderstatus), 0::BIGINT FROM orders"""
+ORACLE["collection_profile"] = """SELECT count(*) AS points_count,
+  CAST(sum((embedding IS NOT NULL)::INT * 3) AS BIGINT) AS vectors_count, 0::BIGINT AS indexed_vectors_count FROM embeddings"""
+ORACLE["payload_schema"] = """
+SELECT 'c_name' AS key, 'keyword' AS data_type, count(c_name) AS points FROM customer
+UNION ALL SELECT 'c_nationkey', 'integer', count(c_nationkey) FROM customer
+UNION ALL SELECT 'c_acctbal', 'float', count(c_acctbal) FROM customer
+UNION ALL SELECT 'c_mktsegment', 'keyword', count(c_mktsegment) FROM customer
+UNION ALL SELECT 'loc', 'geo', count(*) FROM customer"""
+ORACLE["payload_schema_variant"] = """
+SELECT key, CASE WHEN t IN ('UBIGINT', 'BIGINT', 'INTEGER') THEN 'integer' WHEN t = 'DOUBLE' THEN 'float'
+                 WHEN t = 'VARCHAR' THEN 'keyword' WHEN t = 'BOOLEAN' THEN 'bool' ELSE lower(t) END AS data_type,
+       count(*) AS points
+FROM (SELECT unnest(json_keys(props)) AS key, props FROM events)
+CROSS JOIN LATERAL (SELECT json_type(props, '$.' || key) AS t) GROUP BY ALL"""
+ORACLE["shard_distribution"] = "SELECT c_nationkey AS shard_key, count(*) AS points_count FROM customer GROUP BY c_nationkey"
+ORACLE["drop_shard_key"] = "SELECT c_custkey, c_nationkey FROM customer WHERE c_nationkey IS DISTINCT FROM 3"
+
+_AGG = "count(*) AS count, round(avg(value), 6) AS avg, min(value) AS min, max(value) AS max"
+ORACLE["response_stats"] = f"SELECT event_type AS endpoint, {_AGG} FROM events GROUP BY event_type"
+ORACLE["response_stats_windowed"] = f"""
+SELECT time_bucket(INTERVAL '1 day', ts) AS window_start, time_bucket(INTERVAL '1 day', ts) + INTERVAL '1 day' AS window_end,
+       event_type AS endpoint, {_AGG} FROM events GROUP BY ALL"""
+ORACLE["response_stats_sliding"] = f"""
+SELECT s AS window_start, s + INTERVAL '1 day' AS window_end, event_type AS endpoint, {_AGG} FROM (
+  SELECT ts, event_type, value, unnest([time_bucket(INTERVAL '12 hours', ts),
+                                        time_bucket(INTERVAL '12 hours', ts) - INTERVAL '12 hours']) AS s FROM events)
+GROUP BY ALL"""
+ORACLE["response_stats_session"] = f"""
+WITH f AS (SELECT *, CASE WHEN lag(ts) OVER (PARTITION BY user_id ORDER BY ts) IS NULL
+                            OR ts - lag(ts) OVER (PARTITION BY user_id ORDER BY ts) >= INTERVAL '30 minutes'
+                          THEN 1 ELSE 0 END AS brk FROM events),
+s AS (SELECT *, sum(brk) OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS sid FROM f)
+SELECT min(ts) AS window_start, max(ts) + INTERVAL '30 minutes' AS window_end, user_id AS key, {_AGG}
+FROM s GROUP BY user_id, sid"""

@@ -438,3 +438,115 @@ def q_sparse_search_batch(spark, sf):
     qs = SP.token_counts(b, "item_id", "text").select(F.col("id").alias("query_id"), "idx",
                                                       F.col("val").cast("double").alias("qval"))
     return SP.sparse_search_batch(doc_postings(spark, sf), qs, limit=5)
+
+
+# ---------------------------------------------------------------- step 7: indexes, profile, shards, stats
+
+from pointframe.operators import indexes as IX  # noqa: E402
+from pointframe.operators import stats as ST  # noqa: E402
+from pointframe.sources import profile as PF  # noqa: E402
+
+
+def _docs(spark, sf):
+    return W.load(spark, sf, "documents")
+
+
+for _tok, _kw in {"word": {}, "whitespace": {}, "multilingual": {},
+                  "prefix": {"min_token_len": 2, "max_token_len": 4}}.items():
+    def _mk_ti(tok, kw):
+        def fn(spark, sf):
+            return IX.text_dictionary(IX.text_postings(_docs(spark, sf), "doc_id", "text", tok, **kw))
+        return fn
+    REGISTRY[f"text_index_{_tok}"] = _mk_ti(_tok, _kw)
+
+
+@register("text_search")
+def q_text_search(spark, sf):
+    return IX.text_search(IX.text_postings(_docs(spark, sf), "doc_id", "text"), "the with and")
+
+
+@register("value_index")
+def q_value_index(spark, sf):
+    return IX.value_index_stats(W.load(spark, sf, "customer"), "c_custkey", "c_mktsegment")
+
+
+@register("value_index_array")
+def q_value_index_array(spark, sf):
+    return IX.value_index_stats(W.embeddings_payload(spark, sf).df, "vec_id", "tags")
+
+
+@register("range_layout")
+def q_range_layout(spark, sf):
+    laid = IX.range_layout(W.load(spark, sf, "orders"), "o_totalprice", 8)
+    return IX.range_layout_summary(laid, "o_totalprice")
+
+
+@register("geo_cells")
+def q_geo_cells(spark, sf):
+    return IX.geo_cells(W.customers_geo(spark, sf), "c_custkey", "loc", 10.0)
+
+
+@register("geo_radius_cells")
+def q_geo_radius_cells(spark, sf):
+    idx = IX.geo_cell_index(W.customers_geo(spark, sf), "c_custkey", "loc", 10.0)
+    return IX.geo_radius_by_cells(idx, {"lat": 10.0, "lon": 20.0}, 2500000.0, 10.0)
+
+
+CAST_SCHEMA = {"o_orderpriority": "integer", "o_totalprice": "float", "o_orderdate": "datetime",
+               "o_orderstatus": "keyword"}
+
+
+@register("cast_payload")
+def q_cast_payload(spark, sf):
+    return IX.cast_payload(W.load(spark, sf, "orders"), CAST_SCHEMA)[1]
+
+
+@register("collection_profile")
+def q_collection_profile(spark, sf):
+    return PF.collection_profile(W.multi_embeddings(spark, sf))
+
+
+@register("payload_schema")
+def q_payload_schema(spark, sf):
+    return PF.payload_schema(make_collection(W.customers_geo(spark, sf), id="c_custkey"))
+
+
+@register("payload_schema_variant")
+def q_payload_schema_variant(spark, sf):
+    return PF.variant_payload_schema(W.events_variant(spark, sf), "payload")
+
+
+@register("shard_distribution")
+def q_shard_distribution(spark, sf):
+    return PF.shard_distribution(W.load(spark, sf, "customer"), "c_nationkey")
+
+
+@register("drop_shard_key")
+def q_drop_shard_key(spark, sf):
+    return PF.drop_shard_key(W.load(spark, sf, "customer"), "c_nationkey", 3) \
+        .select("c_custkey", "c_nationkey")
+
+
+def _events(spark, sf):
+    return W.load(spark, sf, "events")
+
+
+@register("response_stats")
+def q_response_stats(spark, sf):
+    return ST.response_stats(_events(spark, sf), "event_type", "value")
+
+
+@register("response_stats_windowed")
+def q_response_stats_windowed(spark, sf):
+    return ST.response_stats_windowed(_events(spark, sf), "ts", "event_type", "value", "1 day")
+
+
+@register("response_stats_sliding")
+def q_response_stats_sliding(spark, sf):
+    return ST.response_stats_windowed(_events(spark, sf), "ts", "event_type", "value", "1 day", "12 hours")
+
+
+@register("response_stats_session")
+def q_response_stats_session(spark, sf):
+    return ST.response_stats_windowed(_events(spark, sf), "ts", "event_type", "value",
+                                      session_gap="30 minutes", key="user_id")
