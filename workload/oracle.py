@@ -512,3 +512,69 @@ WITH f AS (SELECT *, CASE WHEN lag(ts) OVER (PARTITION BY user_id ORDER BY ts) I
 s AS (SELECT *, sum(brk) OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS sid FROM f)
 SELECT min(ts) AS window_start, max(ts) + INTERVAL '30 minutes' AS window_end, user_id AS key, {_AGG}
 FROM s GROUP BY user_id, sid"""
+
+
+# ---------------------------------------------------------------- mutations
+
+ORACLE["upsert"] = """
+WITH new AS (
+  SELECT vec_id, embedding, label + 100 AS label, vec_id AS seq FROM embeddings WHERE vec_id % 10 = 0
+  UNION ALL SELECT vec_id, embedding, -1, vec_id - 1 FROM embeddings WHERE vec_id % 10 = 0
+  UNION ALL SELECT vec_id + 100000, embedding, label, vec_id FROM embeddings WHERE vec_id % 10 = 1),
+latest AS (SELECT vec_id, embedding, label FROM new QUALIFY row_number() OVER (PARTITION BY vec_id ORDER BY seq DESC) = 1)
+SELECT vec_id, embedding, label FROM embeddings WHERE vec_id NOT IN (SELECT vec_id FROM latest)
+UNION ALL SELECT vec_id, embedding, label FROM latest"""
+ORACLE["delete_points"] = "SELECT vec_id, embedding, label FROM embeddings WHERE vec_id NOT IN (SELECT doc_id FROM labels)"
+ORACLE["delete_by_filter"] = "SELECT vec_id, embedding, label FROM embeddings WHERE NOT coalesce(label >= 8, false)"
+ORACLE["update_vectors"] = """
+SELECT vec_id, CASE WHEN vec_id % 10 = 0 THEN list_reverse(embedding) ELSE embedding END AS embedding, label FROM embeddings"""
+ORACLE["delete_vectors"] = """
+SELECT vec_id, CASE WHEN label = 3 THEN NULL ELSE embedding END AS embedding, label FROM embeddings"""
+ORACLE["set_payload"] = """
+SELECT vec_id, embedding, CASE WHEN label = 1 THEN 99 ELSE label END AS label,
+       CASE WHEN label = 1 THEN 'hot' END AS flag FROM embeddings"""
+ORACLE["set_payload_nested"] = f"""
+SELECT c_custkey, c_nationkey, CASE WHEN c_nationkey = 5 THEN struct_pack(lat := 0.0::DOUBLE, lon := lon)
+                                    ELSE struct_pack(lat := lat, lon := lon) END AS loc FROM {CUST}"""
+ORACLE["set_payload_variant"] = """
+SELECT event_id, CASE WHEN event_type = 'error' THEN '{"flag":true,"k":0}' ELSE CAST(json(props) AS VARCHAR) END AS payload_json
+FROM events"""
+ORACLE["overwrite_payload"] = f"""
+SELECT vec_id, CASE WHEN label_n IS NULL THEN -1 ELSE label END AS label,
+       CASE WHEN label_n IS NULL THEN NULL ELSE label_n END AS label_n,
+       CASE WHEN label_n IS NULL THEN NULL ELSE tags END AS tags, embedding
+FROM (SELECT *, (SELECT embedding FROM embeddings e2 WHERE e2.vec_id = p.vec_id) AS embedding FROM {EMB_PAYLOAD} p)"""
+ORACLE["delete_payload"] = f"""
+SELECT vec_id, label, CASE WHEN label >= 5 THEN NULL ELSE label_n END AS label_n,
+       CASE WHEN label >= 5 THEN NULL ELSE tags END AS tags, embedding
+FROM (SELECT *, (SELECT embedding FROM embeddings e2 WHERE e2.vec_id = p.vec_id) AS embedding FROM {EMB_PAYLOAD} p)"""
+ORACLE["clear_payload"] = f"""
+SELECT vec_id, CASE WHEN sel THEN NULL ELSE label END AS label, CASE WHEN sel THEN NULL ELSE label_n END AS label_n,
+       CASE WHEN sel THEN NULL ELSE tags END AS tags, embedding
+FROM (SELECT *, (vec_id IN (0, 5, 10, 77) OR label = 9) AS sel,
+             (SELECT embedding FROM embeddings e2 WHERE e2.vec_id = p.vec_id) AS embedding FROM {EMB_PAYLOAD} p)"""
+ORACLE["batch_update"] = """
+WITH s1 AS (SELECT vec_id, embedding, label FROM embeddings
+            UNION ALL SELECT vec_id + 100000, embedding, label FROM embeddings WHERE vec_id % 10 = 1),
+s2 AS (SELECT * FROM s1 WHERE NOT coalesce(label >= 8, false)),
+s3 AS (SELECT vec_id, embedding, CASE WHEN vec_id IN (2, 4, 6, 100002, 100011) THEN 42 ELSE label END AS label FROM s2),
+s4 AS (SELECT vec_id, embedding, CASE WHEN vec_id IN (0, 1) OR label = 6 THEN NULL ELSE label END AS label FROM s3)
+SELECT vec_id, CASE WHEN vec_id % 50 = 0 AND vec_id < 100000 THEN list_reverse(embedding) ELSE embedding END AS embedding,
+       label FROM s4"""
+ORACLE["apply_changelog"] = """
+WITH ev AS (
+  SELECT vec_id, embedding, label, -1::BIGINT AS seq, 'base' AS op FROM embeddings
+  UNION ALL SELECT vec_id, embedding, label + 100, vec_id, 'upsert' FROM embeddings WHERE vec_id % 10 = 0
+  UNION ALL SELECT vec_id, NULL, NULL, vec_id, 'delete' FROM embeddings WHERE vec_id % 10 = 5
+  UNION ALL SELECT vec_id, embedding, 500, vec_id + 1, 'upsert' FROM embeddings WHERE vec_id % 20 = 5
+  UNION ALL SELECT vec_id + 100000, embedding, label, vec_id, 'upsert' FROM embeddings WHERE vec_id % 10 = 1
+  UNION ALL SELECT vec_id, NULL, 77, vec_id, 'set_payload' FROM embeddings WHERE vec_id % 10 = 3
+  UNION ALL SELECT vec_id, NULL, 55, vec_id + 2, 'set_payload' FROM embeddings WHERE vec_id % 10 = 0
+  UNION ALL SELECT vec_id, NULL, 66, vec_id - 1, 'set_payload' FROM embeddings WHERE vec_id % 10 = 0 AND vec_id > 0),
+fullrow AS (SELECT * FROM ev WHERE op IN ('base', 'upsert', 'delete')
+            QUALIFY row_number() OVER (PARTITION BY vec_id ORDER BY seq DESC) = 1),
+sp AS (SELECT e.vec_id, e.label FROM ev e JOIN fullrow f USING (vec_id)
+       WHERE e.op = 'set_payload' AND e.label IS NOT NULL AND e.seq > f.seq
+       QUALIFY row_number() OVER (PARTITION BY e.vec_id ORDER BY e.seq DESC) = 1)
+SELECT f.vec_id, f.embedding, coalesce(sp.label, f.label) AS label FROM fullrow f LEFT JOIN sp USING (vec_id)
+WHERE f.op <> 'delete'"""

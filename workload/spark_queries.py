@@ -550,3 +550,132 @@ def q_response_stats_sliding(spark, sf):
 def q_response_stats_session(spark, sf):
     return ST.response_stats_windowed(_events(spark, sf), "ts", "event_type", "value",
                                       session_gap="30 minutes", key="user_id")
+
+
+# ---------------------------------------------------------------- step 6: mutations
+
+from pointframe.operators import mutate as U  # noqa: E402
+
+
+def _emb_df(spark, sf):
+    return W.load(spark, sf, "embeddings")
+
+
+def _upsert_batch(spark, sf):
+    e = _emb_df(spark, sf)
+    upd = e.filter(F.col("vec_id") % 10 == 0).select("vec_id", "embedding", (F.col("label") + 100).alias("label"),
+                                                     F.col("vec_id").alias("seq"))
+    old = e.filter((F.col("vec_id") % 10 == 0)).select("vec_id", "embedding", F.lit(-1).alias("label"),
+                                                       (F.col("vec_id") - 1).alias("seq"))
+    ins = e.filter(F.col("vec_id") % 10 == 1).select((F.col("vec_id") + 100000).alias("vec_id"), "embedding",
+                                                     "label", F.col("vec_id").alias("seq"))
+    return upd.unionByName(old).unionByName(ins)
+
+
+@register("upsert")
+def q_upsert(spark, sf):
+    return U.upsert(W.embeddings(spark, sf), _upsert_batch(spark, sf), seq="seq").df
+
+
+@register("delete_points")
+def q_delete_points(spark, sf):
+    return U.delete_points(W.embeddings(spark, sf), ids=W.load(spark, sf, "labels").select("doc_id")).df
+
+
+@register("delete_by_filter")
+def q_delete_by_filter(spark, sf):
+    return U.delete_points(W.embeddings(spark, sf), filter={"must": [{"key": "label", "range": {"gte": 8}}]}).df
+
+
+@register("update_vectors")
+def q_update_vectors(spark, sf):
+    e = _emb_df(spark, sf)
+    upd = (e.filter(F.col("vec_id") % 10 == 0).select("vec_id", F.reverse("embedding").alias("embedding"))
+           .unionByName(e.filter(F.col("vec_id") % 10 == 0)
+                        .select((F.col("vec_id") + 1000000).alias("vec_id"), "embedding")))
+    return U.update_vectors(W.embeddings(spark, sf), upd).df
+
+
+@register("delete_vectors")
+def q_delete_vectors(spark, sf):
+    return U.delete_vectors(W.embeddings(spark, sf), [""], filter={"must": [{"key": "label", "match": {"value": 3}}]}).df
+
+
+@register("set_payload")
+def q_set_payload(spark, sf):
+    return U.set_payload(W.embeddings(spark, sf), {"label": 99, "flag": "hot"},
+                         filter={"must": [{"key": "label", "match": {"value": 1}}]}).df
+
+
+@register("set_payload_nested")
+def q_set_payload_nested(spark, sf):
+    c = make_collection(W.customers_geo(spark, sf).select("c_custkey", "c_nationkey", "loc"), id="c_custkey")
+    return U.set_payload(c, {"lat": 0.0}, key="loc",
+                         filter={"must": [{"key": "c_nationkey", "match": {"value": 5}}]}).df
+
+
+@register("set_payload_variant")
+def q_set_payload_variant(spark, sf):
+    ev = make_collection(W.events_variant(spark, sf).select("event_id", "event_type", "payload"), id="event_id")
+    out = U.set_payload(ev, {"k": 0, "flag": True}, variant_payload="payload",
+                        filter={"must": [{"key": "event_type", "match": {"value": "error"}}]}).df
+    return out.select("event_id", F.to_json("payload").alias("payload_json"))
+
+
+@register("overwrite_payload")
+def q_overwrite_payload(spark, sf):
+    return U.overwrite_payload(W.embeddings_payload(spark, sf), {"label": -1},
+                               filter={"must": [{"is_null": {"key": "label_n"}}]}).df
+
+
+@register("delete_payload")
+def q_delete_payload(spark, sf):
+    return U.delete_payload(W.embeddings_payload(spark, sf), ["tags", "label_n"],
+                            filter={"must": [{"key": "label", "range": {"gte": 5}}]}).df
+
+
+@register("clear_payload")
+def q_clear_payload(spark, sf):
+    return U.clear_payload(W.embeddings_payload(spark, sf), ids=[0, 5, 10, 77],
+                           filter={"must": [{"key": "label", "match": {"value": 9}}]}).df
+
+
+def _batch_ops(spark, sf):
+    e = _emb_df(spark, sf)
+    ins = e.filter(F.col("vec_id") % 10 == 1).select((F.col("vec_id") + 100000).alias("vec_id"), "embedding", "label")
+    return [
+        {"upsert": {"points": ins}},
+        {"delete": {"filter": {"must": [{"key": "label", "range": {"gte": 8}}]}}},
+        {"set_payload": {"payload": {"label": 42}, "points": [2, 4, 6, 100002, 100011]}},
+        {"delete_payload": {"keys": ["label"], "points": [0, 1], "filter": {"must": [{"key": "label", "match": {"value": 6}}]}}},
+        {"update_vectors": {"points": e.filter(F.col("vec_id") % 50 == 0).select("vec_id", F.reverse("embedding").alias("embedding"))}},
+    ]
+
+
+@register("batch_update")
+def q_batch_update(spark, sf):
+    return U.batch_update(W.embeddings(spark, sf), _batch_ops(spark, sf), checkpoint_every=0).df
+
+
+def changelog(spark, sf):
+    e = _emb_df(spark, sf)
+    v = F.col("vec_id")
+    nul_vec = F.lit(None).cast("array<float>")
+    parts = [
+        e.filter(v % 10 == 0).select("vec_id", "embedding", (F.col("label") + 100).alias("label"), v.alias("seq"), F.lit("upsert").alias("op")),
+        e.filter(v % 10 == 5).select("vec_id", nul_vec.alias("embedding"), F.lit(None).cast("int").alias("label"), v.alias("seq"), F.lit("delete").alias("op")),
+        e.filter(v % 20 == 5).select("vec_id", "embedding", F.lit(500).alias("label"), (v + 1).alias("seq"), F.lit("upsert").alias("op")),
+        e.filter(v % 10 == 1).select((v + 100000).alias("vec_id"), "embedding", "label", v.alias("seq"), F.lit("upsert").alias("op")),
+        e.filter(v % 10 == 3).select("vec_id", nul_vec.alias("embedding"), F.lit(77).alias("label"), v.alias("seq"), F.lit("set_payload").alias("op")),
+        e.filter(v % 10 == 0).select("vec_id", nul_vec.alias("embedding"), F.lit(55).alias("label"), (v + 2).alias("seq"), F.lit("set_payload").alias("op")),
+        e.filter((v % 10 == 0) & (v > 0)).select("vec_id", nul_vec.alias("embedding"), F.lit(66).alias("label"), (v - 1).alias("seq"), F.lit("set_payload").alias("op")),
+    ]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+@register("apply_changelog")
+def q_apply_changelog(spark, sf):
+    return U.apply_changelog(W.embeddings(spark, sf), changelog(spark, sf)).df
