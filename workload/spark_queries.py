@@ -679,3 +679,58 @@ def changelog(spark, sf):
 @register("apply_changelog")
 def q_apply_changelog(spark, sf):
     return U.apply_changelog(W.embeddings(spark, sf), changelog(spark, sf)).df
+
+
+# ---------------------------------------------------------------- step 8: ANN and quantization (rows-only + invariant tests)
+
+from pointframe.operators import ann as A  # noqa: E402
+from pointframe.operators import quantize as Qz  # noqa: E402
+
+
+@register("ann_ivf")
+def q_ann_ivf(spark, sf):
+    e = W.embeddings(spark, sf)
+    cents, idx = A.build_ivf(e, n_cells=16, seed=3)
+    return A.search_ivf(e.with_df(idx), cents, QV, nprobe=4, limit=10)
+
+
+@register("search_indexed_only")
+def q_search_indexed_only(spark, sf):
+    e = W.embeddings(spark, sf)
+    cents, idx = A.build_ivf(e, n_cells=8, seed=5)
+    return A.search_ivf(e.with_df(idx), cents, QV, nprobe=8, limit=10, indexed_only=True)
+
+
+@register("ann_lsh")
+def q_ann_lsh(spark, sf):
+    e = W.embeddings(spark, sf)
+    idx, planes = A.build_lsh(e, tables=8, bits=8, seed=11)
+    return A.search_lsh(e, idx, planes, QV, limit=10)
+
+
+@register("quant_scalar")
+def q_quant_scalar(spark, sf):
+    e = W.embeddings(spark, sf)
+    b = Qz.scalar_bounds(e, 0.99)
+    return Qz.quantized_search(Qz.scalar_quantize(e, b), QV, method="scalar", limit=10, bounds=b, rescore=False)
+
+
+@register("quant_binary")
+def q_quant_binary(spark, sf):
+    e = W.embeddings(spark, sf)
+    return Qz.quantized_search(Qz.binary_quantize(e), QV, method="binary", limit=10, rescore=False)
+
+
+@register("quant_pq")
+def q_quant_pq(spark, sf):
+    e = W.embeddings(spark, sf)
+    coded, books = Qz.build_pq(e, m=8, k=16, seed=2)
+    return Qz.quantized_search(coded, QV, method="pq", limit=10, codebooks=books, rescore=False)
+
+
+@register("quant_rescore")
+def q_quant_rescore(spark, sf):
+    e = W.embeddings(spark, sf)
+    b = Qz.scalar_bounds(e, 0.99)
+    return Qz.quantized_search(Qz.scalar_quantize(e, b), QV, method="scalar", limit=10, bounds=b,
+                               oversampling=3.0, rescore=True)
