@@ -578,3 +578,26 @@ sp AS (SELECT e.vec_id, e.label FROM ev e JOIN fullrow f USING (vec_id)
        QUALIFY row_number() OVER (PARTITION BY e.vec_id ORDER BY e.seq DESC) = 1)
 SELECT f.vec_id, f.embedding, coalesce(sp.label, f.label) AS label FROM fullrow f LEFT JOIN sp USING (vec_id)
 WHERE f.op <> 'delete'"""
+
+
+# ---------------------------------------------------------------- sources, snapshots, streaming
+
+ORACLE["validate_collection"] = """
+SELECT count(*) AS n_points, CAST(sum(CASE WHEN vec_id IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS null_ids,
+       CAST(count(*) - count(DISTINCT vec_id) - sum(CASE WHEN vec_id IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS duplicate_ids,
+       CAST(sum(CASE WHEN embedding IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS vector_null,
+       CAST(sum(CASE WHEN embedding IS NOT NULL AND len(embedding) <> 64 THEN 1 ELSE 0 END) AS BIGINT) AS vector_bad_dim,
+       CAST(sum(CASE WHEN embedding IS NOT NULL AND NOT list_bool_and(list_transform(embedding,
+            lambda x: x IS NOT NULL AND NOT isnan(x) AND NOT isinf(x))) THEN 1 ELSE 0 END) AS BIGINT) AS vector_non_finite
+FROM embeddings"""
+ORACLE["validate_lineitem"] = """
+SELECT count(*) AS n_points, CAST(sum(CASE WHEN l_orderkey IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS null_ids,
+       CAST(count(l_orderkey) - count(DISTINCT l_orderkey) AS BIGINT) AS duplicate_ids FROM lineitem"""
+ORACLE["from_batch"] = "SELECT vec_id AS id, embedding AS vector, label AS payload FROM embeddings"
+ORACLE["stream_response_stats"] = ORACLE["response_stats_windowed"]
+ORACLE["stream_upsert"] = """
+WITH latest AS (
+  SELECT vec_id, embedding, label + 100 AS label FROM embeddings WHERE vec_id % 10 = 0
+  UNION ALL SELECT vec_id + 100000, embedding, label FROM embeddings WHERE vec_id % 10 = 1)
+SELECT vec_id, embedding, label FROM embeddings WHERE vec_id NOT IN (SELECT vec_id FROM latest)
+UNION ALL SELECT vec_id, embedding, label FROM latest"""

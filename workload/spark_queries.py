@@ -734,3 +734,75 @@ def q_quant_rescore(spark, sf):
     b = Qz.scalar_bounds(e, 0.99)
     return Qz.quantized_search(Qz.scalar_quantize(e, b), QV, method="scalar", limit=10, bounds=b,
                                oversampling=3.0, rescore=True)
+
+
+# ---------------------------------------------------------------- step 9: sources, snapshots, streaming
+
+import uuid  # noqa: E402
+
+from pointframe.session import ensure_checkpoint_dir  # noqa: E402
+from pointframe.sources import collection as SC  # noqa: E402
+from pointframe.sources import snapshot as SN  # noqa: E402
+from pointframe.streaming import ops as STR  # noqa: E402
+
+# used only when the session names no shared checkpoint folder (local runs and tests)
+LOCAL_CHECKPOINTS = "/tmp/pointframe-checkpoints"
+
+
+@register("validate_collection")
+def q_validate_collection(spark, sf):
+    return SC.validation_report(W.embeddings(spark, sf))
+
+
+@register("validate_lineitem")
+def q_validate_lineitem(spark, sf):
+    li = W.load(spark, sf, "lineitem")
+    return SC.validation_report(make_collection(li, id="l_orderkey"))
+
+
+@register("from_batch")
+def q_from_batch(spark, sf):
+    e = _emb_df(spark, sf)
+    # columnar batches of at most 16 points (the size of one request), built from the table
+    blocks = (e.groupBy(F.floor(F.col("vec_id") / 16).alias("blk"))
+               .agg(F.sort_array(F.collect_list(F.struct("vec_id", "embedding", "label"))).alias("b"))
+               .select(F.transform("b", lambda x: x["vec_id"]).alias("ids"),
+                       F.transform("b", lambda x: x["embedding"]).alias("vectors"),
+                       F.transform("b", lambda x: x["label"]).alias("payloads")))
+    return SC.from_batch(blocks)
+
+
+@register("snapshot_checksum")
+def q_snapshot_checksum(spark, sf):
+    return SN.table_checksum(_emb_df(spark, sf))
+
+
+@register("stream_response_stats")
+def q_stream_response_stats(spark, sf):
+    ensure_checkpoint_dir(spark, LOCAL_CHECKPOINTS)
+    schema = W.load(spark, sf, "events").schema
+    src = spark.readStream.schema(schema).parquet(f"{sf}/events*.parquet")
+    agg = STR.response_stats_stream(src, "ts", "event_type", "value", window="1 day", watermark="1 hour")
+    name = "stats_" + uuid.uuid4().hex[:12]
+    q = (agg.writeStream.outputMode("update").format("memory").queryName(name)
+         .option("checkpointLocation", STR._location(spark, None, name)).start())
+    q.processAllAvailable()
+    q.stop()
+    return spark.table(name)
+
+
+@register("stream_upsert")
+def q_stream_upsert(spark, sf):
+    ensure_checkpoint_dir(spark, LOCAL_CHECKPOINTS)
+    schema = W.load(spark, sf, "embeddings").schema
+    src = spark.readStream.schema(schema).parquet(f"{sf}/embeddings*.parquet")
+    v = F.col("vec_id")
+    changes = (src.filter(v % 10 == 0).select("vec_id", "embedding", (F.col("label") + 100).alias("label"))
+               .unionByName(src.filter(v % 10 == 1).select((v + 100000).alias("vec_id"), "embedding", "label")))
+    name = "upsert_" + uuid.uuid4().hex[:12]
+    target = STR._location(spark, None, name) + "/table"
+    q = STR.stream_upsert(changes, W.embeddings(spark, sf), target,
+                          checkpoint_location=STR._location(spark, None, name) + "/ckpt")
+    q.processAllAvailable()
+    q.stop()
+    return STR.read_current(spark, target)
