@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 
 from pointframe.functions import text as TX
 from pointframe.functions.filters import EARTH_RADIUS_M, haversine_m
+from pointframe.plans.partitioning import spread
 
 # ---------------------------------------------------------------- text (I4-I8)
 
@@ -25,7 +26,7 @@ def text_postings(df: DataFrame, id_col: str, field: str, tokenizer: str = "word
                   lowercase: bool = True) -> DataFrame:
     """Postings ``token, id, tf`` of a text field; tf = occurrences in the point's text."""
     toks = TX.tokens(F.col(field), tokenizer, lowercase, min_token_len, max_token_len)
-    ex = df.select(F.col(id_col).alias("id"), F.explode(toks).alias("token"))
+    ex = spread(df.select(id_col, field)).select(F.col(id_col).alias("id"), F.explode(toks).alias("token"))
     return ex.groupBy("token", "id").agg(F.count(F.lit(1)).alias("tf"))
 
 

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from pointframe.functions import distance as D
 from pointframe.functions import text as TX
+from pointframe.plans.partitioning import spread
 
 
 def text_to_sparse(df: DataFrame, id_col: str, text_col: str, tokenizer: str = "word",
@@ -34,7 +35,8 @@ def text_to_sparse(df: DataFrame, id_col: str, text_col: str, tokenizer: str = "
 
 def token_counts(df: DataFrame, id_col: str, text_col: str, tokenizer: str = "word") -> DataFrame:
     """Long form ``id, idx, val`` straight from text (no packing)."""
-    toks = df.select(F.col(id_col).alias("id"), F.explode(TX.tokens(F.col(text_col), tokenizer)).alias("t"))
+    src = spread(df.select(id_col, text_col))
+    toks = src.select(F.col(id_col).alias("id"), F.explode(TX.tokens(F.col(text_col), tokenizer)).alias("t"))
     return (toks.groupBy("id", TX.sparse_index(F.col("t")).alias("idx"))
                 .agg(F.count(F.lit(1)).cast("float").alias("val")))
 
