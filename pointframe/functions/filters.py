@@ -5,8 +5,10 @@ optimisation to Catalyst: comparisons on typed top-level columns reach the
 parquet scan as pushed filters.
 
 Semantics we fixed (the remote engine defined them, the API only names them):
-  * two-valued logic: every condition is ``coalesce(cond, false)``, so
-    ``must_not`` keeps rows whose key is missing or null;
+  * two-valued logic: no condition is ever NULL (scalar leaves are
+    ``isNotNull(v) AND pred(v)``, which Catalyst pushes to the scan; array and
+    VARIANT leaves use ``coalesce(cond, false)``), so ``must_not`` keeps rows
+    whose key is missing or null;
   * an array field satisfies a condition when any element does;
   * an empty ``should`` list is no constraint; ``min_should`` needs at least
     ``min_count`` of its conditions;
@@ -156,7 +158,7 @@ def _filter(spec: dict, scope: Scope) -> Column:
         n = int(ms.get("min_count", 1))
         total = F.lit(0)
         for c in conds:
-            total = total + c.cast("int")
+            total = total + _t(c).cast("int")
         parts.append(total >= n)
     return _and(parts)
 
@@ -171,7 +173,8 @@ def _condition(c: dict, scope: Scope) -> Column:
         if scope.id_col is None:
             raise FilterError("has_id is not allowed inside nested filters")
         ids = list(c["has_id"])
-        return _t(scope.getter(scope.id_col).isin(ids)) if ids else F.lit(False)
+        idc = scope.getter(scope.id_col)
+        return (idc.isNotNull() & idc.isin(ids)) if ids else F.lit(False)
     if "is_empty" in c:
         _only(c, {"is_empty"})
         return _is_empty(scope.resolve(_key_of(c["is_empty"])))
@@ -208,10 +211,13 @@ def _key_of(x) -> str:
 # ---------------------------------------------------------------- field conditions
 
 def _field_condition(fld: Field, kind: str, arg, scope: Scope) -> Column:
+    """Leaf predicates are never NULL by construction: scalar ones are
+    ``isNotNull(v) AND pred(v)`` so that Catalyst can push both parts to the
+    scan; only array and VARIANT predicates (never pushable) use coalesce."""
     if fld.variant_path is not None:
         return _variant_condition(fld, kind, arg, scope)
     if kind == "values_count":
-        return _t(_range(_values_count(fld), arg))
+        return _range(_values_count(fld), arg)
     if kind == "match" and "text" in arg:
         return _t(_text_match(fld, arg["text"], scope))
     if isinstance(fld.dtype, T.ArrayType):
@@ -219,8 +225,8 @@ def _field_condition(fld: Field, kind: str, arg, scope: Scope) -> Column:
         if kind == "match" and "except" in arg:
             vals = list(arg["except"])
             return _t(F.exists(fld.col, lambda x: x.isNotNull() & ~x.isin(vals) if vals else x.isNotNull()))
-        return _t(F.exists(fld.col, lambda x: _scalar(x, elem, kind, arg)))
-    return _t(_scalar(fld.col, fld.dtype, kind, arg))
+        return _t(F.exists(fld.col, lambda x: x.isNotNull() & _scalar(x, elem, kind, arg)))
+    return fld.col.isNotNull() & _scalar(fld.col, fld.dtype, kind, arg)
 
 
 def _scalar(v: Column, dtype: T.DataType, kind: str, arg) -> Column:
@@ -230,12 +236,10 @@ def _scalar(v: Column, dtype: T.DataType, kind: str, arg) -> Column:
         return _range(v, arg)
     if kind == "datetime_range":
         return _datetime_range(v, dtype, arg)
-    if kind == "geo_bounding_box":
-        return geo_in_box(v["lat"], v["lon"], arg)
-    if kind == "geo_radius":
-        return geo_in_radius(v["lat"], v["lon"], arg)
-    if kind == "geo_polygon":
-        return geo_in_polygon(v["lat"], v["lon"], arg)
+    if kind in ("geo_bounding_box", "geo_radius", "geo_polygon"):
+        lat, lon = v["lat"], v["lon"]
+        fn = {"geo_bounding_box": geo_in_box, "geo_radius": geo_in_radius, "geo_polygon": geo_in_polygon}[kind]
+        return lat.isNotNull() & lon.isNotNull() & fn(lat, lon, arg)
     raise FilterError(f"unsupported condition {kind!r}")
 
 
@@ -317,15 +321,15 @@ def _is_empty(fld: Field) -> Column:
         return _t(node.isNull() | F.is_variant_null(node) |
                   (kind.startswith("ARRAY") & (F.size(node.cast("array<variant>")) == 0)))
     if isinstance(fld.dtype, T.ArrayType):
-        return _t(fld.col.isNull() | (F.size(fld.col) == 0))
-    return _t(fld.col.isNull())
+        return fld.col.isNull() | (F.size(fld.col) == 0)
+    return fld.col.isNull()
 
 
 def _is_null(fld: Field) -> Column:
     if fld.variant_path is not None:
         node = F.variant_get(fld.col, fld.variant_path, "variant") if fld.variant_path != "$" else fld.col
         return _t(F.is_variant_null(node))
-    return _t(fld.col.isNull())
+    return fld.col.isNull()
 
 
 def _text_match(fld: Field, query: str, scope: Scope) -> Column:
