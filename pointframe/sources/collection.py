@@ -80,37 +80,33 @@ def _finite_all(col: Column) -> Column:
 
 
 def validation_report(coll: Collection) -> DataFrame:
-    """One row of defect counts, computed by one aggregation job over the whole table.
+    """One row of defect counts over the whole table.
 
     Columns: n_points, null_ids, duplicate_ids, then for every dense vector
     ``<name>_null``, ``<name>_bad_dim``, ``<name>_non_finite``.
-    Duplicate ids are found by a per-id count (partial aggregation before the
-    shuffle), so no group ever holds more than the copies of one id.
+    Plan: a per-id count (with the per-row defect flags summed alongside; partial
+    aggregation before the shuffle, so an id repeated in a third of all rows is
+    combined map-side), then one global aggregation of those per-id rows.
     """
     df = coll.df
-    per_vec = []
+    flags = []
     for name, spec in sorted(coll.vectors.items()):
         label = name or "vector"
         c = F.col(spec.column)
         bad_dim = (F.size(c) != spec.size) if spec.size is not None else F.lit(False)
-        per_vec += [
-            F.sum(F.when(c.isNull(), 1).otherwise(0)).alias(f"{label}_null"),
-            F.sum(F.when(c.isNotNull() & bad_dim, 1).otherwise(0)).alias(f"{label}_bad_dim"),
-            F.sum(F.when(c.isNotNull() & ~_finite_all(c), 1).otherwise(0)).alias(f"{label}_non_finite"),
+        flags += [
+            (f"{label}_null", F.when(c.isNull(), 1).otherwise(0)),
+            (f"{label}_bad_dim", F.when(c.isNotNull() & bad_dim, 1).otherwise(0)),
+            (f"{label}_non_finite", F.when(c.isNotNull() & ~_finite_all(c), 1).otherwise(0)),
         ]
-    per_id = df.groupBy(F.col(coll.id).alias("_id")).agg(F.count(F.lit(1)).alias("_n"))
-    dup = per_id.agg(
+    per_id = df.groupBy(F.col(coll.id).alias("_id")).agg(
+        F.count(F.lit(1)).alias("_n"), *[F.sum(e).alias(n) for n, e in flags])
+    return per_id.agg(
+        F.sum("_n").cast("long").alias("n_points"),
+        F.coalesce(F.sum(F.when(F.col("_id").isNull(), F.col("_n"))), F.lit(0)).cast("long").alias("null_ids"),
         F.coalesce(F.sum(F.when(F.col("_id").isNotNull() & (F.col("_n") > 1), F.col("_n") - 1)), F.lit(0))
-        .cast("long").alias("duplicate_ids"))
-    base = df.agg(F.count(F.lit(1)).alias("n_points"),
-                  F.sum(F.when(F.col(coll.id).isNull(), 1).otherwise(0)).cast("long").alias("null_ids"),
-                  *[c.cast("long") for c in per_vec])
-    return _one_row_join(base, dup)
-
-
-def _one_row_join(a: DataFrame, b: DataFrame) -> DataFrame:
-    """Join two single-row aggregates side by side on a constant key (both sides are one row)."""
-    return a.withColumn("_k", F.lit(1)).join(b.withColumn("_k", F.lit(1)), "_k").drop("_k")
+         .cast("long").alias("duplicate_ids"),
+        *[F.coalesce(F.sum(n), F.lit(0)).cast("long").alias(n) for n, _ in flags])
 
 
 def make_checked_collection(df: DataFrame, id: str = "id", vectors: dict | None = None,
