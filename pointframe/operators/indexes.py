@@ -96,25 +96,36 @@ def geo_cells(df: DataFrame, id_col: str, geo_col: str, cell_deg: float = 10.0)
 
 
 def geo_radius_by_cells(index: DataFrame, center: dict, radius_m: float, cell_deg: float = 10.0) -> DataFrame:
-    """Ids within ``radius_m`` of ``center`` using the cell index: only cells that can
-    intersect the circle are joined (a broadcast list of candidate cells), then
-    the exact haversine test runs on their points."""
-    spark = index.sparkSession
+    """Ids within ``radius_m`` of ``center`` using the cell index.
+
+    The cells that can intersect the circle form a rectangle in (cell_lat,
+    cell_lon) - two longitude ranges across the antimeridian - so they become
+    range predicates on the cell columns (pushed to the scan, no join and no
+    list of cells to ship); the exact haversine test then runs on their points.
+    """
     dlat = math.degrees(radius_m / EARTH_RADIUS_M)
     lat0, lon0 = float(center["lat"]), float(center["lon"])
     lo_lat, hi_lat = max(-90.0, lat0 - dlat), min(90.0, lat0 + dlat)
-    # longitude span widens towards the poles; near a pole take every longitude
+    lat_ok = F.col("cell_lat").between(math.floor(lo_lat / cell_deg), math.floor(hi_lat / cell_deg))
     max_abs = max(abs(lo_lat), abs(hi_lat))
     if max_abs >= 89.9 or dlat >= 90:
-        lon_cells = list(range(math.floor(-180 / cell_deg), math.floor(180 / cell_deg) + 1))
+        lon_ok = F.lit(True)  # the circle reaches a pole: every longitude
     else:
-        dlon = min(180.0, dlat / math.cos(math.radians(max_abs)))
-        span = range(math.floor((lon0 - dlon) / cell_deg), math.floor((lon0 + dlon) / cell_deg) + 1)
-        n_lon = int(round(360 / cell_deg))
-        lon_cells = sorted({((c + n_lon // 2) % n_lon) - n_lon // 2 for c in span})
-    lat_cells = range(math.floor(lo_lat / cell_deg), math.floor(hi_lat / cell_deg) + 1)
-    cells = spark.createDataFrame([(a, b) for a in lat_cells for b in lon_cells], "cell_lat int, cell_lon int")
-    cand = index.join(F.broadcast(cells), ["cell_lat", "cell_lon"], "left_semi")
+        dlon = dlat / math.cos(math.radians(max_abs))
+        if dlon >= 180:
+            lon_ok = F.lit(True)
+        else:
+            w, e = lon0 - dlon, lon0 + dlon
+            c = F.col("cell_lon")
+            if w < -180:
+                lon_ok = c.between(math.floor(-180 / cell_deg), math.floor(e / cell_deg)) | \
+                    (c >= math.floor((w + 360) / cell_deg))
+            elif e > 180:
+                lon_ok = c.between(math.floor(w / cell_deg), math.floor(180 / cell_deg)) | \
+                    (c <= math.floor((e - 360) / cell_deg))
+            else:
+                lon_ok = c.between(math.floor(w / cell_deg), math.floor(e / cell_deg))
+    cand = index.filter(lat_ok & lon_ok)
     return cand.filter(haversine_m(F.col("lat"), F.col("lon"), lat0, lon0) <= radius_m).select("id")
 
 

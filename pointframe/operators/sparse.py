@@ -6,10 +6,12 @@ points' entries on ``idx`` and the products are summed per point - an
 inverted-index dot product written as a join plus a partial/final aggregation.
 Only points that share at least one index with the query get a score.
 
-The query side is the size of one request (or one batch of requests), so the
-join broadcasts it; a frequent index (a stop word in a third of all documents)
-therefore causes no skewed shuffle partition, and the per-point sum is
-pre-aggregated before its shuffle.
+A literal query (one request) is broadcast explicitly - its size is the
+request's - so a frequent index (a stop word in a third of all documents)
+causes no skewed shuffle partition. A query *DataFrame* (a batch of any size)
+gets no hint: AQE broadcasts it when its runtime size is under the threshold,
+otherwise the join shuffles on ``idx`` and AQE splits skewed partitions. The
+per-point sum is pre-aggregated before its shuffle.
 """
 
 from __future__ import annotations
@@ -55,34 +57,44 @@ def query_frame(spark, query, query_id: int | None = None) -> DataFrame:
     return df if query_id is None else df.withColumn("query_id", F.lit(query_id).cast("long"))
 
 
-def idf_weights(postings: DataFrame, idx: DataFrame) -> DataFrame:
+def _maybe_broadcast(df: DataFrame, bounded: bool) -> DataFrame:
+    return F.broadcast(df) if bounded else df
+
+
+def idf_weights(postings: DataFrame, idx: DataFrame, bounded: bool = False) -> DataFrame:
     """``idx, idf`` for the given indices: ln((N - df + 0.5) / (df + 0.5) + 1)
     (Robertson and Zaragoza, 2009), N = number of points holding any entry."""
     n = postings.agg(F.countDistinct("id").alias("n")).select("n").scalar()
     want = idx.select("idx").distinct()
-    df = (postings.join(F.broadcast(want), "idx", "left_semi")
+    df = (postings.join(_maybe_broadcast(want, bounded), "idx", "left_semi")
                   .groupBy("idx").agg(F.countDistinct("id").alias("df")))
     return df.select("idx", F.log((n - F.col("df") + 0.5) / (F.col("df") + 0.5) + 1).alias("idf"))
 
 
-def sparse_scores(postings: DataFrame, query: DataFrame, modifier: str | None = None) -> DataFrame:
-    """``[query_id,] id, raw`` dot products for every point sharing an index with the query."""
+def sparse_scores(postings: DataFrame, query: DataFrame, modifier: str | None = None,
+                  bounded_query: bool = False) -> DataFrame:
+    """``[query_id,] id, raw`` dot products for every point sharing an index with the query.
+
+    ``bounded_query=True`` (a literal request) broadcasts the query explicitly.
+    """
     keys = ["query_id"] if "query_id" in query.columns else []
     q = query
     if modifier == "idf":
-        q = q.join(F.broadcast(idf_weights(postings, query)), "idx").withColumn("qval", F.col("qval") * F.col("idf"))
+        q = q.join(idf_weights(postings, query, bounded_query), "idx") \
+             .withColumn("qval", F.col("qval") * F.col("idf"))
     elif modifier not in (None, "none"):
         raise ValueError(f"unknown sparse modifier {modifier!r}")
-    j = postings.join(F.broadcast(q.select(*keys, "idx", "qval")), "idx")
+    j = postings.join(_maybe_broadcast(q.select(*keys, "idx", "qval"), bounded_query), "idx")
     return j.groupBy(*keys, "id").agg(F.sum(F.col("val").cast("double") * F.col("qval")).alias("raw"))
 
 
 def sparse_search(postings: DataFrame, query, *, limit: int = 10, modifier: str | None = None,
                   spark=None) -> DataFrame:
     """Top ``limit`` points by sparse dot product: ``id, score``."""
-    if not isinstance(query, DataFrame):
+    literal = not isinstance(query, DataFrame)
+    if literal:
         query = query_frame(spark or postings.sparkSession, query)
-    s = sparse_scores(postings, query, modifier)
+    s = sparse_scores(postings, query, modifier, bounded_query=literal)
     out = s.select("id", F.round("raw", D.SCORE_DIGITS).alias("score"))
     return out.orderBy(F.col("score").desc(), F.col("id").asc()).limit(limit)
 

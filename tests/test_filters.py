@@ -185,3 +185,19 @@ def test_variant_paths(spark):
     assert ids({"must": [{"is_empty": {"key": "tags"}}]}) == [2, 3]            # [] and missing
     assert ids({"must": [{"is_null": {"key": "o"}}]}) == [1]                   # JSON null only
     assert ids({"must": [{"key": "tags", "values_count": {"gte": 2}}]}) == [1]
+
+
+@pytest.mark.parametrize("center,radius", [({"lat": 10.0, "lon": 20.0}, 2500000.0),
+                                           ({"lat": 60.0, "lon": 178.0}, 900000.0),
+                                           ({"lat": -5.0, "lon": -179.5}, 3000000.0),
+                                           ({"lat": 88.0, "lon": 0.0}, 500000.0)])
+def test_geo_cells_radius_equals_plain_filter(spark, center, radius):
+    from pointframe.operators import indexes as IX
+    from workload import tables as W
+    from tests.conftest import SF_CHECK
+    cust = W.customers_geo(spark, SF_CHECK)
+    idx = IX.geo_cell_index(cust, "c_custkey", "loc", 5.0)
+    got = sorted(r[0] for r in IX.geo_radius_by_cells(idx, center, radius, 5.0).collect())
+    f = {"must": [{"key": "loc", "geo_radius": {"center": center, "radius": radius}}]}
+    want = sorted(r[0] for r in cust.filter(build_filter(f, cust.schema, "c_custkey")).select("c_custkey").collect())
+    assert got == want and len(want) > 0
