@@ -4,10 +4,10 @@ The reference has no streaming; its nearest concept is a write that is
 acknowledged before it is applied. These re-aims are built on the standard
 streaming primitives:
 
-* ``stream_upsert``: ``foreachBatch`` applies each micro-batch as an upsert and
-  writes a new version of the collection under ``target``; the epoch id is
-  recorded with the version, so a replayed batch (at-least-once delivery after a
-  failure) is detected and skipped.
+* ``stream_upsert``: ``foreachBatch`` applies each micro-batch as an upsert to
+  the hash buckets its ids fall in (dynamic partition overwrite of only those
+  buckets); the epoch id is logged, so a replayed batch (at-least-once delivery
+  after a failure) is detected and skipped.
 * ``stream_search``: top-k per arriving query against a static collection,
   ``foreachBatch`` + the batch k-NN kernel.
 * ``stream_response_stats``: event-time windows (tumbling, sliding) with a
@@ -35,51 +35,78 @@ def _location(spark: SparkSession, given: str | None, name: str) -> str:
 
 # ---------------------------------------------------------------- T1
 
-def _versions(spark: SparkSession, target: str) -> DataFrame | None:
-    try:
-        return spark.read.parquet(f"{target}/_versions")
-    except Exception:  # first batch: no version written yet
-        return None
+BUCKET = "_bucket"
+
 
+def _bucket_of(id_col: str, buckets: int):
+    return F.pmod(F.xxhash64(F.col(id_col)), F.lit(buckets)).cast("int")
 
-def current_version(spark: SparkSession, target: str) -> str | None:
-    """Path of the newest committed version of a ``stream_upsert`` target, or None."""
-    v = _versions(spark, target)
-    if v is None:
+
+def _epochs(spark: SparkSession, target: str) -> DataFrame | None:
+    try:
+        return spark.read.parquet(f"{target}/_epochs")
+    except Exception:  # nothing committed yet
         return None
-    row = v.orderBy(F.col("epoch").desc()).select("path").first()
-    return row["path"] if row else None
 
 
-def read_current(spark: SparkSession, target: str) -> DataFrame:
-    path = current_version(spark, target)
-    if path is None:
-        raise FileNotFoundError(f"no committed version under {target}")
-    return spark.read.parquet(path)
+def read_state(spark: SparkSession, target: str) -> DataFrame:
+    """Current rows of a ``stream_upsert`` target (bucket column dropped)."""
+    return spark.read.parquet(f"{target}/state").drop(BUCKET)
+
 
+def upsert_batch_fn(base: Collection, target: str, seq: str | None = None, buckets: int = 64):
+    """The ``foreachBatch`` function of ``stream_upsert`` (exposed for replay tests).
 
-def upsert_batch_fn(base: Collection, target: str, seq: str | None = None):
-    """The ``foreachBatch`` function of ``stream_upsert`` (exposed for replay tests)."""
+    State layout: parquet under ``target/state`` partitioned by ``_bucket`` =
+    hash(id) mod ``buckets``. A micro-batch reads only the buckets its ids fall
+    in (partition pruning), computes their new contents with ``upsert``, stages
+    them and replaces exactly those buckets (dynamic partition overwrite); other
+    buckets are not touched. The epoch is logged last. A batch delivered again
+    after a restart finds its epoch and does nothing; a crash between the
+    overwrite and the log entry replays the same upsert, which is idempotent.
+    """
     def apply(batch: DataFrame, epoch_id: int) -> None:
         spark = batch.sparkSession
-        versions = _versions(spark, target)
-        if versions is not None and versions.filter(F.col("epoch") == epoch_id).limit(1).count():
-            return  # this epoch was committed before a restart: replay is a no-op
-        prev = current_version(spark, target)
-        state = base if prev is None else base.with_df(spark.read.parquet(prev))
-        out_path = f"{target}/v{epoch_id:010d}"
-        upsert(state, batch, seq=seq, check=seq is None).df.write.mode("overwrite").parquet(out_path)
-        # commit marker written last: a crash before it leaves the previous version current
-        spark.createDataFrame([(int(epoch_id), out_path)], "epoch long, path string") \
-             .write.mode("append").parquet(f"{target}/_versions")
+        ep = _epochs(spark, target)
+        if ep is not None and ep.filter(F.col("epoch") == epoch_id).limit(1).count():
+            return
+        state_path = f"{target}/state"
+        if ep is None and not _exists(spark, state_path):
+            (base.df.withColumn(BUCKET, _bucket_of(base.id, buckets))
+                 .write.mode("overwrite").partitionBy(BUCKET).parquet(state_path))
+        changes = batch.withColumn(BUCKET, _bucket_of(base.id, buckets))
+        # at most ``buckets`` small ints: the partition list used for pruning
+        touched = [r[0] for r in changes.select(BUCKET).distinct().collect()]
+        if not touched:
+            _log_epoch(spark, target, epoch_id)
+            return
+        old = spark.read.parquet(state_path).filter(F.col(BUCKET).isin(touched))
+        state = base.with_df(old)
+        new = upsert(state, changes, seq=seq, check=seq is None).df
+        staging = f"{target}/_staging/e{epoch_id:010d}"
+        new.write.mode("overwrite").partitionBy(BUCKET).parquet(staging)
+        (spark.read.parquet(staging).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+              .partitionBy(BUCKET).parquet(state_path))
+        _log_epoch(spark, target, epoch_id)
     return apply
 
 
+def _exists(spark: SparkSession, path: str) -> bool:
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return bool(p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p))
+
+
+def _log_epoch(spark: SparkSession, target: str, epoch_id: int) -> None:
+    spark.createDataFrame([(int(epoch_id),)], "epoch long").write.mode("append").parquet(f"{target}/_epochs")
+
+
 def stream_upsert(changes: DataFrame, base: Collection, target: str, *, seq: str | None = None,
-                  checkpoint_location: str | None = None, trigger: dict | None = None) -> StreamingQuery:
+                  buckets: int = 64, checkpoint_location: str | None = None,
+                  trigger: dict | None = None) -> StreamingQuery:
     """Keep ``target`` at the latest row per id of ``base`` plus every change."""
     spark = changes.sparkSession
-    w = (changes.writeStream.foreachBatch(upsert_batch_fn(base, target, seq))
+    w = (changes.writeStream.foreachBatch(upsert_batch_fn(base, target, seq, buckets))
          .option("checkpointLocation", _location(spark, checkpoint_location, "upsert")))
     if trigger:
         w = w.trigger(**trigger)

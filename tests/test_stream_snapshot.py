@@ -19,17 +19,40 @@ def emb(spark):
 
 def test_upsert_epoch_replay_is_noop(spark, emb, tmpdir_path):
     target = os.path.join(tmpdir_path, "table")
-    fn = STR.upsert_batch_fn(emb, target)
+    fn = STR.upsert_batch_fn(emb, target, buckets=16)
     b0 = emb.df.filter(F.col("vec_id") < 5).withColumn("label", F.lit(100))
     b1 = emb.df.filter(F.col("vec_id") >= 495).withColumn("label", F.lit(200))
     fn(b0, 0)
     fn(b1, 1)
     fn(b1, 1)  # redelivered batch after a restart
-    state = STR.read_current(spark, target)
-    assert spark.read.parquet(f"{target}/_versions").count() == 2
+    state = STR.read_state(spark, target)
+    assert spark.read.parquet(f"{target}/_epochs").count() == 2
     assert state.count() == emb.df.count()
     assert state.filter(F.col("label") == 100).count() == 5
     assert state.filter(F.col("label") == 200).count() == 5
+    # a crash after the overwrite but before the epoch log: the replay converges
+    fn2 = STR.upsert_batch_fn(emb, target, buckets=16)
+    b2 = emb.df.filter(F.col("vec_id") == 7).withColumn("label", F.lit(300))
+    fn2(b2, 2)
+    spark.read.parquet(f"{target}/_epochs").filter(F.col("epoch") < 2) \
+        .write.mode("overwrite").parquet(f"{target}/_epochs_tmp")
+    spark.read.parquet(f"{target}/_epochs_tmp").write.mode("overwrite").parquet(f"{target}/_epochs")
+    fn2(b2, 2)
+    again = STR.read_state(spark, target)
+    assert again.count() == emb.df.count()
+    assert again.filter(F.col("label") == 300).count() == 1
+
+
+def test_upsert_touches_only_changed_buckets(spark, emb, tmpdir_path):
+    import glob
+    target = os.path.join(tmpdir_path, "t2")
+    fn = STR.upsert_batch_fn(emb, target, buckets=16)
+    fn(emb.df.limit(0), 0)
+    before = {p: os.path.getmtime(p) for p in glob.glob(f"{target}/state/_bucket=*/*.parquet")}
+    fn(emb.df.filter(F.col("vec_id") == 3).withColumn("label", F.lit(9)), 1)
+    after = {p: os.path.getmtime(p) for p in glob.glob(f"{target}/state/_bucket=*/*.parquet")}
+    changed_dirs = {os.path.dirname(p) for p in set(after) ^ set(before)}
+    assert len(changed_dirs) == 1  # only the bucket of id 3 was rewritten
 
 
 def test_stream_search_appends_topk(spark, emb, tmpdir_path):

@@ -805,4 +805,4 @@ def q_stream_upsert(spark, sf):
                           checkpoint_location=STR._location(spark, None, name) + "/ckpt")
     q.processAllAvailable()
     q.stop()
-    return STR.read_current(spark, target)
+    return STR.read_state(spark, target)
