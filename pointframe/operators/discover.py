@@ -39,25 +39,26 @@ def _pairs_roles(context: list[dict]) -> dict[str, list]:
 def _pairs_array(coll: Collection, context: list[dict], using, lookup_from) -> Column:
     """Scalar subquery: ``array<struct<p: array<double>, n: array<double>>>`` of the pairs."""
     ex = X.examples_frame(coll, _pairs_roles(context), using, lookup_from)
-    p = ex.filter(F.col("role") == "pos").select("ord", F.col("vec").alias("p"))
-    n = ex.filter(F.col("role") == "neg").select("ord", F.col("vec").alias("n"))
-    pairs = p.join(n, "ord").agg(F.collect_list(F.struct("p", "n")).alias("a"))
+    p = ex.filter(F.col("role") == "pos").select("ord", F.col("vec").alias("p"), D.norm(F.col("vec")).alias("pn"))
+    n = ex.filter(F.col("role") == "neg").select("ord", F.col("vec").alias("n"), D.norm(F.col("vec")).alias("nn"))
+    pairs = p.join(n, "ord").agg(F.collect_list(F.struct("p", "n", "pn", "nn")).alias("a"))
     return X.scalar_array(pairs, "a")
 
 
-def _pair_sum(vec: Column, pairs: Column, distance: str, fn) -> Column:
-    return F.aggregate(F.transform(pairs, lambda pr: fn(similarity(vec, pr["p"], distance),
-                                                         similarity(vec, pr["n"], distance))),
+def _pair_sum(vec: Column, pairs: Column, distance: str, fn, vn: Column | None) -> Column:
+    return F.aggregate(F.transform(pairs, lambda pr: fn(similarity(vec, pr["p"], distance, vn, pr["pn"]),
+                                                         similarity(vec, pr["n"], distance, vn, pr["nn"]))),
                        F.lit(0.0), lambda a, b: a + b)
 
 
-def discover_score(vec: Column, target: Column, pairs: Column, distance: str) -> Column:
-    rank = _pair_sum(vec, pairs, distance, lambda sp, sn: F.signum(sp - sn))
-    return rank + D.sigmoid(similarity(vec, target, distance))
+def discover_score(vec: Column, target: Column, pairs: Column, distance: str,
+                   vn: Column | None = None, tn: Column | None = None) -> Column:
+    rank = _pair_sum(vec, pairs, distance, lambda sp, sn: F.signum(sp - sn), vn)
+    return rank + D.sigmoid(similarity(vec, target, distance, vn, tn))
 
 
-def context_score(vec: Column, pairs: Column, distance: str) -> Column:
-    return _pair_sum(vec, pairs, distance, lambda sp, sn: F.least(sp - sn, F.lit(0.0)))
+def context_score(vec: Column, pairs: Column, distance: str, vn: Column | None = None) -> Column:
+    return _pair_sum(vec, pairs, distance, lambda sp, sn: F.least(sp - sn, F.lit(0.0)), vn)
 
 
 def _excluded(target, context) -> list:
@@ -77,8 +78,10 @@ def discover(coll: Collection, target, context: list[dict], *, using: str | None
             df = df.filter(~F.col(coll.id).isin(excl))
     tgt = (F.lit([float(x) for x in target]) if isinstance(target, (list, tuple))
            else point_vector(coll, target, using, lookup_from))
-    df = df.withColumn("_t", tgt).withColumn("_pairs", _pairs_array(coll, context, using, lookup_from))
-    s = discover_score(F.col(spec.column), F.col("_t"), F.col("_pairs"), spec.distance)
+    df = (df.withColumn("_t", tgt).withColumn("_pairs", _pairs_array(coll, context, using, lookup_from))
+            .withColumn("_vn", D.norm(F.col(spec.column))))
+    df = df.withColumn("_tn", D.norm(F.col("_t")))
+    s = discover_score(F.col(spec.column), F.col("_t"), F.col("_pairs"), spec.distance, F.col("_vn"), F.col("_tn"))
     out = project(coll, df, with_payload, with_vector, extra=[F.round(s, D.SCORE_DIGITS).alias("score")])
     return top(out.filter(F.col("score").isNotNull()), D.COSINE, limit, offset)
 
@@ -93,8 +96,9 @@ def context_search(coll: Collection, context: list[dict], *, using: str | None =
         excl = _excluded(None, context)
         if excl:
             df = df.filter(~F.col(coll.id).isin(excl))
-    df = df.withColumn("_pairs", _pairs_array(coll, context, using, lookup_from))
-    s = context_score(F.col(spec.column), F.col("_pairs"), spec.distance)
+    df = (df.withColumn("_pairs", _pairs_array(coll, context, using, lookup_from))
+            .withColumn("_vn", D.norm(F.col(spec.column))))
+    s = context_score(F.col(spec.column), F.col("_pairs"), spec.distance, F.col("_vn"))
     out = project(coll, df, with_payload, with_vector, extra=[F.round(s, D.SCORE_DIGITS).alias("score")])
     return top(out.filter(F.col("score").isNotNull()), D.COSINE, limit, offset)
 

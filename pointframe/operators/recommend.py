@@ -59,9 +59,12 @@ def recommend_scored(coll: Collection, positive=(), negative=(), strategy: str =
         q = X.scalar_array(_target_frame(ex), "target")
         return scored(coll, df, q, using=using, score_threshold=score_threshold,
                       with_payload=with_payload, with_vector=with_vector), spec.distance
-    arr = X.scalar_array(ex.agg(F.collect_list(F.struct("role", "vec")).alias("a")), "a")
-    df = df.withColumn("_ex", arr)
-    s = best_score_expr(F.col(spec.column), F.col("_ex"), spec.distance)
+    # example norms are computed once by Spark inside the (request-sized) example array,
+    # each point's norm once per row: one array pass per (point, example) pair
+    arr = X.scalar_array(ex.agg(F.collect_list(F.struct("role", "vec", D.norm(F.col("vec")).alias("norm")))
+                                .alias("a")), "a")
+    df = df.withColumn("_ex", arr).withColumn("_vn", D.norm(F.col(spec.column)))
+    s = best_score_expr(F.col(spec.column), F.col("_ex"), spec.distance, F.col("_vn"))
     out = project(coll, df, with_payload, with_vector, extra=[F.round(s, D.SCORE_DIGITS).alias("score")])
     keep = F.col("score").isNotNull()
     if score_threshold is not None:
@@ -69,16 +72,23 @@ def recommend_scored(coll: Collection, positive=(), negative=(), strategy: str =
     return out.filter(keep), D.COSINE  # best_score: higher is better for every distance
 
 
-def similarity(vec: Column, other: Column, distance: str) -> Column:
-    """Raw similarity where higher is better: the score, or -distance."""
+def similarity(vec: Column, other: Column, distance: str, vec_norm: Column | None = None,
+               other_norm: Column | None = None) -> Column:
+    """Raw similarity where higher is better: the score, or -distance.
+
+    With cosine, precomputed norms (``vec_norm``, ``other_norm``) save two array passes.
+    """
+    if D.canonical(distance) == D.COSINE and vec_norm is not None and other_norm is not None:
+        return F.when((vec_norm > 0) & (other_norm > 0), D.dot(vec, other) / (vec_norm * other_norm))
     raw = D.raw_score(vec, other, distance)
     return raw if D.higher_is_better(distance) else -raw
 
 
-def best_score_expr(vec: Column, examples: Column, distance: str) -> Column:
+def best_score_expr(vec: Column, examples: Column, distance: str, vec_norm: Column | None = None) -> Column:
     def best(role):
         return F.array_max(F.transform(F.filter(examples, lambda e: e["role"] == role),
-                                       lambda e: similarity(vec, e["vec"], distance)))
+                                       lambda e: similarity(vec, e["vec"], distance, vec_norm,
+                                                            e["norm"] if vec_norm is not None else None)))
     p, n = best("pos"), best("neg")
     return (F.when(n.isNull(), D.sigmoid(p))
              .when(p.isNull(), -D.sigmoid(n))

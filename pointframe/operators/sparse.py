@@ -61,10 +61,17 @@ def _maybe_broadcast(df: DataFrame, bounded: bool) -> DataFrame:
     return F.broadcast(df) if bounded else df
 
 
-def idf_weights(postings: DataFrame, idx: DataFrame, bounded: bool = False) -> DataFrame:
+def idf_weights(postings: DataFrame, idx: DataFrame, bounded: bool = False, n_points=None) -> DataFrame:
     """``idx, idf`` for the given indices: ln((N - df + 0.5) / (df + 0.5) + 1)
-    (Robertson and Zaragoza, 2009), N = number of points holding any entry."""
-    n = postings.agg(F.countDistinct("id").alias("n")).select("n").scalar()
+    (Robertson and Zaragoza, 2009), N = number of points holding any entry.
+
+    Pass ``n_points`` (an int or a scalar Column) when N is known, e.g. from the
+    collection; otherwise it is counted from the postings (one more aggregation).
+    """
+    if n_points is None:
+        n = postings.agg(F.countDistinct("id").alias("n")).select("n").scalar()
+    else:
+        n = n_points if hasattr(n_points, "alias") else F.lit(int(n_points))
     want = idx.select("idx").distinct()
     df = (postings.join(_maybe_broadcast(want, bounded), "idx", "left_semi")
                   .groupBy("idx").agg(F.countDistinct("id").alias("df")))
@@ -72,37 +79,41 @@ def idf_weights(postings: DataFrame, idx: DataFrame, bounded: bool = False) -> D
 
 
 def sparse_scores(postings: DataFrame, query: DataFrame, modifier: str | None = None,
-                  bounded_query: bool = False) -> DataFrame:
+                  bounded_query: bool = False, n_points=None) -> DataFrame:
     """``[query_id,] id, raw`` dot products for every point sharing an index with the query.
 
     ``bounded_query=True`` (a literal request) broadcasts the query explicitly.
     """
     keys = ["query_id"] if "query_id" in query.columns else []
     q = query
+    # a semi join on the grouping key is pushed below the postings aggregation by
+    # Catalyst, so only entries of the query's indices are ever aggregated
+    post = postings.join(_maybe_broadcast(query.select("idx"), bounded_query), "idx", "left_semi")
     if modifier == "idf":
-        q = q.join(idf_weights(postings, query, bounded_query), "idx") \
+        q = q.join(idf_weights(postings, query, bounded_query, n_points), "idx") \
              .withColumn("qval", F.col("qval") * F.col("idf"))
     elif modifier not in (None, "none"):
         raise ValueError(f"unknown sparse modifier {modifier!r}")
-    j = postings.join(_maybe_broadcast(q.select(*keys, "idx", "qval"), bounded_query), "idx")
+    j = post.join(_maybe_broadcast(q.select(*keys, "idx", "qval"), bounded_query), "idx")
     return j.groupBy(*keys, "id").agg(F.sum(F.col("val").cast("double") * F.col("qval")).alias("raw"))
 
 
 def sparse_search(postings: DataFrame, query, *, limit: int = 10, modifier: str | None = None,
-                  spark=None) -> DataFrame:
+                  spark=None, n_points=None) -> DataFrame:
     """Top ``limit`` points by sparse dot product: ``id, score``."""
     literal = not isinstance(query, DataFrame)
     if literal:
         query = query_frame(spark or postings.sparkSession, query)
-    s = sparse_scores(postings, query, modifier, bounded_query=literal)
+    s = sparse_scores(postings, query, modifier, bounded_query=literal, n_points=n_points)
     out = s.select("id", F.round("raw", D.SCORE_DIGITS).alias("score"))
     return out.orderBy(F.col("score").desc(), F.col("id").asc()).limit(limit)
 
 
 def sparse_search_batch(postings: DataFrame, queries: DataFrame, *, limit: int = 10,
-                        modifier: str | None = None) -> DataFrame:
+                        modifier: str | None = None, n_points=None) -> DataFrame:
     """Top ``limit`` per ``query_id`` (queries in long form ``query_id, idx, qval``)."""
-    s = sparse_scores(postings, queries, modifier).withColumn("score", F.round("raw", D.SCORE_DIGITS))
+    s = sparse_scores(postings, queries, modifier, n_points=n_points) \
+        .withColumn("score", F.round("raw", D.SCORE_DIGITS))
     w = Window.partitionBy("query_id").orderBy(F.col("score").desc(), F.col("id").asc())
     return (s.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= limit)
              .select("query_id", "id", "score", F.col("rank").cast("long").alias("rank")))

@@ -164,3 +164,13 @@ def from_batch(df: DataFrame, ids: str = "ids", vectors: str = "vectors",
 
 def vector_type() -> T.DataType:
     return T.ArrayType(T.FloatType(), containsNull=False)
+
+
+def init_from(source: Collection, filter: dict | None = None, vectors: list[str] | None = None) -> Collection:
+    """A new collection seeded from another (S7): its rows (optionally filtered) and
+    vector config (optionally only the named vectors). Write it to a new path to keep it."""
+    from pointframe.functions.filters import build_filter
+    df = source.df if not filter else source.df.filter(build_filter(filter, source.df.schema, source.id))
+    specs = source.vectors if vectors is None else {n: source.vector(n) for n in vectors}
+    drop = [s.column for n, s in source.vectors.items() if n not in specs]
+    return Collection(df=df.drop(*drop), id=source.id, vectors=dict(specs), sparse=dict(source.sparse))

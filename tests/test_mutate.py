@@ -108,3 +108,17 @@ def test_variant_payload_merge(spark):
     out = U.delete_payload(coll, ["a"], ids=[2], variant_payload="payload")
     got = {r["id"]: r["j"] for r in out.df.selectExpr("id", "to_json(payload) AS j").collect()}
     assert got == {1: '{"a":1,"b":"x"}', 2: '{}'}
+
+
+def test_init_from_and_sharded_layout(spark, emb, tmpdir_path):
+    import os
+    from pointframe.sources.collection import init_from
+    from pointframe.sources.profile import read_shard, write_sharded
+    sub = init_from(emb, filter={"must": [{"key": "label", "range": {"lt": 3}}]})
+    assert sub.df.count() == emb.df.filter(F.col("label") < 3).count()
+    path = os.path.join(tmpdir_path, "sharded")
+    write_sharded(emb.df, "label", path, salt_buckets=4)
+    one = read_shard(spark, path, "label", 2)
+    plan = one._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(label" in plan  # only the shard's directory is listed
+    assert one.count() == emb.df.filter(F.col("label") == 2).count()
