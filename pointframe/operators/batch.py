@@ -24,6 +24,7 @@ def knn_join(coll: Collection, queries: DataFrame, *, query_id: str = "query_id"
     """
     spec = coll.vector(using)
     pts = filtered(coll, filter)
+    kw.setdefault("dim", spec.size)
     return kernel.knn(pts, coll.id, spec.column, queries, query_id=query_id, query_vec=vector,
                       k=k, distance=spec.distance, exclude_col=exclude, **kw)
 

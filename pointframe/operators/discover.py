@@ -114,18 +114,15 @@ def discover_batch(coll: Collection, requests: list[dict], *, using: str | None
     """
     spark = coll.df.sparkSession
     spec = coll.vector(using)
-    rows, meta = [], []
+    reqs, meta = [], []
     for qid, r in enumerate(requests):
         if set(r) - {"target", "context", "limit"}:
             raise ValueError(f"request {qid}: unknown keys {sorted(r)}")
         roles = _pairs_roles(r["context"])
         roles["target"] = [r["target"]]
-        frame = X.examples_frame(coll, roles, using).withColumn("query_id", F.lit(qid).cast("long"))
-        rows.append(frame)
+        reqs.append((qid, roles))
         meta.append((qid, len(r["context"]), int(r.get("limit", 10)), _excluded(r["target"], r["context"])))
-    ex = rows[0]
-    for f in rows[1:]:
-        ex = ex.unionByName(f)
+    ex = X.examples_table(coll, reqs, using)  # one scan resolves every example id
     # bounded by the requests themselves: (#requests x (1 + 2 x #pairs)) vectors
     et = ex.select("query_id", "role", "ord", "vec").toArrow()
     E = _matrix(et.column("vec"))

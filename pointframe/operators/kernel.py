@@ -159,7 +159,7 @@ def knn(points: DataFrame, id_col: str, vec_col: str, queries: DataFrame, *,
         query_mask_col: str | None = None, exclude_col: str | None = None,
         max_broadcast_bytes: int = DEFAULT_MAX_BROADCAST_BYTES,
         query_block_rows: int | None = None, point_block_rows: int | None = None,
-        force: str | None = None) -> DataFrame:
+        force: str | None = None, dim: int | None = None) -> DataFrame:
     """Top-``k`` points for every query row: ``query_id, id, score, rank``.
 
     ``k`` is an int or the name of a per-query column. ``point_mask_cols`` are
@@ -178,13 +178,23 @@ def knn(points: DataFrame, id_col: str, vec_col: str, queries: DataFrame, *,
     p = points.select(F.col(id_col).cast("long").alias("id"), F.col(vec_col).alias("pvec"),
                       *[F.col(c).alias(f"_m{j}") for j, c in enumerate(point_mask_cols or [])])
     path = force
+    fetched = None
     if path is None:
-        # size check of the query side: one aggregation job, no data to the driver
-        stats = q.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("qvec")).alias("d")).first()
-        nbytes = int(stats["n"] or 0) * int(stats["d"] or 0) * 8
-        path = "broadcast" if nbytes <= max_broadcast_bytes else "blocked"
+        if dim:
+            # size check fused with the fetch: at most max_rows + 1 query rows ever reach
+            # the driver; more than max_rows means the blocked plan (with every row)
+            max_rows = max(1, max_broadcast_bytes // (8 * dim))
+            fetched = q.limit(max_rows + 1).toArrow()
+            path = "broadcast" if fetched.num_rows <= max_rows else "blocked"
+            if path == "blocked":
+                fetched = None
+        else:
+            # size check of the query side: one aggregation job, no data to the driver
+            stats = q.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("qvec")).alias("d")).first()
+            nbytes = int(stats["n"] or 0) * int(stats["d"] or 0) * 8
+            path = "broadcast" if nbytes <= max_broadcast_bytes else "blocked"
     if path == "broadcast":
-        cands = _broadcast_candidates(p, q, distance, len(point_mask_cols or []))
+        cands = _broadcast_candidates(p, q, distance, len(point_mask_cols or []), fetched)
     else:
         if query_mask_col:
             raise ValueError("per-query filters need the broadcast path; filter the points instead")
@@ -195,10 +205,11 @@ def knn(points: DataFrame, id_col: str, vec_col: str, queries: DataFrame, *,
 _CAND_SCHEMA = "query_id long, id long, raw double, _k int"
 
 
-def _broadcast_candidates(p: DataFrame, q: DataFrame, distance: str, n_masks: int) -> DataFrame:
+def _broadcast_candidates(p: DataFrame, q: DataFrame, distance: str, n_masks: int,
+                          fetched: pa.Table | None = None) -> DataFrame:
     spark = p.sparkSession
     # bounded by the size check above: the query side fits the broadcast budget
-    qt = q.toArrow()
+    qt = fetched if fetched is not None else q.toArrow()
     Q = _matrix(qt.column("qvec"))
     meta = {
         "qid": qt.column("query_id").to_numpy(zero_copy_only=False).astype(np.int64),

@@ -28,7 +28,8 @@ def matrix_pairs(coll: Collection, sample: int = 10, limit: int = 3, filter: dic
     """``a, b, score``: for each sampled point a, its ``limit`` nearest sampled points b != a."""
     s, dist = _sampled(coll, sample, seed, filter, using)
     q = s.select(F.col("id").alias("query_id"), F.col("vec").alias("vector"), F.col("id").alias("self"))
-    res = kernel.knn(s, "id", "vec", q, k=limit, distance=dist, exclude_col="self")
+    res = kernel.knn(s, "id", "vec", q, k=limit, distance=dist, exclude_col="self",
+                     dim=coll.vector(using).size)
     return res.select(F.col("query_id").alias("a"), F.col("id").alias("b"), "score")
 
 

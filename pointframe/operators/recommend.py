@@ -21,15 +21,8 @@ from pointframe.sources.collection import Collection
 
 
 def _target_frame(ex: DataFrame, group_cols: list[str] | None = None) -> DataFrame:
-    """Per group: ``target`` = 2 * mean(pos) - mean(neg), or mean(pos)."""
-    g = list(group_cols or [])
-    m = X.mean_vectors(ex, g)
-    wide = m.groupBy(*g).agg(
-        F.first(F.when(F.col("role") == "pos", F.col("mean")), ignorenulls=True).alias("p"),
-        F.first(F.when(F.col("role") == "neg", F.col("mean")), ignorenulls=True).alias("n"))
-    target = F.when(F.col("n").isNull(), F.col("p")).otherwise(
-        F.zip_with("p", "n", lambda a, b: F.lit(2.0) * a - b))
-    return wide.filter(F.col("p").isNotNull()).select(*g, target.alias("target"))
+    """Per group: ``target`` = 2 * mean(pos) - mean(neg), or mean(pos) (request-sized examples)."""
+    return X.rocchio_targets(ex, group_cols)
 
 
 def _candidates(coll: Collection, filter, exclude_ids) -> DataFrame:
@@ -114,7 +107,7 @@ def recommend_batch(coll: Collection, requests: list[dict], *, using: str | None
     from pointframe.operators import kernel
     spark = coll.df.sparkSession
     spec = coll.vector(using)
-    frames, excl_rows, limits = [], [], []
+    reqs, excl_rows, limits = [], [], []
     for qid, r in enumerate(requests):
         bad = set(r) - {"positive", "negative", "limit", "strategy"}
         if bad:
@@ -124,20 +117,19 @@ def recommend_batch(coll: Collection, requests: list[dict], *, using: str | None
         roles = {"pos": list(r.get("positive") or []), "neg": list(r.get("negative") or [])}
         if not roles["pos"]:
             raise ValueError(f"request {qid}: needs a positive example")
-        frames.append(X.examples_frame(coll, roles, using).withColumn("query_id", F.lit(qid).cast("long")))
+        reqs.append((qid, roles))
         ids = X.example_ids(roles)
         excl_rows += [(qid, str(i)) for i in ids]
         limits.append((qid, int(r.get("limit", 10)), int(r.get("limit", 10)) + len(set(ids))))
-    ex = frames[0]
-    for f in frames[1:]:
-        ex = ex.unionByName(f)
+    ex = X.examples_table(coll, reqs, using)  # one scan resolves every example id
     targets = _target_frame(ex, ["query_id"])
     lim = spark.createDataFrame(limits, "query_id long, limit int, fetch int")
     queries = targets.join(lim, "query_id")
     cands = kernel.knn(coll.df, coll.id, spec.column, queries, query_vec="target", k="fetch",
-                       distance=spec.distance, **kw)
+                       distance=spec.distance, dim=spec.size, **kw)
     if excl_rows:
-        ex_df = spark.createDataFrame(excl_rows, "query_id long, ex_id string")
+        # example ids come from the requests: a request-sized broadcast
+        ex_df = F.broadcast(spark.createDataFrame(excl_rows, "query_id long, ex_id string"))
         cands = cands.join(ex_df, (cands.query_id == ex_df.query_id) &
                            (cands.id.cast("string") == ex_df.ex_id), "left_anti")
     from pyspark.sql import Window

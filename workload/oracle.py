@@ -420,7 +420,7 @@ def postings_sql(table: str, id_col: str, text: str, tok: str = _TOK) -> str:
 _POST = postings_sql("documents", "doc_id", "text")
 _BQ = f"(SELECT idx, CAST(val AS DOUBLE) AS qval FROM {postings_sql('benchmark WHERE item_id = 0', 'item_id', 'text')})"
 ORACLE["sparse_vectors"] = f"""
-SELECT id, struct_pack(indices := list(idx ORDER BY idx), values := list(val ORDER BY idx)) AS sparse
+SELECT id, list(idx ORDER BY idx) AS indices, list(val ORDER BY idx) AS values
 FROM {_POST} GROUP BY id"""
 ORACLE["sparse_search"] = f"""
 SELECT p.id, round(sum(CAST(p.val AS DOUBLE) * q.qval), 6) AS score FROM {_POST} p JOIN {_BQ} q USING (idx)
@@ -534,8 +534,7 @@ ORACLE["set_payload"] = """
 SELECT vec_id, embedding, CASE WHEN label = 1 THEN 99 ELSE label END AS label,
        CASE WHEN label = 1 THEN 'hot' END AS flag FROM embeddings"""
 ORACLE["set_payload_nested"] = f"""
-SELECT c_custkey, c_nationkey, CASE WHEN c_nationkey = 5 THEN struct_pack(lat := 0.0::DOUBLE, lon := lon)
-                                    ELSE struct_pack(lat := lat, lon := lon) END AS loc FROM {CUST}"""
+SELECT c_custkey, c_nationkey, CASE WHEN c_nationkey = 5 THEN 0.0::DOUBLE ELSE lat END AS lat, lon FROM {CUST}"""
 ORACLE["set_payload_variant"] = """
 SELECT event_id, CASE WHEN event_type = 'error' THEN '{"flag":true,"k":0}' ELSE CAST(json(props) AS VARCHAR) END AS payload_json
 FROM events"""

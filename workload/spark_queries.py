@@ -419,7 +419,8 @@ def bench_query(spark, sf, item=0):
 
 @register("sparse_vectors")
 def q_sparse_vectors(spark, sf):
-    return SP.text_to_sparse(W.load(spark, sf, "documents"), "doc_id", "text")
+    sv = SP.text_to_sparse(W.load(spark, sf, "documents"), "doc_id", "text")
+    return sv.select("id", F.col("sparse.indices").alias("indices"), F.col("sparse.values").alias("values"))
 
 
 @register("sparse_search")
@@ -610,8 +611,9 @@ def q_set_payload(spark, sf):
 @register("set_payload_nested")
 def q_set_payload_nested(spark, sf):
     c = make_collection(W.customers_geo(spark, sf).select("c_custkey", "c_nationkey", "loc"), id="c_custkey")
-    return U.set_payload(c, {"lat": 0.0}, key="loc",
-                         filter={"must": [{"key": "c_nationkey", "match": {"value": 5}}]}).df
+    out = U.set_payload(c, {"lat": 0.0}, key="loc",
+                        filter={"must": [{"key": "c_nationkey", "match": {"value": 5}}]}).df
+    return out.select("c_custkey", "c_nationkey", F.col("loc.lat").alias("lat"), F.col("loc.lon").alias("lon"))
 
 
 @register("set_payload_variant")
