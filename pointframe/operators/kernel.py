@@ -276,9 +276,12 @@ def _blocked_candidates(p: DataFrame, q: DataFrame, distance: str,
     prows = point_block_rows or max(256, (32 << 20) // (8 * dim))
     nqb = max(1, math.ceil(nq / qrows))
     npb = max(1, math.ceil(n_p / prows))
-    pr = (p.select("id", "pvec", F.pmod(F.xxhash64("id"), F.lit(npb)).alias("pb"))
+    # both sides must key the cogroup with identical types (int, int): a long key on one
+    # side and an int key on the other hash to different partitions and never meet
+    pr = (p.select("id", "pvec", F.pmod(F.xxhash64("id"), F.lit(npb)).cast("int").alias("pb"))
            .withColumn("qb", F.explode(F.sequence(F.lit(0), F.lit(nqb - 1)))))
-    qr = (q.select("query_id", "qvec", "_k", "_excl", F.pmod(F.xxhash64("query_id"), F.lit(nqb)).alias("qb"))
+    qr = (q.select("query_id", "qvec", "_k", "_excl",
+                   F.pmod(F.xxhash64("query_id"), F.lit(nqb)).cast("int").alias("qb"))
            .withColumn("pb", F.explode(F.sequence(F.lit(0), F.lit(npb - 1)))))
     higher = D.higher_is_better(distance)
 

@@ -92,3 +92,18 @@ def test_topk_select_keeps_tie_band():
     keep = kernel._select(q, ids, raw, np.array([2]), True)
     kept = set(ids[keep].tolist())
     assert {3, 4, 5, 1} <= kept and 0 not in kept
+
+
+def test_blocked_path_meets_every_block_pair_with_many_partitions(spark, emb):
+    # regression: cogroup keys of different types (int vs bigint) hash to different
+    # partitions; with coalescing off and many partitions no pair may go missing
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "64")
+    try:
+        q = emb.df.select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("vector"))
+        blocked = _rows(knn_join(emb, q, k=4, force="blocked", query_block_rows=50, point_block_rows=50))
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+    assert blocked == _rows(knn_join(emb, q, k=4, force="broadcast"))
+    assert len(blocked) == 4 * emb.df.count()
