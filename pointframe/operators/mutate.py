@@ -269,17 +269,24 @@ def apply_changelog(coll: Collection, log: DataFrame, seq: str = "seq", op: str
     ``log`` has the collection's columns plus ``seq`` and ``op`` in
     {'upsert', 'delete', 'set_payload'}. Per id, the last full-row event (the base
     row, an upsert or a delete) fixes the row; ``set_payload`` events after it
-    overwrite the payload columns they set (non-NULL values). Everything is
-    grouped aggregation on id (partial aggregation before the shuffle), so an id
-    with a huge number of events never needs a sort of its group.
+    overwrite the payload columns they set (non-NULL values).
+
+    Plan: only ids that occur in the log are aggregated - the base rows of those
+    ids (semi join) and their events, grouped by id with partial aggregation, so
+    an id with a huge number of events is combined map-side. Every other base row
+    passes through an anti join untouched; a small log therefore never shuffles
+    the whole collection (AQE broadcasts the log's ids when they are small).
     """
     cols = coll.df.columns
     payload = coll.payload_columns
-    base = coll.df.select(*cols, F.lit(-1).cast("long").alias(seq), F.lit("base").alias(op))
     checked_op = F.when(F.col(op).isin("upsert", "delete", "set_payload"), F.col(op)).otherwise(
         F.raise_error(F.concat(F.lit("unknown changelog op: "), F.coalesce(F.col(op), F.lit("NULL")))))
     ev = log.select(*[F.col(c) if c in log.columns else F.lit(None).cast(coll.df.schema[c].dataType).alias(c)
                       for c in cols], F.col(seq).cast("long").alias(seq), checked_op.cast("string").alias(op))
+    ids = log.select(F.col(coll.id)).distinct()
+    untouched = coll.df.join(ids, coll.id, "left_anti")
+    touched = coll.df.join(ids, coll.id, "left_semi")
+    base = touched.select(*cols, F.lit(-1).cast("long").alias(seq), F.lit("base").alias(op))
     allrows = base.unionByName(ev)
     full = F.col(op).isin("base", "upsert", "delete")
     others = [c for c in cols if c != coll.id]
@@ -299,5 +306,5 @@ def apply_changelog(coll: Collection, log: DataFrame, seq: str = "seq", op: str
                         .otherwise(F.col("_row." + c)).alias(c))
         else:
             sel.append(F.col("_row." + c).alias(c))
-    out = g.select(*sel)
-    return coll.with_df(out.select(*cols))
+    merged = g.select(*sel)
+    return coll.with_df(untouched.select(*cols).unionByName(merged.select(*cols)))
