@@ -5,8 +5,9 @@ Two physical shapes, chosen by a size check on the query side:
 * **broadcast** (query matrix <= ``max_broadcast_bytes``): the query matrix is
   shipped once to every executor; each point partition is scanned through
   ``mapInArrow`` (zero-copy Arrow -> NumPy), scored with one matrix multiply per
-  Arrow batch, and keeps a local top-k per query. Points are never shuffled;
-  only ``partitions x queries x k`` candidate rows move.
+  Arrow batch, and keeps a local top-k per query. Points are not shuffled
+  (a round-robin ``spread`` only when the scan yields fewer partitions than
+  cores); only ``partitions x queries x k`` candidate rows move.
 * **blocked** (larger query sets): points and queries are hashed into blocks of
   bounded size and ``cogroup`` pairs every point block with every query block.
   Each task holds one point block and one query block, so task memory is
@@ -28,6 +29,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pointframe.functions import distance as D
+from pointframe.plans.partitioning import spread
 
 TIE_EPS = 2e-6
 DEFAULT_MAX_BROADCAST_BYTES = 256 << 20
@@ -263,7 +265,8 @@ def _broadcast_candidates(p: DataFrame, q: DataFrame, distance: str, n_masks: in
                 [pa.array(m["qid"][qi]), pa.array(ids), pa.array(raw), pa.array(m["k"][qi].astype(np.int32))],
                 names=["query_id", "id", "raw", "_k"])
 
-    return p.mapInArrow(run, _CAND_SCHEMA)
+    # CPU-heavy scan: give it every core when the points arrive in fewer partitions
+    return spread(p).mapInArrow(run, _CAND_SCHEMA)
 
 
 def _blocked_candidates(p: DataFrame, q: DataFrame, distance: str,

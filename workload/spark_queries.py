@@ -430,7 +430,11 @@ def q_sparse_search(spark, sf):
 
 @register("sparse_idf")
 def q_sparse_idf(spark, sf):
-    return SP.sparse_search(doc_postings(spark, sf), bench_query(spark, sf), limit=10, modifier="idf")
+    # N = points holding any entry, counted from the collection (no postings aggregation)
+    from pointframe.functions import text as TX
+    docs = W.load(spark, sf, "documents")
+    n = docs.filter(F.size(TX.tokens(F.col("text"), "word")) > 0).agg(F.count(F.lit(1)).alias("n")).select("n").scalar()
+    return SP.sparse_search(doc_postings(spark, sf), bench_query(spark, sf), limit=10, modifier="idf", n_points=n)
 
 
 @register("sparse_search_batch")
