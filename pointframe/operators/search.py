@@ -200,11 +200,10 @@ def scroll(coll: Collection, filter: dict | None = None, limit: int = 10, offset
     if order_by.get("start_from") is not None:
         s = F.lit(order_by["start_from"])
         df = df.filter(k >= s if direction == "asc" else k <= s)
-    out = project(coll, df, with_payload, with_vector)
-    if key not in out.columns:
-        out = out.withColumn(key, F.col(key)) if key in df.columns else out
+    # the key is sorted on even when the payload selector leaves it out of the result
     sort = F.col(key).asc() if direction == "asc" else F.col(key).desc()
-    return out.orderBy(sort, F.col("id").asc()).limit(limit)
+    ordered = df.orderBy(sort, F.col(coll.id).asc()).limit(limit)
+    return project(coll, ordered, with_payload, with_vector)
 
 
 def scroll_next_offset(coll: Collection, filter: dict | None = None, limit: int = 10,

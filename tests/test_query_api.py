@@ -99,3 +99,13 @@ def test_search_edge_cases(spark, emb):
     got = S.search(eu, QV, limit=1000, score_threshold=7.9).collect()
     assert all(r["score"] <= 7.9 for r in got)  # a maximum for distances
     assert [r["score"] for r in got] == sorted(r["score"] for r in got)
+
+
+def test_scroll_order_by_key_outside_payload(spark):
+    o = make_collection(spark.read.parquet(f"{SF_SMALL}/orders.parquet"), id="o_orderkey")
+    got = S.scroll(o, limit=5, order_by={"key": "o_totalprice", "direction": "desc"}, with_payload=["o_orderstatus"])
+    assert got.columns == ["id", "o_orderstatus"]
+    want = [r["o_orderkey"] for r in o.df.orderBy(F.col("o_totalprice").desc(), "o_orderkey").limit(5).collect()]
+    assert [r["id"] for r in got.collect()] == want
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "TakeOrderedAndProject" in plan
