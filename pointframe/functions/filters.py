@@ -143,7 +143,10 @@ def _filter(spec: dict, scope: Scope) -> Column:
         raise FilterError(f"unknown filter keys {sorted(bad)}")
     parts = []
     if spec.get("must") is not None:
-        parts.append(_and([_condition(c, scope) for c in _as_list(spec["must"])]))
+        # cheap conditions first: AND short-circuits left to right, so a text or
+        # geo test only runs on rows that passed the plain comparisons
+        must = sorted(_as_list(spec["must"]), key=lambda c: _cost(c, scope))
+        parts.append(_and([_condition(c, scope) for c in must]))
     if spec.get("must_not") is not None:
         parts.append(~_or([_condition(c, scope) for c in _as_list(spec["must_not"])]))
     if spec.get("should") is not None:
@@ -163,6 +166,34 @@ def _filter(spec: dict, scope: Scope) -> Column:
     return _and(parts)
 
 
+def _cost(c, scope: Scope) -> int:
+    """Rough evaluation cost of a condition, used only to order AND operands."""
+    if not isinstance(c, dict):
+        return 0
+    if set(c) & FILTER_KEYS:
+        subs = [x for k in FILTER_KEYS for x in _as_list(c.get(k) if k != "min_should"
+                                                         else (c.get(k) or {}).get("conditions"))]
+        return max([_cost(x, scope) for x in subs] or [0])
+    if "nested" in c:
+        return 6
+    if "key" not in c:
+        return 0  # has_id, is_null, is_empty
+    try:
+        fld = scope.resolve(c["key"])
+    except FilterError:
+        return 0  # reported when the condition itself is compiled
+    kind = next((k for k in c if k != "key"), "")
+    if kind == "match" and "text" in (c.get("match") or {}):
+        return 8
+    if fld.variant_path is not None:
+        return 5
+    if kind in ("geo_radius", "geo_polygon"):
+        return 4
+    if isinstance(fld.dtype, T.ArrayType) or kind == "geo_bounding_box":
+        return 2
+    return 0
+
+
 def _condition(c: dict, scope: Scope) -> Column:
     if not isinstance(c, dict):
         raise FilterError(f"condition must be an object, got {c!r}")
@@ -338,7 +369,9 @@ def _text_match(fld: Field, query: str, scope: Scope) -> Column:
         toks = F.flatten(F.transform(fld.col, lambda s: text_fn.tokens(s, scope.text_tokenizer)))
     else:
         toks = text_fn.tokens(fld.col, scope.text_tokenizer)
-    return F.forall(q, lambda t: F.array_contains(toks, t)) & fld.col.isNotNull()
+    # every query token present <=> no query token left after removing the text's tokens
+    # (one tokenization per row; forall(q, array_contains(tokens(text), t)) would redo it per token)
+    return fld.col.isNotNull() & (F.size(F.array_except(q, toks)) == 0)
 
 
 def _nested(key: str, spec: dict, scope: Scope) -> Column:
@@ -400,7 +433,7 @@ def _variant_scalar(node: Column, kind: str, arg) -> Column:
             s = F.try_variant_get(node, "$", "string")
             q = text_fn.tokens(F.lit(arg["text"]))
             toks = text_fn.tokens(s)
-            return is_str & F.forall(q, lambda t: F.array_contains(toks, t))
+            return is_str & (F.size(F.array_except(q, toks)) == 0)
     if kind == "range":
         return is_num & _range(F.try_variant_get(node, "$", "double"), arg)
     if kind == "datetime_range":

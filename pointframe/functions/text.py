@@ -31,7 +31,8 @@ def tokens(text, tokenizer: str = "word", lowercase: bool = True,
     t = F.col(text) if isinstance(text, str) else text
     if lowercase:
         t = F.lower(t)
-    arr = F.filter(F.split(t, SPLIT_PATTERNS[tokenizer]), lambda x: F.length(x) > 0)
+    # array_remove (generated code) rather than a lambda filter: same result, no per-element interpretation
+    arr = F.array_remove(F.split(t, SPLIT_PATTERNS[tokenizer]), "")
     if tokenizer == "prefix":
         lo = max(1, min_len or 1)
         hi = max_len or DEFAULT_PREFIX_MAX
