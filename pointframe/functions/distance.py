@@ -98,9 +98,9 @@ def score(vec, query, distance: str) -> Column:
 
 
 def order_columns(distance: str, score_col: str = "score", id_col: str = "id") -> list[Column]:
-    """Total order used by every ranking: score (by direction), then id ascending."""
+    """Total order used by every ranking: score (by direction, NULL last), then id ascending."""
     s = F.col(score_col)
-    return [s.desc() if higher_is_better(distance) else s.asc(), F.col(id_col).asc()]
+    return [s.desc_nulls_last() if higher_is_better(distance) else s.asc_nulls_last(), F.col(id_col).asc()]
 
 
 def passes_threshold(score_col: Column, threshold: float | None, distance: str) -> Column | None:

@@ -83,7 +83,7 @@ def discover(coll: Collection, target, context: list[dict], *, using: str | None
     df = df.withColumn("_tn", D.norm(F.col("_t")))
     s = discover_score(F.col(spec.column), F.col("_t"), F.col("_pairs"), spec.distance, F.col("_vn"), F.col("_tn"))
     out = project(coll, df, with_payload, with_vector, extra=[F.round(s, D.SCORE_DIGITS).alias("score")])
-    return top(out.filter(F.col("score").isNotNull()), D.COSINE, limit, offset)
+    return top(out, D.COSINE, limit, offset)
 
 
 def context_search(coll: Collection, context: list[dict], *, using: str | None = None,
@@ -100,7 +100,7 @@ def context_search(coll: Collection, context: list[dict], *, using: str | None =
             .withColumn("_vn", D.norm(F.col(spec.column))))
     s = context_score(F.col(spec.column), F.col("_pairs"), spec.distance, F.col("_vn"))
     out = project(coll, df, with_payload, with_vector, extra=[F.round(s, D.SCORE_DIGITS).alias("score")])
-    return top(out.filter(F.col("score").isNotNull()), D.COSINE, limit, offset)
+    return top(out, D.COSINE, limit, offset)
 
 
 def discover_batch(coll: Collection, requests: list[dict], *, using: str | None = None) -> DataFrame:

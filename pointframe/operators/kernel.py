@@ -205,6 +205,19 @@ def knn(points: DataFrame, id_col: str, vec_col: str, queries: DataFrame, *,
 
 
 _CAND_SCHEMA = "query_id long, id long, raw double, _k int"
+# upper bound on candidate rows the broadcast kernel may emit before the final ranking
+CANDIDATE_BUDGET = 200_000_000
+
+
+def _scan_partitions(p: DataFrame, per_task: int) -> DataFrame:
+    """Coalesce the point scan when partitions x per-task candidates exceed the budget
+    (never below the cluster's parallelism)."""
+    try:
+        n = p.rdd.getNumPartitions()
+    except Exception:
+        return p
+    cap = max(p.sparkSession.sparkContext.defaultParallelism, CANDIDATE_BUDGET // max(1, per_task))
+    return p.coalesce(cap) if n > cap else p
 
 
 def _broadcast_candidates(p: DataFrame, q: DataFrame, distance: str, n_masks: int,
@@ -265,8 +278,11 @@ def _broadcast_candidates(p: DataFrame, q: DataFrame, distance: str, n_masks: in
                 [pa.array(m["qid"][qi]), pa.array(ids), pa.array(raw), pa.array(m["k"][qi].astype(np.int32))],
                 names=["query_id", "id", "raw", "_k"])
 
-    # CPU-heavy scan: give it every core when the points arrive in fewer partitions
-    return spread(p).mapInArrow(run, _CAND_SCHEMA)
+    # CPU-heavy scan: give it every core when the points arrive in fewer partitions; and
+    # when there are very many partitions, merge them (no shuffle) so that the candidate
+    # volume - partitions x queries x k - stays within a budget whatever the data size
+    return _scan_partitions(spread(p), int(Q.shape[0]) * int(meta["k"].max() if len(meta["k"]) else 1)) \
+        .mapInArrow(run, _CAND_SCHEMA)
 
 
 def _blocked_candidates(p: DataFrame, q: DataFrame, distance: str,

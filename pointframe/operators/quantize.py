@@ -167,12 +167,12 @@ def quantized_search(coll: Collection, vector, *, method: str, limit: int = 10,
         raise ValueError("method must be scalar, binary or pq")
     from pointframe.operators.search import payload_columns
     keep = [c for c in payload_columns(coll, with_payload) if c not in CODE_COLUMNS]
-    first = (project(coll, df, keep, extra=[F.round(approx, 6).alias("score")])
-             .filter(F.col("score").isNotNull()))
-    order = [F.col("score").desc() if higher else F.col("score").asc(), F.col("id").asc()]
-    cand = first.orderBy(*order).limit(fetch)
+    first = project(coll, df, keep, extra=[F.round(approx, 6).alias("score")])
+    order = [F.col("score").desc_nulls_last() if higher else F.col("score").asc_nulls_last(), F.col("id").asc()]
+    # NULL codes sort last; filter after the cut so the code score is computed once per row
+    cand = first.orderBy(*order).limit(fetch).filter(F.col("score").isNotNull())
     if not rescore:
-        return cand.limit(limit)
+        return cand.orderBy(*order).limit(limit)
     ids = cand.select(F.col("id").alias(coll.id))
     exact = coll.df.join(F.broadcast(ids), coll.id, "left_semi")
     return ranked(coll, exact, q, using=using, limit=limit, with_payload=keep)

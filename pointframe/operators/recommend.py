@@ -36,7 +36,11 @@ def recommend_scored(coll: Collection, positive=(), negative=(), strategy: str =
                      using: str | None = None, filter: dict | None = None, with_payload=True,
                      with_vector=False, score_threshold: float | None = None,
                      lookup_from: Collection | None = None) -> tuple[DataFrame, str]:
-    """All candidate points with their recommend ``score`` (no ranking) and the score direction."""
+    """All candidate points with their recommend ``score`` (no ranking) and the score direction.
+
+    NULL scores and ``score_threshold`` are applied by the consumer after its cut
+    (``top`` or ``group_hits``), see ``search.scored``.
+    """
     roles = {"pos": list(positive or []), "neg": list(negative or [])}
     if strategy not in ("average_vector", "best_score"):
         raise ValueError(f"unknown strategy {strategy!r}")
@@ -50,8 +54,8 @@ def recommend_scored(coll: Collection, positive=(), negative=(), strategy: str =
     df = _candidates(coll, filter, excl)
     if strategy == "average_vector":
         q = X.scalar_array(_target_frame(ex), "target")
-        return scored(coll, df, q, using=using, score_threshold=score_threshold,
-                      with_payload=with_payload, with_vector=with_vector), spec.distance
+        return scored(coll, df, q, using=using, with_payload=with_payload,
+                      with_vector=with_vector), spec.distance
     # example norms are computed once by Spark inside the (request-sized) example array,
     # each point's norm once per row: one array pass per (point, example) pair
     arr = X.scalar_array(ex.agg(F.collect_list(F.struct("role", "vec", D.norm(F.col("vec")).alias("norm")))
@@ -59,10 +63,7 @@ def recommend_scored(coll: Collection, positive=(), negative=(), strategy: str =
     df = df.withColumn("_ex", arr).withColumn("_vn", D.norm(F.col(spec.column)))
     s = best_score_expr(F.col(spec.column), F.col("_ex"), spec.distance, F.col("_vn"))
     out = project(coll, df, with_payload, with_vector, extra=[F.round(s, D.SCORE_DIGITS).alias("score")])
-    keep = F.col("score").isNotNull()
-    if score_threshold is not None:
-        keep = keep & (F.col("score") >= score_threshold)
-    return out.filter(keep), D.COSINE  # best_score: higher is better for every distance
+    return out, D.COSINE  # best_score: higher is better for every distance
 
 
 def similarity(vec: Column, other: Column, distance: str, vec_norm: Column | None = None,
@@ -93,7 +94,7 @@ def recommend(coll: Collection, positive=(), negative=(), strategy: str = "avera
               limit: int = 10, offset: int = 0, **kw) -> DataFrame:
     """Top ``limit`` recommended points: ``id, <payload>, score``."""
     s, dist = recommend_scored(coll, positive, negative, strategy, **kw)
-    return top(s, dist, limit, offset)
+    return top(s, dist, limit, offset, kw.get("score_threshold"))
 
 
 def recommend_batch(coll: Collection, requests: list[dict], *, using: str | None = None,

@@ -84,7 +84,15 @@ def point_vector(coll: Collection, point_id, using: str | None = None,
 def scored(coll: Collection, df: DataFrame, query, *, using: str | None = None,
            score_threshold: float | None = None, with_payload=True, with_vector=False,
            distance: str | None = None) -> DataFrame:
-    """``df`` (already filtered) with a rounded ``score`` against ``query``; NULL scores dropped."""
+    """``df`` (already filtered) with a rounded ``score`` against ``query``.
+
+    Rows whose score is NULL (zero vector under cosine) or fails ``score_threshold``
+    are NOT removed here: a filter on ``score`` would be pushed below the
+    projection and evaluate the whole score expression a second time per row.
+    Consumers cut first (top-k, per-group window) and then apply
+    ``score_filter`` - exact, because NULLs sort last and the threshold is
+    monotone in the ranking order.
+    """
     spec = coll.vector(using)
     dist = distance or spec.distance
     if not isinstance(query, (Column, str)):
@@ -94,19 +102,24 @@ def scored(coll: Collection, df: DataFrame, query, *, using: str | None = None,
         # project the constant first: subqueries may not sit inside lambdas
         df = df.withColumn("_q", query)
         q = F.col("_q")
-    out = project(coll, df, with_payload, with_vector,
-                  extra=[D.score(F.col(spec.column), q, dist).alias("score")])
+    return project(coll, df, with_payload, with_vector,
+                   extra=[D.score(F.col(spec.column), q, dist).alias("score")])
+
+
+def score_filter(distance: str, score_threshold: float | None = None) -> Column:
+    """Keep rows with a score that passes the threshold (applied after the cut)."""
     keep = F.col("score").isNotNull()
-    thr = D.passes_threshold(F.col("score"), score_threshold, dist)
-    if thr is not None:
-        keep = keep & thr
-    return out.filter(keep)
+    thr = D.passes_threshold(F.col("score"), score_threshold, distance)
+    return keep & thr if thr is not None else keep
 
 
-def top(df: DataFrame, distance: str, limit: int, offset: int = 0) -> DataFrame:
-    """Top ``limit`` rows after ``offset`` by (score, id): one TakeOrderedAndProject."""
+def top(df: DataFrame, distance: str, limit: int, offset: int = 0,
+        score_threshold: float | None = None) -> DataFrame:
+    """Top ``limit`` rows after ``offset`` by (score, id): one TakeOrderedAndProject,
+    then the NULL/threshold filter on those rows only."""
     out = df.orderBy(*D.order_columns(distance)).limit(offset + limit)
-    return out.offset(offset) if offset else out
+    out = out.offset(offset) if offset else out
+    return out.filter(score_filter(distance, score_threshold))
 
 
 def ranked(coll: Collection, df: DataFrame, query, *, using: str | None = None, limit: int = 10,
@@ -114,9 +127,8 @@ def ranked(coll: Collection, df: DataFrame, query, *, using: str | None = None,
            with_vector=False, distance: str | None = None) -> DataFrame:
     """Score ``df`` (already filtered) against ``query`` and keep the top ``limit`` after ``offset``."""
     dist = distance or coll.vector(using).distance
-    s = scored(coll, df, query, using=using, score_threshold=score_threshold,
-               with_payload=with_payload, with_vector=with_vector, distance=dist)
-    return top(s, dist, limit, offset)
+    s = scored(coll, df, query, using=using, with_payload=with_payload, with_vector=with_vector, distance=dist)
+    return top(s, dist, limit, offset, score_threshold)
 
 
 def search(coll: Collection, vector, *, using: str | None = None, limit: int = 10, offset: int = 0,

@@ -33,6 +33,15 @@ def test_group_hits_use_window_group_limit(spark):
     df.collect()
     final = df._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in plan or "WindowGroupLimit" in final
+    # one scan and one shuffle: the vectors are scored once
+    assert final.count("FileScan parquet") == 1
+    assert final.count("Exchange hashpartitioning") == 1
+
+
+def test_search_scores_each_row_once(spark):
+    plan = _plan(QUERIES["search_threshold"](spark, SF_SMALL))
+    scan_side = plan.split("TakeOrderedAndProject")[1]
+    assert "Filter (CASE WHEN" not in scan_side  # no score expression in a pushed-down filter
 
 
 def test_kernel_scans_points_without_shuffle(spark):
