@@ -314,13 +314,25 @@ def _range(v: Column, arg: dict) -> Column:
 
 
 def _ts_literal(s: str, dtype: T.DataType) -> Column:
-    # parsed once on the driver side of the plan (constant folding); session time zone is UTC
-    lit = F.lit(s).cast("timestamp")
-    if isinstance(dtype, T.TimestampNTZType):
-        return lit.cast("timestamp_ntz")
+    """A typed literal independent of the session time zone.
+
+    An ISO string with a zone (``Z``, ``+02:00``) is converted to UTC; a string
+    without one is read as UTC [our decision]. TIMESTAMP_NTZ columns compare with
+    the UTC wall clock, TIMESTAMP columns with the UTC instant.
+    """
+    import datetime as _dt
+    try:
+        t = _dt.datetime.fromisoformat(str(s).strip())
+    except ValueError as e:
+        raise FilterError(f"bad datetime {s!r}") from e
+    if t.tzinfo is not None:
+        t = t.astimezone(_dt.timezone.utc).replace(tzinfo=None)
+    iso = t.isoformat(sep=" ")
     if isinstance(dtype, T.DateType):
-        return lit.cast("date")
-    return lit
+        return F.expr(f"DATE '{t.date().isoformat()}'")
+    if isinstance(dtype, T.TimestampNTZType):
+        return F.expr(f"TIMESTAMP_NTZ '{iso}'")
+    return F.expr(f"TIMESTAMP '{iso}+00:00'")
 
 
 def _datetime_range(v: Column, dtype: T.DataType, arg: dict) -> Column:

@@ -140,16 +140,20 @@ def response_stats_stream(log: DataFrame, ts: str, endpoint: str, duration: str,
     """Streaming DataFrame of per-window ``count, avg, min, max``.
 
     Event time must be a TIMESTAMP for watermarks; a TIMESTAMP_NTZ column is read
-    as UTC and the window bounds are returned as TIMESTAMP_NTZ again.
+    as UTC (independent of the session time zone) and the window bounds are
+    returned as TIMESTAMP_NTZ again.
     """
     from pointframe.operators.stats import response_stats_windowed
     ntz = dict(log.dtypes).get(ts) == "timestamp_ntz"
-    src = log.withColumn(ts, F.col(ts).cast("timestamp")) if ntz else log
+    tz = log.sparkSession.conf.get("spark.sql.session.timeZone")
+    # NTZ wall clock -> the UTC instant with that wall clock, whatever the session zone,
+    # so windows align exactly as in the batch twin; converted back at the end
+    src = log.withColumn(ts, F.from_utc_timestamp(F.col(ts).cast("timestamp"), tz)) if ntz else log
     src = src.withWatermark(ts, watermark)
     out = response_stats_windowed(src, ts, endpoint, duration, window, slide, session_gap, key)
     if ntz:
-        out = out.withColumn("window_start", F.col("window_start").cast("timestamp_ntz")) \
-                 .withColumn("window_end", F.col("window_end").cast("timestamp_ntz"))
+        out = out.withColumn("window_start", F.to_utc_timestamp("window_start", tz).cast("timestamp_ntz")) \
+                 .withColumn("window_end", F.to_utc_timestamp("window_end", tz).cast("timestamp_ntz"))
     return out
 
 

@@ -109,3 +109,20 @@ def test_scroll_order_by_key_outside_payload(spark):
     assert [r["id"] for r in got.collect()] == want
     plan = got._jdf.queryExecution().executedPlan().toString()
     assert "TakeOrderedAndProject" in plan
+
+
+def test_results_do_not_depend_on_session_time_zone(spark):
+    import __spark_entry__ as entry
+    from tests.conftest import SF_CHECK
+    qs = entry.queries()
+    names = ["filter_datetime", "response_stats_windowed", "stream_response_stats"]
+
+    def run():
+        return {n: sorted(tuple(r) for r in qs[n](spark, SF_CHECK).collect()) for n in names}
+    utc = run()
+    spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+    try:
+        la = run()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert la == utc
