@@ -23,6 +23,7 @@ from pointframe.operators import examples as X
 from pointframe.operators.kernel import TopK, _matrix, score_matrix
 from pointframe.operators.recommend import similarity
 from pointframe.operators.search import filtered, point_vector, project, top
+from pointframe.session import ship_package
 from pointframe.sources.collection import Collection
 
 
@@ -113,6 +114,7 @@ def discover_batch(coll: Collection, requests: list[dict], *, using: str | None
     per request cuts to ``limit``.
     """
     spark = coll.df.sparkSession
+    ship_package(spark)
     spec = coll.vector(using)
     reqs, meta = [], []
     for qid, r in enumerate(requests):

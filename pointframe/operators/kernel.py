@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 
 from pointframe.functions import distance as D
 from pointframe.plans.partitioning import spread
+from pointframe.session import ship_package
 
 TIE_EPS = 2e-6
 DEFAULT_MAX_BROADCAST_BYTES = 256 << 20
@@ -223,6 +224,7 @@ def _scan_partitions(p: DataFrame, per_task: int) -> DataFrame:
 def _broadcast_candidates(p: DataFrame, q: DataFrame, distance: str, n_masks: int,
                           fetched: pa.Table | None = None) -> DataFrame:
     spark = p.sparkSession
+    ship_package(spark)
     # bounded by the size check above: the query side fits the broadcast budget
     qt = fetched if fetched is not None else q.toArrow()
     Q = _matrix(qt.column("qvec"))
@@ -287,6 +289,7 @@ def _broadcast_candidates(p: DataFrame, q: DataFrame, distance: str, n_masks: in
 
 def _blocked_candidates(p: DataFrame, q: DataFrame, distance: str,
                         query_block_rows: int | None, point_block_rows: int | None) -> DataFrame:
+    ship_package(p.sparkSession)
     counts = q.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("qvec")).alias("d")).first()
     nq, dim = int(counts["n"] or 0), int(counts["d"] or 1)
     n_p = p.count()

@@ -59,3 +59,31 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str) -> str:
     except RuntimeError:
         spark.sparkContext.setCheckpointDir(fallback)
         return spark.sparkContext.getCheckpointDir() or fallback
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``pointframe`` importable in the Python workers (once per SparkContext).
+
+    Arrow/pandas kernels reference library functions by module name, so executors
+    must be able to import the package even when the driver found it through a
+    path the workers do not share. The package is zipped once and registered with
+    ``SparkContext.addPyFile``, which distributes it to every executor.
+    """
+    sc = spark.sparkContext
+    if getattr(sc, "_pointframe_shipped", False):
+        return
+    import tempfile
+    import zipfile
+    pkg_dir = os.path.dirname(os.path.abspath(__file__))
+    root = os.path.dirname(pkg_dir)
+    out = os.path.join(tempfile.mkdtemp(prefix="pointframe-pkg-"), "pointframe.zip")
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
+        for d, _, files in os.walk(pkg_dir):
+            if "__pycache__" in d:
+                continue
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(d, f)
+                    z.write(full, os.path.relpath(full, root))
+    sc.addPyFile(out)
+    sc._pointframe_shipped = True

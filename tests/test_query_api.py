@@ -126,3 +126,19 @@ def test_results_do_not_depend_on_session_time_zone(spark):
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
     assert la == utc
+
+
+def test_workers_import_the_package_from_any_directory(spark, tmpdir_path):
+    # the kernels reference library functions by module: the package is shipped to
+    # the Python workers, so a driver started elsewhere still works
+    import subprocess
+    import sys
+    code = ("import sys; sys.path.insert(0, %r)\n"
+            "from pyspark.sql import SparkSession\n"
+            "s = SparkSession.builder.master('local[2]').config('spark.ui.enabled','false').getOrCreate()\n"
+            "import __spark_entry__ as e\n"
+            "print(e.queries()['search_batch'](s, %r).count())\n") % (
+        __import__("os").path.dirname(__import__("os").path.dirname(__import__("os").path.abspath(__file__))),
+        "/root/testdata/sf0.001")
+    out = subprocess.run([sys.executable, "-c", code], cwd=tmpdir_path, capture_output=True, text=True, timeout=600)
+    assert out.stdout.strip().splitlines()[-1] == "5000", out.stderr[-2000:]
