@@ -54,14 +54,15 @@ def group_hits(scored_df: DataFrame, group_by: str, distance: str, group_size: i
                       F.col("h.rank").alias("rank"), *[F.col("h." + c).alias(c) for c in rest])
 
 
-def with_lookup(groups: DataFrame, lookup: Collection, with_payload=True, prefix: str = "lookup_") -> DataFrame:
+def with_lookup(groups: DataFrame, lookup: Collection, with_payload=True, prefix: str = "lookup_",
+                with_vectors=False) -> DataFrame:
     """Attach the lookup collection's record for each group id (Q17), left join.
 
     Only the ids of the selected groups (``limit`` of them) are broadcast; the
     lookup table is scanned once with a semi join on them.
     """
-    from pointframe.operators.search import payload_columns
-    cols = payload_columns(lookup, with_payload)
+    from pointframe.operators.search import payload_columns, vector_columns
+    cols = payload_columns(lookup, with_payload) + vector_columns(lookup, with_vectors)
     gids = groups.select(F.col("group_id").alias("_gid")).distinct()
     lk = (lookup.df.join(F.broadcast(gids), F.col(lookup.id) == F.col("_gid"), "left_semi")
                    .select(F.col(lookup.id).alias("_lk_id"), *[F.col(c).alias(prefix + c) for c in cols]))
@@ -71,7 +72,7 @@ def with_lookup(groups: DataFrame, lookup: Collection, with_payload=True, prefix
 def query_groups(coll: Collection, vector, *, group_by: str, group_size: int = 3, limit: int = 10,
                  using: str | None = None, filter: dict | None = None, with_payload=True,
                  score_threshold: float | None = None, lookup: Collection | None = None,
-                 lookup_payload=True) -> DataFrame:
+                 lookup_payload=True, lookup_vectors=False) -> DataFrame:
     """Grouped nearest search (Q16), optionally with a lookup record per group (Q17)."""
     spec = coll.vector(using)
     payload = with_payload
@@ -79,4 +80,4 @@ def query_groups(coll: Collection, vector, *, group_by: str, group_size: int = 3
         payload = list(payload or []) + [group_by]
     s = scored(coll, filtered(coll, filter), vector, using=using, with_payload=payload)
     out = group_hits(s, group_by, spec.distance, group_size, limit, score_threshold)
-    return with_lookup(out, lookup, lookup_payload) if lookup is not None else out
+    return with_lookup(out, lookup, lookup_payload, with_vectors=lookup_vectors) if lookup is not None else out
