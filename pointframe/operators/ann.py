@@ -31,19 +31,35 @@ from pointframe.sources.collection import Collection
 # ---------------------------------------------------------------- IVF
 
 
+def training_sample(df: DataFrame, train_rows: int | None, train_fraction: float | None, seed: int) -> DataFrame:
+    """Seeded sample for fitting a quantizer: ``train_fraction``, or about ``train_rows``
+    rows (one count job); everything when the table is smaller. Only the fit uses
+    it - every point is still assigned a code."""
+    if train_fraction:
+        return df.sample(fraction=min(1.0, train_fraction), seed=seed)
+    if train_rows:
+        n = df.count()
+        if n > train_rows:
+            return df.sample(fraction=train_rows / n, seed=seed)
+    return df
+
+
 def build_ivf(coll: Collection, n_cells: int = 16, *, using: str | None = None, seed: int = 0,
-              max_iter: int = 20, train_fraction: float | None = None) -> tuple[DataFrame, DataFrame]:
+              max_iter: int = 20, train_fraction: float | None = None,
+              train_rows: int | None = 1_000_000) -> tuple[DataFrame, DataFrame]:
     """Train cells and assign every point: returns ``(centroids, index_df)``.
 
     ``centroids``: ``cell int, centroid array<double>`` (n_cells rows).
-    ``index_df``: the collection's rows plus ``cell``. ``train_fraction`` trains
-    k-means on a seeded sample (assignment still covers every point).
+    ``index_df``: the collection's rows plus ``cell``. k-means is fitted on a
+    seeded sample of about ``train_rows`` points (or ``train_fraction``), so the
+    build costs a few passes over a bounded sample plus one assignment pass over
+    the whole table, not ``max_iter`` passes over all of it.
     """
     spec = coll.vector(using)
     measure = "cosine" if spec.distance in (D.COSINE, D.DOT) else "euclidean"
     feats = coll.df.filter(F.col(spec.column).isNotNull()) \
                    .withColumn("_f", array_to_vector(F.col(spec.column).cast("array<double>")))
-    train = feats.sample(fraction=train_fraction, seed=seed) if train_fraction else feats
+    train = training_sample(feats, train_rows, train_fraction, seed)
     model = KMeans(k=n_cells, seed=seed, maxIter=max_iter, featuresCol="_f", predictionCol="cell",
                    distanceMeasure=measure, initMode="k-means||").fit(train)
     # n_cells centers: a bounded constant

@@ -100,10 +100,12 @@ def hamming(code: Column, words: list[int]) -> Column:
 
 
 def build_pq(coll: Collection, m: int = 8, k: int = 16, *, using: str | None = None, seed: int = 0,
-             max_iter: int = 20) -> tuple[Collection, DataFrame]:
+             max_iter: int = 20, train_rows: int | None = 1_000_000) -> tuple[Collection, DataFrame]:
     """Train ``m`` sub-space codebooks of ``k`` centroids; add ``pqcode array<int>``.
 
     Returns the coded collection and the codebook table ``sub, code, centroid``.
+    Codebooks are fitted on a seeded sample of about ``train_rows`` points; every
+    point is coded.
     """
     spec = coll.vector(using)
     d = spec.size
@@ -111,7 +113,8 @@ def build_pq(coll: Collection, m: int = 8, k: int = 16, *, using: str | None = N
         raise ValueError(f"dimension {d} is not divisible by m={m}")
     w = d // m
     spark = coll.df.sparkSession
-    df = coll.df.filter(F.col(spec.column).isNotNull())
+    from pointframe.operators.ann import training_sample
+    df = training_sample(coll.df.filter(F.col(spec.column).isNotNull()), train_rows, None, seed)
     books, code_cols = [], []
     for s in range(m):
         sub = F.slice(spec.column, s * w + 1, w).cast("array<double>")
