@@ -107,3 +107,20 @@ def test_blocked_path_meets_every_block_pair_with_many_partitions(spark, emb):
         spark.conf.set("spark.sql.shuffle.partitions", "8")
     assert blocked == _rows(knn_join(emb, q, k=4, force="broadcast"))
     assert len(blocked) == 4 * emb.df.count()
+
+
+@pytest.mark.parametrize("name", ["search", "query_groups", "recommend_best_score", "discover", "sparse_search",
+                                  "fusion_rrf", "matrix_pairs", "apply_changelog"])
+def test_results_invariant_to_input_partitioning(spark, name):
+    # metamorphic: the registered query over a reshuffled input gives the same rows
+    import __spark_entry__ as entry
+    from workload import tables as W
+    q = entry.queries()[name]
+    base = sorted(tuple(r) for r in q(spark, SF_SMALL).collect())
+    real_load = W.load
+    try:
+        W.load = lambda s, d, t: real_load(s, d, t).repartition(5).orderBy(F.rand(7))
+        shuffled = sorted(tuple(r) for r in q(spark, SF_SMALL).collect())
+    finally:
+        W.load = real_load
+    assert shuffled == base
