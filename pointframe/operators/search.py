@@ -82,12 +82,11 @@ def point_vector(coll: Collection, point_id, using: str | None = None,
 
 
 def scored(coll: Collection, df: DataFrame, query, *, using: str | None = None,
-           score_threshold: float | None = None, with_payload=True, with_vector=False,
-           distance: str | None = None) -> DataFrame:
+           with_payload=True, with_vector=False, distance: str | None = None) -> DataFrame:
     """``df`` (already filtered) with a rounded ``score`` against ``query``.
 
-    Rows whose score is NULL (zero vector under cosine) or fails ``score_threshold``
-    are NOT removed here: a filter on ``score`` would be pushed below the
+    Rows whose score is NULL (zero vector under cosine) or fails a score
+    threshold are NOT removed here: a filter on ``score`` would be pushed below the
     projection and evaluate the whole score expression a second time per row.
     Consumers cut first (top-k, per-group window) and then apply
     ``score_filter`` - exact, because NULLs sort last and the threshold is
