@@ -115,17 +115,28 @@ def stream_upsert(changes: DataFrame, base: Collection, target: str, *, seq: str
 
 # ---------------------------------------------------------------- T2
 
+def search_batch_fn(points: Collection, sink: str, *, k: int = 10, query_id: str = "query_id",
+                    vector: str = "vector"):
+    """The ``foreachBatch`` function of ``stream_search`` (exposed for replay tests).
+
+    Each epoch's results replace exactly the sink partition ``epoch=<id>``
+    (dynamic partition overwrite), so a batch delivered again after a restart
+    rewrites its own rows instead of appending duplicates.
+    """
+    def apply(batch: DataFrame, epoch_id: int) -> None:
+        res = knn_join(points, batch, query_id=query_id, vector=vector, k=k)
+        (res.withColumn("epoch", F.lit(epoch_id).cast("long")).write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic").partitionBy("epoch").parquet(sink))
+    return apply
+
+
 def stream_search(queries: DataFrame, points: Collection, sink: str, *, k: int = 10,
                   query_id: str = "query_id", vector: str = "vector",
                   checkpoint_location: str | None = None, trigger: dict | None = None) -> StreamingQuery:
     """Append the top-``k`` points of each arriving query to the parquet ``sink``."""
     spark = queries.sparkSession
 
-    def apply(batch: DataFrame, epoch_id: int) -> None:
-        res = knn_join(points, batch, query_id=query_id, vector=vector, k=k)
-        res.withColumn("epoch", F.lit(epoch_id).cast("long")).write.mode("append").partitionBy("epoch").parquet(sink)
-
-    w = (queries.writeStream.foreachBatch(apply)
+    w = (queries.writeStream.foreachBatch(search_batch_fn(points, sink, k=k, query_id=query_id, vector=vector))
          .option("checkpointLocation", _location(spark, checkpoint_location, "search")))
     if trigger:
         w = w.trigger(**trigger)

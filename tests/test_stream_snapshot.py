@@ -104,3 +104,16 @@ def test_full_snapshot_manifest(spark, tmpdir_path):
     tables = {t: spark.read.parquet(f"{SF_SMALL}/{t}.parquet") for t in ("region", "nation")}
     m = SN.full_snapshot(tables, os.path.join(tmpdir_path, "full"))
     assert sorted((r["name"], r["n_rows"]) for r in m.collect()) == [("nation", 25), ("region", 5)]
+
+
+def test_stream_search_replay_does_not_duplicate(spark, emb, tmpdir_path):
+    sink = os.path.join(tmpdir_path, "hits2")
+    fn = STR.search_batch_fn(emb, sink, k=3)
+    q0 = emb.df.filter(F.col("vec_id") < 2).select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("vector"))
+    q1 = emb.df.filter(F.col("vec_id") == 9).select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("vector"))
+    fn(q0, 0)
+    fn(q1, 1)
+    fn(q0, 0)  # redelivered
+    out = spark.read.parquet(sink)
+    assert out.count() == 9
+    assert out.filter(F.col("epoch") == 1).count() == 3
