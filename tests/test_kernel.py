@@ -124,3 +124,21 @@ def test_results_invariant_to_input_partitioning(spark, name):
     finally:
         W.load = real_load
     assert shuffled == base
+
+
+@pytest.mark.parametrize("distance", ["Cosine", "Dot", "Euclid", "Manhattan"])
+def test_search_engines_agree(spark, emb, distance):
+    coll = make_collection(emb.df, id="vec_id", vectors={"": ("embedding", 64, distance)})
+    v = [float(x) for x in np.cos(np.arange(64) * 0.37)]
+    thr = {"Cosine": 0.05, "Dot": 0.1, "Euclid": 1.45, "Manhattan": 9.5}[distance]
+    cases = [dict(limit=7), dict(limit=5, offset=3), dict(limit=50, score_threshold=thr),
+             dict(limit=6, filter={"must": [{"key": "label", "match": {"any": [1, 4]}}]}),
+             dict(limit=3, with_vector=True, with_payload=False)]
+    for kw in cases:
+        a = search(coll, v, engine="expression", **kw)
+        b = search(coll, v, engine="kernel", **kw)
+        assert a.columns == b.columns, kw
+
+        def rows(df):
+            return sorted(tuple(tuple(x) if isinstance(x, list) else x for x in r) for r in df.collect())
+        assert rows(a) == rows(b), (distance, kw)

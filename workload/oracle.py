@@ -600,3 +600,4 @@ WITH latest AS (
   UNION ALL SELECT vec_id + 100000, embedding, label FROM embeddings WHERE vec_id % 10 = 1)
 SELECT vec_id, embedding, label FROM embeddings WHERE vec_id NOT IN (SELECT vec_id FROM latest)
 UNION ALL SELECT vec_id, embedding, label FROM latest"""
+ORACLE["search_kernel"] = ORACLE["search"]

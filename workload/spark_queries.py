@@ -812,3 +812,9 @@ def q_stream_upsert(spark, sf):
     q.processAllAvailable()
     q.stop()
     return STR.read_state(spark, target)
+
+
+@register("search_kernel")
+def q_search_kernel(spark, sf):
+    # the same filtered search as ``search``, scored by the Arrow kernel
+    return S.search(W.embeddings(spark, sf), QV, limit=10, filter=SEARCH_FILTER, engine="kernel")
