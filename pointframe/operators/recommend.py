@@ -91,8 +91,23 @@ def best_score_expr(vec: Column, examples: Column, distance: str, vec_norm: Colu
 
 
 def recommend(coll: Collection, positive=(), negative=(), strategy: str = "average_vector", *,
-              limit: int = 10, offset: int = 0, **kw) -> DataFrame:
-    """Top ``limit`` recommended points: ``id, <payload>, score``."""
+              limit: int = 10, offset: int = 0, engine: str = "auto", **kw) -> DataFrame:
+    """Top ``limit`` recommended points: ``id, <payload>, score``.
+
+    ``average_vector`` is an ordinary nearest search for the Rocchio target, so it
+    follows ``search``'s ``engine`` choice (the kernel from ``KERNEL_MIN_DIM`` dims).
+    """
+    from pointframe.operators.search import _kernel_search, use_kernel
+    if strategy == "average_vector" and use_kernel(coll, kw.get("using"), engine) and kw.get("lookup_from") is None:
+        roles = {"pos": list(positive or []), "neg": list(negative or [])}
+        if not roles["pos"]:
+            raise ValueError("average_vector needs at least one positive example")
+        ex = X.examples_frame(coll, roles, kw.get("using"))
+        target = _target_frame(ex).select(F.col("target").alias("vector"))
+        points = _candidates(coll, kw.get("filter"), X.example_ids(roles))
+        return _kernel_search(coll, target, using=kw.get("using"), limit=limit, offset=offset, filter=None,
+                              points=points, with_payload=kw.get("with_payload", True),
+                              with_vector=kw.get("with_vector", False), score_threshold=kw.get("score_threshold"))
     s, dist = recommend_scored(coll, positive, negative, strategy, **kw)
     return top(s, dist, limit, offset, kw.get("score_threshold"))
 

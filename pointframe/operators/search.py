@@ -152,25 +152,35 @@ def search(coll: Collection, vector, *, using: str | None = None, limit: int = 1
     column and is handled there as well.
     """
     _check_params(params)
-    spec = coll.vector(using)
-    if engine not in ("auto", "expression", "kernel"):
-        raise ValueError("engine must be auto, expression or kernel")
-    use_kernel = engine == "kernel" or (engine == "auto" and (spec.size or 0) >= KERNEL_MIN_DIM)
-    if use_kernel and not isinstance(vector, (Column, str)):
+    if use_kernel(coll, using, engine) and not isinstance(vector, (Column, str)):
         return _kernel_search(coll, list(vector), using=using, limit=limit, offset=offset, filter=filter,
                               with_payload=with_payload, with_vector=with_vector, score_threshold=score_threshold)
     return ranked(coll, filtered(coll, filter), vector, using=using, limit=limit, offset=offset,
                   score_threshold=score_threshold, with_payload=with_payload, with_vector=with_vector)
 
 
-def _kernel_search(coll: Collection, vector: list, *, using, limit, offset, filter, with_payload,
-                   with_vector, score_threshold) -> DataFrame:
+def use_kernel(coll: Collection, using: str | None, engine: str) -> bool:
+    if engine not in ("auto", "expression", "kernel"):
+        raise ValueError("engine must be auto, expression or kernel")
+    spec = coll.vector(using)
+    return engine == "kernel" or (engine == "auto" and (spec.size or 0) >= KERNEL_MIN_DIM)
+
+
+def _kernel_search(coll: Collection, vector, *, using, limit, offset, filter, with_payload,
+                   with_vector, score_threshold, points: DataFrame | None = None) -> DataFrame:
+    """Single query through the Arrow kernel. ``vector`` is a literal list or a one-row
+    DataFrame with a ``vector`` column (a vector Spark computed: a stored point, a
+    recommend target). ``points`` replaces the (filtered) collection rows."""
     from pointframe.operators.batch import knn_join
     spec = coll.vector(using)
-    D.check_dim(vector, spec.size)
     spark = coll.df.sparkSession
-    q = spark.createDataFrame([(0, [float(x) for x in vector])], "query_id long, vector array<double>")
-    hits = knn_join(coll, q, k=offset + limit, using=using, filter=filter, force="broadcast")
+    if isinstance(vector, DataFrame):
+        q = vector.select(F.lit(0).cast("long").alias("query_id"), F.col("vector").cast("array<double>").alias("vector"))
+    else:
+        D.check_dim(vector, spec.size)
+        q = spark.createDataFrame([(0, [float(x) for x in vector])], "query_id long, vector array<double>")
+    base = coll if points is None else coll.with_df(points)
+    hits = knn_join(base, q, k=offset + limit, using=using, filter=filter, force="broadcast")
     hits = hits.filter(F.col("rank") > offset).select("id", "score", "rank")
     thr = D.passes_threshold(F.col("score"), score_threshold, spec.distance)
     if thr is not None:
@@ -193,14 +203,20 @@ def _check_params(params: dict | None) -> None:
 def query_by_id(coll: Collection, point_id, *, using: str | None = None, limit: int = 10,
                 offset: int = 0, filter: dict | None = None, with_payload=True, with_vector=False,
                 score_threshold: float | None = None, lookup_from: Collection | None = None,
-                lookup_using: str | None = None) -> DataFrame:
+                lookup_using: str | None = None, engine: str = "auto") -> DataFrame:
     """``{nearest: id}`` (Q7): the stored vector of ``point_id`` is the query and that
     point is left out of the result. With ``lookup_from`` (Q14) the id is read from
     another collection and nothing is excluded."""
-    q = point_vector(coll, point_id, lookup_using if lookup_from is not None else using, lookup_from)
     df = filtered(coll, filter)
     if lookup_from is None:
         df = df.filter(~F.col(coll.id).eqNullSafe(F.lit(point_id)))
+    if use_kernel(coll, using, engine):
+        src = lookup_from or coll
+        spec = src.vector(lookup_using if lookup_from is not None else using)
+        qdf = src.df.filter(F.col(src.id) == F.lit(point_id)).select(F.col(spec.column).alias("vector")).limit(1)
+        return _kernel_search(coll, qdf, using=using, limit=limit, offset=offset, filter=None, points=df,
+                              with_payload=with_payload, with_vector=with_vector, score_threshold=score_threshold)
+    q = point_vector(coll, point_id, lookup_using if lookup_from is not None else using, lookup_from)
     return ranked(coll, df, q, using=using, limit=limit, offset=offset,
                   score_threshold=score_threshold, with_payload=with_payload, with_vector=with_vector)
 

@@ -142,3 +142,19 @@ def test_search_engines_agree(spark, emb, distance):
         def rows(df):
             return sorted(tuple(tuple(x) if isinstance(x, list) else x for x in r) for r in df.collect())
         assert rows(a) == rows(b), (distance, kw)
+
+
+def test_query_by_id_and_recommend_engines_agree(spark, emb):
+    from pointframe.operators.recommend import recommend
+    from pointframe.operators.search import query_by_id
+
+    def rows(df):
+        return sorted(tuple(r) for r in df.collect())
+    for kw in (dict(limit=6), dict(limit=4, offset=2, filter={"must": [{"key": "label", "range": {"gte": 3}}]})):
+        assert rows(query_by_id(emb, 7, engine="expression", **kw)) == rows(query_by_id(emb, 7, engine="kernel", **kw))
+        a = recommend(emb, [7, 42, 99], [3, 250], limit=kw["limit"], offset=kw.get("offset", 0),
+                      filter=kw.get("filter"), engine="expression")
+        b = recommend(emb, [7, 42, 99], [3, 250], limit=kw["limit"], offset=kw.get("offset", 0),
+                      filter=kw.get("filter"), engine="kernel")
+        assert rows(a) == rows(b)
+    assert query_by_id(emb, 10 ** 9, engine="kernel").count() == 0
