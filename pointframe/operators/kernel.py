@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pointframe.functions import distance as D
-from pointframe.plans.partitioning import spread
+from pointframe.plans.partitioning import scan_partitions, spread
 from pointframe.session import ship_package
 
 TIE_EPS = 2e-6
@@ -213,9 +213,8 @@ CANDIDATE_BUDGET = 200_000_000
 def _scan_partitions(p: DataFrame, per_task: int) -> DataFrame:
     """Coalesce the point scan when partitions x per-task candidates exceed the budget
     (never below the cluster's parallelism)."""
-    try:
-        n = p.rdd.getNumPartitions()
-    except Exception:
+    n = scan_partitions(p)  # None for plans that shuffle: their partition count is the shuffle's
+    if n is None:
         return p
     cap = max(p.sparkSession.sparkContext.defaultParallelism, CANDIDATE_BUDGET // max(1, per_task))
     return p.coalesce(cap) if n > cap else p

@@ -158,3 +158,18 @@ def test_query_by_id_and_recommend_engines_agree(spark, emb):
                       filter=kw.get("filter"), engine="kernel")
         assert rows(a) == rows(b)
     assert query_by_id(emb, 10 ** 9, engine="kernel").count() == 0
+
+
+def test_spread_never_runs_jobs_to_count_partitions(spark):
+    # asking an adaptive plan with an exchange for its partitions would execute the
+    # upstream stages; spread inspects plain scans only
+    from pointframe.plans.partitioning import spread
+    sc = spark.sparkContext
+    shuffled = spark.read.parquet(f"{SF_SMALL}/lineitem.parquet").groupBy("l_orderkey").count()
+    sc.setJobGroup("pf_spread_check", "spread")
+    try:
+        assert spread(shuffled) is shuffled
+        spread(spark.read.parquet(f"{SF_SMALL}/documents.parquet"))
+        assert sc.statusTracker().getJobIdsForGroup("pf_spread_check") == []
+    finally:
+        sc.setJobGroup("", "")
