@@ -166,10 +166,11 @@ def test_spread_never_runs_jobs_to_count_partitions(spark):
     from pointframe.plans.partitioning import spread
     sc = spark.sparkContext
     shuffled = spark.read.parquet(f"{SF_SMALL}/lineitem.parquet").groupBy("l_orderkey").count()
+    scan = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
     sc.setJobGroup("pf_spread_check", "spread")
     try:
         assert spread(shuffled) is shuffled
-        spread(spark.read.parquet(f"{SF_SMALL}/documents.parquet"))
+        spread(scan)
         assert sc.statusTracker().getJobIdsForGroup("pf_spread_check") == []
     finally:
         sc.setJobGroup("", "")
