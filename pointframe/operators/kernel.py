@@ -177,7 +177,8 @@ def knn(points: DataFrame, id_col: str, vec_col: str, queries: DataFrame, *,
              (F.lit(k) if k_lit is not None else F.col(k)).cast("int").alias("_k"),
              (F.col(query_mask_col) if query_mask_col else F.lit(None)).cast("int").alias("_mask"),
              (F.col(exclude_col) if exclude_col else F.lit(None)).cast("long").alias("_excl")]
-    q = queries.select(*qcols)
+    # a query without a vector has no neighbours (and would break the batch matrix)
+    q = queries.select(*qcols).filter(F.col("qvec").isNotNull())
     p = points.select(F.col(id_col).cast("long").alias("id"), F.col(vec_col).alias("pvec"),
                       *[F.col(c).alias(f"_m{j}") for j, c in enumerate(point_mask_cols or [])])
     path = force

@@ -174,3 +174,10 @@ def test_spread_never_runs_jobs_to_count_partitions(spark):
         assert sc.statusTracker().getJobIdsForGroup("pf_spread_check") == []
     finally:
         sc.setJobGroup("", "")
+
+
+@pytest.mark.parametrize("force", ["broadcast", "blocked"])
+def test_null_query_vectors_have_no_neighbours(spark, emb, force):
+    q = spark.createDataFrame([(1, None), (2, [0.1] * 64)], "query_id long, vector array<double>")
+    got = _rows(knn_join(emb, q, k=3, force=force, query_block_rows=64, point_block_rows=100))
+    assert {r[0] for r in got} == {2} and len(got) == 3
