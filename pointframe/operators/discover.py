@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from pointframe.functions import distance as D
 from pointframe.operators import examples as X
-from pointframe.operators.kernel import TopK, _matrix, score_matrix
+from pointframe.operators.kernel import TopK, _matrix, score_matrix, usable_rows
 from pointframe.operators.recommend import similarity
 from pointframe.operators.search import filtered, point_vector, project, top
 from pointframe.session import ship_package
@@ -144,7 +144,7 @@ def discover_batch(coll: Collection, requests: list[dict], *, using: str | None
         for b in batches:
             if b.num_rows == 0:
                 continue
-            ok = np.asarray(b.column("pvec").is_valid())
+            ok = usable_rows(b.column("pvec"), E_.shape[1])
             if not ok.all():
                 b = b.filter(pa.array(ok))
             if b.num_rows == 0:

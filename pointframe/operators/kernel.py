@@ -55,6 +55,14 @@ def _matrix(arr: pa.Array, dim: int | None = None) -> np.ndarray:
     return flat.reshape(n, d)
 
 
+def usable_rows(arr: pa.Array, dim: int) -> np.ndarray:
+    """Rows with a vector of dimension ``dim``; others get no score, as on the
+    expression path (where a NULL or mismatched vector yields a NULL score)."""
+    import pyarrow.compute as pc
+    lens = pc.list_value_length(arr).fill_null(-1).to_numpy(zero_copy_only=False)
+    return np.asarray(lens == dim)
+
+
 def score_matrix(Q: np.ndarray, P: np.ndarray, distance: str) -> np.ndarray:
     """(m queries x b points) raw scores; NaN where undefined (zero vector under cosine)."""
     d = D.canonical(distance)
@@ -248,7 +256,7 @@ def _broadcast_candidates(p: DataFrame, q: DataFrame, distance: str, n_masks: in
             if batch.num_rows == 0:
                 continue
             pv = batch.column("pvec")
-            ok = np.asarray(pv.is_valid())
+            ok = usable_rows(pv, Qm.shape[1])
             ids = batch.column("id").to_numpy(zero_copy_only=False)
             if not ok.all():
                 batch = batch.filter(pa.array(ok))
@@ -311,9 +319,10 @@ def _blocked_candidates(p: DataFrame, q: DataFrame, distance: str,
         import pandas as pd
         if len(pp) == 0 or len(qq) == 0:
             return pd.DataFrame({"query_id": [], "id": [], "raw": [], "_k": []})
-        pp = pp[pp["pvec"].notna()]
-        P = np.stack(pp["pvec"].to_numpy()).astype(np.float64) if len(pp) else np.zeros((0, 1))
         Qm = np.stack(qq["qvec"].to_numpy()).astype(np.float64)
+        # points without a vector or of another dimension get no score (as on the expression path)
+        pp = pp[pp["pvec"].map(lambda v: v is not None and len(v) == Qm.shape[1])]
+        P = np.stack(pp["pvec"].to_numpy()).astype(np.float64) if len(pp) else np.zeros((0, Qm.shape[1]))
         ids = pp["id"].to_numpy(np.int64)
         k = qq["_k"].to_numpy(np.int64)
         excl = qq["_excl"].fillna(np.iinfo(np.int64).min).to_numpy(np.int64)

@@ -181,3 +181,14 @@ def test_null_query_vectors_have_no_neighbours(spark, emb, force):
     q = spark.createDataFrame([(1, None), (2, [0.1] * 64)], "query_id long, vector array<double>")
     got = _rows(knn_join(emb, q, k=3, force=force, query_block_rows=64, point_block_rows=100))
     assert {r[0] for r in got} == {2} and len(got) == 3
+
+
+@pytest.mark.parametrize("force", ["broadcast", "blocked"])
+def test_wrong_dimension_points_are_skipped_like_the_expression_path(spark, force):
+    rows = [(1, [1.0, 0.0]), (2, [1.0]), (3, [0.6, 0.8]), (4, [1.0, 0.0, 5.0]), (5, None)]
+    coll = make_collection(spark.createDataFrame(rows, "id long, v array<float>"), id="id",
+                           vectors={"": ("v", None, "Cosine")})
+    q = spark.createDataFrame([(0, [1.0, 0.0])], "query_id long, vector array<double>")
+    got = [r[1] for r in sorted(_rows(knn_join(coll, q, k=5, force=force)), key=lambda r: r[3])]
+    want = [r["id"] for r in search(coll, [1.0, 0.0], limit=5, with_payload=False, engine="expression").collect()]
+    assert got == want == [1, 3]
