@@ -72,12 +72,12 @@ def with_lookup(groups: DataFrame, lookup: Collection, with_payload=True, prefix
 def query_groups(coll: Collection, vector, *, group_by: str, group_size: int = 3, limit: int = 10,
                  using: str | None = None, filter: dict | None = None, with_payload=True,
                  score_threshold: float | None = None, lookup: Collection | None = None,
-                 lookup_payload=True, lookup_vectors=False) -> DataFrame:
+                 lookup_payload=True, lookup_vectors=False, engine: str = "auto") -> DataFrame:
     """Grouped nearest search (Q16), optionally with a lookup record per group (Q17)."""
     spec = coll.vector(using)
     payload = with_payload
     if payload is not True and group_by not in (payload or []):
         payload = list(payload or []) + [group_by]
-    s = scored(coll, filtered(coll, filter), vector, using=using, with_payload=payload)
+    s = scored(coll, filtered(coll, filter), vector, using=using, with_payload=payload, engine=engine)
     out = group_hits(s, group_by, spec.distance, group_size, limit, score_threshold)
     return with_lookup(out, lookup, lookup_payload, with_vectors=lookup_vectors) if lookup is not None else out

@@ -9,6 +9,8 @@ those k rows per partition move. No shuffle of the points, no global sort.
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -81,8 +83,30 @@ def point_vector(coll: Collection, point_id, using: str | None = None,
     return one.select("_q").scalar()
 
 
+def vector_scores(vec_col: Column, query, distance: str, spark) -> Column:
+    """Raw score of every row computed by NumPy over Arrow batches (a vectorized pandas
+    UDF): the high-dimension counterpart of ``distance.raw_score`` for consumers that
+    need every score (grouped search), not only the top k. NULL where undefined."""
+    from pointframe.operators.kernel import score_matrix
+    from pointframe.session import ship_package
+    ship_package(spark)
+    q = np.asarray([float(x) for x in query], dtype=np.float64)[None, :]
+    dist = D.canonical(distance)
+
+    @F.pandas_udf("double")
+    def score(s: pd.Series) -> pd.Series:
+        out = np.full(len(s), np.nan)
+        ok = np.fromiter((v is not None and len(v) == q.shape[1] for v in s), dtype=bool, count=len(s))
+        if ok.any():
+            P = np.stack(s[ok].to_numpy()).astype(np.float64)
+            out[ok] = score_matrix(q, P, dist)[0]
+        return pd.Series(out, dtype="Float64").mask(np.isnan(out))
+    return score(vec_col)
+
+
 def scored(coll: Collection, df: DataFrame, query, *, using: str | None = None,
-           with_payload=True, with_vector=False, distance: str | None = None) -> DataFrame:
+           with_payload=True, with_vector=False, distance: str | None = None,
+           engine: str = "auto") -> DataFrame:
     """``df`` (already filtered) with a rounded ``score`` against ``query``.
 
     Rows whose score is NULL (zero vector under cosine) or fails a score
@@ -96,6 +120,9 @@ def scored(coll: Collection, df: DataFrame, query, *, using: str | None = None,
     dist = distance or spec.distance
     if not isinstance(query, (Column, str)):
         D.check_dim(query, spec.size)
+    if not isinstance(query, (Column, str)) and use_kernel(coll, using, engine):
+        s = F.round(vector_scores(F.col(spec.column), query, dist, coll.df.sparkSession), D.SCORE_DIGITS)
+        return project(coll, df, with_payload, with_vector, extra=[s.alias("score")])
     q = query
     if isinstance(query, Column):
         # project the constant first: subqueries may not sit inside lambdas
@@ -126,7 +153,8 @@ def ranked(coll: Collection, df: DataFrame, query, *, using: str | None = None,
            with_vector=False, distance: str | None = None) -> DataFrame:
     """Score ``df`` (already filtered) against ``query`` and keep the top ``limit`` after ``offset``."""
     dist = distance or coll.vector(using).distance
-    s = scored(coll, df, query, using=using, with_payload=with_payload, with_vector=with_vector, distance=dist)
+    s = scored(coll, df, query, using=using, with_payload=with_payload, with_vector=with_vector, distance=dist,
+               engine="expression")
     return top(s, dist, limit, offset, score_threshold)
 
 

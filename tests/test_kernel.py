@@ -192,3 +192,15 @@ def test_wrong_dimension_points_are_skipped_like_the_expression_path(spark, forc
     got = [r[1] for r in sorted(_rows(knn_join(coll, q, k=5, force=force)), key=lambda r: r[3])]
     want = [r["id"] for r in search(coll, [1.0, 0.0], limit=5, with_payload=False, engine="expression").collect()]
     assert got == want == [1, 3]
+
+
+@pytest.mark.parametrize("distance", ["Cosine", "Euclid"])
+def test_grouped_search_engines_agree(spark, emb, distance):
+    from pointframe.operators.groups import query_groups
+    coll = make_collection(emb.df, id="vec_id", vectors={"": ("embedding", 64, distance)})
+    v = [float(x) for x in np.sin(np.arange(64) * 0.21)]
+
+    def rows(engine):
+        return sorted(tuple(r) for r in query_groups(coll, v, group_by="label", group_size=3, limit=4,
+                                                     engine=engine).collect())
+    assert rows("kernel") == rows("expression")
