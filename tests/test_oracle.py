@@ -1,6 +1,7 @@
 """Every registered query against its DuckDB twin at sf0.001 (the driver's gate runs sf0.01)."""
 
 import math
+import re
 
 import duckdb
 import pytest
@@ -50,12 +51,13 @@ def test_entry_smoke(spark):
 
 
 def test_every_query_has_oracle_or_is_listed():
-    rows_only = set(QUERIES) - set(ORACLE)
+    # the training-data queries have tests of their own
+    rows_only = {q for q in set(QUERIES) - set(ORACLE) if q != "pipeline" and not re.match(r"op\d+_", q)}
     assert rows_only == {"count_estimate", "range_layout", "ann_ivf", "search_indexed_only", "ann_lsh",
                          "quant_scalar", "quant_binary", "quant_pq", "quant_rescore", "snapshot_checksum"}
 
 
-@pytest.mark.parametrize("name", sorted(ORACLE))
+@pytest.mark.parametrize("name", sorted(q for q in ORACLE if q != "pipeline" and not re.match(r"op\d+_", q)))
 def test_query_matches_duckdb(spark, duck, name):
     df = QUERIES[name](spark, SF_SMALL)
     s_rows = [tuple(r) for r in df.collect()]
