@@ -60,16 +60,23 @@ def seeds(items: DataFrame, masks: tuple[str, ...]) -> DataFrame:
     return at.withColumn("key", F.explode(_keys("item", F.col("item_pos"), masks))).where("key is not null")
 
 
-def window_agreement(doc: Column, item: Column, width: int) -> Column:
-    """Most positions that agree in any window of ``width`` (the shorter length, if that is less)."""
-    same = F.zip_with(doc, item, lambda a, b: F.when(a == b, 1).otherwise(0))
-    gone = F.concat(F.array_repeat(F.lit(0), width), same)  # what leaves the window as a position enters
-    change = F.slice(F.zip_with(same, gone, lambda a, b: F.coalesce(a, F.lit(0)) - b), 1, F.greatest(F.lit(1), F.size(doc)))
-    start = F.struct(F.lit(0).alias("now"), F.lit(0).alias("best"))
-    return F.aggregate(
-        change, start,
-        lambda acc, x: F.struct((acc["now"] + x).alias("now"), F.greatest(acc["best"], acc["now"] + x).alias("best")),
-        lambda acc: acc["best"])
+def agreement(hits: DataFrame, width: int, *keep: str) -> DataFrame:
+    """Adds ``matched``: the most words that agree in any window of ``width`` words around the hit.
+
+    ``hits`` has ws, pos, item, item_pos. Both word lists are cut to less than a
+    window on either side of the hit and laid side by side; a long keeps a bit for
+    each position that agrees, and a window is a run of ``width`` bits.
+    """
+    if not 0 < width <= 32:
+        raise ValueError("min_words must lie between 1 and 32")
+    near = hits.select(*keep, "ws", "pos", "item", "item_pos", F.least(F.lit(width - 1), "pos", "item_pos").alias("lead"))
+    cut = near.select(*keep, F.slice("ws", F.col("pos") - F.col("lead") + 1, F.col("lead") + width).alias("a"),
+                      F.slice("item", F.col("item_pos") - F.col("lead") + 1, F.col("lead") + width).alias("b"))
+    same = F.zip_with("a", "b", lambda x, y: F.when(x == y, F.lit(1).cast("long")).otherwise(F.lit(0).cast("long")))
+    bits = cut.select(*keep, F.aggregate(same, F.lit(0).cast("long"), lambda acc, x: acc * 2 + x).alias("bits"))
+    one = F.lit((1 << width) - 1).cast("long")
+    counts = [F.bit_count(F.shiftright("bits", j).bitwiseAND(one)) for j in range(width)]
+    return bits.select(*keep, (F.greatest(*counts) if width > 1 else counts[0]).alias("matched"))
 
 
 def find_overlaps(docs: DataFrame, benchmark: DataFrame, id: str = "doc_id", text: str = "text", *,
@@ -86,16 +93,11 @@ def find_overlaps(docs: DataFrame, benchmark: DataFrame, id: str = "doc_id", tex
     masks = (*masks, *("1" * n for n in sorted(short)))  # as many as a mask is long, at most
     table = materialize(seeds(items, masks), "seeds")
     hashed = pick(docs, id=id, text=text).select("id", word_hashes(F.col("text")).alias("ws"))
-    at = hashed.select("id", "ws", F.posexplode("ws").alias("pos", "w")).drop("w")
+    at = hashed.select("id", "ws", F.posexplode_outer("ws").alias("pos", "w")).drop("w")
     at = at.select("id", "ws", "pos", F.explode(_keys("ws", F.col("pos"), masks)).alias("key")).where("key is not null")
     hits = at.join(sized(table, max_broadcast), "key")
-    # both word lists on the hit's diagonal, cut to where the document and the item lie side by side
-    laid = hits.selectExpr(
-        "id", "item_id", "size(item) as item_words", "greatest(0, item_pos - pos) as a0", "greatest(0, pos - item_pos) as b0", "item", "ws")
-    laid = laid.withColumn("n", F.expr("least(size(item) - a0, size(ws) - b0)"))
+    scored = agreement(hits.withColumn("item_words", F.size("item")), min_words, "id", "item_id", "item_words")
     width = F.least(F.lit(min_words), F.col("item_words"))
-    scored = laid.select("id", "item_id", "item_words",
-                         window_agreement(F.expr("slice(ws, b0 + 1, n)"), F.expr("slice(item, a0 + 1, n)"), min_words).alias("matched"))
     # the threshold stands above the aggregate: inside the join's condition it would keep the join,
     # and with it the rows' word lists, out of generated code
     best = scored.groupBy("id", "item_id").agg(F.max("item_words").alias("item_words"), F.max("matched").alias("matched"))
