@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pointframe.llm.decontaminate import find_overlaps
 from pointframe.llm.exact_dedup import exact_dedup
 from pointframe.llm.mixing import mix
+from pointframe.llm.toxicity import score_toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -26,13 +27,24 @@ def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("id").alias("doc_id"), "size", "source_size", "target", "taken", "shard")
 
 
+def _not_held_out(id: str = "id"):
+    """The fold of an id: labels are learned only where this holds."""
+    return F.crc32(F.coalesce(F.col(id).cast("string"), F.lit("")).cast("binary")) % 3 != 1
+
+
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = score_toxicity(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"), learn=_not_held_out())
+    return scored.select(F.col("id").alias("doc_id"), (~_not_held_out()).alias("held_out"), "score",
+                         F.when(F.col("score") >= 0.7, 1).otherwise(0).alias("predicted"))
+
+
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(_table(spark, sf_dir, "documents")).select(
         F.col("id").alias("doc_id"), "keep_id", "group_size", "kept", F.col("sha").alias("text_sha256"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_decontaminate, op4_mixing, op10_exact_dedup)}
+    f.__name__: f for f in (op1_decontaminate, op4_mixing, op5_toxicity, op10_exact_dedup)}
 
 ORACLE: dict[str, str] = {
     "op10_exact_dedup": """
