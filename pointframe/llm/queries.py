@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from pointframe.llm.decontaminate import find_overlaps
 from pointframe.llm.exact_dedup import exact_dedup
+from pointframe.llm.jaccard_join import near_duplicates
 from pointframe.llm.mixing import mix
 from pointframe.llm.toxicity import score_toxicity
 
@@ -38,13 +39,18 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
                          F.when(F.col("score") >= 0.7, 1).otherwise(0).alias("predicted"))
 
 
+def op9_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(_table(spark, sf_dir, "documents")).select(
+        F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), F.col("component").alias("component_id"))
+
+
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(_table(spark, sf_dir, "documents")).select(
         F.col("id").alias("doc_id"), "keep_id", "group_size", "kept", F.col("sha").alias("text_sha256"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_decontaminate, op4_mixing, op5_toxicity, op10_exact_dedup)}
+    f.__name__: f for f in (op1_decontaminate, op4_mixing, op5_toxicity, op9_jaccard, op10_exact_dedup)}
 
 ORACLE: dict[str, str] = {
     "op10_exact_dedup": """
