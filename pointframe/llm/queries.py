@@ -11,6 +11,7 @@ from pointframe.llm.decontaminate import find_overlaps
 from pointframe.llm.exact_dedup import exact_dedup
 from pointframe.llm.jaccard_join import near_duplicates
 from pointframe.llm.mixing import mix
+from pointframe.llm.secrets import join_spans, scan_secrets
 from pointframe.llm.toxicity import score_toxicity
 
 
@@ -39,6 +40,13 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
                          F.when(F.col("score") >= 0.7, 1).otherwise(0).alias("predicted"))
 
 
+def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = scan_secrets(_table(spark, sf_dir, "documents"))
+    count = lambda kind: F.size(kind).cast("long").alias(f"n_{kind}")
+    return found.select(F.col("id").alias("doc_id"), count("assign"), count("access"), count("hex"),
+                        F.sha2(join_spans(F.col("base")), 256).alias("base_sha256"), join_spans(F.col("spans")).alias("spans"))
+
+
 def op9_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents")).select(
         F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), F.col("component").alias("component_id"))
@@ -50,7 +58,7 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_decontaminate, op4_mixing, op5_toxicity, op9_jaccard, op10_exact_dedup)}
+    f.__name__: f for f in (op1_decontaminate, op4_mixing, op5_toxicity, op7_secrets, op9_jaccard, op10_exact_dedup)}
 
 ORACLE: dict[str, str] = {
     "op10_exact_dedup": """
