@@ -32,11 +32,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pointframe.llm.common import materialize, pick, plain, sized
 from pointframe.llm.components import connected_components
+from pointframe.llm.relations import links
 from pointframe.session import ship_package
 
 CHUNK = 1_000_000
@@ -137,9 +138,6 @@ class JaccardJoin:
         self.frequent, self.max_frequent, self.max_broadcast, self.stars = frequent, max_frequent, max_broadcast, stars
         ship_package(docs.sparkSession)
 
-    def links(self, overlap: Column, a: Column, b: Column) -> Column:
-        return (overlap * (self.num + self.den) >= (a + b) * self.num) & (overlap > 0)
-
     # -- passes over the texts
 
     def sizes(self) -> DataFrame:
@@ -189,15 +187,6 @@ class JaccardJoin:
         kept = counts.where(F.floor(F.log2("c")) >= low).select("h").toArrow()
         return np.sort(kept.column("h").to_numpy())
 
-    def overlaps(self, pairs: DataFrame, sets: DataFrame) -> DataFrame:
-        """pairs (a, b) with na, nb and the size of the intersection."""
-        left = sets.select(F.col("id").alias("a"), F.col("n").alias("na"), F.col("tokens").alias("ta"))
-        right = sets.select(F.col("id").alias("b"), F.col("n").alias("nb"), F.col("tokens").alias("tb"))
-        pairs = materialize(pairs, "pairs")
-        needed = sized(materialize(pairs.select("b").distinct(), "needed"), self.max_broadcast)
-        both = left.join(sized(pairs, self.max_broadcast), "a").join(right.join(needed, "b", "left_semi"), "b")
-        return materialize(both.select("a", "b", "na", "nb", F.size(F.array_intersect("ta", "tb")).cast("long").alias("i")), "overlaps")
-
     def components(self) -> DataFrame:
         """Per row: id, n, component."""
         rows = materialize(self.sizes(), "sizes")
@@ -221,56 +210,11 @@ class JaccardJoin:
         wanted = materialize(posts.select("id").distinct(), "wanted")
         sets = materialize(self.full(self.docs.join(sized(wanted, self.max_broadcast), "id", "left_semi")).distinct(), "sets")
 
-        done = edges = None
-        comp = None
-        for _ in range(self.stars):
-            at = posts if comp is None else posts.join(comp, "id", "left").withColumn("comp", F.coalesce("comp", "id"))
-            if comp is None:
-                at = at.withColumn("comp", F.col("id"))
-            # a leader per list and, for its members of other components, the one that most lists name
-            heads = at.groupBy("h").agg(F.min(F.struct("comp", "id", "n", "pos")).alias("head"))
-            if comp is not None:  # after the first star, the smallest entry outside of the list's first component
-                others = at.join(heads, "h").where("comp != head.comp")
-                heads = others.groupBy("h").agg(F.max(F.struct("comp", "id", "n", "pos")).alias("head"))
-            votes = at.join(heads, "h").where("comp != head.comp").where(self._near("n", "pos", "head.n", "head.pos"))
-            votes = votes.groupBy(F.col("id").alias("a"), F.col("head.id").alias("b")).agg(F.count("*").alias("v"))
-            pairs = votes.groupBy("a").agg(F.max(F.struct("v", "b")).alias("best")).select("a", F.col("best.b").alias("b"))
-            if done is not None:
-                pairs = pairs.join(done, ["a", "b"], "left_anti")
-            found = self.overlaps(pairs, sets)
-            done = found.select("a", "b", "na", "nb", "i") if done is None else done.unionByName(found)
-            edges = done.where(self.links(F.col("i"), F.col("na"), F.col("nb"))).select("a", "b")
-            comp = connected_components(edges).select(F.col("v").alias("id"), F.col("root").alias("comp"))
-
-        # lists in which components still meet; overlap bounded from the answers of the leaders
-        at = posts.join(comp, "id", "left").withColumn("comp", F.coalesce("comp", "id"))
-        mixed = at.groupBy("h").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo != hi").select("h")
-        lead = (done.groupBy("a").agg(F.max(F.struct("i", "b", "na")).alias("m"))
-                .select(F.col("a").alias("id"), F.col("m.b").alias("leader"), (F.col("m.na") - F.col("m.i")).alias("beside")))
-        rest = materialize(at.join(mixed, "h").join(lead, "id", "left").select(
-            "h", "id", "n", "pos", "comp", F.coalesce("leader", "id").alias("leader"), F.coalesce("beside", F.lit(0)).alias("beside")), "mixed")
-        x = rest.select("h", *[F.col(c).alias(f"x_{c}") for c in ("id", "n", "pos", "comp", "leader", "beside")])
-        y = rest.select("h", *[F.col(c).alias(f"y_{c}") for c in ("id", "n", "pos", "comp", "leader", "beside")])
-        meet = x.join(y, "h").where("x_id < y_id and x_comp != y_comp").where(self._near("x_n", "x_pos", "y_n", "y_pos"))
-        cols = [f"{s}_{c}" for s in "xy" for c in ("id", "n", "leader", "beside")]
-        meet = materialize(meet.groupBy(*cols).agg(F.count("*").alias("shared")), "meet")
-        if not meet.isEmpty():
-            leaders = self.overlaps(meet.select(F.col("x_leader").alias("a"), F.col("y_leader").alias("b")).where("a != b").distinct(), sets)
-            bound = F.coalesce(F.col("i"), F.least("x_n", "y_n")) + F.col("x_beside") + F.col("y_beside")
-            open_ = meet.join(leaders.select(F.col("a").alias("x_leader"), F.col("b").alias("y_leader"), "i"), ["x_leader", "y_leader"], "left")
-            open_ = open_.where(self.links(bound, F.col("x_n"), F.col("y_n"))).select(F.col("x_id").alias("a"), F.col("y_id").alias("b")).distinct()
-            found = self.overlaps(open_.join(done, ["a", "b"], "left_anti"), sets)
-            edges = edges.unionByName(found.where(self.links(F.col("i"), F.col("na"), F.col("nb"))).select("a", "b"))
+        edges = links(posts, sets, self.num, self.den, stars=self.stars, max_broadcast=self.max_broadcast)
         comp = connected_components(edges.unionByName(same))
         out = rows.select("id", "n").join(comp, F.col("id") == F.col("v"), "left")
         return out.select("id", "n", F.coalesce("root", "id").alias("component"))
 
-    def _near(self, na: str, pa_: str, nb: str, pb: str) -> Column:
-        """Sizes fit, and what follows the shared token can still reach the threshold."""
-        n, m, i, j = F.col(na), F.col(nb), F.col(pa_), F.col(pb)
-        fit = F.least(n, m) * self.den >= F.greatest(n, m) * self.num
-        return fit & ((F.least(n - i, m - j)) * (self.num + self.den) >= (n + m) * self.num)
-
 
 def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", **options) -> DataFrame:
     """Per row of ``docs``: id, n (size of its set), component (smallest id reachable by links)."""

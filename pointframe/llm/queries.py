@@ -7,12 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pointframe.llm.chat import format_chats, loss_text, read_turns
 from pointframe.llm.decontaminate import find_overlaps
 from pointframe.llm.exact_dedup import exact_dedup
 from pointframe.llm.jaccard_join import near_duplicates
 from pointframe.llm.mixing import mix
 from pointframe.llm.secrets import join_spans, scan_secrets
 from pointframe.llm.toxicity import score_toxicity
+from pointframe.llm.warc import read_warc, write_warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -24,6 +26,18 @@ def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumnRenamed("id", "doc_id")
 
 
+def op2_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    extra = spark.createDataFrame([(-7, 0, "user", "</s>[INST] ok [/INST]"), (-7, 1, "assistant", "</s>[INST] ok [/INST]")],
+                                  "conv_id long, turn long, role string, text string")
+    turns = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(extra)
+    out = format_chats(turns, content="text").withColumn("turns", read_turns(F.col("formatted")))
+    whole = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
+    loss = loss_text(F.col("formatted"), F.col("loss_spans"))
+    return out.select("conv_id", F.size("turns").cast("long").alias("n_turns"), F.sha2(whole, 256).alias("turns_sha256"),
+                      F.length(loss).cast("long").alias("loss_chars"), F.sha2(loss, 256).alias("loss_sha256"),
+                      F.length("formatted").cast("long").alias("formatted_chars"))
+
+
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(_table(spark, sf_dir, "documents")).select(
         F.col("id").alias("doc_id"), "size", "source_size", "target", "taken", "shard")
@@ -47,6 +61,11 @@ def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.sha2(join_spans(F.col("base")), 256).alias("base_sha256"), join_spans(F.col("spans")).alias("spans"))
 
 
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    files = write_warc(_table(spark, sf_dir, "pages"))
+    return read_warc(spark, files).select(F.col("id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op9_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents")).select(
         F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), F.col("component").alias("component_id"))
@@ -58,9 +77,19 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_decontaminate, op4_mixing, op5_toxicity, op7_secrets, op9_jaccard, op10_exact_dedup)}
+    f.__name__: f for f in (op1_decontaminate, op2_chat, op4_mixing, op5_toxicity, op7_secrets, op8_warc, op9_jaccard, op10_exact_dedup)}
 
 ORACLE: dict[str, str] = {
+    "op2_chat": r"""
+        WITH t AS (
+            SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+            UNION ALL SELECT * FROM (VALUES (-7, 0, 'user', '</s>[INST] ok [/INST]'), (-7, 1, 'assistant', '</s>[INST] ok [/INST]')) v)
+        SELECT conv_id, count(*) AS n_turns,
+               sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+               coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+               sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+               sum(23 + length(regexp_replace(role || text, '([<\[\\])', '\1\1', 'g')))::BIGINT AS formatted_chars
+        FROM t GROUP BY conv_id""",
     "op10_exact_dedup": """
         SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
                doc_id IS NOT DISTINCT FROM max(doc_id) OVER w AS kept, sha256(coalesce(text, '')) AS text_sha256
