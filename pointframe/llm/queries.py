@@ -11,9 +11,11 @@ from pointframe.llm.chat import format_chats, loss_text, read_turns
 from pointframe.llm.decontaminate import find_overlaps
 from pointframe.llm.exact_dedup import exact_dedup
 from pointframe.llm.jaccard_join import near_duplicates
+from pointframe.llm.line_dedup import line_report
 from pointframe.llm.mixing import mix
 from pointframe.llm.secrets import join_spans, scan_secrets
 from pointframe.llm.toxicity import score_toxicity
+from pointframe.llm.url_filter import judge_urls
 from pointframe.llm.warc import read_warc, write_warc
 
 
@@ -38,6 +40,16 @@ def op2_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.length("formatted").cast("long").alias("formatted_chars"))
 
 
+# the rules of the registered query: (host, path, verdict)
+RULES = [("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org", "/en/1", "allow"),
+         ("com", "/fr/", "allow"), ("com", "/de/", "block")]
+
+
+def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judge_urls(_table(spark, sf_dir, "pages"), RULES).select(
+        F.col("id").alias("page_id"), "host", "path", "rule", "verdict")
+
+
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(_table(spark, sf_dir, "documents")).select(
         F.col("id").alias("doc_id"), "size", "source_size", "target", "taken", "shard")
@@ -54,6 +66,10 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
                          F.when(F.col("score") >= 0.7, 1).otherwise(0).alias("predicted"))
 
 
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_report(_table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+
+
 def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = scan_secrets(_table(spark, sf_dir, "documents"))
     count = lambda kind: F.size(kind).cast("long").alias(f"n_{kind}")
@@ -77,7 +93,7 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_decontaminate, op2_chat, op4_mixing, op5_toxicity, op7_secrets, op8_warc, op9_jaccard, op10_exact_dedup)}
+    f.__name__: f for f in (op1_decontaminate, op2_chat, op3_url_filter, op4_mixing, op5_toxicity, op6_line_dedup, op7_secrets, op8_warc, op9_jaccard, op10_exact_dedup)}
 
 ORACLE: dict[str, str] = {
     "op2_chat": r"""
