@@ -12,7 +12,14 @@ from pyspark.sql import functions as F
 from pointframe.llm.common import materialize
 from pointframe.llm.decontaminate import drop_contaminated
 from pointframe.llm.exact_dedup import drop_duplicates_exact
+from pointframe.llm.jaccard_join import drop_near_duplicates
 from pointframe.llm.mixing import mix
+from pointframe.llm.toxicity import drop_toxic
+
+
+def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that score 0.7 or more for toxicity go; the models learn from ``labels``."""
+    return drop_toxic(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -20,6 +27,11 @@ def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return drop_duplicates_exact(docs)
 
 
+def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near duplicates (Jaccard of 5-word shingles 0.8 or more) one document stays."""
+    return drop_near_duplicates(docs)
+
+
 def clean_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a passage of a benchmark item go."""
     return drop_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
@@ -31,7 +43,7 @@ def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
         F.col("id").alias("doc_id"), "source", "size", "source_size", "target", "passes", "rest", "taken", "shard", "position")
 
 
-STAGES = [("exact", exact), ("benchmark", clean_benchmark), ("mix", mixture)]
+STAGES = [("toxicity", toxicity), ("exact", exact), ("near", near), ("benchmark", clean_benchmark), ("mix", mixture)]
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
