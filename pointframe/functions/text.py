@@ -20,7 +20,6 @@ SPLIT_PATTERNS = {
     "whitespace": r"\s+",
     "prefix": r"[^\p{L}\p{N}_]+",
 }
-DEFAULT_PREFIX_MAX = 10
 
 
 def tokens(text, tokenizer: str = "word", lowercase: bool = True,
@@ -35,10 +34,11 @@ def tokens(text, tokenizer: str = "word", lowercase: bool = True,
     arr = F.array_remove(F.split(t, SPLIT_PATTERNS[tokenizer]), "")
     if tokenizer == "prefix":
         lo = max(1, min_len or 1)
-        hi = max_len or DEFAULT_PREFIX_MAX
-        # each token becomes its prefixes of length lo..min(hi, len); shorter tokens vanish
+        # each token becomes its prefixes of length lo to max_len (its own length without one);
+        # shorter tokens vanish
+        upto = (lambda w: F.least(F.lit(max_len), F.length(w))) if max_len else F.length
         arr = F.flatten(F.transform(arr, lambda w: F.transform(
-            F.sequence(F.lit(lo), F.greatest(F.lit(lo), F.least(F.lit(hi), F.length(w)))),
+            F.sequence(F.lit(lo), F.greatest(F.lit(lo), upto(w))),
             lambda n: F.substring(w, 1, n))))
         arr = F.filter(arr, lambda x: F.length(x) >= lo)
         return arr

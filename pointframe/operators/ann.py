@@ -46,7 +46,7 @@ def training_sample(df: DataFrame, train_rows: int | None, train_fraction: float
 
 def build_ivf(coll: Collection, n_cells: int = 16, *, using: str | None = None, seed: int = 0,
               max_iter: int = 20, train_fraction: float | None = None,
-              train_rows: int | None = 1_000_000) -> tuple[DataFrame, DataFrame]:
+              train_rows: int | None = None) -> tuple[DataFrame, DataFrame]:
     """Train cells and assign every point: returns ``(centroids, index_df)``.
 
     ``centroids``: ``cell int, centroid array<double>`` (n_cells rows).

@@ -67,5 +67,4 @@ def search_batch(coll: Collection, requests: list[dict], *, using: str | None =
         pts = pts.withColumn(name, build_filter(json.loads(key), coll.df.schema, coll.id))
         mask_cols.append(name)
     return kernel.knn(pts, coll.id, spec.column, queries, k="limit", distance=spec.distance,
-                      point_mask_cols=mask_cols, query_mask_col="filter_idx" if mask_cols else None,
-                      force="broadcast", **kw)
+                      point_mask_cols=mask_cols, query_mask_col="filter_idx" if mask_cols else None, **kw)

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from pointframe.functions import distance as D
 from pointframe.operators import examples as X
-from pointframe.operators.kernel import TopK, _matrix, score_matrix, usable_rows
+from pointframe.operators.kernel import TopK, _matrix, arrow_ids, id_array, score_matrix, usable_rows
 from pointframe.operators.recommend import similarity
 from pointframe.operators.search import filtered, point_vector, project, top
 from pointframe.session import ship_package
@@ -150,7 +150,7 @@ def discover_batch(coll: Collection, requests: list[dict], *, using: str | None
             if b.num_rows == 0:
                 continue
             P = _matrix(b.column("pvec"))
-            ids = b.column("id").to_numpy(zero_copy_only=False).astype(np.int64)
+            ids = id_array(b.column("id"))
             S = score_matrix(E_, P, dist)          # (examples x points)
             S = S if higher else -S
             out = np.full((nq, len(ids)), np.nan)
@@ -168,15 +168,16 @@ def discover_batch(coll: Collection, requests: list[dict], *, using: str | None
                 tv = t[0]
                 out[q] = rank + 0.5 * (1.0 + tv / (1.0 + np.abs(tv)))
                 if ex_ids.get(q):
-                    out[q, np.isin(ids, np.array(sorted(ex_ids[q]), dtype=np.int64))] = np.nan
+                    out[q, np.isin(ids, np.array(list(ex_ids[q]), dtype=ids.dtype if ids.dtype.kind == "i" else np.str_))] = np.nan
             top_.add_scores(out, np.arange(nq), ids)
         qi, pid, raw = top_.result()
         if len(qi):
-            yield pa.RecordBatch.from_arrays([pa.array(qi.astype(np.int64)), pa.array(pid), pa.array(raw)],
+            yield pa.RecordBatch.from_arrays([pa.array(qi.astype(np.int64)), arrow_ids(pid), pa.array(raw)],
                                              names=["query_id", "id", "raw"])
 
-    pts = coll.df.select(F.col(coll.id).cast("long").alias("id"), F.col(spec.column).alias("pvec"))
-    cands = pts.mapInArrow(run, "query_id long, id long, raw double")
+    id_type = "string" if coll.df.schema[coll.id].dataType.simpleString() == "string" else "long"
+    pts = coll.df.select(F.col(coll.id).cast(id_type).alias("id"), F.col(spec.column).alias("pvec"))
+    cands = pts.mapInArrow(run, f"query_id long, id {id_type}, raw double")
     lim = spark.createDataFrame([(m[0], m[2]) for m in meta], "query_id long, limit int")
     w = Window.partitionBy("query_id").orderBy(F.col("score").desc(), F.col("id").asc())
     ranked = (cands.withColumn("score", F.round("raw", D.SCORE_DIGITS)).drop("raw")

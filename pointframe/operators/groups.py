@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pointframe.functions import distance as D
-from pointframe.operators.search import filtered, score_filter, scored
+from pointframe.operators.search import filtered, payload_columns, score_filter, scored
 from pointframe.sources.collection import Collection
 
 
@@ -32,7 +32,7 @@ def group_hits(scored_df: DataFrame, group_by: str, distance: str, group_size: i
     -> exploded back to hit rows. The vectors are scanned and scored once.
     """
     dtype = scored_df.schema[group_by].dataType
-    g = F.explode_outer(group_by) if isinstance(dtype, T.ArrayType) else F.col(group_by)
+    g = F.explode_outer(F.array_distinct(group_by)) if isinstance(dtype, T.ArrayType) else F.col(group_by)
     s = scored_df.select("*", g.alias("group_id")).filter(F.col("group_id").isNotNull())
     higher = D.higher_is_better(distance)
     hw = Window.partitionBy("group_id").orderBy(*D.order_columns(distance))
@@ -75,9 +75,9 @@ def query_groups(coll: Collection, vector, *, group_by: str, group_size: int = 3
                  lookup_payload=True, lookup_vectors=False, engine: str = "auto") -> DataFrame:
     """Grouped nearest search (Q16), optionally with a lookup record per group (Q17)."""
     spec = coll.vector(using)
-    payload = with_payload
-    if payload is not True and group_by not in (payload or []):
-        payload = list(payload or []) + [group_by]
+    payload = payload_columns(coll, with_payload)
+    if group_by not in payload:
+        payload = [*payload, group_by]
     s = scored(coll, filtered(coll, filter), vector, using=using, with_payload=payload, engine=engine)
     out = group_hits(s, group_by, spec.distance, group_size, limit, score_threshold)
     return with_lookup(out, lookup, lookup_payload, with_vectors=lookup_vectors) if lookup is not None else out

@@ -64,11 +64,13 @@ def value_index_stats(df: DataFrame, id_col: str, field: str) -> DataFrame:
 # ---------------------------------------------------------------- ranges
 
 
-def range_layout(df: DataFrame, field: str, partitions: int | None = None) -> DataFrame:
+def range_layout(df: DataFrame, field: str, partitions: int | None = None, id_col: str | None = None) -> DataFrame:
     """Range-partition and sort by ``field`` so parquet row-group min/max statistics
     let range filters skip files (I2). Write the result with ``df.write.parquet``."""
+    # the id as second key splits a value that very many rows share
+    keys = [F.col(field), *([F.col(id_col)] if id_col else [])]
     n = partitions or df.sparkSession.conf.get("spark.sql.shuffle.partitions")
-    return df.repartitionByRange(int(n), F.col(field)).sortWithinPartitions(field)
+    return df.repartitionByRange(int(n), *keys).sortWithinPartitions(*keys)
 
 
 def range_layout_summary(df: DataFrame, field: str) -> DataFrame:

@@ -1,27 +1,21 @@
 """Many-query k-nearest-neighbour kernel (Q5, and the batch forms of R3, X3, M1, M2).
 
-Two physical shapes, chosen by a size check on the query side:
-
-* **broadcast** (query matrix <= ``max_broadcast_bytes``): the query matrix is
-  shipped once to every executor; each point partition is scanned through
-  ``mapInArrow`` (zero-copy Arrow -> NumPy), scored with one matrix multiply per
-  Arrow batch, and keeps a local top-k per query. Points are not shuffled
-  (a round-robin ``spread`` only when the scan yields fewer partitions than
-  cores); only ``partitions x queries x k`` candidate rows move.
-* **blocked** (larger query sets): points and queries are hashed into blocks of
-  bounded size and ``cogroup`` pairs every point block with every query block.
-  Each task holds one point block and one query block, so task memory is
-  bounded by the block sizes, not by the data.
-
-Both emit *candidates*: every point whose raw score is within ``TIE_EPS`` of the
-local k-th best, so rounding to 6 digits and the (score, id) tie-break applied
-afterwards in Spark can never lose a row that belongs in the global top-k.
-The final cut is a ``row_number`` window per query (``WindowGroupLimit``).
+The query side is cut into blocks of at most ``max_broadcast_bytes`` (usually one).
+Each block's matrix is broadcast in turn; each point partition is scanned through
+``mapInArrow`` (zero-copy Arrow -> NumPy), scored with one matrix operation per Arrow
+batch, and keeps its k best rows per query. Points are never exchanged (a
+round-robin ``spread`` only when the scan yields fewer partitions than cores) and
+never copied per block; at most ``tasks x queries x k`` candidate rows move.
+
+Every task cuts on exactly what the final cut uses: the score as Spark rounds it,
+then the id. However many points tie, a task keeps k of them. The final cut is a
+``row_number`` window per query (``WindowGroupLimit``). Ids keep their own type.
 """
 
 from __future__ import annotations
 
 import math
+from decimal import ROUND_HALF_UP, Decimal
 
 import numpy as np
 import pyarrow as pa
@@ -29,7 +23,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pointframe.functions import distance as D
-from pointframe.plans.partitioning import scan_partitions, spread
+from pointframe.plans.partitioning import spread
 from pointframe.session import ship_package
 
 TIE_EPS = 2e-6
@@ -75,47 +69,66 @@ def score_matrix(Q: np.ndarray, P: np.ndarray, distance: str) -> np.ndarray:
                 S = S / (qn[:, None] * pn[None, :])
             S[~np.isfinite(S)] = np.nan
         return S
-    if d == D.EUCLID:
-        qn2 = np.einsum("ij,ij->i", Q, Q)
-        pn2 = np.einsum("ij,ij->i", P, P)
-        S = qn2[:, None] + pn2[None, :] - 2.0 * (Q @ P.T)
-        return np.sqrt(np.maximum(S, 0.0))
+    # distances from the differences themselves: a^2 + b^2 - 2ab loses the digits of near points
     out = np.empty((Q.shape[0], P.shape[0]))
     step = max(1, SCORE_CHUNK_ELEMS // max(1, P.shape[0] * max(1, P.shape[1])))
     for s in range(0, Q.shape[0], step):
-        out[s:s + step] = np.abs(Q[s:s + step, None, :] - P[None, :, :]).sum(axis=2)
+        diff = Q[s:s + step, None, :] - P[None, :, :]
+        out[s:s + step] = (np.sqrt(np.einsum("ijk,ijk->ij", diff, diff)) if d == D.EUCLID
+                           else np.abs(diff).sum(axis=2))
     return out
 
 
-def _select(qidx: np.ndarray, ids: np.ndarray, raw: np.ndarray, k: np.ndarray,
+def round_half_up(x: np.ndarray, digits: int = D.SCORE_DIGITS) -> np.ndarray:
+    """``x`` as Spark's ``round`` gives it: half up on the shortest decimal form."""
+    scale = 10.0 ** digits
+    up = np.abs(x) * scale
+    out = np.sign(x) * np.floor(up + 0.5) / scale
+    # near a half, and where doubles are coarser than the last digit, decide on the decimal form
+    doubt = np.isfinite(x) & ((np.abs(up - np.floor(up) - 0.5) < 1e-3) | (up > 1e14))
+    if doubt.any():
+        some, at = np.unique(x[doubt], return_inverse=True)
+        unit = Decimal(1).scaleb(-digits)
+        exact = [float(Decimal(repr(float(v))).quantize(unit, ROUND_HALF_UP)) if abs(v) < 1e15 else float(v) for v in some]
+        out[doubt] = np.asarray(exact)[at]
+    return out + 0.0  # no negative zero
+
+
+def id_array(column) -> np.ndarray:
+    """An Arrow id column as int64 or as str, both in Spark's order."""
+    if isinstance(column, pa.ChunkedArray):
+        column = column.combine_chunks()
+    if pa.types.is_integer(column.type):
+        return column.to_numpy(zero_copy_only=False).astype(np.int64)
+    return np.array(column.to_pylist(), dtype=np.str_)
+
+
+def arrow_ids(ids: np.ndarray) -> pa.Array:
+    return pa.array(ids) if ids.dtype.kind == "i" else pa.array(ids.tolist(), pa.string())
+
+
+def _select(qidx: np.ndarray, ids: np.ndarray, score: np.ndarray, k: np.ndarray,
             higher: bool) -> np.ndarray:
-    """Indices of candidates to keep: per query, every row within TIE_EPS of its k-th best."""
-    if len(raw) == 0:
+    """Indices of the k best rows of each query by (rounded score, id)."""
+    if len(score) == 0:
         return np.zeros(0, dtype=np.int64)
-    key = -raw if higher else raw
-    order = np.lexsort((ids, key, qidx))
+    order = np.lexsort((ids, -score if higher else score, qidx))
     q_sorted = qidx[order]
     starts = np.r_[0, np.flatnonzero(np.diff(q_sorted)) + 1]
     sizes = np.diff(np.r_[starts, len(order)])
     pos = np.arange(len(order)) - np.repeat(starts, sizes)
-    kk = k[q_sorted]
-    # k-th best key of each group (or +inf when the group has fewer than k rows)
-    kth_pos = starts + np.minimum(kk[starts], sizes) - 1
-    kth = np.where(kk[starts] <= sizes, key[order][kth_pos], np.inf)
-    bound = np.repeat(kth, sizes) + TIE_EPS
-    keep = (pos < kk) | (key[order] <= bound)
-    return order[keep]
+    return order[pos < k[q_sorted]]
 
 
 class TopK:
-    """Running candidate set of (query index, point id, raw score) inside one task."""
+    """Running candidate set of (query index, point id, rounded score) inside one task."""
 
     def __init__(self, k: np.ndarray, higher: bool):
         self.k = k
         self.higher = higher
-        self.q = [np.zeros(0, np.int64)]
-        self.i = [np.zeros(0, np.int64)]
-        self.s = [np.zeros(0, np.float64)]
+        self.q: list[np.ndarray] = []
+        self.i: list[np.ndarray] = []
+        self.s: list[np.ndarray] = []
         self.n = 0
 
     def add_scores(self, S: np.ndarray, q_index: np.ndarray, ids: np.ndarray,
@@ -128,20 +141,25 @@ class TopK:
         valid = ~np.isnan(S)
         if mask is not None:
             valid &= mask
-        key = np.where(valid, -S if self.higher else S, np.inf)
         if b > kmax:
-            # k-th smallest key per row; keep everything within TIE_EPS of it
+            # a cheap superset first: whatever could round to the k-th best
+            key = np.where(valid, -S if self.higher else S, np.inf)
             kth = np.partition(key, kmax - 1, axis=1)[:, kmax - 1]
             valid &= key <= (kth[:, None] + TIE_EPS)
         r, c = np.nonzero(valid)
-        self.q.append(q_index[r].astype(np.int64))
-        self.i.append(ids[c].astype(np.int64))
-        self.s.append(S[r, c])
-        self.n += len(r)
-        if self.n > 8 * max(1, len(self.k)) * max(1, kmax) + 100_000:
+        score = round_half_up(S[r, c])
+        q = q_index[r].astype(np.int64)
+        keep = _select(q, ids[c], score, self.k, self.higher)
+        self.q.append(q[keep])
+        self.i.append(ids[c][keep])
+        self.s.append(score[keep])
+        self.n += len(keep)
+        if self.n > 4 * max(1, len(self.k)) * max(1, kmax) + 100_000:
             self.compact()
 
     def compact(self) -> None:
+        if not self.q:
+            return
         q, i, s = np.concatenate(self.q), np.concatenate(self.i), np.concatenate(self.s)
         keep = _select(q, i, s, self.k, self.higher)
         self.q, self.i, self.s = [q[keep]], [i[keep]], [s[keep]]
@@ -149,6 +167,9 @@ class TopK:
 
     def result(self):
         self.compact()
+        if not self.q:
+            none = np.zeros(0, np.int64)
+            return none, none, np.zeros(0)
         return self.q[0], self.i[0], self.s[0]
 
 
@@ -169,78 +190,56 @@ def knn(points: DataFrame, id_col: str, vec_col: str, queries: DataFrame, *,
         distance: str = D.COSINE, point_mask_cols: list[str] | None = None,
         query_mask_col: str | None = None, exclude_col: str | None = None,
         max_broadcast_bytes: int = DEFAULT_MAX_BROADCAST_BYTES,
-        query_block_rows: int | None = None, point_block_rows: int | None = None,
-        force: str | None = None, dim: int | None = None) -> DataFrame:
+        dim: int | None = None) -> DataFrame:
     """Top-``k`` points for every query row: ``query_id, id, score, rank``.
 
     ``k`` is an int or the name of a per-query column. ``point_mask_cols`` are
     boolean point columns (one per distinct filter) and ``query_mask_col`` holds,
-    per query, the index into them (or NULL for no filter) - only on the broadcast
-    path. ``exclude_col`` is a query column holding one point id to leave out
+    per query, the index into them (or NULL for no filter). ``exclude_col`` is a query column holding one point id to leave out
     (the query point itself in a self join).
     """
     distance = D.canonical(distance)
     k_lit = k if isinstance(k, int) else None
+    id_type = "string" if points.schema[id_col].dataType.simpleString() == "string" else "long"
     qcols = [F.col(query_id).alias("query_id"), F.col(query_vec).alias("qvec"),
              (F.lit(k) if k_lit is not None else F.col(k)).cast("int").alias("_k"),
              (F.col(query_mask_col) if query_mask_col else F.lit(None)).cast("int").alias("_mask"),
-             (F.col(exclude_col) if exclude_col else F.lit(None)).cast("long").alias("_excl")]
+             (F.col(exclude_col) if exclude_col else F.lit(None)).cast(id_type).alias("_excl")]
     # a query without a vector has no neighbours (and would break the batch matrix)
     q = queries.select(*qcols).filter(F.col("qvec").isNotNull())
-    p = points.select(F.col(id_col).cast("long").alias("id"), F.col(vec_col).alias("pvec"),
+    p = points.select(F.col(id_col).cast(id_type).alias("id"), F.col(vec_col).alias("pvec"),
                       *[F.col(c).alias(f"_m{j}") for j, c in enumerate(point_mask_cols or [])])
-    path = force
-    fetched = None
-    if path is None:
-        if dim:
-            # size check fused with the fetch: at most max_rows + 1 query rows ever reach
-            # the driver; more than max_rows means the blocked plan (with every row)
-            max_rows = max(1, max_broadcast_bytes // (8 * dim))
-            fetched = q.limit(max_rows + 1).toArrow()
-            path = "broadcast" if fetched.num_rows <= max_rows else "blocked"
-            if path == "blocked":
-                fetched = None
-        else:
-            # size check of the query side: one aggregation job, no data to the driver
-            stats = q.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("qvec")).alias("d")).first()
-            nbytes = int(stats["n"] or 0) * int(stats["d"] or 0) * 8
-            path = "broadcast" if nbytes <= max_broadcast_bytes else "blocked"
-    if path == "broadcast":
-        cands = _broadcast_candidates(p, q, distance, len(point_mask_cols or []), fetched)
+    if dim is None:
+        dim = q.agg(F.max(F.size("qvec")).alias("d")).first()["d"] or 1
+    # at most max_rows + 1 query rows reach the driver at once; more are cut into blocks by a
+    # hash of the id, each of about two thirds of the bound
+    max_rows = max(1, max_broadcast_bytes // (8 * dim))
+    fetched = q.limit(max_rows + 1).toArrow()
+    if fetched.num_rows <= max_rows:
+        blocks = [fetched]
     else:
-        if query_mask_col:
-            raise ValueError("per-query filters need the broadcast path; filter the points instead")
-        cands = _blocked_candidates(p, q, distance, query_block_rows, point_block_rows)
+        n = math.ceil(1.5 * q.count() / max_rows)
+        block = F.pmod(F.xxhash64("query_id"), F.lit(n))
+        blocks = (q.where(block == i).toArrow() for i in range(n))
+    cands = None
+    for table in blocks:
+        if cands is not None and not table.num_rows:
+            continue
+        part = _block_candidates(p, table, distance, len(point_mask_cols or []), id_type)
+        cands = part if cands is None else cands.unionByName(part)
     return _finish(cands, distance, k_lit)
 
 
-_CAND_SCHEMA = "query_id long, id long, raw double, _k int"
-# upper bound on candidate rows the broadcast kernel may emit before the final ranking
-CANDIDATE_BUDGET = 200_000_000
-
-
-def _scan_partitions(p: DataFrame, per_task: int) -> DataFrame:
-    """Coalesce the point scan when partitions x per-task candidates exceed the budget
-    (never below the cluster's parallelism)."""
-    n = scan_partitions(p)  # None for plans that shuffle: their partition count is the shuffle's
-    if n is None:
-        return p
-    cap = max(p.sparkSession.sparkContext.defaultParallelism, CANDIDATE_BUDGET // max(1, per_task))
-    return p.coalesce(cap) if n > cap else p
-
-
-def _broadcast_candidates(p: DataFrame, q: DataFrame, distance: str, n_masks: int,
-                          fetched: pa.Table | None = None) -> DataFrame:
+def _block_candidates(p: DataFrame, qt: pa.Table, distance: str, n_masks: int, id_type: str) -> DataFrame:
+    """Candidates of one block of queries (at most ``max_broadcast_bytes``) from every point partition."""
     spark = p.sparkSession
     ship_package(spark)
-    # bounded by the size check above: the query side fits the broadcast budget
-    qt = fetched if fetched is not None else q.toArrow()
     Q = _matrix(qt.column("qvec"))
     meta = {
-        "qid": qt.column("query_id").to_numpy(zero_copy_only=False).astype(np.int64),
+        "qid": qt.column("query_id").combine_chunks(),
         "k": qt.column("_k").to_numpy(zero_copy_only=False).astype(np.int64),
         "mask": qt.column("_mask").to_pandas().fillna(-1).to_numpy().astype(np.int64),
-        "excl": qt.column("_excl").to_pandas().fillna(np.iinfo(np.int64).min).to_numpy().astype(np.int64),
+        "excl": qt.column("_excl").to_pylist(),
     }
     bc = spark.sparkContext.broadcast((Q, meta))
     higher = D.higher_is_better(distance)
@@ -251,13 +250,16 @@ def _broadcast_candidates(p: DataFrame, q: DataFrame, distance: str, n_masks: in
         top = TopK(m["k"], higher)
         q_all = np.arange(nq)
         any_mask = (m["mask"] >= 0).any()
-        any_excl = (m["excl"] != np.iinfo(np.int64).min).any()
+        excl = {}  # point id -> queries that leave it out
+        for i, x in enumerate(m["excl"]):
+            if x is not None:
+                excl.setdefault(x, []).append(i)
         for batch in batches:
             if batch.num_rows == 0:
                 continue
             pv = batch.column("pvec")
             ok = usable_rows(pv, Qm.shape[1])
-            ids = batch.column("id").to_numpy(zero_copy_only=False)
+            ids = id_array(batch.column("id"))
             if not ok.all():
                 batch = batch.filter(pa.array(ok))
                 pv, ids = batch.column("pvec"), ids[ok]
@@ -268,6 +270,10 @@ def _broadcast_candidates(p: DataFrame, q: DataFrame, distance: str, n_masks: in
             if n_masks:
                 masks = np.stack([np.asarray(batch.column(f"_m{j}").fill_null(False).to_numpy(zero_copy_only=False),
                                              dtype=bool) for j in range(n_masks)])
+            out_q = out_p = None
+            if excl:
+                cells = [(i, j) for j, x in enumerate(ids.tolist()) if x in excl for i in excl[x]]
+                out_q, out_p = (np.array(c, dtype=np.int64) for c in zip(*cells, strict=True)) if cells else (None, None)
             step = max(1, SCORE_CHUNK_ELEMS // max(1, P.shape[0]))
             for s in range(0, nq, step):
                 qi = q_all[s:s + step]
@@ -278,64 +284,18 @@ def _broadcast_candidates(p: DataFrame, q: DataFrame, distance: str, n_masks: in
                     mk = np.ones(S.shape, dtype=bool)
                     has = sel >= 0
                     mk[has] = masks[sel[has]]
-                if any_excl:
-                    ex = m["excl"][qi][:, None] == ids[None, :]
-                    mk = ~ex if mk is None else (mk & ~ex)
+                if out_q is not None:
+                    here = (out_q >= s) & (out_q < s + len(qi))
+                    mk = np.ones(S.shape, dtype=bool) if mk is None else mk
+                    mk[out_q[here] - s, out_p[here]] = False
                 top.add_scores(S, qi, ids, mk)
-        qi, ids, raw = top.result()
+        qi, ids, score = top.result()
         if len(qi):
             yield pa.RecordBatch.from_arrays(
-                [pa.array(m["qid"][qi]), pa.array(ids), pa.array(raw), pa.array(m["k"][qi].astype(np.int32))],
+                [m["qid"].take(pa.array(qi)), arrow_ids(ids), pa.array(score), pa.array(m["k"][qi].astype(np.int32))],
                 names=["query_id", "id", "raw", "_k"])
 
-    # CPU-heavy scan: give it every core when the points arrive in fewer partitions; and
-    # when there are very many partitions, merge them (no shuffle) so that the candidate
-    # volume - partitions x queries x k - stays within a budget whatever the data size
-    return _scan_partitions(spread(p), int(Q.shape[0]) * int(meta["k"].max() if len(meta["k"]) else 1)) \
-        .mapInArrow(run, _CAND_SCHEMA)
-
-
-def _blocked_candidates(p: DataFrame, q: DataFrame, distance: str,
-                        query_block_rows: int | None, point_block_rows: int | None) -> DataFrame:
-    ship_package(p.sparkSession)
-    counts = q.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("qvec")).alias("d")).first()
-    nq, dim = int(counts["n"] or 0), int(counts["d"] or 1)
-    n_p = p.count()
-    # ~8 MB of doubles per block row set unless told otherwise
-    qrows = query_block_rows or max(64, (8 << 20) // (8 * dim))
-    prows = point_block_rows or max(256, (32 << 20) // (8 * dim))
-    nqb = max(1, math.ceil(nq / qrows))
-    npb = max(1, math.ceil(n_p / prows))
-    # both sides must key the cogroup with identical types (int, int): a long key on one
-    # side and an int key on the other hash to different partitions and never meet
-    pr = (p.select("id", "pvec", F.pmod(F.xxhash64("id"), F.lit(npb)).cast("int").alias("pb"))
-           .withColumn("qb", F.explode(F.sequence(F.lit(0), F.lit(nqb - 1)))))
-    qr = (q.select("query_id", "qvec", "_k", "_excl",
-                   F.pmod(F.xxhash64("query_id"), F.lit(nqb)).cast("int").alias("qb"))
-           .withColumn("pb", F.explode(F.sequence(F.lit(0), F.lit(npb - 1)))))
-    higher = D.higher_is_better(distance)
-
-    def block(pp, qq):
-        import pandas as pd
-        if len(pp) == 0 or len(qq) == 0:
-            return pd.DataFrame({"query_id": [], "id": [], "raw": [], "_k": []})
-        Qm = np.stack(qq["qvec"].to_numpy()).astype(np.float64)
-        # points without a vector or of another dimension get no score (as on the expression path)
-        pp = pp[pp["pvec"].map(lambda v: v is not None and len(v) == Qm.shape[1])]
-        P = np.stack(pp["pvec"].to_numpy()).astype(np.float64) if len(pp) else np.zeros((0, Qm.shape[1]))
-        ids = pp["id"].to_numpy(np.int64)
-        k = qq["_k"].to_numpy(np.int64)
-        excl = qq["_excl"].fillna(np.iinfo(np.int64).min).to_numpy(np.int64)
-        top = TopK(k, higher)
-        qi_all = np.arange(len(qq))
-        step = max(1, SCORE_CHUNK_ELEMS // max(1, P.shape[0]))
-        for s in range(0, len(qq), step):
-            qi = qi_all[s:s + step]
-            S = score_matrix(Qm[qi], P, distance)
-            top.add_scores(S, qi, ids, excl[qi][:, None] != ids[None, :])
-        qi, pid, raw = top.result()
-        return pd.DataFrame({"query_id": qq["query_id"].to_numpy(np.int64)[qi], "id": pid,
-                             "raw": raw, "_k": k[qi].astype(np.int32)})
-
-    return (pr.groupBy("pb", "qb").cogroup(qr.groupBy("pb", "qb"))
-              .applyInPandas(block, _CAND_SCHEMA))
+    qid = str(qt.schema.field("query_id").type)
+    kind = "string" if "string" in qid else "int" if qid == "int32" else "long"
+    # CPU-heavy scan: give it every core when the points arrive in fewer partitions
+    return spread(p).mapInArrow(run, f"query_id {kind}, id {id_type}, raw double, _k int")

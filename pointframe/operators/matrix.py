@@ -1,9 +1,10 @@
 """Distance matrix over a sample (M1, M2).
 
-``sample`` points are drawn with the seeded order of ``search.sample``; for every
-sampled point its ``limit`` nearest *other* sampled points are returned (our
-reading of ``limit``: neighbours per point). The k-NN kernel does the scoring;
-the sample is bounded by its parameter, so it takes the broadcast path.
+``sample`` points are drawn with the seeded order of ``search.sample``; of all
+unordered pairs of them the ``limit`` best are returned, best first (ties by the
+two ids, the smaller id is ``a``). The k-NN kernel does the scoring: a pair among
+the best ``limit`` is among the ``limit`` nearest of either end, so a k-NN of
+that depth holds every pair that can be returned.
 """
 
 from __future__ import annotations
@@ -11,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from pointframe.functions import distance as D
 from pointframe.operators import kernel
 from pointframe.operators.search import sample as draw
 from pointframe.sources.collection import Collection
@@ -25,12 +27,14 @@ def _sampled(coll: Collection, sample: int, seed: int, filter, using) -> tuple[D
 
 def matrix_pairs(coll: Collection, sample: int = 10, limit: int = 3, filter: dict | None = None,
                  seed: int = 0, using: str | None = None) -> DataFrame:
-    """``a, b, score``: for each sampled point a, its ``limit`` nearest sampled points b != a."""
+    """``a, b, score``: the ``limit`` best pairs a < b among the sampled points, best first."""
     s, dist = _sampled(coll, sample, seed, filter, using)
     q = s.select(F.col("id").alias("query_id"), F.col("vec").alias("vector"), F.col("id").alias("self"))
     res = kernel.knn(s, "id", "vec", q, k=limit, distance=dist, exclude_col="self",
                      dim=coll.vector(using).size)
-    return res.select(F.col("query_id").alias("a"), F.col("id").alias("b"), "score")
+    best = F.col("score").desc() if D.higher_is_better(dist) else F.col("score").asc()
+    return (res.where(F.col("query_id") < F.col("id")).select(F.col("query_id").alias("a"), F.col("id").alias("b"), "score")
+            .orderBy(best, "a", "b").limit(limit))
 
 
 def matrix_ids(coll: Collection, sample: int = 10, filter: dict | None = None, seed: int = 0) -> DataFrame:

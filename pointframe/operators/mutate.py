@@ -108,7 +108,7 @@ def update_vectors(coll: Collection, updates: DataFrame, seq: str | None = None)
     vec_cols = [c for c in updates.columns if c in coll.vector_columns]
     if not vec_cols:
         raise ValueError(f"updates hold no vector column of {coll.vector_columns}")
-    u = dedup_latest(updates.select(coll.id, *vec_cols, *([seq] if seq else [])), coll.id, seq, check=False)
+    u = dedup_latest(updates.select(coll.id, *vec_cols, *([seq] if seq else [])), coll.id, seq, check=seq is None)
     u = u.select(coll.id, *[F.col(c).alias("_new_" + c) for c in vec_cols])
     j = coll.df.join(u, coll.id, "left")
     j = j.withColumns({c: F.coalesce(F.col("_new_" + c), F.col(c)) for c in vec_cols})
@@ -263,13 +263,27 @@ def batch_update(coll: Collection, ops: list[dict], checkpoint_every: int = 8) -
     return state
 
 
+# the order of events with one number: the row as a whole first, its end last
+CHANGELOG_OPS = ("upsert", "overwrite_payload", "set_payload", "update_vectors", "delete_payload", "delete_vectors",
+                 "clear_payload", "delete")
+
+
 def apply_changelog(coll: Collection, log: DataFrame, seq: str = "seq", op: str = "op") -> Collection:
     """Apply a large id-keyed change log in one pass.
 
-    ``log`` has the collection's columns plus ``seq`` and ``op`` in
-    {'upsert', 'delete', 'set_payload'}. Per id, the last full-row event (the base
-    row, an upsert or a delete) fixes the row; ``set_payload`` events after it
-    overwrite the payload columns they set (non-NULL values).
+    ``log`` has the collection's columns plus ``seq`` and ``op``, one of
+    ``CHANGELOG_OPS``, and may have ``keys`` (array of column names). An upsert or
+    a delete fixes the whole row; later events write single columns:
+
+    - set_payload: the payload columns named in ``keys``, NULL included; without
+      ``keys`` those that are not NULL
+    - overwrite_payload: every payload column; clear_payload: every one to NULL
+    - delete_payload, delete_vectors: the columns named in ``keys`` to NULL
+    - update_vectors: the vector columns that are not NULL
+
+    Events apply in the order of ``seq`` (any long, the base row comes before all);
+    of equal ``seq`` upserts come first and deletes last, and equal kinds are
+    ordered by their rows, so the result never depends on the partitioning.
 
     Plan: only ids that occur in the log are aggregated - the base rows of those
     ids (semi join) and their events, grouped by id with partial aggregation, so
@@ -279,32 +293,37 @@ def apply_changelog(coll: Collection, log: DataFrame, seq: str = "seq", op: str
     """
     cols = coll.df.columns
     payload = coll.payload_columns
-    checked_op = F.when(F.col(op).isin("upsert", "delete", "set_payload"), F.col(op)).otherwise(
+    checked_op = F.when(F.col(op).isin(*CHANGELOG_OPS), F.col(op)).otherwise(
         F.raise_error(F.concat(F.lit("unknown changelog op: "), F.coalesce(F.col(op), F.lit("NULL")))))
+    given = F.col("keys") if "keys" in log.columns and "keys" not in cols else F.lit(None).cast("array<string>")
     ev = log.select(*[F.col(c) if c in log.columns else F.lit(None).cast(coll.df.schema[c].dataType).alias(c)
-                      for c in cols], F.col(seq).cast("long").alias(seq), checked_op.cast("string").alias(op))
+                      for c in cols], F.col(seq).cast("long").alias("_seq"), checked_op.cast("string").alias("_op"), given.alias("_keys"))
     ids = log.select(F.col(coll.id)).distinct()
     untouched = coll.df.join(ids, coll.id, "left_anti")
     touched = coll.df.join(ids, coll.id, "left_semi")
-    base = touched.select(*cols, F.lit(-1).cast("long").alias(seq), F.lit("base").alias(op))
-    allrows = base.unionByName(ev)
-    full = F.col(op).isin("base", "upsert", "delete")
+    base = touched.select(*cols, F.lit(None).cast("long").alias("_seq"), F.lit("base").alias("_op"),
+                          F.lit(None).cast("array<string>").alias("_keys"))
+    kind = F.array_position(F.array(*[F.lit(o) for o in CHANGELOG_OPS]), F.col("_op"))
+    tie = F.xxhash64(*[c for c in cols if _orderable(coll.df.schema[c].dataType)])
+    # the base row precedes every event, whatever the numbers of the log
+    rows = base.unionByName(ev).withColumn("_at", F.struct(
+        (F.col("_op") != "base").alias("event"), "_seq", kind.alias("kind"), tie.alias("tie")))
     others = [c for c in cols if c != coll.id]
-    agg = [F.max(F.when(full, F.col(seq))).alias("_full_seq"),
-           F.max_by(F.struct(F.col(op).alias("_op"), *others), F.when(full, F.col(seq))).alias("_row")]
-    for c in payload:
-        agg.append(F.max_by(F.col(c), F.when((F.col(op) == "set_payload") & F.col(c).isNotNull(),
-                                             F.col(seq))).alias("_set_" + c))
-        agg.append(F.max(F.when((F.col(op) == "set_payload") & F.col(c).isNotNull(), F.col(seq)))
-                    .alias("_setseq_" + c))
-    g = allrows.groupBy(coll.id).agg(*agg)
-    g = g.filter(F.col("_row._op") != "delete").filter(F.col("_full_seq").isNotNull())
-    sel = [F.col(coll.id)]
+    full = F.when(F.col("_op").isin("base", "upsert", "delete"), F.col("_at"))
+    agg = [F.max(full).alias("_full"), F.max_by(F.struct("_op", *others), full).alias("_row")]
+    named = F.col("_keys").isNotNull()
     for c in others:
+        in_keys = named & F.coalesce(F.array_contains("_keys", c), F.lit(False))
         if c in payload:
-            sel.append(F.when(F.col("_setseq_" + c) > F.col("_full_seq"), F.col("_set_" + c))
-                        .otherwise(F.col("_row." + c)).alias(c))
+            writes = (((F.col("_op") == "set_payload") & F.when(named, in_keys).otherwise(F.col(c).isNotNull()))
+                      | F.col("_op").isin("overwrite_payload", "clear_payload") | ((F.col("_op") == "delete_payload") & in_keys))
         else:
-            sel.append(F.col("_row." + c).alias(c))
-    merged = g.select(*sel)
+            writes = ((F.col("_op") == "update_vectors") & F.col(c).isNotNull()) | ((F.col("_op") == "delete_vectors") & in_keys)
+        value = F.when(~F.col("_op").isin("clear_payload", "delete_payload", "delete_vectors"), F.col(c))
+        when = F.when(writes, F.col("_at"))
+        agg += [F.max(when).alias(f"_when_{c}"), F.max_by(F.struct(value.alias("v")), when).alias(f"_set_{c}")]
+    g = rows.groupBy(coll.id).agg(*agg).filter(F.col("_full").isNotNull()).filter(F.col("_row._op") != "delete")
+    merged = g.select(F.col(coll.id), *[
+        F.when(F.coalesce(F.col(f"_when_{c}") > F.col("_full"), F.lit(False)), F.col(f"_set_{c}.v")).otherwise(F.col("_row")[c]).alias(c)
+        for c in others])
     return coll.with_df(untouched.select(*cols).unionByName(merged.select(*cols)))

@@ -100,7 +100,7 @@ def hamming(code: Column, words: list[int]) -> Column:
 
 
 def build_pq(coll: Collection, m: int = 8, k: int = 16, *, using: str | None = None, seed: int = 0,
-             max_iter: int = 20, train_rows: int | None = 1_000_000) -> tuple[Collection, DataFrame]:
+             max_iter: int = 20, train_rows: int | None = None) -> tuple[Collection, DataFrame]:
     """Train ``m`` sub-space codebooks of ``k`` centroids; add ``pqcode array<int>``.
 
     Returns the coded collection and the codebook table ``sub, code, centroid``.

@@ -51,6 +51,15 @@ def run(coll: Collection, request: dict, *, lookup: dict[str, Collection] | None
     payload = request.get("with_payload", True)
     with_vector = request.get("with_vector", False)
     thr = request.get("score_threshold")
+    S.check_params(request.get("params"))
+
+    def above(df: DataFrame) -> DataFrame:
+        return df if thr is None else df.filter(F.col("score") >= thr)
+
+    def no_threshold() -> None:
+        if thr is not None:
+            raise ValueError("score_threshold needs a query that scores points")
+
     src = None
     lf = request.get("lookup_from")
     if lf:
@@ -120,20 +129,22 @@ def run(coll: Collection, request: dict, *, lookup: dict[str, Collection] | None
                     else D.COSINE)
     if kind == "discover":
         x = q["discover"]
-        return XD.discover(base, x["target"], x["context"], using=using, filter=filt,
-                           lookup_from=src[0] if src else None, **common), D.COSINE
+        return above(XD.discover(base, x["target"], x["context"], using=using, filter=filt,
+                                 lookup_from=src[0] if src else None, **common)), D.COSINE
     if kind == "context":
         x = q["context"]
         ctx = x["context"] if isinstance(x, dict) else x
-        return XD.context_search(base, ctx, using=using, filter=filt,
-                                 lookup_from=src[0] if src else None, **common), D.COSINE
+        return above(XD.context_search(base, ctx, using=using, filter=filt,
+                                       lookup_from=src[0] if src else None, **common)), D.COSINE
     if kind == "order_by":
-        return S.scroll(base, filter=filt, limit=limit, order_by=q["order_by"], with_payload=payload,
+        no_threshold()
+        return S.scroll(base, filter=filt, limit=limit, skip=offset, order_by=q["order_by"], with_payload=payload,
                         with_vector=with_vector), D.COSINE
     if kind == "sample":
         if q["sample"] != "random":
             raise ValueError("sample must be 'random'")
-        return S.sample(base, limit=limit, filter=filt, with_payload=payload, with_vector=with_vector), D.COSINE
+        no_threshold()
+        return S.sample(base, limit=limit, skip=offset, filter=filt, with_payload=payload, with_vector=with_vector), D.COSINE
     if kind == "sparse":
         from pointframe.operators import sparse as SP
         if sparse_postings is None:
@@ -142,9 +153,10 @@ def run(coll: Collection, request: dict, *, lookup: dict[str, Collection] | None
         if candidates is not None or filt:
             keep = S.filtered(base, filt).select(F.col(base.id).alias("id"))
             post = post.join(keep, "id", "left_semi")
-        return SP.sparse_search(post, q, limit=limit), D.COSINE
+        return above(SP.sparse_search(post, q, limit=offset + limit).offset(offset)), D.COSINE
     if kind == "none":
-        return S.scroll(base, filter=filt, limit=limit, with_payload=payload, with_vector=with_vector), D.COSINE
+        no_threshold()
+        return S.scroll(base, filter=filt, limit=limit, skip=offset, with_payload=payload, with_vector=with_vector), D.COSINE
     raise ValueError(f"unsupported query kind {kind!r}")
 
 

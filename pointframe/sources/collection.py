@@ -154,12 +154,10 @@ def from_batch(df: DataFrame, ids: str = "ids", vectors: str = "vectors",
     # The length check sits in the row filter so column pruning cannot drop it.
     guarded = df.where(F.when(ok, n > 0).otherwise(
         F.raise_error(F.lit("from_batch: ids, vectors and payloads differ in length"))))
-    fields = [F.col(ids)[F.col("_i")].alias(id_name), F.col(vectors)[F.col("_i")].alias(vector_name)]
-    if payloads:
-        fields.append(F.col(payloads)[F.col("_i")].alias("payload"))
-    out = (guarded.select("*", F.explode(F.sequence(F.lit(0), n - 1)).alias("_i"))
-                  .select(*fields))
-    return out
+    parts = [F.col(ids).alias("i"), F.col(vectors).alias("v")] + ([F.col(payloads).alias("p")] if payloads else [])
+    each = guarded.select(F.explode(F.arrays_zip(*parts)).alias("_e"))
+    fields = [F.col("_e.i").alias(id_name), F.col("_e.v").alias(vector_name)]
+    return each.select(*fields, *([F.col("_e.p").alias("payload")] if payloads else []))
 
 
 def vector_type() -> T.DataType:

@@ -86,14 +86,17 @@ def drop_shard_key(df: DataFrame, key: str, value) -> DataFrame:
     return df.filter(~F.col(key).eqNullSafe(F.lit(value)))
 
 
-def write_sharded(df: DataFrame, key: str, path: str, salt_buckets: int = 8, mode: str = "error") -> None:
+def write_sharded(df: DataFrame, key: str, path: str, rows_per_task: int = 5_000_000, mode: str = "error") -> None:
     """Write one directory per shard key (S13), so reads of one shard prune the rest.
 
-    Rows are shuffled on (key, salt): a shard holding a third of the data is
-    written by ``salt_buckets`` tasks instead of one.
+    Rows are shuffled on (key, salt). A shard's salts follow its counted rows, so a
+    shard holding a third of the data is written by as many tasks as it needs.
     """
-    salt = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(salt_buckets))
-    (df.repartition(F.col(key), salt).write.mode(mode).partitionBy(key).parquet(path))
+    salts = df.groupBy(F.col(key).alias("_k")).agg(F.ceil(F.count(F.lit(1)) / rows_per_task).alias("_n"))
+    salted = df.join(salts, F.col(key).eqNullSafe(F.col("_k")))
+    salt = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns if c != key]), F.col("_n"))
+    out = salted.withColumn("_salt", salt).repartition(F.col(key), F.col("_salt")).select(*df.columns)
+    out.write.mode(mode).partitionBy(key).parquet(path)
 
 
 def read_shard(spark, path: str, key: str, value) -> DataFrame:

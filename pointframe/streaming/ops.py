@@ -71,9 +71,11 @@ def upsert_batch_fn(base: Collection, target: str, seq: str | None = None, bucke
         if ep is not None and ep.filter(F.col("epoch") == epoch_id).limit(1).count():
             return
         state_path = f"{target}/state"
-        if ep is None and not _exists(spark, state_path):
+        # Spark's success marker is written last: a base write that broke off is done again
+        if ep is None and not _exists(spark, f"{target}/_base/_SUCCESS"):
             (base.df.withColumn(BUCKET, _bucket_of(base.id, buckets))
                  .write.mode("overwrite").partitionBy(BUCKET).parquet(state_path))
+            spark.range(1).write.mode("overwrite").parquet(f"{target}/_base")
         changes = batch.withColumn(BUCKET, _bucket_of(base.id, buckets))
         # at most ``buckets`` small ints: the partition list used for pruning
         touched = [r[0] for r in changes.select(BUCKET).distinct().collect()]

@@ -1,6 +1,7 @@
 """Batch k-NN kernel: equal to the expression path, tie-safe, partition-invariant."""
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -37,21 +38,15 @@ def test_kernel_equals_expression_path(spark, emb, distance):
     assert _rows(got) == sorted(want)
 
 
-def test_broadcast_and_blocked_paths_agree(emb):
+def test_one_block_and_many_blocks_agree(emb):
     q = emb.df.select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("vector"))
-    a = knn_join(emb, q, k=5, force="broadcast")
-    b = knn_join(emb, q, k=5, force="blocked", query_block_rows=64, point_block_rows=100)
+    a = knn_join(emb, q, k=5)
+    b = knn_join(emb, q, k=5, max_broadcast_bytes=100 * 8 * 64)
+    plan = b._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") > 1 and "CoGroup" not in plan
     assert _rows(a) == _rows(b)
 
 
-def test_size_check_picks_blocked_when_queries_are_large(emb):
-    q = emb.df.select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("vector"))
-    small = knn_join(emb, q, k=3, max_broadcast_bytes=1)  # forces the blocked plan
-    plan = small._jdf.queryExecution().executedPlan().toString()
-    assert "FlatMapCoGroupsInPandas" in plan or "CoGroup" in plan
-    assert _rows(small) == _rows(knn_join(emb, q, k=3))
-
-
 def test_ties_are_cut_by_id(spark):
     # 40 points with only 3 distinct directions: massive ties at every rank
     rows = [(i, [1.0, 0.0] if i % 3 == 0 else ([0.0, 1.0] if i % 3 == 1 else [1.0, 1.0])) for i in range(40)]
@@ -85,28 +80,57 @@ def test_per_request_filters_and_limits(emb):
     assert [r[1] for r in got if r[0] == 1] == [r["id"] for r in single1]
 
 
-def test_topk_select_keeps_tie_band():
+def test_topk_select_cuts_ties_by_id():
     q = np.zeros(6, dtype=np.int64)
     ids = np.array([5, 4, 3, 2, 1, 0])
-    raw = np.array([0.9, 0.9, 0.9, 0.5, 0.9 - 1e-7, 0.1])
-    keep = kernel._select(q, ids, raw, np.array([2]), True)
+    score = np.array([0.9, 0.9, 0.9, 0.5, 0.8, 0.1])
+    keep = kernel._select(q, ids, score, np.array([2]), True)
     kept = set(ids[keep].tolist())
-    assert {3, 4, 5, 1} <= kept and 0 not in kept
+    assert kept == {3, 4}
 
 
-def test_blocked_path_meets_every_block_pair_with_many_partitions(spark, emb):
-    # regression: cogroup keys of different types (int vs bigint) hash to different
-    # partitions; with coalescing off and many partitions no pair may go missing
-    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
-    spark.conf.set("spark.sql.shuffle.partitions", "64")
-    try:
-        q = emb.df.select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("vector"))
-        blocked = _rows(knn_join(emb, q, k=4, force="blocked", query_block_rows=50, point_block_rows=50))
-    finally:
-        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
-        spark.conf.set("spark.sql.shuffle.partitions", "8")
-    assert blocked == _rows(knn_join(emb, q, k=4, force="broadcast"))
-    assert len(blocked) == 4 * emb.df.count()
+def test_filters_work_with_many_blocks(spark, emb):
+    reqs = [{"vector": [float((i * j) % 7 - 3) for j in range(64)], "limit": 4,
+             **({"filter": {"must": [{"key": "label", "match": {"value": i % 3}}]}} if i % 2 else {})} for i in range(12)]
+    from pointframe.operators.batch import search_batch
+    assert _rows(search_batch(emb, reqs)) == _rows(search_batch(emb, reqs, max_broadcast_bytes=3 * 8 * 64))
+
+
+@pytest.mark.parametrize("dim", [255, 256])
+def test_string_ids_and_order_do_not_depend_on_the_dimension(spark, dim):
+    rng = np.random.default_rng(0)
+    rows = [(f"id-{i:03d}", [float(x) for x in rng.normal(size=dim)]) for i in range(60)]
+    coll = make_collection(spark.createDataFrame(rows, "id string, v array<float>"), id="id", vectors={"": ("v", dim, "Euclid")})
+    v = rows[7][1]
+    got = [tuple(r) for r in search(coll, v, limit=9, offset=1, with_payload=False).collect()]
+    want = [tuple(r) for r in search(coll, v, limit=9, offset=1, with_payload=False, engine="expression").collect()]
+    assert got == want and len(got) == 9 and got[0][0] != "id-007"
+
+
+def test_euclid_of_large_near_vectors_is_exact(spark):
+    rng = np.random.default_rng(1)
+    base = rng.normal(size=256) * 1e4
+    rows = [(i, [float(x) for x in base + np.eye(256)[i % 256] * 0.01 * (i + 1)]) for i in range(40)]
+    coll = make_collection(spark.createDataFrame(rows, "id long, v array<double>"), id="id", vectors={"": ("v", 256, "Euclid")})
+    v = [float(x) for x in base]
+    got = [tuple(r) for r in search(coll, v, limit=10, with_payload=False, engine="kernel").collect()]
+    assert got == [tuple(r) for r in search(coll, v, limit=10, with_payload=False, engine="expression").collect()]
+
+
+def test_ties_leave_k_candidates_per_task(spark):
+    df = spark.range(20000).select(F.col("id"), F.array(F.lit(1.0), F.lit(2.0)).alias("v")).repartition(3)
+    q = pa.table({"query_id": pa.array([0]), "qvec": pa.array([[1.0, 2.0]]), "_k": pa.array([10], pa.int32()),
+                  "_mask": pa.array([None], pa.int32()), "_excl": pa.array([None], pa.int64())})
+    part = kernel._block_candidates(df.select("id", F.col("v").alias("pvec")), q, "Cosine", 0, "long")
+    tasks = part.rdd.getNumPartitions()
+    assert part.count() <= tasks * 10
+
+
+def test_rounding_is_sparks(spark):
+    rng = np.random.default_rng(2)
+    x = np.concatenate([rng.normal(size=3000), np.round(rng.normal(size=3000), 6) + 5e-7, [0.0, -0.0000005, 0.0000005, 1e9 + 0.1234565, 123456.7890125, 2.5e-7]])
+    want = [r[0] for r in spark.createDataFrame([(float(v),) for v in x], "x double").select(F.round("x", 6)).collect()]
+    assert kernel.round_half_up(x).tolist() == want
 
 
 @pytest.mark.parametrize("name", ["search", "query_groups", "recommend_best_score", "discover", "sparse_search",
@@ -176,20 +200,20 @@ def test_spread_never_runs_jobs_to_count_partitions(spark):
         sc.setJobGroup("", "")
 
 
-@pytest.mark.parametrize("force", ["broadcast", "blocked"])
-def test_null_query_vectors_have_no_neighbours(spark, emb, force):
+@pytest.mark.parametrize("size", [1 << 28, 8 * 64])
+def test_null_query_vectors_have_no_neighbours(spark, emb, size):
     q = spark.createDataFrame([(1, None), (2, [0.1] * 64)], "query_id long, vector array<double>")
-    got = _rows(knn_join(emb, q, k=3, force=force, query_block_rows=64, point_block_rows=100))
+    got = _rows(knn_join(emb, q, k=3, max_broadcast_bytes=size))
     assert {r[0] for r in got} == {2} and len(got) == 3
 
 
-@pytest.mark.parametrize("force", ["broadcast", "blocked"])
-def test_wrong_dimension_points_are_skipped_like_the_expression_path(spark, force):
+@pytest.mark.parametrize("size", [1 << 28, 8 * 64])
+def test_wrong_dimension_points_are_skipped_like_the_expression_path(spark, size):
     rows = [(1, [1.0, 0.0]), (2, [1.0]), (3, [0.6, 0.8]), (4, [1.0, 0.0, 5.0]), (5, None)]
     coll = make_collection(spark.createDataFrame(rows, "id long, v array<float>"), id="id",
                            vectors={"": ("v", None, "Cosine")})
     q = spark.createDataFrame([(0, [1.0, 0.0])], "query_id long, vector array<double>")
-    got = [r[1] for r in sorted(_rows(knn_join(coll, q, k=5, force=force)), key=lambda r: r[3])]
+    got = [r[1] for r in sorted(_rows(knn_join(coll, q, k=5, max_broadcast_bytes=size)), key=lambda r: r[3])]
     want = [r["id"] for r in search(coll, [1.0, 0.0], limit=5, with_payload=False, engine="expression").collect()]
     assert got == want == [1, 3]
 

@@ -244,9 +244,8 @@ _M = SQ.MATRIX
 _SAMPLE = f"""(SELECT vec_id, label, embedding FROM embeddings
   ORDER BY md5(CAST(vec_id AS VARCHAR) || '{_M['seed']}'), vec_id LIMIT {_M['sample']})"""
 _PAIRS = f"""(SELECT a, b, score FROM (
-  SELECT a.vec_id AS a, b.vec_id AS b, round({cos(d('a.embedding'), d('b.embedding'))}, 6) AS score,
-         row_number() OVER (PARTITION BY a.vec_id ORDER BY round({cos(d('a.embedding'), d('b.embedding'))}, 6) DESC, b.vec_id) AS rn
-  FROM {_SAMPLE} a, {_SAMPLE} b WHERE a.vec_id <> b.vec_id) WHERE rn <= {_M['limit']})"""
+  SELECT a.vec_id AS a, b.vec_id AS b, round({cos(d('a.embedding'), d('b.embedding'))}, 6) AS score
+  FROM {_SAMPLE} a, {_SAMPLE} b WHERE a.vec_id < b.vec_id ORDER BY score DESC, a, b LIMIT {_M['limit']}))"""
 ORACLE["matrix_pairs"] = f"SELECT a, b, score FROM {_PAIRS}"
 _IDS = f"(SELECT row_number() OVER (ORDER BY vec_id) - 1 AS index, vec_id AS id FROM {_SAMPLE})"
 ORACLE["matrix_ids"] = f"SELECT index, id FROM {_IDS}"
@@ -601,3 +600,35 @@ WITH latest AS (
 SELECT vec_id, embedding, label FROM embeddings WHERE vec_id NOT IN (SELECT vec_id FROM latest)
 UNION ALL SELECT vec_id, embedding, label FROM latest"""
 ORACLE["search_kernel"] = ORACLE["search"]
+
+
+# ---------------------------------------------------------------- requests with offset, threshold, ids and payloads of other shapes
+
+ORACLE["query_order_by_offset"] = """
+SELECT vec_id AS id, label FROM embeddings WHERE label IS NOT NULL AND label >= 3 ORDER BY label, id LIMIT 10 OFFSET 4"""
+ORACLE["context_threshold"] = f"SELECT * FROM ({ORACLE['context_search']}) WHERE score >= {SQ.CONTEXT_THRESHOLD}"
+ORACLE["search_kernel_euclid"] = f"""
+SELECT vec_id AS id, label, round({euclid('[x::DOUBLE * 10000.0::DOUBLE for x in embedding]', vec_lit([x * 10000.0 for x in QUERY_VECTOR]))}, 6) AS score
+FROM embeddings ORDER BY score, id LIMIT 20"""
+ORACLE["search_string_ids"] = f"""
+SELECT 'p' || vec_id AS id, label, round({cos(E, QV)}, 6) AS score FROM embeddings ORDER BY score DESC, id LIMIT 20"""
+ORACLE["search_batch_ties"] = f"""
+SELECT query_id, id, score, rank FROM (
+  SELECT q.vec_id AS query_id, p.id, round({cos(d('q.embedding'), d('p.embedding'))}, 6) AS score,
+         row_number() OVER (PARTITION BY q.vec_id ORDER BY round({cos(d('q.embedding'), d('p.embedding'))}, 6) DESC, p.id) AS rank
+  FROM embeddings q, (SELECT vec_id * 4 + i AS id, embedding FROM embeddings, range(4) r(i)) p
+  WHERE q.vec_id % 50 = 0) WHERE rank <= 6"""
+ORACLE["query_groups_include"] = ORACLE["query_groups"]
+ORACLE["query_groups_array_dups"] = f"""
+WITH s AS (SELECT vec_id AS id, label, round({cos(E, QV)}, 6) AS score, unnest([label, label + 1]) AS g FROM embeddings),
+g AS (SELECT g AS group_id, max(score) AS best FROM s GROUP BY g ORDER BY best DESC, group_id LIMIT 5),
+gr AS (SELECT group_id, row_number() OVER (ORDER BY best DESC, group_id) AS group_rank FROM g),
+h AS (SELECT s.*, gr.group_id, gr.group_rank, row_number() OVER (PARTITION BY gr.group_id ORDER BY s.score DESC, s.id) AS rank
+      FROM s JOIN gr ON s.g = gr.group_id)
+SELECT group_id, group_rank, id, score, rank, label FROM h WHERE rank <= 3"""
+ORACLE["apply_changelog_all_ops"] = """
+SELECT vec_id,
+       CASE vec_id % 9 WHEN 6 THEN list_reverse(embedding) WHEN 7 THEN NULL ELSE embedding END AS embedding,
+       CASE WHEN vec_id % 27 = 9 THEN 77 WHEN vec_id % 27 = 13 THEN 78 WHEN vec_id % 27 = 1 THEN 79
+            WHEN vec_id % 9 = 0 THEN 900 WHEN vec_id % 9 = 3 THEN 903 WHEN vec_id % 9 IN (2, 4, 5) THEN NULL ELSE label END AS label
+FROM embeddings WHERE vec_id % 9 <> 1 OR vec_id % 27 = 1"""

@@ -250,8 +250,7 @@ def q_search_batch(spark, sf):
 @register("search_batch_blocked")
 def q_search_batch_blocked(spark, sf):
     e = W.embeddings(spark, sf)
-    return B.knn_join(e, _self_queries(e), k=10, force="blocked",
-                      query_block_rows=128, point_block_rows=128)
+    return B.knn_join(e, _self_queries(e), k=10, max_broadcast_bytes=128 * 8 * 64)
 
 
 @register("search_batch_euclid")
@@ -282,7 +281,7 @@ from pointframe.operators import groups as G  # noqa: E402
 from pointframe.operators import matrix as M  # noqa: E402
 from pointframe.operators import recommend as R  # noqa: E402
 
-MATRIX = {"sample": 200, "limit": 5, "seed": 7}
+MATRIX = {"sample": 200, "limit": 50, "seed": 7}
 
 
 @register("matrix_pairs")
@@ -744,15 +743,20 @@ def q_quant_rescore(spark, sf):
 
 # ---------------------------------------------------------------- step 9: sources, snapshots, streaming
 
+import tempfile  # noqa: E402
 import uuid  # noqa: E402
 
-from pointframe.session import ensure_checkpoint_dir  # noqa: E402
+from pointframe.session import checkpoint_dir, ensure_checkpoint_dir  # noqa: E402
 from pointframe.sources import collection as SC  # noqa: E402
 from pointframe.sources import snapshot as SN  # noqa: E402
 from pointframe.streaming import ops as STR  # noqa: E402
 
-# used only when the session names no shared checkpoint folder (local runs and tests)
-LOCAL_CHECKPOINTS = "/tmp/pointframe-checkpoints"
+def _shared_folder(spark):
+    """The session's shared folder; a folder of its own only for a local master without the setting."""
+    if spark.sparkContext.master.startswith("local["):
+        ensure_checkpoint_dir(spark, tempfile.mkdtemp(prefix="pointframe-"))
+    else:
+        checkpoint_dir(spark)
 
 
 @register("validate_collection")
@@ -785,21 +789,24 @@ def q_snapshot_checksum(spark, sf):
 
 @register("stream_response_stats")
 def q_stream_response_stats(spark, sf):
-    ensure_checkpoint_dir(spark, LOCAL_CHECKPOINTS)
+    _shared_folder(spark)
     schema = W.load(spark, sf, "events").schema
     src = spark.readStream.schema(schema).parquet(f"{sf}/events*.parquet")
     agg = STR.response_stats_stream(src, "ts", "event_type", "value", window="1 day", watermark="1 hour")
     name = "stats_" + uuid.uuid4().hex[:12]
-    q = (agg.writeStream.outputMode("update").format("memory").queryName(name)
-         .option("checkpointLocation", STR._location(spark, None, name)).start())
+    # complete mode keeps every window, so the order of the files does not matter; each
+    # micro-batch replaces the table in the shared folder
+    place = STR._location(spark, None, name)
+    q = (agg.writeStream.outputMode("complete").option("checkpointLocation", place + "/ckpt")
+         .foreachBatch(lambda df, _: df.write.mode("overwrite").parquet(place + "/table")).start())
     q.processAllAvailable()
     q.stop()
-    return spark.table(name)
+    return spark.read.parquet(place + "/table")
 
 
 @register("stream_upsert")
 def q_stream_upsert(spark, sf):
-    ensure_checkpoint_dir(spark, LOCAL_CHECKPOINTS)
+    _shared_folder(spark)
     schema = W.load(spark, sf, "embeddings").schema
     src = spark.readStream.schema(schema).parquet(f"{sf}/embeddings*.parquet")
     v = F.col("vec_id")
@@ -818,3 +825,84 @@ def q_stream_upsert(spark, sf):
 def q_search_kernel(spark, sf):
     # the same filtered search as ``search``, scored by the Arrow kernel
     return S.search(W.embeddings(spark, sf), QV, limit=10, filter=SEARCH_FILTER, engine="kernel")
+
+
+# ---------------------------------------------------------------- requests with offset, threshold, ids and payloads of other shapes
+
+@register("query_order_by_offset")
+def q_query_order_by_offset(spark, sf):
+    return PQ.query(W.embeddings(spark, sf), {"query": {"order_by": {"key": "label", "start_from": 3}}, "limit": 10, "offset": 4})
+
+
+CONTEXT_THRESHOLD = -0.02
+
+
+@register("context_threshold")
+def q_context_threshold(spark, sf):
+    ctx = CONTEXT + [{"positive": 11, "negative": 12}]
+    return PQ.query(W.embeddings(spark, sf), {"query": {"context": ctx}, "limit": 10, "score_threshold": CONTEXT_THRESHOLD})
+
+
+@register("search_kernel_euclid")
+def q_search_kernel_euclid(spark, sf):
+    # components of the size of 1e4, so that a^2 + b^2 - 2ab would lose digits
+    wide = _emb_df(spark, sf).withColumn("embedding", F.transform("embedding", lambda x: x.cast("double") * 10000.0))
+    coll = make_collection(wide, id="vec_id", vectors={"": ("embedding", 64, "Euclid")})
+    return S.search(coll, [x * 10000.0 for x in QV], limit=20, engine="kernel")
+
+
+@register("search_string_ids")
+def q_search_string_ids(spark, sf):
+    named = _emb_df(spark, sf).withColumn("vec_id", F.concat(F.lit("p"), F.col("vec_id").cast("string")))
+    coll = make_collection(named, id="vec_id", vectors={"": ("embedding", 64, "Cosine")})
+    return S.search(coll, QV, limit=20, engine="kernel")
+
+
+@register("search_batch_ties")
+def q_search_batch_ties(spark, sf):
+    # every vector comes four times under other ids: ties at every rank
+    four = _emb_df(spark, sf).select(F.explode(F.array(*[F.col("vec_id") * 4 + i for i in range(4)])).alias("vec_id"), "embedding")
+    coll = make_collection(four, id="vec_id", vectors={"": ("embedding", 64, "Cosine")})
+    queries = _emb_df(spark, sf).where("vec_id % 50 = 0").select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("vector"))
+    return B.knn_join(coll, queries, k=6)
+
+
+@register("query_groups_include")
+def q_query_groups_include(spark, sf):
+    return G.query_groups(W.embeddings(spark, sf), QV, group_by="label", group_size=3, limit=4, with_payload={"include": ["label"]})
+
+
+@register("query_groups_array_dups")
+def q_query_groups_array_dups(spark, sf):
+    twice = _emb_df(spark, sf).withColumn("tags", F.array("label", "label", F.col("label") + 1))
+    coll = make_collection(twice, id="vec_id", vectors={"": ("embedding", 64, "Cosine")})
+    return G.query_groups(coll, QV, group_by="tags", group_size=3, limit=5, with_payload=["label"]).drop("tags")
+
+
+def changelog_all_ops(spark, sf):
+    """Every operation, with numbers below zero and an event that sets NULL."""
+    e = _emb_df(spark, sf)
+    v = F.col("vec_id")
+    none = F.lit(None)
+
+    def events(cond, op, seq, label=none, embedding=none, keys=None):
+        k = F.array(*[F.lit(x) for x in keys]) if keys else F.lit(None)
+        return e.filter(cond).select("vec_id", embedding.cast("array<float>").alias("embedding"), label.cast("int").alias("label"),
+                                     seq.cast("long").alias("seq"), F.lit(op).alias("op"), k.cast("array<string>").alias("keys"))
+
+    low = v - 100000
+    parts = [events(v % 9 == 0, "upsert", low, F.lit(900), F.col("embedding")), events(v % 9 == 1, "delete", low),
+             events(v % 9 == 2, "set_payload", low, keys=["label"]), events(v % 9 == 3, "overwrite_payload", low, F.lit(903)),
+             events(v % 9 == 4, "clear_payload", low), events(v % 9 == 5, "delete_payload", low, keys=["label"]),
+             events(v % 9 == 6, "update_vectors", low, embedding=F.reverse("embedding")), events(v % 9 == 7, "delete_vectors", low, keys=["embedding"]),
+             events(v % 27 == 9, "set_payload", low, F.lit(77)), events(v % 27 == 13, "set_payload", low + 1, F.lit(78)),
+             events(v % 27 == 1, "upsert", low + 1, F.lit(79), F.col("embedding"))]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+@register("apply_changelog_all_ops")
+def q_apply_changelog_all_ops(spark, sf):
+    return U.apply_changelog(W.embeddings(spark, sf), changelog_all_ops(spark, sf)).df
