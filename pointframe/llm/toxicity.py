@@ -24,6 +24,8 @@ counts as toxic if any is. Without labelled rows of both classes every score is
 
 from __future__ import annotations
 
+import hashlib
+import io
 from collections.abc import Iterator
 
 import numpy as np
@@ -217,14 +219,33 @@ def _logistic(x: np.ndarray, y: np.ndarray, penalty: float = 1.0) -> np.ndarray:
     return b
 
 
-def _featured(rows: DataFrame, model, slots: int, strong: tuple[float, float], keep: list[str]) -> DataFrame:
-    """``rows`` (text and ``keep``) with features x0, x1, ... for text; one Arrow pass."""
-    shared = rows.sparkSession.sparkContext.broadcast(model)
+def pack_model(model: dict[str, np.ndarray]) -> bytes:
+    """The tables compressed: mostly zeros on small corpora."""
+    out = io.BytesIO()
+    np.savez_compressed(out, **model)
+    return out.getvalue()
+
+
+_UNPACKED: dict[bytes, dict[str, np.ndarray]] = {}
+
+
+def _unpacked(shared) -> dict[str, np.ndarray]:
+    """The tables of a broadcast model, unpacked once in a worker process."""
+    key = hashlib.blake2b(shared.value).digest()
+    if key not in _UNPACKED:
+        _UNPACKED.clear()
+        _UNPACKED[key] = dict(np.load(io.BytesIO(shared.value)))
+    return _UNPACKED[key]
+
+
+def _featured(rows: DataFrame, shared, slots: int, strong: tuple[float, float], keep: list[str]) -> DataFrame:
+    """``rows`` (text and ``keep``) with features x0, x1, ... for text; one Arrow pass. ``shared``: the packed model."""
     schema = rows.select(*keep).schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = _unpacked(shared)
         for b in batches:
-            x = features(b.column("text").to_pylist(), shared.value, slots, strong)
+            x = features(b.column("text").to_pylist(), model, slots, strong)
             cols = {k: b.column(k) for k in keep} | {f"x{j}": pa.array(x[:, j]) for j in range(FEATURES)}
             yield pa.RecordBatch.from_pydict(cols)
 
@@ -245,7 +266,7 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text:
     known = materialize(known.groupBy("id").agg(F.max("label").cast("int").alias("label")).where("label in (0, 1)")
                         .withColumn("fold", F.pmod(F.xxhash64(F.lit("fit"), "id"), F.lit(4))), "labels")
     train = rows.join(sized(known, max_broadcast), "id")
-    model = count_model(train.where("fold > 0").select("label", "text"), slots)
+    model = docs.sparkSession.sparkContext.broadcast(pack_model(count_model(train.where("fold > 0").select("label", "text"), slots)))
     fit = train.where("fold = 0").orderBy(F.xxhash64(F.lit("order"), "id")).limit(max_fit_rows)
     seen = _featured(fit, model, slots, strong, ["label"]).toPandas()
     x, y = seen[[f"x{j}" for j in range(FEATURES)]].to_numpy(), seen["label"].to_numpy(dtype=float)
