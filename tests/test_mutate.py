@@ -117,7 +117,7 @@ def test_init_from_and_sharded_layout(spark, emb, tmpdir_path):
     sub = init_from(emb, filter={"must": [{"key": "label", "range": {"lt": 3}}]})
     assert sub.df.count() == emb.df.filter(F.col("label") < 3).count()
     path = os.path.join(tmpdir_path, "sharded")
-    write_sharded(emb.df, "label", path, salt_buckets=4)
+    write_sharded(emb.df, "label", path, rows_per_task=20)
     one = read_shard(spark, path, "label", 2)
     plan = one._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(label" in plan  # only the shard's directory is listed
