@@ -16,8 +16,7 @@ Texts are lower-cased (A-Z only) and cut at ASCII white space; a set holds the
 64-bit hashes of the distinct n-grams. Fewer words than n: the whole sequence as
 one. NumPy builds the sets in Arrow batches; lists, candidates, intersections and
 components are DataFrame operations. Sets are built from the text where they are
-needed (three passes), so full sets are only written for documents that share an
-indexed token with another text.
+needed, so full sets are only written for documents that some candidate pair names.
 
 Defined results: null, empty and blank texts have no n-grams, link with nothing
 and are a component of their own. Rows that repeat an id count as linked with each
@@ -41,6 +40,8 @@ from pointframe.llm.relations import links
 from pointframe.session import ship_package
 
 CHUNK = 1_000_000
+# linked sets have so many tokens of their prefixes in common, so a single common phrase is no candidate
+SHARED = 3
 U = np.uint64
 BASE = U(0x9E3779B97F4A7C15)
 INVERSE = U(pow(int(BASE), -1, 1 << 64))
@@ -123,8 +124,8 @@ def _lists(arrays: list[np.ndarray]) -> pa.Array:
 
 
 def _head(s: np.ndarray, num: int, den: int) -> np.ndarray:
-    """The prefix that a linked set must meet: size - ceil(num x size / den) + 1 tokens."""
-    return s[:len(s) + num * len(s) // -den + 1] if len(s) else s
+    """The prefix in which a linked set must meet ``SHARED`` tokens: size - ceil(num x size / den) + SHARED."""
+    return s[:len(s) + num * len(s) // -den + SHARED]
 
 
 class JaccardJoin:
@@ -176,10 +177,10 @@ class JaccardJoin:
 
     # -- the join
 
-    def _frequent(self, reps: DataFrame) -> np.ndarray:
-        """Tokens on long lists, at most ``max_frequent``: the order's tail. Any choice gives the same links."""
-        counts = reps.select(F.explode("prefix").alias("h")).groupBy("h").agg(F.count("*").alias("c")).where(F.col("c") >= self.frequent)
-        counts = materialize(counts, "frequent")
+    def _long_lists(self, counts: DataFrame, name: str) -> np.ndarray:
+        """Tokens counted ``frequent`` times and more, the most frequent ``max_frequent`` of them at
+        most: they go to the order's end. Any choice gives the same links, a good one short lists."""
+        counts = materialize(counts.groupBy("h").agg(F.sum("c").alias("c")).where(F.col("c") >= self.frequent), name)
         by = {r["k"]: r["n"] for r in counts.groupBy(F.floor(F.log2("c")).alias("k")).agg(F.count("*").alias("n")).collect()}
         low = min(by, default=0)
         while sum(n for k, n in by.items() if k >= low) > self.max_frequent:
@@ -187,6 +188,36 @@ class JaccardJoin:
         kept = counts.where(F.floor(F.log2("c")) >= low).select("h").toArrow()
         return np.sort(kept.column("h").to_numpy())
 
+    def _counted(self, docs: DataFrame) -> DataFrame:
+        """(h, c): tokens of whole sets, counted within batches."""
+        def make(ids, sets):
+            h, c = np.unique(np.concatenate(sets), return_counts=True) if sets else (np.zeros(0, np.int64),) * 2
+            return pa.RecordBatch.from_pydict({"h": pa.array(h), "c": pa.array(c.astype(np.int64))})
+
+        return _sets(docs, self.n, make, "h long, c long")
+
+    def _frequent(self, reps: DataFrame, first: DataFrame) -> np.ndarray:
+        """The order's tail. Prefixes by hash show the frequent tokens among the small hashes; of the
+        texts whose prefixes mostly consist of them (large groups of near copies) whole sets are counted."""
+        prefix = self._long_lists(reps.select(F.explode("prefix").alias("h"), F.lit(1).cast("long").alias("c")), "frequent")
+        if not len(prefix):
+            return prefix
+        shared = reps.sparkSession.sparkContext.broadcast(prefix)
+        id_type = self.id_type
+
+        def heavy(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            seen = shared.value
+            for b in batches:
+                column = b.column("prefix")
+                tokens, ends = column.flatten().to_numpy(zero_copy_only=False), column.offsets.to_numpy() - column.offsets[0].as_py()
+                late = np.concatenate([[0], np.cumsum(seen[np.minimum(np.searchsorted(seen, tokens), len(seen) - 1)] == tokens)])
+                yield pa.RecordBatch.from_pydict({"id": b.column("id").filter(pa.array(
+                    late[ends[1:]] - late[ends[:-1]] >= 0.3 * (ends[1:] - ends[:-1])))})
+
+        ids = materialize(reps.select("id", "prefix").mapInArrow(heavy, f"id {id_type}"), "heavy")
+        whole = self._long_lists(self._counted(first.join(sized(ids, self.max_broadcast), "id", "left_semi")), "whole")
+        return np.union1d(prefix, whole)
+
     def components(self) -> DataFrame:
         """Per row: id, n, component."""
         rows = materialize(self.sizes(), "sizes")
@@ -196,21 +227,29 @@ class JaccardJoin:
         same = materialize(members.where("id != rep").select(F.col("id").alias("a"), F.col("rep").alias("b")).distinct(), "same")
         reps = rows.join(classes, (rows["n"] == classes["n"]) & (rows["d1"] == classes["d1"]) & (rows["d2"] == classes["d2"])
                          & (rows["id"] == classes["rep"]), "left_semi")
-        last = self._frequent(reps)
-
         # copies need no lists of their own; an id that also represents another text of its own stays
         copies = same.select(F.col("a").alias("id")).distinct().join(classes.select(F.col("rep").alias("id")).distinct(), "id", "left_anti")
         copies = sized(materialize(copies, "copies"), self.max_broadcast)
         first = self.docs.where("id is not null").join(copies, "id", "left_anti")
+        last = self._frequent(reps, first)
         index = materialize(self.prefixes(first, last).where("n > 0"), "prefixes")
-        entries = index.select("id", "n", F.posexplode("prefix").alias("pos", "h"))
-        lists = entries.groupBy("h").agg(F.count("*").alias("c")).where("c > 1").select("h")
-        lists = sized(materialize(lists, "lists"), self.max_broadcast)
-        posts = materialize(entries.join(lists, "h").distinct(), "postings")
-        wanted = materialize(posts.select("id").distinct(), "wanted")
-        sets = materialize(self.full(self.docs.join(sized(wanted, self.max_broadcast), "id", "left_semi")).distinct(), "sets")
-
-        edges = links(posts, sets, self.num, self.den, stars=self.stars, max_broadcast=self.max_broadcast)
+        posts = index.select("id", "n", F.size("prefix").alias("length"), F.posexplode("prefix").alias("pos", "h"))
+        for k in range(2):
+            # a token on no list of two is private; a set with too many of them links with none, and
+            # what its tokens met may be private in turn
+            lists = posts.groupBy("h").agg(F.count("*").alias("c")).where("c > 1").select("h")
+            lists = sized(materialize(lists, "lists"), self.max_broadcast)
+            posts = materialize(posts.join(lists, "h").select("h", "id", "n", "pos", "length").distinct(), "listed")
+            listed = posts.groupBy("id", "n", "length").agg(F.count("*").alias("k"))
+            listed = listed.withColumn("cap", F.col("n") - F.greatest(F.lit(0), F.col("length") - F.col("k"))).drop("k")
+            posts = posts.join(listed.where(F.col("cap") * self.den >= F.col("n") * self.num), ["id", "n", "length"])
+            posts = posts if k else posts.drop("cap")
+        posts = materialize(posts.select("h", "id", "n", "pos", "cap"), "postings")
+
+        def fetch(ids: DataFrame) -> DataFrame:
+            return self.full(first.join(sized(ids, self.max_broadcast), "id", "left_semi"))
+
+        edges = links(posts, fetch, self.num, self.den, shared=SHARED, stars=self.stars, max_broadcast=self.max_broadcast)
         comp = connected_components(edges.unionByName(same))
         out = rows.select("id", "n").join(comp, F.col("id") == F.col("v"), "left")
         return out.select("id", "n", F.coalesce("root", "id").alias("component"))

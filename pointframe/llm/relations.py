@@ -1,8 +1,10 @@
 """Links between the sets of an inverted index, found by set relations (DataFrame operations only).
 
 ``posts`` holds the entries of the lists: h (token), id, n (size of the set), pos
-(place of the token in the set, in one order for all sets; 0 if there is none).
-``sets`` holds id, n, tokens. Two sets link when den x intersection >= num x
+(place of the token in the set, in one order for all sets; 0 if there is none), cap
+(how much of the set can be in any other set: n without its private tokens).
+``fetch`` gives the sets (id, n, tokens) of a frame of ids; only sets that some
+candidate pair names are fetched. Two sets link when den x intersection >= num x
 union. Every set is first compared with one leader; lists in which components
 still meet are joined further, after bounding a pair's overlap from the answers
 of its leaders. Pairs that are connected already are not looked at again, so a
@@ -11,6 +13,8 @@ group of near copies costs what its members cost, not its pairs.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -22,46 +26,62 @@ def link(overlap: Column, a: Column, b: Column, num: int, den: int) -> Column:
     return (overlap * (num + den) >= (a + b) * num) & (overlap > 0)
 
 
-def near(na: str, pa: str, nb: str, pb: str, num: int, den: int) -> Column:
-    """Sizes fit, and what follows a pair's first shared token can still reach the threshold."""
-    n, m, i, j = F.col(na), F.col(nb), F.col(pa), F.col(pb)
+def near(a: str, b: str, num: int, den: int, shared: int) -> Column:
+    """Sizes fit, and what is left to share can reach the threshold: all but the private tokens, and
+    what follows one of a pair's first ``shared`` tokens in common. ``a``, ``b``: prefixes of the columns."""
+    n, m, i, j = F.col(f"{a}n"), F.col(f"{b}n"), F.col(f"{a}pos"), F.col(f"{b}pos")
     fit = F.least(n, m) * den >= F.greatest(n, m) * num
-    return fit & (F.least(n - i, m - j) * (num + den) >= (n + m) * num)
+    most = F.least(n - i + shared - 1, m - j + shared - 1, F.col(f"{a}cap"), F.col(f"{b}cap"))
+    return fit & (most * (num + den) >= (n + m) * num)
+
 
+def enough(count: str, n: Column, m: Column, num: int, den: int, shared: int) -> Column:
+    """Linked sets meet in ``shared`` lists, or in as many as their overlap must count if that is less."""
+    return F.col(count) >= F.least(F.lit(shared), F.ceil((n + m) * num / (num + den)))
 
-def overlaps(pairs: DataFrame, sets: DataFrame, max_broadcast: int) -> DataFrame:
+
+def overlaps(pairs: DataFrame, fetch: Callable[[DataFrame], DataFrame], max_broadcast: int) -> DataFrame:
     """pairs (a, b) with the sizes na, nb and i of the intersection.
 
     While the pairs are few enough to broadcast, only the sets they name are moved, once.
     """
+    pairs = materialize(pairs, "pairs")
+    ids = materialize(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "named")
+    sets = materialize(fetch(ids), "sets")
     left = sets.select(F.col("id").alias("a"), F.col("n").alias("na"), F.col("tokens").alias("ta"))
     right = sets.select(F.col("id").alias("b"), F.col("n").alias("nb"), F.col("tokens").alias("tb"))
-    pairs = materialize(pairs, "pairs")
     needed = sized(materialize(pairs.select("b").distinct(), "needed"), max_broadcast)
     both = left.join(sized(pairs, max_broadcast), "a").join(right.join(needed, "b", "left_semi"), "b")
     return materialize(both.select("a", "b", "na", "nb", F.size(F.array_intersect("ta", "tb")).cast("long").alias("i")), "overlaps")
 
 
-def links(posts: DataFrame, sets: DataFrame, num: int, den: int, *, stars: int = 2, max_broadcast: int = 2_000_000) -> DataFrame:
-    """Edges (a, b), all of them links, whose components are those of all links that the lists hold."""
+def links(posts: DataFrame, fetch: Callable[[DataFrame], DataFrame], num: int, den: int, *, shared: int = 1, stars: int = 2,
+          max_broadcast: int = 2_000_000) -> DataFrame:
+    """Edges (a, b), all of them links, whose components are those of all links that the lists hold.
+
+    ``shared``: the number of lists in which two linked sets meet at least (or their
+    smallest overlap, if that is less).
+    """
     done = edges = comp = None
     for _ in range(stars):
         if comp is None:
             at = posts.withColumn("comp", F.col("id"))
-            heads = at.groupBy("h").agg(F.min(F.struct("comp", "id", "n", "pos")).alias("head"))
+            heads = at.groupBy("h").agg(F.min(F.struct("comp", "id", "n", "pos", "cap")).alias("head"))
         else:  # now a leader from outside of the list's first component
             at = posts.join(comp, "id", "left").withColumn("comp", F.coalesce("comp", "id"))
             at = materialize(at, "posts")
             low = at.groupBy("h").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low != high").select("h", "low")
             at = at.join(low, "h")
-            heads = at.where("comp != low").groupBy("h").agg(F.max(F.struct("comp", "id", "n", "pos")).alias("head"))
+            heads = at.where("comp != low").groupBy("h").agg(F.max(F.struct("comp", "id", "n", "pos", "cap")).alias("head"))
         # of the leaders of its lists a set takes the one that most of them name
-        votes = at.join(heads, "h").where("comp != head.comp").where(near("n", "pos", "head.n", "head.pos", num, den))
-        votes = votes.groupBy(F.col("id").alias("a"), F.col("head.id").alias("b")).agg(F.count("*").alias("v"))
+        votes = at.join(heads, "h").where("comp != head.comp").where(near("", "head.", num, den, shared))
+        votes = votes.groupBy(F.col("id").alias("a"), F.col("head.id").alias("b")).agg(
+            F.count("*").alias("v"), F.max("n").alias("n"), F.max("head.n").alias("m"))
+        votes = votes.where(enough("v", F.col("n"), F.col("m"), num, den, shared))
         pairs = votes.groupBy("a").agg(F.max(F.struct("v", "b")).alias("best")).select("a", F.col("best.b").alias("b"))
         if done is not None:
             pairs = pairs.join(done, ["a", "b"], "left_anti")
-        found = overlaps(pairs, sets, max_broadcast)
+        found = overlaps(pairs, fetch, max_broadcast)
         done = found if done is None else done.unionByName(found)
         edges = done.where(link(F.col("i"), F.col("na"), F.col("nb"), num, den)).select("a", "b")
         comp = connected_components(edges).select(F.col("v").alias("id"), F.col("root").alias("comp"))
@@ -73,16 +93,17 @@ def links(posts: DataFrame, sets: DataFrame, num: int, den: int, *, stars: int =
     lead = (done.groupBy("a").agg(F.max(F.struct("i", "b", "na")).alias("m"))
             .select(F.col("a").alias("id"), F.col("m.b").alias("leader"), (F.col("m.na") - F.col("m.i")).alias("beside")))
     rest = materialize(at.join(mixed, "h").join(lead, "id", "left").select(
-        "h", "id", "n", "pos", "comp", F.coalesce("leader", "id").alias("leader"), F.coalesce("beside", F.lit(0)).alias("beside")), "mixed")
-    x, y = (rest.select("h", *[F.col(c).alias(f"{s}_{c}") for c in ("id", "n", "pos", "comp", "leader", "beside")]) for s in "xy")
-    meet = x.join(y, "h").where("x_id < y_id and x_comp != y_comp").where(near("x_n", "x_pos", "y_n", "y_pos", num, den))
-    meet = materialize(meet.select(*[f"{s}_{c}" for s in "xy" for c in ("id", "n", "leader", "beside")]).distinct(), "meet")
+        "h", "id", "n", "pos", "cap", "comp", F.coalesce("leader", "id").alias("leader"), F.coalesce("beside", F.lit(0)).alias("beside")), "mixed")
+    x, y = (rest.select("h", *[F.col(c).alias(f"{s}_{c}") for c in ("id", "n", "pos", "cap", "comp", "leader", "beside")]) for s in "xy")
+    meet = x.join(y, "h").where("x_id < y_id and x_comp != y_comp").where(near("x_", "y_", num, den, shared))
+    meet = meet.groupBy(*[f"{s}_{c}" for s in "xy" for c in ("id", "n", "leader", "beside")]).agg(F.count("*").alias("v"))
+    meet = materialize(meet.where(enough("v", F.col("x_n"), F.col("y_n"), num, den, shared)), "meet")
     if meet.isEmpty():
         return edges
     heads = meet.select(F.col("x_leader").alias("a"), F.col("y_leader").alias("b")).where("a != b").distinct()
-    heads = overlaps(heads, sets, max_broadcast).select(F.col("a").alias("x_leader"), F.col("b").alias("y_leader"), "i")
+    heads = overlaps(heads, fetch, max_broadcast).select(F.col("a").alias("x_leader"), F.col("b").alias("y_leader"), "i")
     bound = F.coalesce(F.col("i"), F.least("x_n", "y_n")) + F.col("x_beside") + F.col("y_beside")
     open_ = meet.join(heads, ["x_leader", "y_leader"], "left").where(link(bound, F.col("x_n"), F.col("y_n"), num, den))
     open_ = open_.select(F.col("x_id").alias("a"), F.col("y_id").alias("b")).distinct().join(done, ["a", "b"], "left_anti")
-    found = overlaps(open_, sets, max_broadcast)
+    found = overlaps(open_, fetch, max_broadcast)
     return edges.unionByName(found.where(link(F.col("i"), F.col("na"), F.col("nb"), num, den)).select("a", "b"))
