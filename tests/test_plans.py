@@ -1,11 +1,14 @@
 """Physical plans of the registered queries follow the scale rules."""
 
+import re
+
 import pytest
 
 import __spark_entry__ as entry
 from tests.conftest import SF_SMALL
 
-QUERIES = entry.queries()
+# the training-data queries run jobs while they are built and have tests of their own
+QUERIES = {k: q for k, q in entry.queries().items() if k != "pipeline" and not re.match(r"op\d+_", k)}
 SKIP = {"stream_response_stats", "stream_upsert"}  # run their streams when planned
 
 
