@@ -110,4 +110,28 @@ ORACLE: dict[str, str] = {
         SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
                doc_id IS NOT DISTINCT FROM max(doc_id) OVER w AS kept, sha256(coalesce(text, '')) AS text_sha256
         FROM documents WINDOW w AS (PARTITION BY coalesce(text, ''))""",
+    "op8_warc": r"""
+        WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+        d AS (SELECT page_id, html, octet_length(encode(html)) AS payload_bytes, upper(sha1(html)) AS hex,
+                     min(page_id) OVER (PARTITION BY html) AS first FROM p)
+        SELECT page_id, payload_bytes,
+               list_aggregate([substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+                                      ((('0x' || substr(hex, 5 * (c // 4) + 1, 5))::INT >> (15 - 5 * (c % 4))) & 31) + 1, 1)
+                               for c in range(32)], 'string_agg', '') AS payload_digest,
+               CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+               CASE WHEN page_id <> first THEN first END AS refers_to
+        FROM d""",
+    "op9_jaccard": r"""
+        WITH RECURSIVE t AS (
+            SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                              '[^\x20\x09-\x0D]+') AS w FROM documents),
+        s AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
+                              ELSE [array_to_string(w[i:i + 3], ' ') for i in range(1, len(w) - 2)] END) AS g FROM t),
+        n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+        p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS i FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY ALL),
+        l AS (SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * i >= 85 * (x.n + y.n - i)),
+        e AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+        r(v, root) AS (SELECT doc_id, doc_id FROM documents UNION SELECT e.b, r.root FROM r JOIN e ON e.a = r.v)
+        SELECT t.doc_id, coalesce(n.n, 0) AS n_shingles, c.component_id
+        FROM t LEFT JOIN n USING (doc_id) JOIN (SELECT v AS doc_id, min(root) AS component_id FROM r GROUP BY v) c USING (doc_id)""",
 }
