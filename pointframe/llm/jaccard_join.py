@@ -39,7 +39,7 @@ from pointframe.llm.components import connected_components
 from pointframe.llm.relations import links
 from pointframe.session import ship_package
 
-CHUNK = 1_000_000
+CHUNK = 1 << 18
 # linked sets have so many tokens of their prefixes in common, so a single common phrase is no candidate
 SHARED = 3
 U = np.uint64
@@ -132,7 +132,7 @@ class JaccardJoin:
     """The join of one table; ``num / den`` is the threshold."""
 
     def __init__(self, docs: DataFrame, id: str = "doc_id", text: str = "text", *, n: int = 4, num: int = 85, den: int = 100,
-                 frequent: int = 16, max_frequent: int = 2_000_000, max_broadcast: int = 2_000_000, stars: int = 2):
+                 frequent: int = 16, max_frequent: int = 2_000_000, max_broadcast: int = 2_000_000, stars: int = 4):
         self.docs = pick(docs, id=id, text=text)
         self.id_type = self.docs.schema["id"].dataType.simpleString()
         self.n, self.num, self.den = n, num, den

@@ -55,7 +55,7 @@ def overlaps(pairs: DataFrame, fetch: Callable[[DataFrame], DataFrame], max_broa
     return materialize(both.select("a", "b", "na", "nb", F.size(F.array_intersect("ta", "tb")).cast("long").alias("i")), "overlaps")
 
 
-def links(posts: DataFrame, fetch: Callable[[DataFrame], DataFrame], num: int, den: int, *, shared: int = 1, stars: int = 2,
+def links(posts: DataFrame, fetch: Callable[[DataFrame], DataFrame], num: int, den: int, *, shared: int = 1, stars: int = 4,
           max_broadcast: int = 2_000_000) -> DataFrame:
     """Edges (a, b), all of them links, whose components are those of all links that the lists hold.
 
@@ -63,21 +63,25 @@ def links(posts: DataFrame, fetch: Callable[[DataFrame], DataFrame], num: int, d
     smallest overlap, if that is less).
     """
     done = edges = comp = None
-    for _ in range(stars):
+    for k in range(stars):
         if comp is None:
             at = posts.withColumn("comp", F.col("id"))
             heads = at.groupBy("h").agg(F.min(F.struct("comp", "id", "n", "pos", "cap")).alias("head"))
-        else:  # now a leader from outside of the list's first component
-            at = posts.join(comp, "id", "left").withColumn("comp", F.coalesce("comp", "id"))
-            at = materialize(at, "posts")
+            # of the leaders of its lists a set takes the one that most of them name
+            votes = at.join(heads, "h").where("comp != head.comp").where(near("", "head.", num, den, shared))
+            votes = votes.groupBy(F.col("id").alias("a"), F.col("head.id").alias("b")).agg(
+                F.count("*").alias("v"), F.max("n").alias("n"), F.max("head.n").alias("m"))
+            votes = votes.where(enough("v", F.col("n"), F.col("m"), num, den, shared))
+        else:  # a set of another component tries one member, another one each round, of the list's first component
+            at = materialize(posts.join(comp, "id", "left").withColumn("comp", F.coalesce("comp", "id")), "posts")
             low = at.groupBy("h").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low != high").select("h", "low")
             at = at.join(low, "h")
-            heads = at.where("comp != low").groupBy("h").agg(F.max(F.struct("comp", "id", "n", "pos", "cap")).alias("head"))
-        # of the leaders of its lists a set takes the one that most of them name
-        votes = at.join(heads, "h").where("comp != head.comp").where(near("", "head.", num, den, shared))
-        votes = votes.groupBy(F.col("id").alias("a"), F.col("head.id").alias("b")).agg(
-            F.count("*").alias("v"), F.max("n").alias("n"), F.max("head.n").alias("m"))
-        votes = votes.where(enough("v", F.col("n"), F.col("m"), num, den, shared))
+            draw = F.xxhash64(F.lit(k), "h", "id").alias("draw")
+            heads = at.where("comp = low").groupBy("h").agg(F.min(F.struct(draw, "comp", "id", "n", "pos", "cap")).alias("head"))
+            votes = at.where("comp != low").join(heads, "h").where(near("", "head.", num, den, shared))
+            votes = votes.groupBy(F.col("id").alias("a"), "low").agg(
+                F.count("*").alias("v"), F.max("n").alias("n"), F.max_by(F.col("head.id"), F.col("head.draw")).alias("b"))
+            votes = votes.where(enough("v", F.col("n"), F.col("n") * num / den, num, den, shared))
         pairs = votes.groupBy("a").agg(F.max(F.struct("v", "b")).alias("best")).select("a", F.col("best.b").alias("b"))
         if done is not None:
             pairs = pairs.join(done, ["a", "b"], "left_anti")

@@ -41,7 +41,7 @@ ORDER, OWN, FLOOR = 5, 3, 1 / 256
 DISCOUNTS, HANDED = (1.0, 1.4, 1.8), 1.2
 BITS = 10
 MASKS = np.array([(1 << (BITS * k)) - 1 for k in range(ORDER + 1)], dtype=np.int64)
-CHUNK = 1_000_000
+CHUNK = 1 << 18
 FEATURES = 5
 
 
