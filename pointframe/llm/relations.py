@@ -40,7 +40,13 @@ def enough(count: str, n: Column, m: Column, num: int, den: int, shared: int) ->
     return F.col(count) >= F.least(F.lit(shared), F.ceil((n + m) * num / (num + den)))
 
 
-def overlaps(pairs: DataFrame, fetch: Callable[[DataFrame], DataFrame], max_broadcast: int) -> DataFrame:
+def common(both: DataFrame) -> DataFrame:
+    """Rows with the token lists ta and tb: a, b, na, nb and i, the size of the intersection."""
+    return both.select("a", "b", "na", "nb", F.size(F.array_intersect("ta", "tb")).cast("long").alias("i"))
+
+
+def overlaps(pairs: DataFrame, fetch: Callable[[DataFrame], DataFrame], max_broadcast: int,
+             count: Callable[[DataFrame], DataFrame] = common) -> DataFrame:
     """pairs (a, b) with the sizes na, nb and i of the intersection.
 
     While the pairs are few enough to broadcast, only the sets they name are moved, once.
@@ -52,23 +58,26 @@ def overlaps(pairs: DataFrame, fetch: Callable[[DataFrame], DataFrame], max_broa
     right = sets.select(F.col("id").alias("b"), F.col("n").alias("nb"), F.col("tokens").alias("tb"))
     needed = sized(materialize(pairs.select("b").distinct(), "needed"), max_broadcast)
     both = left.join(sized(pairs, max_broadcast), "a").join(right.join(needed, "b", "left_semi"), "b")
-    return materialize(both.select("a", "b", "na", "nb", F.size(F.array_intersect("ta", "tb")).cast("long").alias("i")), "overlaps")
+    return materialize(count(both), "overlaps")
 
 
 def links(posts: DataFrame, fetch: Callable[[DataFrame], DataFrame], num: int, den: int, *, shared: int = 1, stars: int = 4,
-          max_broadcast: int = 2_000_000) -> DataFrame:
+          max_broadcast: int = 2_000_000, count: Callable[[DataFrame], DataFrame] = common, carry: tuple[str, ...] = (),
+          can: Callable[[str, str], Column] = lambda a, b: F.lit(True)) -> DataFrame:
     """Edges (a, b), all of them links, whose components are those of all links that the lists hold.
 
     ``shared``: the number of lists in which two linked sets meet at least (or their
-    smallest overlap, if that is less).
+    smallest overlap, if that is less). ``count``: how two sets are intersected, in the form
+    that ``fetch`` gives them in. ``carry``: further columns of ``posts``, from which ``can`` (prefixes
+    of the columns) tells which pairs cannot link.
     """
     done = edges = comp = None
     for k in range(stars):
         if comp is None:
             at = posts.withColumn("comp", F.col("id"))
-            heads = at.groupBy("h").agg(F.min(F.struct("comp", "id", "n", "pos", "cap")).alias("head"))
+            heads = at.groupBy("h").agg(F.min(F.struct("comp", "id", "n", "pos", "cap", *carry)).alias("head"))
             # of the leaders of its lists a set takes the one that most of them name
-            votes = at.join(heads, "h").where("comp != head.comp").where(near("", "head.", num, den, shared))
+            votes = at.join(heads, "h").where("comp != head.comp").where(near("", "head.", num, den, shared) & can("", "head."))
             votes = votes.groupBy(F.col("id").alias("a"), F.col("head.id").alias("b")).agg(
                 F.count("*").alias("v"), F.max("n").alias("n"), F.max("head.n").alias("m"))
             votes = votes.where(enough("v", F.col("n"), F.col("m"), num, den, shared))
@@ -77,15 +86,15 @@ def links(posts: DataFrame, fetch: Callable[[DataFrame], DataFrame], num: int, d
             low = at.groupBy("h").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low != high").select("h", "low")
             at = at.join(low, "h")
             draw = F.xxhash64(F.lit(k), "h", "id").alias("draw")
-            heads = at.where("comp = low").groupBy("h").agg(F.min(F.struct(draw, "comp", "id", "n", "pos", "cap")).alias("head"))
-            votes = at.where("comp != low").join(heads, "h").where(near("", "head.", num, den, shared))
+            heads = at.where("comp = low").groupBy("h").agg(F.min(F.struct(draw, "comp", "id", "n", "pos", "cap", *carry)).alias("head"))
+            votes = at.where("comp != low").join(heads, "h").where(near("", "head.", num, den, shared) & can("", "head."))
             votes = votes.groupBy(F.col("id").alias("a"), "low").agg(
                 F.count("*").alias("v"), F.max("n").alias("n"), F.max_by(F.col("head.id"), F.col("head.draw")).alias("b"))
             votes = votes.where(enough("v", F.col("n"), F.col("n") * num / den, num, den, shared))
         pairs = votes.groupBy("a").agg(F.max(F.struct("v", "b")).alias("best")).select("a", F.col("best.b").alias("b"))
         if done is not None:
             pairs = pairs.join(done, ["a", "b"], "left_anti")
-        found = overlaps(pairs, fetch, max_broadcast)
+        found = overlaps(pairs, fetch, max_broadcast, count)
         done = found if done is None else done.unionByName(found)
         edges = done.where(link(F.col("i"), F.col("na"), F.col("nb"), num, den)).select("a", "b")
         comp = connected_components(edges).select(F.col("v").alias("id"), F.col("root").alias("comp"))
@@ -97,17 +106,17 @@ def links(posts: DataFrame, fetch: Callable[[DataFrame], DataFrame], num: int, d
     lead = (done.groupBy("a").agg(F.max(F.struct("i", "b", "na")).alias("m"))
             .select(F.col("a").alias("id"), F.col("m.b").alias("leader"), (F.col("m.na") - F.col("m.i")).alias("beside")))
     rest = materialize(at.join(mixed, "h").join(lead, "id", "left").select(
-        "h", "id", "n", "pos", "cap", "comp", F.coalesce("leader", "id").alias("leader"), F.coalesce("beside", F.lit(0)).alias("beside")), "mixed")
-    x, y = (rest.select("h", *[F.col(c).alias(f"{s}_{c}") for c in ("id", "n", "pos", "cap", "comp", "leader", "beside")]) for s in "xy")
-    meet = x.join(y, "h").where("x_id < y_id and x_comp != y_comp").where(near("x_", "y_", num, den, shared))
+        "h", "id", "n", "pos", "cap", "comp", *carry, F.coalesce("leader", "id").alias("leader"), F.coalesce("beside", F.lit(0)).alias("beside")), "mixed")
+    x, y = (rest.select("h", *[F.col(c).alias(f"{s}_{c}") for c in ("id", "n", "pos", "cap", "comp", "leader", "beside", *carry)]) for s in "xy")
+    meet = x.join(y, "h").where("x_id < y_id and x_comp != y_comp").where(near("x_", "y_", num, den, shared) & can("x_", "y_"))
     meet = meet.groupBy(*[f"{s}_{c}" for s in "xy" for c in ("id", "n", "leader", "beside")]).agg(F.count("*").alias("v"))
     meet = materialize(meet.where(enough("v", F.col("x_n"), F.col("y_n"), num, den, shared)), "meet")
     if meet.isEmpty():
         return edges
     heads = meet.select(F.col("x_leader").alias("a"), F.col("y_leader").alias("b")).where("a != b").distinct()
-    heads = overlaps(heads, fetch, max_broadcast).select(F.col("a").alias("x_leader"), F.col("b").alias("y_leader"), "i")
+    heads = overlaps(heads, fetch, max_broadcast, count).select(F.col("a").alias("x_leader"), F.col("b").alias("y_leader"), "i")
     bound = F.coalesce(F.col("i"), F.least("x_n", "y_n")) + F.col("x_beside") + F.col("y_beside")
     open_ = meet.join(heads, ["x_leader", "y_leader"], "left").where(link(bound, F.col("x_n"), F.col("y_n"), num, den))
     open_ = open_.select(F.col("x_id").alias("a"), F.col("y_id").alias("b")).distinct().join(done, ["a", "b"], "left_anti")
-    found = overlaps(open_, fetch, max_broadcast)
+    found = overlaps(open_, fetch, max_broadcast, count)
     return edges.unionByName(found.where(link(F.col("i"), F.col("na"), F.col("nb"), num, den)).select("a", "b"))

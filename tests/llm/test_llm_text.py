@@ -237,3 +237,30 @@ def test_line_dedup_recall_and_precision(spark):
     gone = {r.id for r in duplicate_lines(frame(spark, rows)).collect()}
     pairs = {2 * k + 1 for k in range(150)}
     assert gone <= pairs and len(gone) >= 147
+
+
+@pytest.mark.parametrize("make", [lambda r, n: prose(r, n, 10**6), lambda r, n: " ".join("".join(r.choice("abcdefghijklmnop") for _ in range(r.randrange(4, 9))) for _ in range(n)),
+                                  lambda r, n: "".join(chr(0x4E00 + r.randrange(3000)) for _ in range(5 * n))], ids=["numbers", "words", "unspaced"])
+def test_line_dedup_finds_one_character_edits_in_short_and_unspaced_lines(spark, make):
+    rng = random.Random(9)
+    rows, want = [], set()
+    grams = lambda t: {t[k:k + 5] for k in range(max(1, len(t) - 4))}
+    for k in range(150):
+        line = make(rng, 8 + k % 13)
+        at = rng.randrange(len(line)) if k % 2 else len(line) - 1
+        other = line[:at] + "#" + line[at + 1:]
+        rows += [(2 * k, line, "s"), (2 * k + 1, other, "s")]
+        a, b = grams(line), grams(other)
+        if len(a & b) >= 0.8 * len(a | b):
+            want.add(2 * k + 1)
+    gone = {r.id for r in duplicate_lines(frame(spark, rows)).collect()}
+    assert gone <= want and len(want) >= 75 and len(gone) >= 0.97 * len(want)
+
+
+def test_line_shingles_of_long_lines_do_not_depend_on_chunks(monkeypatch):
+    import pointframe.llm.line_dedup as d
+    lines = [prose(random.Random(5), 300), "abc", "日本語" * 50, "x" * 9]
+    whole = [(t[s[i]:s[i + 1]]).tolist() for _, t, s in d.shingle_runs(lines) for i in range(len(s) - 1)]
+    monkeypatch.setattr(d, "CHUNK", 20)
+    assert whole == [(t[s[i]:s[i + 1]]).tolist() for _, t, s in d.shingle_runs(lines) for i in range(len(s) - 1)]
+    assert [len(x) for x in whole] == [len({t[k:k + 5] for k in range(max(1, len(t) - 4))}) for t in lines]
