@@ -8,11 +8,13 @@ Drawing: every source is a deck of blocks, its documents dealt by a hash of
 (seed, source, id). A source's target is so many whole passes over its deck plus
 a rest; the rest takes blocks in their permuted order, then documents in the
 permuted order of the last block, then the leading words of one last document,
-so the words taken meet the rounded target exactly. The blocks drawn are
+so the words taken meet the rounded target exactly. The blocks drawn (a block counts
+once for every pass that takes it, the cut last block included) are
 partitioned among the output shards by a binary tree: each node knows how many
-blocks of each source it holds, and draws from the multivariate hypergeometric
+draws of each source it holds, and draws from the multivariate hypergeometric
 distribution how many of each go to its left half. Shards so get disjoint
-permuted runs of every source in exact numbers; inside a shard the documents are
+permuted runs of every source; a block's draws stay together, in the shard of the
+first of them, so a shard's number is exact up to the draws of one block. Inside a shard the documents are
 ordered by a hash (a local shuffle).
 
 The driver holds one row per source and the tree's counts (sources x shards,
@@ -91,7 +93,8 @@ def mix(docs: DataFrame, id: str = "doc_id", text: str = "text", source: str = "
     """Per row of ``docs``: id, source, size, source_size, target, passes, rest, taken, shard, position.
 
     ``passes`` whole copies and the first ``rest`` words are taken (``taken`` = passes x size + rest).
-    ``shard`` and ``position`` place the document in the mix (all its copies together with its block).
+    ``shard`` and ``position`` place the document in the mix (all its copies together with its block);
+    documents of blocks that are not taken carry the last shard.
     """
     spark = docs.sparkSession
     rows = pick(docs, id=id, text=text, source=source).select("id", "source", word_count("text").alias("size"))
@@ -107,11 +110,10 @@ def mix(docs: DataFrame, id: str = "doc_id", text: str = "text", source: str = "
         passes, rest = divmod(whole, r["words"]) if r["words"] else (0, 0)
         quota.append((r["source"], r["words"], t, int(passes), int(rest)))
         decks.append(max(1, math.ceil(r["words"] / block_words), math.ceil(r["items"] / block_words)))
-    tree = np.cumsum(split_tree(np.array(decks), shards, seed), axis=0) if decks else np.zeros((shards, 0), int)
-    table = spark.createDataFrame(
-        [(*q, n, tree[:, i].tolist()) for i, (q, n) in enumerate(zip(quota, decks, strict=True))],
-        "source string, source_size long, target double, passes long, rest_words long, blocks long, ends array<long>")
-    table = F.broadcast(table) if len(stats) * (shards + 8) * 8 <= 32 << 20 else table
+    table = spark.createDataFrame([(*q, n) for q, n in zip(quota, decks, strict=True)],
+                                  "source string, source_size long, target double, passes long, rest_words long, blocks long")
+    small = len(stats) * (shards + 8) * 8 <= 32 << 20
+    table = F.broadcast(table) if small else table
 
     # the deck: a block by one hash, the order in it by another
     dealt = items.join(table.withColumnRenamed("source", "s_"), F.col("source").eqNullSafe(F.col("s_"))).drop("s_")
@@ -120,13 +122,23 @@ def mix(docs: DataFrame, id: str = "doc_id", text: str = "text", source: str = "
     sums = dealt.groupBy("source", "block").agg(F.sum(F.col("size") * F.col("n")).alias("block_words"))
     before = sums.withColumn("before", F.coalesce(F.sum("block_words").over(
         Window.partitionBy("source").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    before = before.select(F.col("source").alias("s_"), F.col("block").alias("b_"), "before")
+    before = materialize(before.select(F.col("source").alias("s_"), F.col("block").alias("b_"), "before"), "blocks")
+
+    # the quota's draws, block after block: the blocks of the rest have one more than the others
+    cut = before.join(table, F.col("source").eqNullSafe(F.col("s_"))).where("before < rest_words")
+    cut = {r["s_"]: r["n"] for r in cut.groupBy("s_").agg((F.max("b_") + 1).alias("n")).collect()}
+    draws = np.array([q[3] * n + cut.get(q[0], 0) for q, n in zip(quota, decks, strict=True)], dtype=np.int64)
+    tree = np.cumsum(split_tree(draws, shards, seed), axis=0) if decks else np.zeros((shards, 0), int)
+    ends = spark.createDataFrame([(q[0], q[3], cut.get(q[0], 0), tree[:, i].tolist()) for i, q in enumerate(quota)],
+                                 "e_ string, p_ long, cut long, ends array<long>")
+    before = before.join(F.broadcast(ends) if small else ends, F.col("s_").eqNullSafe(F.col("e_")))
+    draw = F.col("b_") * F.col("p_") + F.least("b_", "cut")
+    before = before.select("s_", "b_", "before", F.least(F.lit(shards - 1), F.size(F.filter("ends", lambda e: e <= draw))).alias("shard"))
     placed = dealt.join(before, F.col("source").eqNullSafe(F.col("s_")) & (F.col("block") == F.col("b_"))).drop("s_", "b_")
     in_block = Window.partitionBy("source", "block").orderBy("order", "id", "size")
     start = F.col("before") + F.coalesce(F.sum(F.col("size") * F.col("n")).over(
         in_block.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     placed = placed.withColumn("start", start)
-    placed = placed.withColumn("shard", F.size(F.filter("ends", lambda e: e <= F.col("block"))))
     placed = placed.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("n"))))
     rest = F.greatest(F.lit(0), F.least(F.col("size"), F.col("rest_words") - F.col("start") - (F.col("copy") - 1) * F.col("size")))
     return placed.select(

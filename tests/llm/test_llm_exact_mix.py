@@ -98,3 +98,17 @@ def test_mix_meets_targets(spark):
 
 def test_mix_empty(spark):
     assert mix(frame(spark, [])).count() == 0
+
+
+def test_every_shard_holds_its_part_of_every_source(spark):
+    # a: a part of one pass; b: one pass and a rest; c: two passes and a rest
+    rows = [(i, "w " * 10, "a" if i < 4000 else "b" if i < 5400 else "c") for i in range(6800)]
+    got = mix(frame(spark, rows), block_words=20).collect()
+    words, goal = Counter(), {}
+    for r in got:
+        words[r.source, r.shard] += r.taken
+        goal[r.source] = r.target
+    for s, target in goal.items():
+        assert all(0.4 * target / 16 <= words[s, k] <= 1.7 * target / 16 for k in range(16)), (s, target / 16, [words[s, k] for k in range(16)])
+    for k in range(16):
+        assert abs(sum(words[s, k] for s in goal) - 68_000 / 16) <= 0.25 * 68_000 / 16
