@@ -11,9 +11,10 @@ level of ``strong``; a
 logistic curve fitted on labelled rows that the counts have not seen turns them
 into a score between 0 and 1.
 
-Counting and scoring cover all rows and whole texts. The model has a fixed size:
-every table is an array of ``slots`` cells addressed by a hash of the n-gram, so
-what is collected and broadcast is bounded whatever the corpus. The curve is
+Counting and scoring cover all rows and whole texts. The counts are exact and stay
+Spark tables that grow with the corpus; the distinct n-grams of the texts are joined
+to them. The evidence of these n-grams is broadcast only when a count proves them
+few (``slots``); beyond, the words of the texts are joined with it. The curve is
 fitted on at most ``max_fit_rows`` rows, the first by a hash of the id.
 
 Defined results: null and blank texts score as a text without evidence (the
@@ -24,8 +25,6 @@ counts as toxic if any is. Without labelled rows of both classes every score is
 
 from __future__ import annotations
 
-import hashlib
-import io
 from collections.abc import Iterator
 
 import numpy as np
@@ -124,79 +123,59 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield rows(label, merge(parts))
 
 
-def _slot(keys: np.ndarray, slots: int) -> np.ndarray:
-    x = keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-    x ^= x >> np.uint64(29)
-    x *= np.uint64(0xBF58476D1CE4E5B9)
-    return ((x >> np.uint64(20)) % np.uint64(slots)).astype(np.int64)
-
-
-def count_model(train: DataFrame, slots: int) -> dict[str, np.ndarray]:
-    """Tables of the two models from rows (label 0 or 1, cleaned text)."""
+def count_model(train: DataFrame) -> dict[int, DataFrame]:
+    """The exact counts of the two models from rows (label 0 or 1, cleaned text), a table per order:
+    label (-1 for both classes together), key, w."""
     ship_package(train.sparkSession)
     counts = train.mapInArrow(_count, "label int, key long, n long")
-    own = materialize(counts.groupBy("label", "key").agg(F.sum("n").alias("w")), "ngrams")
-    level, levels = own, []
-    for k in range(ORDER, 0, -1):
-        if k < ORDER:
-            if k == OWN - 1:  # from here on both classes count together
-                level = level.groupBy(F.lit(-1).alias("label"), "key").agg(F.sum("w").alias("w"))
-            # Kneser-Ney: the number of different n-grams that end so; those cut at a word's start count in full
-            started = F.shiftright("key", BITS * k) == 0
-            level = level.groupBy("label", F.col("key").bitwiseAND(F.lit(int(MASKS[k]))).alias("key")).agg(
-                F.sum(F.when(started, F.col("w")).otherwise(1)).alias("w"))
-        name = F.concat_ws("_", F.col("label").cast("string"), F.lit(str(k)))
-        context = F.shiftright("key", BITS)
-        levels.append(level.select(F.concat(F.lit("n_"), name).alias("table"), "key", F.col("w").cast("double").alias("v")))
-        for what, value in (("sum_", F.sum("w")), ("kinds_", F.count("*"))):
-            levels.append(level.groupBy("label", context.alias("key")).agg(value.cast("double").alias("v"))
-                          .select(F.concat(F.lit(what), name).alias("table"), "key", "v"))
-    tables = levels[0]
-    for x in levels[1:]:
-        tables = tables.unionByName(x)
-
-    def slotted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            keys = b.column("key").to_numpy(zero_copy_only=False)
-            yield pa.RecordBatch.from_pydict({"table": b.column("table"), "slot": pa.array(_slot(keys, slots)), "v": b.column("v")})
-
-    cells = tables.mapInArrow(slotted, "table string, slot long, v double").groupBy("table", "slot").agg(F.sum("v").alias("v")).toArrow()
-    model: dict[str, np.ndarray] = {}
-    names = cells.column("table").combine_chunks().dictionary_encode()
-    which, slot, value = names.indices.to_numpy(), cells.column("slot").to_numpy(), cells.column("v").to_numpy()
-    for i, n in enumerate(names.dictionary.to_pylist()):
-        model[n] = np.zeros(slots, dtype=np.float32)
-        model[n][slot[which == i]] = value[which == i]
-    return model
-
-
-def evidence(keys: np.ndarray, model: dict[str, np.ndarray], slots: int) -> np.ndarray:
-    """log P(symbol | toxic) - log P(symbol | ordinary) of packed n-grams."""
-    none = np.zeros(slots, dtype=np.float32)
-    p = {0: np.full(len(keys), FLOOR), 1: np.full(len(keys), FLOOR)}
+    level = materialize(counts.groupBy("label", "key").agg(F.sum("n").alias("w")), "ngrams")
+    levels = {ORDER: level}
+    for k in range(ORDER - 1, 0, -1):
+        if k == OWN - 1:  # from here on both classes count together
+            level = level.groupBy(F.lit(-1).alias("label"), "key").agg(F.sum("w").alias("w"))
+        # Kneser-Ney: the number of different n-grams that end so; those cut at a word's start count in full
+        started = F.shiftright("key", BITS * k) == 0
+        level = level.groupBy("label", F.col("key").bitwiseAND(F.lit(int(MASKS[k]))).alias("key")).agg(
+            F.sum(F.when(started, F.col("w")).otherwise(1)).alias("w"))
+        levels[k] = level = materialize(level, f"ngrams{k}")
+    return levels
+
+
+def evidence(grams: DataFrame, levels: dict[int, DataFrame], max_broadcast: int) -> DataFrame:
+    """``grams`` (key) with e, log P(symbol | toxic) - log P(symbol | ordinary) of the packed n-gram."""
+    p = {c: F.lit(FLOOR) for c in (0, 1)}
+    out = grams
     for k in range(1, ORDER + 1):
-        gram = keys & MASKS[k]
-        at, context = _slot(gram, slots), _slot(gram >> BITS, slots)
+        classes = {c: c if k >= OWN else -1 for c in (0, 1)}
+
+        def sides(value: Column, name: str, classes=classes) -> list[Column]:
+            return [F.max(F.when(F.col("label") == classes[c], value)).alias(f"{name}{c}") for c in (0, 1)]
+
+        seen = levels[k].groupBy(F.col("key").alias("g")).agg(*sides(F.col("w"), "seen"))
+        contexts = levels[k].groupBy("label", F.shiftright("key", BITS).alias("x")).agg(F.sum("w").alias("w"), F.count("*").alias("k"))
+        contexts = contexts.groupBy("x").agg(*sides(F.col("w"), "total"), *sides(F.col("k"), "kinds"))
+        gram = F.col("key").bitwiseAND(F.lit(int(MASKS[k])))
+        out = out.withColumn("gram", gram).withColumn("context", F.shiftright(gram, BITS))
+        out = out.join(sized(materialize(seen, "seen"), max_broadcast), F.col("gram") == F.col("g"), "left")
+        out = out.join(sized(materialize(contexts, "contexts"), max_broadcast), F.col("context") == F.col("x"), "left")
         for c in (0, 1):
-            name = f"{c if k >= OWN else -1}_{k}"
-            n, total, kinds = (model.get(f"{t}_{name}", none) for t in ("n", "sum", "kinds"))
-            total, kinds, seen = total[context], kinds[context], n[at]
-            off = np.minimum(seen, np.where(seen <= 1, DISCOUNTS[0], np.where(seen <= 2, DISCOUNTS[1], DISCOUNTS[2])))
-            back = np.minimum(total, HANDED * kinds)
-            p[c] = np.where(total > 0, (seen - off + back * p[c]) / np.maximum(total, 1), p[c])
-    return np.log(p[1] + 1e-12) - np.log(p[0] + 1e-12)
-
+            n, total, kinds = (F.coalesce(f"{t}{c}", F.lit(0)).cast("double") for t in ("seen", "total", "kinds"))
+            off = F.least(n, F.when(n <= 1, DISCOUNTS[0]).when(n <= 2, DISCOUNTS[1]).otherwise(DISCOUNTS[2]))
+            back = F.least(total, HANDED * kinds)
+            p[c] = F.when(total > 0, (n - off + back * p[c]) / F.greatest(total, F.lit(1.0))).otherwise(p[c])
+        out = out.withColumns({f"p{c}": p[c] for c in (0, 1)}).select("key", "p0", "p1")
+        p = {c: F.col(f"p{c}") for c in (0, 1)}
+    return out.select("key", (F.log(p[1] + 1e-12) - F.log(p[0] + 1e-12)).alias("e"))
 
-def features(texts: list[str], model: dict[str, np.ndarray], slots: int, strong: tuple[float, float]) -> np.ndarray:
-    import pandas as pd
 
+def features(texts: list[str], known: np.ndarray, value: np.ndarray, strong: tuple[float, float]) -> np.ndarray:
+    """Of cleaned texts, by the evidence of all their n-grams (``known``, sorted, and ``value``)."""
     sums = np.zeros((len(texts), 4))  # words, evidence, words above each level
     for rows, run in _pieces(texts):
         keys, word, text = ngrams(run)
         if not len(text):
             continue
-        at, once = pd.factorize(keys)
-        by_word = np.bincount(word, evidence(once, model, slots)[at], minlength=len(text))
+        by_word = np.bincount(word, value[np.searchsorted(known, keys)], minlength=len(text))
         row = np.asarray(rows)[text]
         for j, x in enumerate((np.ones(len(row)), np.clip(by_word, -4, 8), by_word > strong[0], by_word > strong[1])):
             sums[:, j] += np.bincount(row, x, minlength=len(texts))
@@ -219,33 +198,14 @@ def _logistic(x: np.ndarray, y: np.ndarray, penalty: float = 1.0) -> np.ndarray:
     return b
 
 
-def pack_model(model: dict[str, np.ndarray]) -> bytes:
-    """The tables compressed: mostly zeros on small corpora."""
-    out = io.BytesIO()
-    np.savez_compressed(out, **model)
-    return out.getvalue()
-
-
-_UNPACKED: dict[bytes, dict[str, np.ndarray]] = {}
-
-
-def _unpacked(shared) -> dict[str, np.ndarray]:
-    """The tables of a broadcast model, unpacked once in a worker process."""
-    key = hashlib.blake2b(shared.value).digest()
-    if key not in _UNPACKED:
-        _UNPACKED.clear()
-        _UNPACKED[key] = dict(np.load(io.BytesIO(shared.value)))
-    return _UNPACKED[key]
-
-
-def _featured(rows: DataFrame, shared, slots: int, strong: tuple[float, float], keep: list[str]) -> DataFrame:
-    """``rows`` (text and ``keep``) with features x0, x1, ... for text; one Arrow pass. ``shared``: the packed model."""
+def _featured(rows: DataFrame, shared, strong: tuple[float, float], keep: list[str]) -> DataFrame:
+    """``rows`` (text and ``keep``) with features x0, x1, ... for text; one Arrow pass. ``shared``: n-grams and evidence."""
     schema = rows.select(*keep).schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = _unpacked(shared)
+        known, value = shared.value
         for b in batches:
-            x = features(b.column("text").to_pylist(), model, slots, strong)
+            x = features(b.column("text").to_pylist(), known, value, strong)
             cols = {k: b.column(k) for k in keep} | {f"x{j}": pa.array(x[:, j]) for j in range(FEATURES)}
             yield pa.RecordBatch.from_pydict(cols)
 
@@ -254,10 +214,39 @@ def _featured(rows: DataFrame, shared, slots: int, strong: tuple[float, float],
     return rows.select(*keep, "text").mapInArrow(run, schema)
 
 
+def _occurrences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(key, text) to (key, word, gram): every n-gram of every word, words numbered within the task."""
+    done = 0
+    for b in batches:
+        for rows, run in _pieces(b.column("text").to_pylist()):
+            grams, word, text = ngrams(run)
+            if len(text):
+                which = np.asarray(rows)[text][word]
+                yield pa.RecordBatch.from_pydict({"key": b.column("key").take(pa.array(which)), "word": pa.array(word + done), "gram": pa.array(grams)})
+                done += len(text)
+
+
+def _joined(rows: DataFrame, table: DataFrame, strong: tuple[float, float], keep: list[str]) -> DataFrame:
+    """What ``_featured`` gives, by joins with the evidence ``table`` (key, e) instead of a broadcast."""
+    texts = rows.select("key", "text").dropDuplicates(["key"])
+    found = texts.mapInArrow(_occurrences, "key long, word long, gram long").join(table.withColumnRenamed("key", "gram"), "gram")
+    by_word = found.groupBy("key", "word").agg(F.sum("e").alias("e"))
+    above = [F.sum((F.col("e") > x).cast("double")) for x in strong]
+    sums = by_word.groupBy("key").agg(F.count("*").alias("n"), F.sum(F.greatest(F.lit(-4.0), F.least(F.lit(8.0), F.col("e")))).alias("s"),
+                                      *[x.alias(f"a{j}") for j, x in enumerate(above)])
+    x = [F.col("s") / F.col("n"), *[F.least(F.lit(5.0), 50 * F.col(f"a{j}") / F.col("n")) for j in (0, 1)], *[F.log1p(f"a{j}") for j in (0, 1)]]
+    sums = sums.select(F.col("key").alias("k_"), *[c.alias(f"x{j}") for j, c in enumerate(x)])
+    out = rows.select("key", *[c for c in keep if c != "key"]).join(sums, F.col("key") == F.col("k_"), "left")
+    return out.select(*keep, *[F.coalesce(f"x{j}", F.lit(0.0)).alias(f"x{j}") for j in range(FEATURES)])
+
+
 def score_toxicity(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "text", *,
                    label_id: str = "doc_id", label: str = "toxic", learn: Column | None = None, slots: int = 1 << 20,
                    strong: tuple[float, float] = (2.0, 4.0), max_fit_rows: int = 20_000, max_broadcast: int = 8_000_000) -> DataFrame:
-    """Per row of ``docs``: id, key (a hash of its text), score. ``learn``: condition over id; only rows that meet it give labels."""
+    """Per row of ``docs``: id, key (a hash of its text), score. ``learn``: condition over id; only rows that meet it give labels.
+
+    ``slots``: the most n-grams whose evidence is broadcast; with more, the texts' n-grams are joined with it.
+    """
     ship_package(docs.sparkSession)
     rows = pick(docs, id=id, text=text).select("id", F.xxhash64(F.coalesce("text", F.lit(""))).alias("key"), clean(F.col("text")).alias("text"))
     known = pick(labels, id=label_id, label=label).where("label is not null and id is not null")
@@ -266,15 +255,28 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text:
     known = materialize(known.groupBy("id").agg(F.max("label").cast("int").alias("label")).where("label in (0, 1)")
                         .withColumn("fold", F.pmod(F.xxhash64(F.lit("fit"), "id"), F.lit(4))), "labels")
     train = rows.join(sized(known, max_broadcast), "id")
-    model = docs.sparkSession.sparkContext.broadcast(pack_model(count_model(train.where("fold > 0").select("label", "text"), slots)))
+    levels = count_model(train.where("fold > 0").select("label", "text"))
+    grams = rows.select(F.lit(0).alias("label"), "text").mapInArrow(_count, "label int, key long, n long").select("key").distinct()
+    table = materialize(evidence(materialize(grams, "grams"), levels, slots), "evidence")
     fit = train.where("fold = 0").orderBy(F.xxhash64(F.lit("order"), "id")).limit(max_fit_rows)
-    seen = _featured(fit, model, slots, strong, ["label"]).toPandas()
+    if table.limit(slots + 1).count() <= slots:
+        held = table.orderBy("key").toArrow()
+        shared = docs.sparkSession.sparkContext.broadcast((held.column("key").to_numpy(), held.column("e").to_numpy()))
+
+        def featured(some: DataFrame, keep: list[str]) -> DataFrame:
+            return _featured(some, shared, strong, keep)
+    else:
+
+        def featured(some: DataFrame, keep: list[str]) -> DataFrame:
+            return _joined(some, table, strong, keep)
+
+    seen = featured(materialize(fit.select("key", "label", "text"), "fit"), ["label"]).toPandas()
     x, y = seen[[f"x{j}" for j in range(FEATURES)]].to_numpy(), seen["label"].to_numpy(dtype=float)
     if len(set(y)) < 2:
         return rows.select("id", "key", F.lit(0.0).alias("score"))
     b = _logistic(x, y)
     z = sum((F.col(f"x{j}") * float(b[j]) for j in range(FEATURES)), F.lit(float(b[-1])))
-    return _featured(rows, model, slots, strong, ["id", "key"]).select("id", "key", (1 / (1 + F.exp(-z))).alias("score"))
+    return featured(rows, ["id", "key"]).select("id", "key", (1 / (1 + F.exp(-z))).alias("score"))
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "text", *, threshold: float = 0.7,

@@ -264,3 +264,13 @@ def test_line_shingles_of_long_lines_do_not_depend_on_chunks(monkeypatch):
     monkeypatch.setattr(d, "CHUNK", 20)
     assert whole == [(t[s[i]:s[i + 1]]).tolist() for _, t, s in d.shingle_runs(lines) for i in range(len(s) - 1)]
     assert [len(x) for x in whole] == [len({t[k:k + 5] for k in range(max(1, len(t) - 4))}) for t in lines]
+
+
+def test_toxicity_scores_do_not_depend_on_the_number_of_slots(spark):
+    rows, labels = toxic_rows(random.Random(12))
+    docs = frame(spark, [*rows, (5000, None, "s"), (5001, rows[0][1], "s"), (5002, "", "s")])
+    table = spark.createDataFrame(labels, "doc_id long, toxic int")
+    few, many = ({r.id: r.score for r in score_toxicity(docs, table, slots=n).collect()} for n in (16, 1 << 20))
+    assert len(few) == len(many) == len(rows) + 3 and few[0] == few[5001]
+    assert max(abs(few[i] - many[i]) for i in many) < 1e-6
+    assert sum((many[i] >= 0.7) == bool(t) for i, t in labels) >= 0.97 * len(labels)
