@@ -8,11 +8,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pointframe.llm.chat import format_chats, loss_text, read_turns
+from pointframe.llm.common import words
 from pointframe.llm.decontaminate import find_overlaps
 from pointframe.llm.exact_dedup import exact_dedup
 from pointframe.llm.jaccard_join import near_duplicates
 from pointframe.llm.line_dedup import line_report
 from pointframe.llm.mixing import mix
+from pointframe.llm.periodic_runs import find_runs
 from pointframe.llm.secrets import join_spans, scan_secrets
 from pointframe.llm.toxicity import score_toxicity
 from pointframe.llm.url_filter import judge_urls
@@ -92,8 +94,36 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("id").alias("doc_id"), "keep_id", "group_size", "kept", F.col("sha").alias("text_sha256"))
 
 
+def _rewritten(docs: DataFrame) -> DataFrame:
+    """The query's texts: for a tenth of the ids the words from a place on repeat with a period, both drawn from the id."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    known = docs.select("doc_id", "text", h.alias("h")).withColumn("g", F.floor(F.col("h") / 10).cast("long"))
+    w = words("text")
+    n = F.size("w").cast("long")
+    cut = known.withColumn("w", F.when(F.col("h") % 10 == 0, w)).withColumn("a", F.when(n > 0, F.col("g") % n))
+    cut = cut.withColumn("p", 1 + F.floor((n - F.col("a")) / (3 + F.col("g") % 8)).cast("long"))
+    again = F.transform("w", lambda x, i: F.when(i < F.col("a"), x).otherwise(F.get("w", (F.col("a") + (i - F.col("a")) % F.col("p")).cast("int"))))
+    return cut.select("doc_id", F.when(n > 0, F.array_join(again, " ")).otherwise(F.col("text")).alias("text"))
+
+
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = find_runs(_rewritten(_table(spark, sf_dir, "documents")), min_length=24, min_exponent=3)
+
+    def stronger(best, r):  # by exact length / period; runs come by start, then period, so the first of equals stays
+        return F.when(best.isNull() | (r["length"] * best["period"] > best["length"] * r["period"]), r).otherwise(best)
+
+    none = F.lit(None).cast("struct<start: long, length: long, period: long>")
+    best = found.withColumn("best", F.aggregate("runs", none, stronger))
+    lines = F.array_join(F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n"))), "")
+    return best.select(
+        F.col("id").alias("doc_id"), F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period",
+        F.floor(1000 * F.col("best.length") / F.col("best.period")).cast("long").alias("exponent_milli"),
+        F.sha2(lines, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_decontaminate, op2_chat, op3_url_filter, op4_mixing, op5_toxicity, op6_line_dedup, op7_secrets, op8_warc, op9_jaccard, op10_exact_dedup)}
+    f.__name__: f for f in (op1_decontaminate, op2_chat, op3_url_filter, op4_mixing, op5_toxicity, op6_line_dedup, op7_secrets, op8_warc, op9_jaccard, op10_exact_dedup,
+                             op11_periodic_runs)}
 
 ORACLE: dict[str, str] = {
     "op2_chat": r"""
