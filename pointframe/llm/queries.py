@@ -8,11 +8,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pointframe.llm.chat import format_chats, loss_text, read_turns
-from pointframe.llm.common import words
+from pointframe.llm.common import ascii_lower, words
 from pointframe.llm.decontaminate import find_overlaps
 from pointframe.llm.exact_dedup import exact_dedup
 from pointframe.llm.jaccard_join import near_duplicates
 from pointframe.llm.line_dedup import line_report
+from pointframe.llm.merkle import fold, leaf_digest, prove, siblings
 from pointframe.llm.mixing import mix
 from pointframe.llm.periodic_runs import find_runs
 from pointframe.llm.secrets import join_spans, scan_secrets
@@ -121,9 +122,20 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(lines, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
 
 
+def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 0
+    whole, other = (leaf_digest(*[F.col(c) for c in ("doc_id", "source", "lang", "n_chars")], text) for text in (F.col("text"), ascii_lower("text")))
+    leaves = docs.select("doc_id", "lang", whole.alias("leaf"), F.when(tampered, other).otherwise(whole).alias("shown"))
+    proved = prove(leaves, order="doc_id", group="lang", leaf="leaf", carry=("shown",))
+    found = proved.select("doc_id", "leaf", "subroot", "root", F.sha2(siblings(F.col("path")), 256).alias("proof_sha256"),
+                          fold(F.col("shown"), F.col("path")).alias("folded_root"))
+    return found.withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_decontaminate, op2_chat, op3_url_filter, op4_mixing, op5_toxicity, op6_line_dedup, op7_secrets, op8_warc, op9_jaccard, op10_exact_dedup,
-                             op11_periodic_runs)}
+                             op11_periodic_runs, op12_merkle)}
 
 ORACLE: dict[str, str] = {
     "op2_chat": r"""
@@ -140,6 +152,38 @@ ORACLE: dict[str, str] = {
         SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
                doc_id IS NOT DISTINCT FROM max(doc_id) OVER w AS kept, sha256(coalesce(text, '')) AS text_sha256
         FROM documents WINDOW w AS (PARTITION BY coalesce(text, ''))""",
+    # the CRC-32 of the id's digits runs over a list of its bytes, each followed by eight -1 for the bits
+    "op12_merkle": r"""
+        WITH RECURSIVE t AS (
+            SELECT *, list_reduce(flatten([[4294967295::BIGINT]] || list_transform(range(1, length(doc_id::VARCHAR) + 1),
+                       lambda k: [unicode(substr(doc_id::VARCHAR, k, 1))::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1])),
+                       lambda c, x: CASE WHEN x >= 0 THEN xor(c, x) WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS crc FROM documents),
+        h AS (
+            SELECT doc_id, lang, xor(crc, 4294967295) % 3 = 0 AS bad, sha256(head || coalesce(octet_length(encode(text)) || ':' || text, '-')) AS leaf,
+                   sha256(head || coalesce(octet_length(encode(text)) || ':' || translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '-')) AS low
+            FROM (SELECT *, coalesce(length(doc_id::VARCHAR) || ':' || doc_id, '-') || coalesce(octet_length(encode(source)) || ':' || source, '-')
+                         || coalesce(octet_length(encode(lang)) || ':' || lang, '-') || coalesce(length(n_chars::VARCHAR) || ':' || n_chars, '-') AS head FROM t)),
+        l AS (SELECT *, coalesce('=' || lang, '') AS g, row_number() OVER w - 1 AS i, count(*) OVER (PARTITION BY lang) AS n
+              FROM h WINDOW w AS (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf)),
+        v(k, g, i, n, d) AS (
+            SELECT 0, g, i, n, leaf FROM l
+            UNION ALL SELECT k + 1, g, i // 8, (n + 7) // 8, sha256(string_agg(d, '' ORDER BY i)) FROM v WHERE n > 1 GROUP BY k, g, i // 8, n),
+        s AS (SELECT g, d, row_number() OVER (ORDER BY encode(g)) - 1 AS i, count(*) OVER () AS n FROM v WHERE n = 1),
+        u(k, i, n, d) AS (
+            SELECT 0, i, n, d FROM s
+            UNION ALL SELECT k + 1, i // 8, (n + 7) // 8, sha256(string_agg(d, '' ORDER BY i)) FROM u WHERE n > 1 GROUP BY k, i // 8, n),
+        a AS (SELECT g, k, i, n, d FROM v UNION ALL SELECT NULL, k, i, n, d FROM u),
+        b AS (SELECT g, k, i, coalesce(string_agg(d, '') OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS x,
+                     coalesce(string_agg(d, '') OVER (w ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS y
+              FROM a WHERE n > 1 WINDOW w AS (PARTITION BY g, k, i // 8 ORDER BY i)),
+        p AS (SELECT l.g, l.i, list(x || '?' || y ORDER BY k) AS steps FROM l JOIN b ON b.g = l.g AND b.i = l.i // (8 ** k)::BIGINT GROUP BY ALL),
+        q AS (SELECT s.g, list(x || '?' || y ORDER BY k) AS steps FROM s JOIN b ON b.g IS NULL AND b.i = s.i // (8 ** k)::BIGINT GROUP BY ALL),
+        f AS (SELECT l.doc_id, l.leaf, CASE WHEN l.bad THEN l.low ELSE l.leaf END AS shown, s.d AS subroot, (SELECT d FROM u WHERE n = 1) AS root,
+                     coalesce(p.steps, []::VARCHAR[]) || coalesce(q.steps, []::VARCHAR[]) AS steps
+              FROM l JOIN s ON s.g = l.g LEFT JOIN p ON p.g = l.g AND p.i = l.i LEFT JOIN q ON q.g = l.g)
+        SELECT doc_id, leaf, subroot, root, sha256(replace(array_to_string(steps, ''), '?', '')) AS proof_sha256,
+               list_reduce([shown] || steps, lambda d, z: sha256(replace(z, '?', d))) AS folded_root, folded_root = root AS verified
+        FROM f""",
     "op8_warc": r"""
         WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
         d AS (SELECT page_id, html, octet_length(encode(html)) AS payload_bytes, upper(sha1(html)) AS hex,
