@@ -12,6 +12,7 @@ from pointframe.llm.common import ascii_lower, words
 from pointframe.llm.decontaminate import find_overlaps
 from pointframe.llm.exact_dedup import exact_dedup
 from pointframe.llm.jaccard_join import near_duplicates
+from pointframe.llm.license_scan import NOTICES, PHRASES, scan_licenses, stride, text_words
 from pointframe.llm.line_dedup import line_report
 from pointframe.llm.merkle import fold, leaf_digest, prove, siblings
 from pointframe.llm.mixing import mix
@@ -133,9 +134,44 @@ def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("verified", F.col("folded_root") == F.col("root"))
 
 
+def op13_license(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = scan_licenses(_table(spark, sf_dir, "documents"))
+    starts = F.col("places")["start"]
+    return found.select(F.col("id").alias("doc_id"), "n_words", F.size("places").cast("long").alias("n_base"), F.array_min(starts).alias("first_word"),
+                        F.array_max(starts).alias("last_word"), F.array_join("base_labels", ",").alias("base_labels"),
+                        F.array_join("labels", ",").alias("labels"), "score")
+
+
+def _license_sql() -> str:
+    """Every block of every text against every notice, by counting common words."""
+    def listed(ws):
+        return "[" + ", ".join(f"'{w}'" for w in ws) + "]"
+
+    phrases = ", ".join(f"({listed(text_words(p))}, '{label}')" for p, label in PHRASES)
+    notices = ", ".join(f"({listed(sorted(set(text_words(t))))}, '{label}')" for label, t in NOTICES)
+    size = stride(NOTICES)
+    return rf"""
+        WITH t AS (
+            SELECT doc_id, row_number() OVER () AS r, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                              '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+        p(ws, label) AS (VALUES {phrases}),
+        b AS (SELECT r, label, unnest(list_filter(range(0, len(w)), lambda i: w[i + 1:i + len(ws)] = ws)) AS i FROM t, p),
+        base AS (SELECT r, count(*) AS n, min(i) AS first, max(i) AS last, list(label) AS labels FROM b GROUP BY r),
+        k AS (SELECT r, w, unnest(range(0, greatest(1, (len(w) + {size - 1}) // {size} - 1))) AS block FROM t),
+        h AS (SELECT r, list_distinct(w[block * {size} + 1:(block + 2) * {size}]) AS held FROM k),
+        m(ws, label) AS (VALUES {notices}),
+        f AS (SELECT r, label, len(list_intersect(held, ws)) AS i, len(ws) AS n FROM h, m WHERE i * 100 >= n * 90),
+        own AS (SELECT r, max(i / n) AS score, list(label) AS labels FROM f GROUP BY r)
+        SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(base.n, 0)::BIGINT AS n_base, first::BIGINT AS first_word, last::BIGINT AS last_word,
+               array_to_string(list_sort(list_distinct(coalesce(base.labels, []))), ',') AS base_labels,
+               array_to_string(list_sort(list_distinct(coalesce(base.labels, []) || coalesce(own.labels, []))), ',') AS labels,
+               CASE WHEN base.n > 0 THEN 1.0 ELSE coalesce(own.score, 0.0) END::DOUBLE AS score
+        FROM t LEFT JOIN base USING (r) LEFT JOIN own USING (r)"""
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_decontaminate, op2_chat, op3_url_filter, op4_mixing, op5_toxicity, op6_line_dedup, op7_secrets, op8_warc, op9_jaccard, op10_exact_dedup,
-                             op11_periodic_runs, op12_merkle)}
+                             op11_periodic_runs, op12_merkle, op13_license)}
 
 ORACLE: dict[str, str] = {
     "op2_chat": r"""
@@ -184,6 +220,7 @@ ORACLE: dict[str, str] = {
         SELECT doc_id, leaf, subroot, root, sha256(replace(array_to_string(steps, ''), '?', '')) AS proof_sha256,
                list_reduce([shown] || steps, lambda d, z: sha256(replace(z, '?', d))) AS folded_root, folded_root = root AS verified
         FROM f""",
+    "op13_license": _license_sql(),
     "op8_warc": r"""
         WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
         d AS (SELECT page_id, html, octet_length(encode(html)) AS payload_bytes, upper(sha1(html)) AS hex,
