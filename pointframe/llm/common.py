@@ -6,9 +6,13 @@ import atexit
 import os
 import tempfile
 import uuid
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+MAX_BROADCAST_BYTES = 32 << 20
 
 # fixed value: a word is a maximal run of anything but the six ASCII white-space characters
 WORD = r"[^\x20\x09-\x0D]+"
@@ -74,13 +78,28 @@ def pick(df: DataFrame, **cols: str) -> DataFrame:
     return tmp.select(*[tmp[f"c{names.index(c)}"].alias(new) for new, c in cols.items()])
 
 
-def sized(df: DataFrame, max_rows: int) -> DataFrame:
-    """``df`` marked for broadcast if a count proves it has at most ``max_rows`` narrow rows.
+def _width(kind: T.DataType, c: Column) -> Column:
+    """Bytes that a value takes in memory, about."""
+    if isinstance(kind, (T.StringType, T.BinaryType)):
+        return F.coalesce(F.octet_length(c), F.lit(0)) + 16
+    if isinstance(kind, T.ArrayType):
+        if isinstance(kind.elementType, (T.StringType, T.BinaryType, T.ArrayType, T.StructType)):
+            return F.coalesce(F.aggregate(c, F.lit(16).cast("long"), lambda s, x: s + _width(kind.elementType, x)), F.lit(0))
+        return F.greatest(F.size(c), F.lit(0)) * 8 + 16
+    if isinstance(kind, T.StructType):
+        return reduce(Column.__add__, [_width(f.dataType, c[f.name]) for f in kind.fields], F.lit(8))
+    return F.lit(8)
+
+
+def sized(df: DataFrame, max_rows: int = 2_000_000, max_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
+    """``df`` marked for broadcast if a count proves that it has at most ``max_rows`` rows and ``max_bytes`` in all.
 
     Beyond that the plain frame comes back and the join shuffles; rows are the same.
     Pass a materialized frame, or it is computed twice.
     """
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
+    width = reduce(Column.__add__, [_width(f.dataType, df[f.name]) for f in df.schema.fields], F.lit(16)).cast("long")
+    n, size = df.agg(F.count("*"), F.coalesce(F.sum(width), F.lit(0))).first()
+    return F.broadcast(df) if n <= max_rows and size <= max_bytes else df
 
 
 def ascii_lower(c: Column | str) -> Column:

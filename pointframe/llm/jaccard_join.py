@@ -2,21 +2,19 @@
 
 The method has two parts. Lists: an inverted index over the prefixes of the sets
 (in a global token order that puts frequent tokens last) holds each entry's size
-and position, and an entry is skipped by position when even a match of all that
-follows could not reach the threshold. Relations: equal sets share one class;
-then each set is compared with one leader, the entry most of its lists start
-with, and inherits the leader's component if they link. Only lists in which
-several components meet are joined further. There a pair's overlap is first
-bounded from computed answers - the overlap of the two leaders plus what either
-set has besides its leader - and only a pair whose bound reaches the threshold
-is intersected. No link is lost: a pair is left out only if its bound fails or
-if it is connected already.
+and position; an entry is skipped by position when even a match of all that
+follows could not reach the threshold, and so are whole blocks of a list
+(``relations.other_references``). Relations: equal sets share one class; then each set is
+compared with one leader, and whether it links to the other sets near that leader is
+derived from the answers for the leader, by what sets the two apart from it
+(``relations.same_reference``). No link is lost: a pair is left out only if a bound
+on its overlap fails or if it is connected already.
 
 Texts are lower-cased (A-Z only) and cut at ASCII white space; a set holds the
 64-bit hashes of the distinct n-grams. Fewer words than n: the whole sequence as
 one. NumPy builds the sets in Arrow batches; lists, candidates, intersections and
-components are DataFrame operations. Sets are built from the text where they are
-needed, so full sets are only written for documents that some candidate pair names.
+components are DataFrame operations. Full sets are written once, and only of documents
+that share a token of their prefixes with another one and can link with it.
 
 Defined results: null, empty and blank texts have no n-grams, link with nothing
 and are a component of their own. Rows that repeat an id count as linked with each
@@ -132,11 +130,11 @@ class JaccardJoin:
     """The join of one table; ``num / den`` is the threshold."""
 
     def __init__(self, docs: DataFrame, id: str = "doc_id", text: str = "text", *, n: int = 4, num: int = 85, den: int = 100,
-                 frequent: int = 16, max_frequent: int = 2_000_000, max_broadcast: int = 2_000_000, stars: int = 4):
+                 frequent: int = 16, max_frequent: int = 2_000_000, max_broadcast: int = 2_000_000):
         self.docs = pick(docs, id=id, text=text)
         self.id_type = self.docs.schema["id"].dataType.simpleString()
         self.n, self.num, self.den = n, num, den
-        self.frequent, self.max_frequent, self.max_broadcast, self.stars = frequent, max_frequent, max_broadcast, stars
+        self.frequent, self.max_frequent, self.max_broadcast = frequent, max_frequent, max_broadcast
         ship_package(docs.sparkSession)
 
     # -- passes over the texts
@@ -246,10 +244,9 @@ class JaccardJoin:
             posts = posts if k else posts.drop("cap")
         posts = materialize(posts.select("h", "id", "n", "pos", "cap"), "postings")
 
-        def fetch(ids: DataFrame) -> DataFrame:
-            return self.full(first.join(sized(ids, self.max_broadcast), "id", "left_semi"))
-
-        edges = links(posts, fetch, self.num, self.den, shared=SHARED, stars=self.stars, max_broadcast=self.max_broadcast)
+        ids = sized(materialize(posts.select("id").distinct(), "indexed"), self.max_broadcast)
+        sets = materialize(self.full(first.join(ids, "id", "left_semi")), "sets")
+        edges = links(posts, sets, self.num, self.den, shared=SHARED)
         comp = connected_components(edges.unionByName(same))
         out = rows.select("id", "n").join(comp, F.col("id") == F.col("v"), "left")
         return out.select("id", "n", F.coalesce("root", "id").alias("component"))
@@ -262,8 +259,20 @@ def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", **o
 
 def drop_near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", *, n: int = 5, num: int = 80, den: int = 100,
                          **options) -> DataFrame:
-    """``docs`` with one document of each component: the one with the smallest id. Rows with a null id stay."""
-    found = near_duplicates(docs, id, text, n=n, num=num, den=den, **options)
-    gone = materialize(found.where("id != component").select(F.col("id").alias("bad_")).distinct(), "near")
+    """``docs`` with one document of each component: the one with the smallest id (null first).
+
+    Rows are told apart by id and text, so a repeated or null id takes no other text along;
+    rows that repeat both stay or go together.
+    """
     tmp, names = plain(docs)
-    return tmp.join(sized(gone, 4_000_000), tmp[f"c{names.index(id)}"] == F.col("bad_"), "left_anti").toDF(*names)
+    i, t = f"c{names.index(id)}", f"c{names.index(text)}"
+    key = F.xxhash64(F.col(i), F.col(t), F.col(t).isNull())
+    keyed = tmp.select(key.alias("key"), F.col(i).alias("id"), F.col(t).alias("text"))
+    found = near_duplicates(keyed, "key", "text", n=n, num=num, den=den, **options).where("n > 0").select("id", "component")
+    found = materialize(found.distinct(), "near")
+    grouped = found.join(found.groupBy("component").count().where("count > 1").select("component"), "component")
+    grouped = materialize(keyed.select("key", F.col("id").alias("own")).distinct().join(
+        sized(materialize(grouped.select(F.col("id").alias("key"), "component"), "grouped")), "key"), "grouped")
+    kept = grouped.groupBy("component").agg(F.min(F.struct("own", "key")).alias("keep")).select(F.col("keep.key").alias("key"))
+    gone = materialize(grouped.select("key").distinct().join(kept, "key", "left_anti").withColumnRenamed("key", "gone_"), "gone")
+    return tmp.join(sized(gone, 4_000_000), key == F.col("gone_"), "left_anti").toDF(*names)

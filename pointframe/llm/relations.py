@@ -3,18 +3,29 @@
 ``posts`` holds the entries of the lists: h (token), id, n (size of the set), pos
 (place of the token in the set, in one order for all sets; 0 if there is none), cap
 (how much of the set can be in any other set: n without its private tokens).
-``fetch`` gives the sets (id, n, tokens) of a frame of ids; only sets that some
-candidate pair names are fetched. Two sets link when den x intersection >= num x
-union. Every set is first compared with one leader; lists in which components
-still meet are joined further, after bounding a pair's overlap from the answers
-of its leaders. Pairs that are connected already are not looked at again, so a
-group of near copies costs what its members cost, not its pairs.
+``sets`` has the sets (id, n, tokens) that ``posts`` names. Two sets link when
+den x intersection >= num x union, which is to say that their symmetric difference
+holds at most (den - num) / (den + num) of both sizes together.
+
+1. Leaders. Each set is compared with one leader, the head of most of its lists. A set that
+   is similar to its leader (a third of the union in common) gets the leader's own root as its reference,
+   if it is similar to that as well, and keeps its difference from the reference.
+2. Answers from the reference. For x and y with one reference the difference of x and y is the
+   difference of their differences, so whether they link is read off what sets them apart from the
+   reference. These small sets get lists and an order of their own, the rarest tokens first; a token that only one
+   component has counts as private. A group of near copies meets on what its members
+   changed, not on what all of them hold.
+3. Different references. Lists are cut into blocks by size and by position, and a pair of blocks that
+   cannot reach the threshold is skipped before any pair is made. What is left is paired as
+   groups (one entry for all sets of a reference in a block); the references are intersected once,
+   and a group's pair is opened only if their overlap and what the members have beside them reach the threshold.
+
+Pairs that are connected already are not looked at again. No link between two
+components is lost: every cut is a bound on the intersection.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -26,13 +37,9 @@ def link(overlap: Column, a: Column, b: Column, num: int, den: int) -> Column:
     return (overlap * (num + den) >= (a + b) * num) & (overlap > 0)
 
 
-def near(a: str, b: str, num: int, den: int, shared: int) -> Column:
-    """Sizes fit, and what is left to share can reach the threshold: all but the private tokens, and
-    what follows one of a pair's first ``shared`` tokens in common. ``a``, ``b``: prefixes of the columns."""
-    n, m, i, j = F.col(f"{a}n"), F.col(f"{b}n"), F.col(f"{a}pos"), F.col(f"{b}pos")
-    fit = F.least(n, m) * den >= F.greatest(n, m) * num
-    most = F.least(n - i + shared - 1, m - j + shared - 1, F.col(f"{a}cap"), F.col(f"{b}cap"))
-    return fit & (most * (num + den) >= (n + m) * num)
+def fits(n: Column, m: Column, num: int, den: int) -> Column:
+    """Sizes that a link allows."""
+    return F.least(n, m) * den >= F.greatest(n, m) * num
 
 
 def enough(count: str, n: Column, m: Column, num: int, den: int, shared: int) -> Column:
@@ -40,83 +47,151 @@ def enough(count: str, n: Column, m: Column, num: int, den: int, shared: int) ->
     return F.col(count) >= F.least(F.lit(shared), F.ceil((n + m) * num / (num + den)))
 
 
-def common(both: DataFrame) -> DataFrame:
-    """Rows with the token lists ta and tb: a, b, na, nb and i, the size of the intersection."""
-    return both.select("a", "b", "na", "nb", F.size(F.array_intersect("ta", "tb")).cast("long").alias("i"))
+def compare(pairs: DataFrame, sets: DataFrame, *, difference: bool = False) -> DataFrame:
+    """pairs (a, b) with the sizes na, nb, i of the intersection and, where a third of the union is common, diff."""
+    pairs = materialize(pairs, "pairs")
+    right = materialize(sets.join(sized(materialize(pairs.select(F.col("b").alias("id")).distinct(), "needed")), "id", "left_semi")
+                        .select(F.col("id").alias("b"), F.col("n").alias("nb"), F.col("tokens").alias("tb")), "right")
+    left = sets.select(F.col("id").alias("a"), F.col("n").alias("na"), F.col("tokens").alias("ta"))
+    both = left.join(sized(pairs), "a").join(sized(right), "b")
+    both = both.withColumn("i", F.size(F.array_intersect("ta", "tb")).cast("long"))
+    diff = F.when(F.col("i") * 4 >= F.col("na") + F.col("nb"), F.concat(F.array_except("ta", "tb"), F.array_except("tb", "ta")))
+    return materialize(both.select("a", "b", "na", "nb", "i", *([diff.alias("diff")] if difference else [])), "overlaps")
 
 
-def overlaps(pairs: DataFrame, fetch: Callable[[DataFrame], DataFrame], max_broadcast: int,
-             count: Callable[[DataFrame], DataFrame] = common) -> DataFrame:
-    """pairs (a, b) with the sizes na, nb and i of the intersection.
+def leaders(posts: DataFrame, num: int, den: int, shared: int) -> DataFrame:
+    """(a, b): every set that can link with the head of one of its lists, and the head that most of them name."""
+    heads = posts.groupBy("h").agg(F.min(F.struct("id", "n", "pos", "cap")).alias("head"))
+    met = posts.join(heads, "h").where("id != head.id")
+    n, m = F.col("n"), F.col("head.n")
+    most = F.least(n - F.col("pos"), m - F.col("head.pos"), F.col("cap") - shared + 1, F.col("head.cap") - shared + 1) + (shared - 1)
+    met = met.where(fits(n, m, num, den) & (most * (num + den) >= (n + m) * num))
+    votes = met.groupBy(F.col("id").alias("a"), F.col("head.id").alias("b")).agg(
+        F.count("*").alias("v"), F.max("n").alias("n"), F.max("head.n").alias("m"))
+    votes = votes.where(enough("v", F.col("n"), F.col("m"), num, den, shared))
+    return votes.groupBy("a").agg(F.min_by("b", F.struct(-F.col("v"), F.col("b"))).alias("b"))
 
-    While the pairs are few enough to broadcast, only the sets they name are moved, once.
-    """
-    pairs = materialize(pairs, "pairs")
-    ids = materialize(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "named")
-    sets = materialize(fetch(ids), "sets")
-    left = sets.select(F.col("id").alias("a"), F.col("n").alias("na"), F.col("tokens").alias("ta"))
-    right = sets.select(F.col("id").alias("b"), F.col("n").alias("nb"), F.col("tokens").alias("tb"))
-    needed = sized(materialize(pairs.select("b").distinct(), "needed"), max_broadcast)
-    both = left.join(sized(pairs, max_broadcast), "a").join(right.join(needed, "b", "left_semi"), "b")
-    return materialize(count(both), "overlaps")
 
+def references(posts: DataFrame, sets: DataFrame, num: int, den: int, shared: int) -> tuple[DataFrame, DataFrame]:
+    """All comparisons with leaders (a, b, na, nb, i), and per similar set (id, n, ref, nref, i, diff).
 
-def links(posts: DataFrame, fetch: Callable[[DataFrame], DataFrame], num: int, den: int, *, shared: int = 1, stars: int = 4,
-          max_broadcast: int = 2_000_000, count: Callable[[DataFrame], DataFrame] = common, carry: tuple[str, ...] = (),
-          can: Callable[[str, str], Column] = lambda a, b: F.lit(True)) -> DataFrame:
+    A leader's id is below its set's, so following leaders ends at a root; the way there is halved in each round.
+    """
+    first = compare(leaders(posts, num, den, shared), sets, difference=True)
+    near = first.where("diff is not null")
+    roots = materialize(near.select(F.col("a").alias("id"), F.col("b").alias("root")), "roots")
+    while True:
+        up = roots.select(F.col("id").alias("root"), F.col("root").alias("top"))
+        jumped = materialize(roots.join(up, "root", "left").select("id", F.coalesce("top", "root").alias("root"), F.col("top").isNotNull().alias("moved")), "roots")
+        moved = not jumped.where("moved").isEmpty()
+        roots = jumped.select("id", "root")
+        if not moved:
+            break
+    far = roots.join(near.select(F.col("a").alias("id"), "b"), "id").where("root != b").select(F.col("id").alias("a"), F.col("root").alias("b"))
+    second = compare(far, sets, difference=True)
+    cols = [F.col("a").alias("id"), F.col("na").alias("n"), F.col("b").alias("ref"), F.col("nb").alias("nref"), "i", "diff"]
+    rooted = second.where("diff is not null").select(*cols)
+    member = rooted.unionByName(near.select(*cols).join(rooted.select("id"), "id", "left_anti"))
+    done = first.drop("diff").unionByName(second.drop("diff"))
+    return done, materialize(member, "members")
+
+
+def same_reference(member: DataFrame, num: int, den: int) -> DataFrame:
+    """Links (a, b) between sets of one reference and different components, at least one of them not linked to the reference.
+
+    ``member``: id, n, ref, nref, diff, linked (to the reference), comp.
+    """
+    total, gap = num + den, den - num
+    open_ = sized(materialize(member.where("not linked").select("ref").distinct(), "open"))
+    member = materialize(member.join(open_, "ref", "left_semi").withColumn("d", F.size("diff").cast("long")), "open_members")
+    rows = member.select("ref", "id", "n", "nref", "d", "linked", "comp", F.explode("diff").alias("t"))
+    lists = rows.groupBy("ref", "t").agg(F.count("*").alias("c"), F.min("comp").alias("low"), F.max("comp").alias("high"))
+    lists = lists.where("low != high").select("ref", "t", "c")
+    key = ["ref", "id", "n", "nref", "d", "linked", "comp"]
+    own = rows.join(lists, ["ref", "t"]).groupBy(*key).agg(F.sort_array(F.collect_list(F.struct("c", "t"))).alias("l"))
+    # reach: how many tokens of the set follow from this one on, in the order that has private ones first
+    entry = own.select(*key, F.size("l").alias("s"), F.posexplode("l").alias("p", "x")).select(
+        *key, F.col("x.t").alias("t"), (F.col("s") - F.col("p")).alias("reach"))
+    # with a set that does not link to the reference more than half of the own difference must be common ...
+    half = 2 * F.col("reach") * total >= F.col("d") * total + gap * (F.col("nref") - F.col("n"))
+    # ... and of such a set all but what the sizes leave to be missing
+    wide = F.col("reach") * num >= F.col("d") * num - F.col("n") * gap
+    entry = materialize(entry.withColumn("half", half).where(half | (~F.col("linked") & wide)), "entries")
+    x = entry.where("half").select("ref", "t", *[F.col(c).alias(f"x_{c}") for c in ("id", "n", "d", "linked", "comp", "reach")])
+    y = entry.where("not linked").select("ref", "t", *[F.col(c).alias(f"y_{c}") for c in ("id", "n", "d", "half", "comp", "reach")])
+    need = (F.col("x_d") + F.col("y_d")) * total - gap * (F.col("x_n") + F.col("y_n"))
+    once = F.col("x_linked") | (F.col("y_half") & (F.col("x_id") < F.col("y_id")))
+    met = x.join(y, ["ref", "t"]).where((F.col("x_comp") != F.col("y_comp")) & once & fits(F.col("x_n"), F.col("y_n"), num, den)
+                                       & (2 * F.least("x_reach", "y_reach") * total >= need))
+    pairs = met.select(F.col("x_id").alias("a"), F.col("y_id").alias("b")).distinct()
+    found = compare(pairs, member.select("id", F.col("d").alias("n"), F.col("diff").alias("tokens")))
+    size = member.select("id", "n")
+    found = found.join(size.toDF("a", "sa"), "a").join(size.toDF("b", "sb"), "b")
+    return found.where((F.col("na") + F.col("nb") - 2 * F.col("i")) * total <= gap * (F.col("sa") + F.col("sb"))).select("a", "b")
+
+
+def other_references(posts: DataFrame, sets: DataFrame, member: DataFrame, comp: DataFrame, num: int, den: int, shared: int) -> DataFrame:
+    """Links (a, b) between sets of different references and different components."""
+    total = num + den
+    own = member.select("id", "ref", (F.col("n") - F.col("i")).alias("beside"))
+    at = posts.join(comp, "id", "left").join(own, "id", "left").select(
+        "h", "id", "n", "pos", "cap", F.coalesce("comp", "id").alias("comp"), F.coalesce("ref", "id").alias("ref"), F.coalesce("beside", F.lit(0)).alias("beside"))
+    at = materialize(at, "placed")
+    mixed = at.groupBy("h").agg(F.min("comp").alias("c0"), F.max("comp").alias("c1"), F.min("ref").alias("r0"), F.max("ref").alias("r1"))
+    mixed = mixed.where("c0 != c1 and r0 != r1").select("h")
+    # blocks: sizes within a factor of den / num, positions within a factor of two
+    reach = F.least(F.col("n") - F.col("pos") + (shared - 1), F.col("cap"))
+    rest = at.join(mixed, "h").withColumn("reach", reach).withColumn(
+        "block", F.floor(F.ln("n") / F.ln(F.lit(den / num))).cast("int") * 64 + F.floor(F.log2(F.col("pos") + 1)).cast("int"))
+    rest = materialize(rest, "mixed")
+    best = [F.min("n").alias("lo"), F.max("n").alias("hi"), F.max("reach").alias("reach")]
+
+    def sides(df: DataFrame, *cols: str) -> tuple[DataFrame, DataFrame]:
+        x, y = (df.select("h", *[F.col(c).alias(f"{s}_{c}") for c in cols]) for s in "xy")
+        return x, y
+
+    can = (F.col("x_lo") * num <= F.col("y_hi") * den) & (F.col("y_lo") * num <= F.col("x_hi") * den) & (
+        F.least("x_reach", "y_reach") * total >= (F.col("x_lo") + F.col("y_lo")) * num)
+    x, y = sides(rest.groupBy("h", "block").agg(*best), "block", "lo", "hi", "reach")
+    open_blocks = materialize(x.join(y, "h").where(can).select("h", "x_block", "y_block"), "blocks")
+    groups = materialize(rest.groupBy("h", "block", "ref").agg(*best, F.max("beside").alias("beside"), F.min("comp").alias("low"), F.max("comp").alias("high"),
+                                                                   F.max(F.col("id") != F.col("ref")).alias("more")), "groups")
+    x, y = sides(groups, "block", "ref", "lo", "hi", "reach", "beside", "low", "high", "more")
+    met = x.join(open_blocks, ["h", "x_block"]).join(y, ["h", "y_block"]).where(
+        (F.col("x_ref") < F.col("y_ref")) & can & ((F.col("x_low") != F.col("y_low")) | (F.col("x_high") != F.col("y_high")) | (F.col("x_low") != F.col("x_high"))))
+    of_pair = [F.min("x_lo").alias("x_lo"), F.min("y_lo").alias("y_lo"), F.max("x_beside").alias("x_beside"), F.max("y_beside").alias("y_beside"),
+               F.max(F.col("x_more") | F.col("y_more")).alias("more")]
+    met = met.groupBy("x_ref", "y_ref", "h").agg(*of_pair).withColumns({"x_more": F.col("more"), "y_more": F.col("more")})  # blocks of a list count once
+    met = met.groupBy("x_ref", "y_ref").agg(F.count("*").alias("v"), *of_pair)
+    met = materialize(met.where(enough("v", F.col("x_lo"), F.col("y_lo"), num, den, shared)), "met")
+    heads = compare(met.select(F.col("x_ref").alias("a"), F.col("y_ref").alias("b")), sets)
+    direct = heads.where(link(F.col("i"), F.col("na"), F.col("nb"), num, den)).select("a", "b")
+    bound = F.col("i") + F.col("x_beside") + F.col("y_beside")
+    more = met.where("more").join(heads.select(F.col("a").alias("x_ref"), F.col("b").alias("y_ref"), "i"), ["x_ref", "y_ref"])
+    more = materialize(more.where(bound * total >= (F.col("x_lo") + F.col("y_lo")) * num).select("x_ref", "y_ref", "i"), "opened")
+    if more.isEmpty():
+        return direct
+    x, y = sides(rest, "id", "n", "reach", "comp", "ref", "beside")
+    pairs = x.join(sized(more), "x_ref").join(y, ["h", "y_ref"]).where(
+        (F.col("x_comp") != F.col("y_comp")) & fits(F.col("x_n"), F.col("y_n"), num, den)
+        & (F.least(F.col("x_reach"), F.col("y_reach"), bound) * total >= (F.col("x_n") + F.col("y_n")) * num))
+    pairs = pairs.where("x_id != x_ref or y_id != y_ref").groupBy(F.col("x_id").alias("a"), F.col("y_id").alias("b")).agg(
+        F.count("*").alias("v"), F.max("x_n").alias("n"), F.max("y_n").alias("m"))
+    found = compare(pairs.where(enough("v", F.col("n"), F.col("m"), num, den, shared)).select("a", "b"), sets)
+    return direct.unionByName(found.where(link(F.col("i"), F.col("na"), F.col("nb"), num, den)).select("a", "b"))
+
+
+def links(posts: DataFrame, sets: DataFrame, num: int, den: int, *, shared: int = 1) -> DataFrame:
     """Edges (a, b), all of them links, whose components are those of all links that the lists hold.
 
     ``shared``: the number of lists in which two linked sets meet at least (or their
-    smallest overlap, if that is less). ``count``: how two sets are intersected, in the form
-    that ``fetch`` gives them in. ``carry``: further columns of ``posts``, from which ``can`` (prefixes
-    of the columns) tells which pairs cannot link.
+    smallest overlap, if that is less). ``posts`` and ``sets`` are written tables.
     """
-    done = edges = comp = None
-    for k in range(stars):
-        if comp is None:
-            at = posts.withColumn("comp", F.col("id"))
-            heads = at.groupBy("h").agg(F.min(F.struct("comp", "id", "n", "pos", "cap", *carry)).alias("head"))
-            # of the leaders of its lists a set takes the one that most of them name
-            votes = at.join(heads, "h").where("comp != head.comp").where(near("", "head.", num, den, shared) & can("", "head."))
-            votes = votes.groupBy(F.col("id").alias("a"), F.col("head.id").alias("b")).agg(
-                F.count("*").alias("v"), F.max("n").alias("n"), F.max("head.n").alias("m"))
-            votes = votes.where(enough("v", F.col("n"), F.col("m"), num, den, shared))
-        else:  # a set of another component tries one member, another one each round, of the list's first component
-            at = materialize(posts.join(comp, "id", "left").withColumn("comp", F.coalesce("comp", "id")), "posts")
-            low = at.groupBy("h").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low != high").select("h", "low")
-            at = at.join(low, "h")
-            draw = F.xxhash64(F.lit(k), "h", "id").alias("draw")
-            heads = at.where("comp = low").groupBy("h").agg(F.min(F.struct(draw, "comp", "id", "n", "pos", "cap", *carry)).alias("head"))
-            votes = at.where("comp != low").join(heads, "h").where(near("", "head.", num, den, shared) & can("", "head."))
-            votes = votes.groupBy(F.col("id").alias("a"), "low").agg(
-                F.count("*").alias("v"), F.max("n").alias("n"), F.max_by(F.col("head.id"), F.col("head.draw")).alias("b"))
-            votes = votes.where(enough("v", F.col("n"), F.col("n") * num / den, num, den, shared))
-        pairs = votes.groupBy("a").agg(F.max(F.struct("v", "b")).alias("best")).select("a", F.col("best.b").alias("b"))
-        if done is not None:
-            pairs = pairs.join(done, ["a", "b"], "left_anti")
-        found = overlaps(pairs, fetch, max_broadcast, count)
-        done = found if done is None else done.unionByName(found)
-        edges = done.where(link(F.col("i"), F.col("na"), F.col("nb"), num, den)).select("a", "b")
-        comp = connected_components(edges).select(F.col("v").alias("id"), F.col("root").alias("comp"))
-
-    # lists in which components still meet; a pair's overlap is at most its leaders' plus what
-    # either set has beside its leader
-    at = materialize(posts.join(comp, "id", "left").withColumn("comp", F.coalesce("comp", "id")), "posts")
-    mixed = at.groupBy("h").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low != high").select("h")
-    lead = (done.groupBy("a").agg(F.max(F.struct("i", "b", "na")).alias("m"))
-            .select(F.col("a").alias("id"), F.col("m.b").alias("leader"), (F.col("m.na") - F.col("m.i")).alias("beside")))
-    rest = materialize(at.join(mixed, "h").join(lead, "id", "left").select(
-        "h", "id", "n", "pos", "cap", "comp", *carry, F.coalesce("leader", "id").alias("leader"), F.coalesce("beside", F.lit(0)).alias("beside")), "mixed")
-    x, y = (rest.select("h", *[F.col(c).alias(f"{s}_{c}") for c in ("id", "n", "pos", "cap", "comp", "leader", "beside", *carry)]) for s in "xy")
-    meet = x.join(y, "h").where("x_id < y_id and x_comp != y_comp").where(near("x_", "y_", num, den, shared) & can("x_", "y_"))
-    meet = meet.groupBy(*[f"{s}_{c}" for s in "xy" for c in ("id", "n", "leader", "beside")]).agg(F.count("*").alias("v"))
-    meet = materialize(meet.where(enough("v", F.col("x_n"), F.col("y_n"), num, den, shared)), "meet")
-    if meet.isEmpty():
-        return edges
-    heads = meet.select(F.col("x_leader").alias("a"), F.col("y_leader").alias("b")).where("a != b").distinct()
-    heads = overlaps(heads, fetch, max_broadcast, count).select(F.col("a").alias("x_leader"), F.col("b").alias("y_leader"), "i")
-    bound = F.coalesce(F.col("i"), F.least("x_n", "y_n")) + F.col("x_beside") + F.col("y_beside")
-    open_ = meet.join(heads, ["x_leader", "y_leader"], "left").where(link(bound, F.col("x_n"), F.col("y_n"), num, den))
-    open_ = open_.select(F.col("x_id").alias("a"), F.col("y_id").alias("b")).distinct().join(done, ["a", "b"], "left_anti")
-    found = overlaps(open_, fetch, max_broadcast, count)
-    return edges.unionByName(found.where(link(F.col("i"), F.col("na"), F.col("nb"), num, den)).select("a", "b"))
+    done, member = references(posts, sets, num, den, shared)
+    edges = done.where(link(F.col("i"), F.col("na"), F.col("nb"), num, den)).select("a", "b")
+    comp = connected_components(edges).select(F.col("v").alias("id"), F.col("root").alias("comp"))
+    placed = member.join(comp, "id", "left").withColumn("comp", F.coalesce("comp", "id"))
+    linked = link(F.col("i"), F.col("n"), F.col("nref"), num, den)
+    inner = same_reference(placed.withColumn("linked", linked).drop("i"), num, den)
+    outer = other_references(posts, sets, member, comp, num, den, shared)
+    return edges.unionByName(inner).unionByName(outer)

@@ -106,19 +106,44 @@ def near_rows(rng):
     return rows + [(i + 1000, t) for i, t in rows[:40]]
 
 
-@pytest.mark.parametrize("options", [{}, {"frequent": 2, "max_broadcast": 0, "stars": 1}])
+@pytest.mark.parametrize("options", [{}, {"frequent": 2, "max_broadcast": 0}])
 def test_near_duplicates_match_brute_force(spark, options):
     rows = near_rows(random.Random(3))
     got = near_duplicates(frame(spark, [(i, t, "s") for i, t in rows]), **options).collect()
     assert {r.id: (r.n, r.component) for r in got} == brute(rows, 4, 85)
 
 
+def edited(rng, base, edits):
+    w = base.split()
+    for _ in range(edits):
+        w[rng.randrange(len(w))] = f"x{rng.randrange(10**9)}"
+    return " ".join(w)
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_a_group_around_one_text_matches_brute_force(spark, seed):
+    """Many edits of a few texts, most of them too far from any other: links between such are derived from the reference."""
+    rng = random.Random(seed)
+    a = prose(rng, 120)
+    b = edited(rng, a, 6)  # similar to the first, and linked to some of what is linked to it
+    rows = [(1000 * seed + k, edited(rng, rng.choice([a, a, a, b]), rng.choice([0, 1, 2, 3, 4, 5, 6, 8]))) for k in range(250)]
+    rows += [(rng.randrange(10**6, 10**7), edited(rng, rng.choice(rows)[1], rng.randrange(3))) for _ in range(150)]
+    rows += [(rng.randrange(10**7, 10**8), " ".join(rng.choice(rows)[1].split()[:rng.randrange(90, 121)])) for _ in range(60)]
+    rows = list(dict(rows).items())
+    got = near_duplicates(frame(spark, [(i, t, "s") for i, t in rows])).collect()
+    assert {r.id: (r.n, r.component) for r in got} == brute(rows, 4, 85)
+
+
 def test_near_duplicate_rows_that_repeat_and_null_ids(spark):
     rows = [(1, "a b c d e f", "s"), (1, "a b c d e f", "s"), (None, "a b c d e f", "s"), (2, "A B C D E F", "s")]
     got = sorted(((r.id, r.n, r.component) for r in near_duplicates(frame(spark, rows)).collect()), key=str)
     assert got == [(1, 3, 1), (1, 3, 1), (2, 3, 1), (None, 3, None)]
     left = drop_near_duplicates(frame(spark, rows))
-    assert left.columns == ["doc_id", "text", "source", "TEXT", "n"] and sorted(str(r[0]) for r in left.collect()) == ["1", "1", "None"]
+    assert left.columns == ["doc_id", "text", "source", "TEXT", "n"] and sorted(str(r[0]) for r in left.collect()) == ["None"]
+    # rows are told apart by id and text: of the texts that share an id only the near copy goes
+    rows = [(7, "one text of its own here", "s"), (7, "a b c d e f", "s"), (3, "A b c d e f", "s"), (None, "of null ids", "s"), (None, "a B c d e f", "s")]
+    assert sorted((str(r[0]), r[1]) for r in drop_near_duplicates(frame(spark, rows)).collect()) == [
+        ("7", rows[0][1]), ("None", "a B c d e f"), ("None", "of null ids")]
     assert near_duplicates(frame(spark, [])).count() == 0
 
 
