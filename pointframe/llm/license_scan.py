@@ -27,6 +27,7 @@ empty table gives no rows; other columns are not read, whatever they are called.
 
 from __future__ import annotations
 
+import json
 import re
 
 from pyspark.sql import Column, DataFrame
@@ -55,6 +56,8 @@ NOTICES = (
     ("unlicense", "This is free and unencumbered software released into the public domain"),
 )
 
+POSTINGS = "array<struct<word: string, notice: int, label: string, i: int, n: int, c: int, prefix: array<string>, words: array<string>>>"
+
 
 def text_words(text: str) -> list[str]:
     """The words of a Python string, as ``license_words`` has them."""
@@ -111,9 +114,9 @@ def similar_blocks(cut: DataFrame, notices, num: int, den: int, size: int) -> Da
     for k, ((label, _), s) in enumerate(zip(notices, sets, strict=True)):
         c = needed(len(s), num, den)
         prefix = s[:len(s) - c + 1]
-        posts += [(x, k, label, i, len(s), c, prefix, s) for i, x in enumerate(prefix)]
-    postings = spark.createDataFrame(posts, "word string, notice int, label string, i int, n int, c int, prefix array<string>, words array<string>")
-    first = sorted({p[0] for p in posts})
+        posts += [{"word": x, "notice": k, "label": label, "i": i, "n": len(s), "c": c, "prefix": prefix, "words": s} for i, x in enumerate(prefix)]
+    postings = spark.range(1).select(F.inline(F.from_json(F.lit(json.dumps(posts)), POSTINGS)))
+    first = sorted({p["word"] for p in posts})
 
     blocks = cut.where(F.size("halves") > 0).select("row", F.explode(F.transform(
         F.sequence(F.lit(0), F.greatest(F.lit(0), F.size("halves") - 2)),
