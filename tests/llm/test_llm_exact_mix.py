@@ -6,7 +6,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import pytest
 
-from pointframe.llm.exact_dedup import build_index, directory, drop_duplicates_exact, exact_dedup
+from pointframe.llm.exact_dedup import bucketed, build_index, decide, directory, drop_duplicates_exact, exact_dedup
 from pointframe.llm.mixing import mix, split_tree, targets
 
 DOCS = "doc_id long, text string, source string, `TEXT` string, `key` int"
@@ -43,21 +43,32 @@ def test_exact_dedup_empty(spark):
     assert drop_duplicates_exact(frame(spark, [])).count() == 0
 
 
-def test_directory_splits_until_buckets_fit(spark):
-    rows = spark.range(5000).selectExpr("id", "xxhash64(id) as key", "sha2(string(id), 256) as sha")
-    buckets, depth = directory(rows, 300)
-    assert sum(n for _, _, n in buckets) == 5000 and max(n for _, _, n in buckets) <= 300
-    # prefixes cover disjoint ranges
-    spans = sorted((p << (depth - d), (p + 1) << (depth - d)) for p, d, _ in buckets)
-    assert all(a[1] <= b[0] for a, b in zip(spans, spans[1:], strict=False))
-    index = build_index(rows, 300)
-    assert index.groupBy("bucket").count().agg({"count": "max"}).collect()[0][0] <= 300 and index.count() == 5000
-
-
-def test_equal_keys_chain(spark):
-    rows = spark.createDataFrame([(1, 7, "a"), (2, 7, "b"), (3, 7, "b")], "id long, key long, sha string")
-    got = {(r.sha, r.keep_id, r.group_size, r.chain) for r in build_index(rows, 1).collect()}
-    assert got == {("a", 1, 1, 2), ("b", 3, 2, 2)}
+def test_directory_splits_until_buckets_fit(spark, tmpdir_path):
+    # a third of the keys share their first 4 bits, so one half of the directory is deeper
+    keys = spark.range(5000).selectExpr("id", "if(id % 3 = 0, xxhash64(id) & 1152921504606846975, xxhash64(id)) as key")
+    keys.write.parquet(f"{tmpdir_path}/keys")
+    keys = spark.read.parquet(f"{tmpdir_path}/keys")
+    slots, depth = directory(keys, 300)
+    rows = slots.collect()
+    assert sorted(r.slot for r in rows) == sorted({r.slot for r in rows}) and all(r.n <= 300 for r in rows)
+    assert len({r.depth for r in rows}) > 1 and max(r.depth for r in rows) == depth
+    assert sum(n for _, n in {(r.bucket, r.n) for r in rows}) == 5000
+    held = bucketed(keys, slots, depth).groupBy("bucket").count().collect()
+    assert {r.bucket: r["count"] for r in held} == {r.bucket: r.n for r in rows}
+
+
+@pytest.mark.parametrize("capacity", [1, 50_000])
+def test_equal_keys_chain(spark, capacity, tmpdir_path):
+    """Different texts under one key are told apart by their bytes, in the index and in what rows look up."""
+    made = [(1, 7, "a"), (2, 7, "b"), (3, 7, "b"), (None, 7, "c"), (9, -5, "d"), (8, -5, "d"), (4, 11, "e")]
+    texts = spark.createDataFrame(made, "id long, key long, text string")
+    texts.drop("text").write.parquet(f"{tmpdir_path}/rows")
+    rows = spark.read.parquet(f"{tmpdir_path}/rows")
+    index, slots, depth = build_index(texts, rows, capacity)
+    got = {(r.key, r.chain, r.entry, r.keep_id, r.group_size, r.text) for r in index.collect()}
+    assert got == {(7, 3, 1, 1, 1, "a"), (7, 3, 2, 3, 2, "b"), (7, 3, 3, None, 1, "c"), (-5, 1, 1, 9, 2, None), (11, 1, 1, 4, 1, None)}
+    found = sorted(((r.id or 0, r.keep_id, r.group_size) for r in decide(texts, rows, index, slots, depth).collect()), key=str)
+    assert found == sorted([(1, 1, 1), (2, 3, 2), (3, 3, 2), (0, None, 1), (9, 9, 2), (8, 9, 2), (4, 4, 1)], key=str)
 
 
 @pytest.mark.parametrize("sizes", [[10, 10, 10], [1000, 1, 1], [1, 2, 1000, 3, 0, 50], [0, 0], []])
