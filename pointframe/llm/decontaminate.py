@@ -12,15 +12,23 @@ Words are runs of letters, marks and digits, lower-cased. All steps are DataFram
 are scanned once and never shuffled while the seed table is small enough to
 broadcast (checked by its count; beyond that the same join shuffles).
 
-Defined results: null, blank and pure-punctuation texts overlap nothing. Items
-of fewer words than every mask's reach get a mask of ones of their own length, so
-documents that hold all their words in a row overlap them. Repeated documents or
+An item of fewer than ``SHORT`` words has masks of its own length: its positions are
+cut into groups, and each mask ignores as many groups as substitutions are
+admitted, so whichever words are substituted, one mask ignores them all.
+
+Every position carries its window of words, cut from the text before anything is
+joined, so what moves does not grow with a text's length.
+
+Defined results: null, blank and pure-punctuation texts overlap nothing. Repeated documents or
 items give one row per pair of ids; a null id is an id like others. Empty tables
 give no rows; other columns are not read.
 """
 
 from __future__ import annotations
 
+import math
+from itertools import combinations
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -32,6 +40,7 @@ MASKS = ("11010011", "1100101011")
 # fixed value: words are runs of letters, marks and digits
 NO_WORD = r"[^\p{L}\p{M}\p{N}]+"
 SEED_ROWS = 4_000_000
+SHORT = 12
 
 
 def word_hashes(text: Column) -> Column:
@@ -40,13 +49,23 @@ def word_hashes(text: Column) -> Column:
     return F.transform(F.array_remove(F.split(t, NO_WORD, -1), ""), lambda w: F.xxhash64(w))
 
 
-def _key(array: str, pos: Column, mask: str, number: int) -> Column:
-    return F.xxhash64(F.lit(number), *[F.get(F.col(array), pos + i) for i, x in enumerate(mask) if x == "1"])
+def own_masks(words: int, similarity: float) -> tuple[str, ...]:
+    """Masks for an item of so many words: of groups of its positions each ignores as many as may be substituted."""
+    wrong = words - math.ceil(words * similarity)
+    if not wrong:
+        return ("1" * words,)
+    groups = min(words, wrong + 2)
+    held = [i * groups // words for i in range(words)]
+    return tuple("".join("0" if g in out else "1" for g in held) for out in combinations(range(groups), wrong))
+
 
+def _key(array: Column, pos: Column, mask: str, number: int) -> Column:
+    return F.xxhash64(F.lit(number), *[F.get(array, pos + i) for i, x in enumerate(mask) if x == "1"])
 
-def _keys(array: str, pos: Column, masks: tuple[str, ...]) -> Column:
+
+def _keys(array: Column, pos: Column, masks: dict[int, str]) -> Column:
     size = F.size(array)
-    return F.array(*[F.when(pos + len(m) <= size, _key(array, pos, m, k)) for k, m in enumerate(masks)])
+    return F.array(*[F.when(pos + len(m) <= size, _key(array, pos, m, k)) for k, m in masks.items()])
 
 
 def _items(benchmark: DataFrame, id: str, text: str) -> DataFrame:
@@ -54,10 +73,23 @@ def _items(benchmark: DataFrame, id: str, text: str) -> DataFrame:
             .where("size(item) > 0").distinct())
 
 
-def seeds(items: DataFrame, masks: tuple[str, ...]) -> DataFrame:
-    """Seed table: key, item_id, item_pos, item (the item's word hashes)."""
-    at = items.select("item_id", "item", F.posexplode("item").alias("item_pos", "w")).drop("w")
-    return at.withColumn("key", F.explode(_keys("item", F.col("item_pos"), masks))).where("key is not null")
+def seeds(items: DataFrame, masks: dict[int, str], short: dict[int, dict[int, str]]) -> DataFrame:
+    """Seed table: key, item_id, item_pos, item (the item's word hashes). ``short``: the masks of items of so many words."""
+    long_ = items.where(F.size("item") >= SHORT).select("item_id", "item", F.posexplode("item").alias("item_pos", "w")).drop("w")
+    out = long_.withColumn("key", F.explode(_keys(F.col("item"), F.col("item_pos"), masks)))
+    for n, own in short.items():
+        at = items.where(F.size("item") == n).withColumn("item_pos", F.lit(0))
+        out = out.unionByName(at.withColumn("key", F.explode(_keys(F.col("item"), F.col("item_pos"), own))))
+    return out.where("key is not null").select("key", "item_id", "item_pos", "item")
+
+
+def windows(docs: DataFrame, masks: dict[int, str], before: int, after: int) -> DataFrame:
+    """Per position and mask of ``docs`` (id, ws): id, key, pos (place in the window), ws (the window's words)."""
+    n = F.size("ws")
+    at = F.transform(F.sequence(F.lit(0), n - 1), lambda p: F.struct(
+        F.least(F.lit(before), p).alias("pos"), F.slice("ws", F.greatest(F.lit(1), p - before + 1), F.least(F.lit(before), p) + after).alias("ws")))
+    cut = docs.select("id", F.explode(F.when(n > 0, at)).alias("at")).select("id", "at.pos", "at.ws")
+    return cut.select("id", "pos", "ws", F.explode(_keys(F.col("ws"), F.col("pos"), masks)).alias("key")).where("key is not null")
 
 
 def agreement(hits: DataFrame, width: int, *keep: str) -> DataFrame:
@@ -88,13 +120,15 @@ def find_overlaps(docs: DataFrame, benchmark: DataFrame, id: str = "doc_id", tex
     ``overlap`` divides it by the window's length.
     """
     items = materialize(_items(benchmark, item_id, item_text), "items")
-    reach = min(map(len, masks))
-    short = [r["n"] for r in items.where(F.size("item") < reach).select(F.size("item").alias("n")).distinct().collect()]
-    masks = (*masks, *("1" * n for n in sorted(short)))  # as many as a mask is long, at most
-    table = materialize(seeds(items, masks), "seeds")
+    lengths = sorted(r["n"] for r in items.where(F.size("item") < SHORT).select(F.size("item").alias("n")).distinct().collect())
+    general, short, number = dict(enumerate(masks)), {}, len(masks)
+    for n in lengths:  # fewer than SHORT
+        short[n] = dict(enumerate(own_masks(n, similarity), number))
+        number += len(short[n])
+    table = materialize(seeds(items, general, short), "seeds")
     hashed = pick(docs, id=id, text=text).select("id", word_hashes(F.col("text")).alias("ws"))
-    at = hashed.select("id", "ws", F.posexplode_outer("ws").alias("pos", "w")).drop("w")
-    at = at.select("id", "ws", "pos", F.explode(_keys("ws", F.col("pos"), masks)).alias("key")).where("key is not null")
+    every = general | {k: m for own in short.values() for k, m in own.items()}
+    at = windows(hashed, every, min_words - 1, max(min_words, *map(len, every.values())))
     hits = at.join(sized(table, max_broadcast), "key")
     scored = agreement(hits.withColumn("item_words", F.size("item")), min_words, "id", "item_id", "item_words")
     width = F.least(F.lit(min_words), F.col("item_words"))
@@ -105,7 +139,10 @@ def find_overlaps(docs: DataFrame, benchmark: DataFrame, id: str = "doc_id", tex
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, id: str = "doc_id", text: str = "text", **options) -> DataFrame:
-    """``docs`` without the documents that overlap some benchmark item."""
-    found = materialize(find_overlaps(docs, benchmark, id, text, **options).select(F.col("id").alias("bad_")).distinct(), "leaks")
+    """``docs`` without the documents that overlap some benchmark item. Rows are told apart by id and text."""
     tmp, names = plain(docs)
-    return tmp.join(sized(found, 4_000_000), tmp[f"c{names.index(id)}"].eqNullSafe(F.col("bad_")), "left_anti").toDF(*names)
+    i, t = f"c{names.index(id)}", f"c{names.index(text)}"
+    key = F.xxhash64(F.col(i), F.col(t), F.col(t).isNull())
+    keyed = tmp.select(key.alias("key"), F.col(t).alias("text"))
+    found = materialize(find_overlaps(keyed, benchmark, "key", "text", **options).select(F.col("id").alias("bad_")).distinct(), "leaks")
+    return tmp.join(sized(found, 4_000_000), key == F.col("bad_"), "left_anti").toDF(*names)

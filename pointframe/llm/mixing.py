@@ -88,13 +88,14 @@ def _hypergeometric(rng: np.random.Generator, good: int, bad: int, draws: int) -
 
 
 def mix(docs: DataFrame, id: str = "doc_id", text: str = "text", source: str = "source", *, cap: float = 3.0,
-        weights: tuple[int, ...] = (1, 2, 3), block_words: int = 50_000, shards: int = 16, seed: int = 7,
+        weights: tuple[int, ...] = (1, 2, 3), block_words: int = 50_000, shards: int = 16, draws_per_shard: int = 8, seed: int = 7,
         max_cells: int = 20_000_000) -> DataFrame:
     """Per row of ``docs``: id, source, size, source_size, target, passes, rest, taken, shard, position.
 
     ``passes`` whole copies and the first ``rest`` words are taken (``taken`` = passes x size + rest).
     ``shard`` and ``position`` place the document in the mix (all its copies together with its block);
-    documents of blocks that are not taken carry the last shard.
+    documents of which nothing is taken have no shard. A block holds at most about ``block_words`` words, and so few
+    that a source's quota is ``draws_per_shard`` draws for each shard.
     """
     spark = docs.sparkSession
     rows = pick(docs, id=id, text=text, source=source).select("id", "source", word_count("text").alias("size"))
@@ -109,7 +110,8 @@ def mix(docs: DataFrame, id: str = "doc_id", text: str = "text", source: str = "
         whole = round(t)
         passes, rest = divmod(whole, r["words"]) if r["words"] else (0, 0)
         quota.append((r["source"], r["words"], t, int(passes), int(rest)))
-        decks.append(max(1, math.ceil(r["words"] / block_words), math.ceil(r["items"] / block_words)))
+        block = max(1, min(block_words, whole // (shards * draws_per_shard)))
+        decks.append(max(1, min(r["items"], math.ceil(r["words"] / block)), math.ceil(r["items"] / block_words)))
     table = spark.createDataFrame([(*q, n) for q, n in zip(quota, decks, strict=True)],
                                   "source string, source_size long, target double, passes long, rest_words long, blocks long")
     small = len(stats) * (shards + 8) * 8 <= 32 << 20
@@ -143,5 +145,5 @@ def mix(docs: DataFrame, id: str = "doc_id", text: str = "text", source: str = "
     rest = F.greatest(F.lit(0), F.least(F.col("size"), F.col("rest_words") - F.col("start") - (F.col("copy") - 1) * F.col("size")))
     return placed.select(
         "id", "source", "size", "source_size", "target", "passes", rest.alias("rest"),
-        (F.col("passes") * F.col("size") + rest).alias("taken"), "shard",
+        (F.col("passes") * F.col("size") + rest).alias("taken"), F.when(F.col("passes") * F.col("size") + rest > 0, F.col("shard")).alias("shard"),
         F.xxhash64(F.lit(seed + 2), "id", "copy").alias("position"))

@@ -7,8 +7,9 @@ and digits) is a candidate. Candidates are hashed and counted over the corpus:
 in how many repositories and under how many owners does the same string appear?
 A string copied between owners or across many repositories is an example from
 some documentation; one that a single owner holds in few repositories looks live
-and is reported as a span of kind ``owned``. Base spans stay whatever their
-frequency.
+and is reported as a span of kind ``owned``. Without a repository column owners alone
+decide: copies of a file, or a key that its owner uses in many texts, are no
+sign of an example. Base spans stay whatever their frequency.
 
 Spans come from splitting a text at its matches: the pieces between them and the
 matches themselves, laid end to end, give every start. All steps are DataFrame
@@ -73,14 +74,16 @@ def _long_enough(text: Column) -> Column:
     return F.transform(F.regexp_extract_all(text, F.lit(ASSIGN), F.lit(1)), lambda v: F.length(v) >= 6)
 
 
-def scan_secrets(docs: DataFrame, id: str = "doc_id", text: str = "text", owner: str = "source", repository: str = "doc_id", *,
+def scan_secrets(docs: DataFrame, id: str = "doc_id", text: str = "text", owner: str = "source", repository: str | None = None, *,
                  max_owners: int = 1, max_repositories: int = 3) -> DataFrame:
     """Per row of ``docs``: id, base and owned, both arrays of (start, kind, end) in order.
 
-    ``owned``: candidates that at most ``max_owners`` owners hold in at most
-    ``max_repositories`` repositories.
+    ``owned``: candidates that at most ``max_owners`` owners hold, where a ``repository`` column is
+    given in at most ``max_repositories`` repositories.
     """
-    rows = pick(docs, id=id, text=text, owner=owner, repo=repository).withColumn("text", F.coalesce("text", F.lit("")))
+    rows = pick(docs, id=id, text=text, owner=owner, **({"repo": repository} if repository else {})).withColumn("text", F.coalesce("text", F.lit("")))
+    if not repository:  # equal texts are one place, and an owner may have any number of them
+        rows = rows.withColumn("repo", F.xxhash64("text"))
     t = F.col("text")
     scanned = rows.select(
         "id", "owner", "repo", F.monotonically_increasing_id().alias("row"),
@@ -96,7 +99,7 @@ def scan_secrets(docs: DataFrame, id: str = "doc_id", text: str = "text", owner:
     per_repo = held.groupBy("sha", "owner", "repo").agg(F.count("*").alias("n"))
     per_owner = per_repo.groupBy("sha", "owner").agg(F.count("*").alias("repos"))
     rare = (per_owner.groupBy("sha").agg(F.count("*").alias("owners"), F.sum("repos").alias("repos"))
-            .where((F.col("owners") <= max_owners) & (F.col("repos") <= max_repositories)))
+            .where((F.col("owners") <= max_owners) & ((F.col("repos") <= max_repositories) if repository else F.lit(True))))
     owned = held.join(rare.select("sha"), "sha", "left_semi").groupBy("row").agg(
         F.collect_list(F.struct("start", F.lit("owned").alias("kind"), "end")).alias("owned"))
     none = F.array().cast("array<struct<start:long,kind:string,end:long>>")

@@ -181,12 +181,17 @@ def records_of(file, length: int, start: int, end: int, block: int = 1 << 20) ->
         at = at + found if found > 0 else at + max(1, len(chunk) - 2)
 
 
+MAX_READERS = 20_000
+
+
 def read_warc(spark: SparkSession, files: DataFrame, split_bytes: int = 32 << 20) -> DataFrame:
     """Records of the archives in ``files`` (path, length), see ``RECORD``."""
     ship_package(spark)
     ranges = files.where("length > 0").select("path", "length", F.explode(
         F.sequence(F.lit(0).cast("long"), F.col("length") - 1, F.lit(split_bytes).cast("long"))).alias("start"))
-    ranges = ranges.repartition("path", "start")
+    # a task for each range (up to a bound): by its own size the manifest would be one task
+    count = files.agg(F.sum(F.ceil(F.col("length") / split_bytes))).first()[0] or 1
+    ranges = ranges.repartition(min(int(count), MAX_READERS), "path", "start")
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:

@@ -94,7 +94,7 @@ def test_mix_meets_targets(spark):
     assert len(got) == len(rows)
     words, size, goal = Counter(), Counter(), {}
     for r in got:
-        assert 0 <= r.taken <= 3 * r.size and 0 <= r.shard < 16
+        assert 0 <= r.taken <= 3 * r.size and (0 <= r.shard < 16 if r.taken else r.shard is None)
         words[r.source] += r.taken
         size[r.source] += r.size
         goal[r.source] = r.target
@@ -123,3 +123,16 @@ def test_every_shard_holds_its_part_of_every_source(spark):
         assert all(0.4 * target / 16 <= words[s, k] <= 1.7 * target / 16 for k in range(16)), (s, target / 16, [words[s, k] for k in range(16)])
     for k in range(16):
         assert abs(sum(words[s, k] for s in goal) - 68_000 / 16) <= 0.25 * 68_000 / 16
+
+
+def test_production_parameters_put_every_source_in_every_shard(spark):
+    rows = [(i, "w " * (20 + i % 30), f"s{i % 5}") for i in range(4000)] + [(9000 + i, "w " * 40, "s0") for i in range(3000)]
+    got = [r for r in mix(frame(spark, rows)).collect() if r.taken]
+    words = defaultdict(int)
+    for r in got:
+        words[r.source, r.shard] += r.taken
+    goal = {r.source: r.target for r in got}
+    for s, t in goal.items():
+        held = [words[s, k] for k in range(16)]
+        assert min(held) > 0 and max(held) < 3 * t / 16
+    assert all(r.shard is None for r in mix(frame(spark, rows)).collect() if not r.taken)

@@ -161,3 +161,11 @@ def test_walk_matches_power_iteration(spark):
     got = {r.host: r.score for r in got.collect() if r.score > 0}
     want = {str(h): s / total for h, s in rank.items() if s > 0}
     assert set(got) == set(want) and all(abs(got[h] - want[h]) < 1e-9 for h in want)
+
+
+def test_ranges_are_read_by_tasks_of_their_own(spark, tmpdir_path):
+    pages = spark.range(40).selectExpr("id as page_id", "'u' as url", "repeat(sha2(string(id), 512), 20) as html")
+    files = write_warc(pages.repartition(2))
+    read = read_warc(spark, files, split_bytes=2000)
+    tasks = read.select("id", F.spark_partition_id().alias("task")).distinct().collect()
+    assert len({r.id for r in tasks}) == 40 and len({r.task for r in tasks}) > 4

@@ -2,12 +2,13 @@
 
 import random
 import re
+from itertools import combinations
 
 import numpy as np
 import pytest
 
 from pointframe.llm.components import connected_components
-from pointframe.llm.decontaminate import MASKS, drop_contaminated, find_overlaps
+from pointframe.llm.decontaminate import MASKS, drop_contaminated, find_overlaps, own_masks
 from pointframe.llm.jaccard_join import drop_near_duplicates, near_duplicates, shingle_sets
 from pointframe.llm.line_dedup import drop_duplicate_lines, duplicate_lines, line_report
 from pointframe.llm.secrets import join_spans, scan_secrets
@@ -62,6 +63,41 @@ def test_overlaps_of_empty_tables(spark):
     assert find_overlaps(frame(spark, []), none).count() == 0
 
 
+@pytest.mark.parametrize("words", range(1, 12))
+def test_own_masks_ignore_every_admitted_substitution(words):
+    wrong = words - -(-words * 8 // 10)
+    masks = own_masks(words, 0.8)
+    assert all(len(m) == words and "1" in m for m in masks)
+    for at in combinations(range(words), wrong):
+        assert any(all(m[i] == "0" for i in at) for m in masks)
+
+
+def test_short_items_with_every_substitution(spark):
+    rng = random.Random(9)
+    items = [(n, prose(rng, n, 10**9)) for n in range(1, 14)]
+    rows, want = [], set()
+    for n, text in items:
+        for wrong in range(3):
+            for k, at in enumerate(list(combinations(range(n), wrong))[:80]):
+                w = text.split()
+                for i in at:
+                    w[i] = f"other{i}"
+                d = n * 10_000 + wrong * 1000 + k
+                lead = rng.choice(["", prose(rng, 20, 10**9) + " "])
+                rows.append((d, lead + " ".join(w) + rng.choice(["", " " + prose(rng, 20, 10**9)]), "a"))
+                if n - wrong >= -(-n * 8 // 10):
+                    want.add((d, n))
+    got = {(r.id, r.item_id) for r in find_overlaps(frame(spark, rows), spark.createDataFrame(items, "item_id long, text string")).collect()}
+    assert got == want
+
+
+def test_contaminated_rows_go_by_id_and_text(spark):
+    bench = spark.createDataFrame([(1, "six words that no text holds")], "item_id long, text string")
+    bad = "here are six words that no text holds at all"
+    rows = [(None, bad, "a"), (None, "clean", "a"), (4, bad, "a"), (4, "clean too", "a"), (5, None, "a")]
+    assert sorted(str(r[1]) for r in drop_contaminated(frame(spark, rows), bench).collect()) == ["None", "clean", "clean too"]
+
+
 # -- Jaccard join
 
 def sets_of(rows, n):
@@ -228,6 +264,15 @@ def test_base_spans_and_ownership(spark):
     assert scan_secrets(frame(spark, [])).count() == 0
 
 
+def test_an_owner_may_use_a_key_in_many_texts(spark):
+    key = "Qw3rTy7uIoP9aSdF5gHjK"
+    rows = [(i, f"text {i} {key}", "one") for i in range(9)]
+    found = scan_secrets(frame(spark, rows)).collect()
+    assert all([x.kind for x in r.spans] == ["owned"] for r in found)
+    assert all(not r.spans for r in scan_secrets(frame(spark, rows), repository="doc_id").collect())
+    assert all(r.spans for r in scan_secrets(frame(spark, rows), repository="doc_id", max_repositories=9).collect())
+
+
 # -- lines
 
 def test_line_dedup_keeps_one_line_per_component(spark):
