@@ -632,3 +632,14 @@ SELECT vec_id,
        CASE WHEN vec_id % 27 = 9 THEN 77 WHEN vec_id % 27 = 13 THEN 78 WHEN vec_id % 27 = 1 THEN 79
             WHEN vec_id % 9 = 0 THEN 900 WHEN vec_id % 9 = 3 THEN 903 WHEN vec_id % 9 IN (2, 4, 5) THEN NULL ELSE label END AS label
 FROM embeddings WHERE vec_id % 9 <> 1 OR vec_id % 27 = 1"""
+
+# ---------------------------------------------------------------- approximate search
+
+# cells by the nearest of the points 0 to 7, the three cells nearest to the query, exact inside
+ORACLE["ann_graph"] = f"""
+WITH c AS (SELECT vec_id AS cell, {E} AS m FROM embeddings WHERE vec_id < 8),
+a AS (SELECT vec_id, label, {E} AS v FROM embeddings),
+n AS (SELECT vec_id, label, v, cell, row_number() OVER (PARTITION BY vec_id ORDER BY {cos('v', 'm')} DESC, cell) AS r FROM a, c),
+p AS (SELECT cell FROM c ORDER BY {cos('m', QV)} DESC, cell LIMIT 3)
+SELECT vec_id AS id, label, round({cos('v', QV)}, 6) AS score FROM n JOIN p USING (cell)
+WHERE r = 1 AND label >= 2 ORDER BY score DESC, id LIMIT 10"""

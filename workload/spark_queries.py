@@ -689,6 +689,7 @@ def q_apply_changelog(spark, sf):
 # ---------------------------------------------------------------- step 8: ANN and quantization (rows-only + invariant tests)
 
 from pointframe.operators import ann as A  # noqa: E402
+from pointframe.operators import graph as G  # noqa: E402
 from pointframe.operators import quantize as Qz  # noqa: E402
 
 
@@ -713,6 +714,28 @@ def q_ann_lsh(spark, sf):
     return A.search_lsh(e, idx, planes, QV, limit=10)
 
 
+def _graph(spark, sf):
+    """A stored graph over all embeddings; the cells' centroids are the points 0 to 7."""
+    _shared_folder(spark)
+    e = W.embeddings(spark, sf)
+    cents = e.df.filter(F.col("vec_id") < 8).select(F.col("vec_id").cast("int").alias("cell"), F.col("embedding").alias("centroid"))
+    return e, G.build_graph(e, cents, f"{checkpoint_dir(spark)}/ann-{uuid.uuid4().hex}", degree=12, rounds=3, seed=7)
+
+
+@register("ann_graph")
+def q_ann_graph(spark, sf):
+    """A beam as wide as a part reaches every point of the probed cells, so the answer is exact over them."""
+    e, index = _graph(spark, sf)
+    return S.search(e, QV, limit=10, filter={"must": [{"key": "label", "range": {"gte": 2}}]}, index=index, nprobe=3,
+                    params={"exact": False, "hnsw_ef": 50_000, "indexed_only": True})
+
+
+@register("ann_graph_beam")
+def q_ann_graph_beam(spark, sf):
+    e, index = _graph(spark, sf)
+    return G.probe_graph(index, [QV, [-x for x in QV], QV[32:] + QV[:32]], limit=10, nprobe=4, ef=100)
+
+
 @register("quant_scalar")
 def q_quant_scalar(spark, sf):
     e = W.embeddings(spark, sf)
