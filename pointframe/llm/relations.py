@@ -17,8 +17,9 @@ holds at most (den - num) / (den + num) of both sizes together.
    changed, not on what all of them hold.
 3. Different references. Lists are cut into blocks by size and by position, and a pair of blocks that
    cannot reach the threshold is skipped before any pair is made. What is left is paired as
-   groups (one entry for all sets of a reference in a block); the references are intersected once,
-   and a group's pair is opened only if their overlap and what the members have beside them reach the threshold.
+   groups (one entry for all sets of a reference in a block); the references are intersected once. A
+   reference without sets of its own that is similar to another joins that one's sets in step 2; any other
+   pair of groups is opened only if the references' overlap and what the members have beside them reach the threshold.
 
 Pairs that are connected already are not looked at again. No link between two
 components is lost: every cut is a bound on the intersection.
@@ -99,7 +100,7 @@ def references(posts: DataFrame, sets: DataFrame, num: int, den: int, shared: in
 def same_reference(member: DataFrame, num: int, den: int) -> DataFrame:
     """Links (a, b) between sets of one reference and different components, at least one of them not linked to the reference.
 
-    ``member``: id, n, ref, nref, diff, linked (to the reference), comp.
+    ``member``: id, n, ref, nref, diff, linked (to the reference), comp; a set may have several references.
     """
     total, gap = num + den, den - num
     open_ = sized(materialize(member.where("not linked").select("ref").distinct(), "open"))
@@ -123,15 +124,26 @@ def same_reference(member: DataFrame, num: int, den: int) -> DataFrame:
     once = F.col("x_linked") | (F.col("y_half") & (F.col("x_id") < F.col("y_id")))
     met = x.join(y, ["ref", "t"]).where((F.col("x_comp") != F.col("y_comp")) & once & fits(F.col("x_n"), F.col("y_n"), num, den)
                                        & (2 * F.least("x_reach", "y_reach") * total >= need))
-    pairs = met.select(F.col("x_id").alias("a"), F.col("y_id").alias("b")).distinct()
-    found = compare(pairs, member.select("id", F.col("d").alias("n"), F.col("diff").alias("tokens")))
-    size = member.select("id", "n")
-    found = found.join(size.toDF("a", "sa"), "a").join(size.toDF("b", "sb"), "b")
-    return found.where((F.col("na") + F.col("nb") - 2 * F.col("i")) * total <= gap * (F.col("sa") + F.col("sb"))).select("a", "b")
+    pairs = met.select(F.struct("ref", F.col("x_id").alias("id")).alias("a"), F.struct("ref", F.col("y_id").alias("id")).alias("b"),
+                       (F.col("x_n") + F.col("y_n")).alias("sizes")).distinct()
+    pairs = materialize(pairs, "pairs")
+    found = compare(pairs.select("a", "b"), member.select(F.struct("ref", "id").alias("id"), F.col("d").alias("n"), F.col("diff").alias("tokens")))
+    found = found.join(sized(pairs), ["a", "b"]).where((F.col("na") + F.col("nb") - 2 * F.col("i")) * total <= gap * F.col("sizes"))
+    return found.select(F.col("a.id").alias("a"), F.col("b.id").alias("b"))
+
+
+def _sides(df: DataFrame, *cols: str) -> tuple[DataFrame, DataFrame]:
+    x, y = (df.select("h", *[F.col(c).alias(f"{s}_{c}") for c in cols]) for s in "xy")
+    return x, y
 
 
-def other_references(posts: DataFrame, sets: DataFrame, member: DataFrame, comp: DataFrame, num: int, den: int, shared: int) -> DataFrame:
-    """Links (a, b) between sets of different references and different components."""
+def meetings(posts: DataFrame, sets: DataFrame, member: DataFrame, comp: DataFrame, num: int, den: int, shared: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Where groups of different references and components meet.
+
+    The entries of such lists (h, id, n, reach, comp, ref, beside), the lists of every pair of groups (h, x_ref, y_ref), and
+    per pair x_ref, y_ref, x_lo, y_lo (least sizes), x_beside, y_beside, x_more, y_more (whether it has sets but the reference), and
+    the references' na, nb, i and diff.
+    """
     total = num + den
     own = member.select("id", "ref", (F.col("n") - F.col("i")).alias("beside"))
     at = posts.join(comp, "id", "left").join(own, "id", "left").select(
@@ -145,40 +157,38 @@ def other_references(posts: DataFrame, sets: DataFrame, member: DataFrame, comp:
         "block", F.floor(F.ln("n") / F.ln(F.lit(den / num))).cast("int") * 64 + F.floor(F.log2(F.col("pos") + 1)).cast("int"))
     rest = materialize(rest, "mixed")
     best = [F.min("n").alias("lo"), F.max("n").alias("hi"), F.max("reach").alias("reach")]
-
-    def sides(df: DataFrame, *cols: str) -> tuple[DataFrame, DataFrame]:
-        x, y = (df.select("h", *[F.col(c).alias(f"{s}_{c}") for c in cols]) for s in "xy")
-        return x, y
-
     can = (F.col("x_lo") * num <= F.col("y_hi") * den) & (F.col("y_lo") * num <= F.col("x_hi") * den) & (
         F.least("x_reach", "y_reach") * total >= (F.col("x_lo") + F.col("y_lo")) * num)
-    x, y = sides(rest.groupBy("h", "block").agg(*best), "block", "lo", "hi", "reach")
+    x, y = _sides(rest.groupBy("h", "block").agg(*best), "block", "lo", "hi", "reach")
     open_blocks = materialize(x.join(y, "h").where(can).select("h", "x_block", "y_block"), "blocks")
     groups = materialize(rest.groupBy("h", "block", "ref").agg(*best, F.max("beside").alias("beside"), F.min("comp").alias("low"), F.max("comp").alias("high"),
-                                                                   F.max(F.col("id") != F.col("ref")).alias("more")), "groups")
-    x, y = sides(groups, "block", "ref", "lo", "hi", "reach", "beside", "low", "high", "more")
-    met = x.join(open_blocks, ["h", "x_block"]).join(y, ["h", "y_block"]).where(
-        (F.col("x_ref") < F.col("y_ref")) & can & ((F.col("x_low") != F.col("y_low")) | (F.col("x_high") != F.col("y_high")) | (F.col("x_low") != F.col("x_high"))))
+                                                               F.max(F.col("id") != F.col("ref")).alias("more")), "groups")
+    x, y = _sides(groups, "block", "ref", "lo", "hi", "reach", "beside", "low", "high", "more")
+    apart = (F.col("x_low") != F.col("y_low")) | (F.col("x_high") != F.col("y_high")) | (F.col("x_low") != F.col("x_high"))
+    met = x.join(open_blocks, ["h", "x_block"]).join(y, ["h", "y_block"]).where((F.col("x_ref") < F.col("y_ref")) & can & apart)
     of_pair = [F.min("x_lo").alias("x_lo"), F.min("y_lo").alias("y_lo"), F.max("x_beside").alias("x_beside"), F.max("y_beside").alias("y_beside"),
-               F.max(F.col("x_more") | F.col("y_more")).alias("more")]
-    met = met.groupBy("x_ref", "y_ref", "h").agg(*of_pair).withColumns({"x_more": F.col("more"), "y_more": F.col("more")})  # blocks of a list count once
-    met = met.groupBy("x_ref", "y_ref").agg(F.count("*").alias("v"), *of_pair)
+               F.max("x_more").alias("x_more"), F.max("y_more").alias("y_more")]
+    lists = materialize(met.groupBy("x_ref", "y_ref", "h").agg(*of_pair), "lists")  # blocks of a list count once
+    met = lists.groupBy("x_ref", "y_ref").agg(F.count("*").alias("v"), *of_pair)
     met = materialize(met.where(enough("v", F.col("x_lo"), F.col("y_lo"), num, den, shared)), "met")
-    heads = compare(met.select(F.col("x_ref").alias("a"), F.col("y_ref").alias("b")), sets)
-    direct = heads.where(link(F.col("i"), F.col("na"), F.col("nb"), num, den)).select("a", "b")
+    heads = compare(met.select(F.col("x_ref").alias("a"), F.col("y_ref").alias("b")), sets, difference=True)
+    met = met.join(heads.withColumnsRenamed({"a": "x_ref", "b": "y_ref"}), ["x_ref", "y_ref"])
+    return rest.select("h", "id", "n", "reach", "comp", "ref", "beside"), lists.select("h", "x_ref", "y_ref"), materialize(met, "met_heads")
+
+
+def opened(rest: DataFrame, lists: DataFrame, met: DataFrame, sets: DataFrame, num: int, den: int, shared: int) -> DataFrame:
+    """Links (a, b) between sets of the pairs of groups ``met``, found in the lists where these meet."""
+    total = num + den
     bound = F.col("i") + F.col("x_beside") + F.col("y_beside")
-    more = met.where("more").join(heads.select(F.col("a").alias("x_ref"), F.col("b").alias("y_ref"), "i"), ["x_ref", "y_ref"])
-    more = materialize(more.where(bound * total >= (F.col("x_lo") + F.col("y_lo")) * num).select("x_ref", "y_ref", "i"), "opened")
-    if more.isEmpty():
-        return direct
-    x, y = sides(rest, "id", "n", "reach", "comp", "ref", "beside")
-    pairs = x.join(sized(more), "x_ref").join(y, ["h", "y_ref"]).where(
+    more = materialize(met.where(bound * total >= (F.col("x_lo") + F.col("y_lo")) * num).select("x_ref", "y_ref", "i"), "opened")
+    x, y = _sides(rest, "id", "n", "reach", "comp", "ref", "beside")
+    pairs = x.join(lists.join(sized(more), ["x_ref", "y_ref"]), ["h", "x_ref"]).join(y, ["h", "y_ref"]).where(
         (F.col("x_comp") != F.col("y_comp")) & fits(F.col("x_n"), F.col("y_n"), num, den)
         & (F.least(F.col("x_reach"), F.col("y_reach"), bound) * total >= (F.col("x_n") + F.col("y_n")) * num))
     pairs = pairs.where("x_id != x_ref or y_id != y_ref").groupBy(F.col("x_id").alias("a"), F.col("y_id").alias("b")).agg(
         F.count("*").alias("v"), F.max("x_n").alias("n"), F.max("y_n").alias("m"))
     found = compare(pairs.where(enough("v", F.col("n"), F.col("m"), num, den, shared)).select("a", "b"), sets)
-    return direct.unionByName(found.where(link(F.col("i"), F.col("na"), F.col("nb"), num, den)).select("a", "b"))
+    return found.where(link(F.col("i"), F.col("na"), F.col("nb"), num, den)).select("a", "b")
 
 
 def links(posts: DataFrame, sets: DataFrame, num: int, den: int, *, shared: int = 1) -> DataFrame:
@@ -190,8 +200,15 @@ def links(posts: DataFrame, sets: DataFrame, num: int, den: int, *, shared: int
     done, member = references(posts, sets, num, den, shared)
     edges = done.where(link(F.col("i"), F.col("na"), F.col("nb"), num, den)).select("a", "b")
     comp = connected_components(edges).select(F.col("v").alias("id"), F.col("root").alias("comp"))
-    placed = member.join(comp, "id", "left").withColumn("comp", F.coalesce("comp", "id"))
+    rest, lists, met = meetings(posts, sets, member, comp, num, den, shared)
+    direct = met.where(link(F.col("i"), F.col("na"), F.col("nb"), num, den)).select(F.col("x_ref").alias("a"), F.col("y_ref").alias("b"))
+    # a similar reference without sets of its own in these lists joins the other's
+    similar = F.col("diff").isNotNull() & (F.col("x_more") != F.col("y_more"))
+    side = lambda s, n, r, m: [F.col(s).alias("id"), F.col(n).alias("n"), F.col(r).alias("ref"), F.col(m).alias("nref"), "i", "diff"]
+    joined = met.where(similar & F.col("x_more")).select(*side("y_ref", "nb", "x_ref", "na")).unionByName(
+        met.where(similar & F.col("y_more")).select(*side("x_ref", "na", "y_ref", "nb")))
+    placed = member.unionByName(joined).join(comp, "id", "left").withColumn("comp", F.coalesce("comp", "id"))
     linked = link(F.col("i"), F.col("n"), F.col("nref"), num, den)
     inner = same_reference(placed.withColumn("linked", linked).drop("i"), num, den)
-    outer = other_references(posts, sets, member, comp, num, den, shared)
-    return edges.unionByName(inner).unionByName(outer)
+    outer = opened(rest, lists, met.where((F.col("x_more") | F.col("y_more")) & ~similar), sets, num, den, shared)
+    return edges.unionByName(direct).unionByName(inner).unionByName(outer)
