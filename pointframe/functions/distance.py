@@ -93,8 +93,8 @@ def raw_score(vec, query, distance: str) -> Column:
 
 
 def score(vec, query, distance: str) -> Column:
-    """Score rounded to ``SCORE_DIGITS``; rankings sort on this value, then on id."""
-    return F.round(raw_score(vec, query, distance), SCORE_DIGITS)
+    """Score rounded to ``SCORE_DIGITS``; rankings sort on this value, then on id. What is not a number is no score."""
+    return F.round(F.nanvl(raw_score(vec, query, distance), F.lit(None).cast("double")), SCORE_DIGITS)
 
 
 def order_columns(distance: str, score_col: str = "score", id_col: str = "id") -> list[Column]:

@@ -13,6 +13,7 @@ wins; duplicates without ``seq`` raise.
 from __future__ import annotations
 
 import json
+import uuid
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -295,7 +296,12 @@ def apply_changelog(coll: Collection, log: DataFrame, seq: str = "seq", op: str
     payload = coll.payload_columns
     checked_op = F.when(F.col(op).isin(*CHANGELOG_OPS), F.col(op)).otherwise(
         F.raise_error(F.concat(F.lit("unknown changelog op: "), F.coalesce(F.col(op), F.lit("NULL")))))
-    given = F.col("keys") if "keys" in log.columns and "keys" not in cols else F.lit(None).cast("array<string>")
+    given = F.lit(None).cast("array<string>")
+    if "keys" in log.columns and "keys" not in cols:
+        known = F.array(*[F.lit(c) for c in cols if c != coll.id])
+        odd = F.array_except("keys", known)
+        given = F.when(F.size(odd) > 0, F.raise_error(F.concat(F.lit("unknown names in keys: "), F.array_join(odd, ", "))).cast("array<string>")
+                       ).otherwise(F.col("keys"))
     ev = log.select(*[F.col(c) if c in log.columns else F.lit(None).cast(coll.df.schema[c].dataType).alias(c)
                       for c in cols], F.col(seq).cast("long").alias("_seq"), checked_op.cast("string").alias("_op"), given.alias("_keys"))
     ids = log.select(F.col(coll.id)).distinct()
@@ -327,3 +333,50 @@ def apply_changelog(coll: Collection, log: DataFrame, seq: str = "seq", op: str
         F.when(F.coalesce(F.col(f"_when_{c}") > F.col("_full"), F.lit(False)), F.col(f"_set_{c}.v")).otherwise(F.col("_row")[c]).alias(c)
         for c in others])
     return coll.with_df(untouched.select(*cols).unionByName(merged.select(*cols)))
+
+
+# operations that a filter may select the points of
+FILTERED_OPS = ("delete", "set_payload", "overwrite_payload", "delete_payload", "clear_payload", "delete_vectors")
+
+
+def apply_staged_changelog(coll: Collection, log: DataFrame, filtered_ops: list[dict], *, seq: str = "seq", op: str = "op",
+                           checkpoint_every: int = 4) -> Collection:
+    """Apply a change log in which some operations choose their points by a filter.
+
+    ``log`` holds the id-keyed events of ``apply_changelog``. ``filtered_ops`` is a list of
+    ``{"seq": n, <operation>: {"filter": ..., ...}}`` with one of ``FILTERED_OPS``. Such an operation sees the
+    points as all events up to and including its number have left them, and of several with one number the
+    earlier of the list goes first; it is a barrier, since what it selects depends on everything before.
+
+    The log is cut into stages at the barriers and written once, partitioned by stage, below the
+    shared folder; a stage reads its own events only, and a stage without events costs nothing. Each stage is one
+    ``apply_changelog`` and each barrier one filtered pass. Every ``checkpoint_every`` barriers the state is
+    checkpointed there too, so neither the plan nor what a lost executor repeats grows with the log.
+    """
+    ops = []
+    for i, o in enumerate(filtered_ops):
+        kinds = [k for k in o if k != "seq"]
+        if "seq" not in o or len(kinds) != 1 or kinds[0] not in FILTERED_OPS:
+            raise ValueError(f"operation {i} needs seq and one of {FILTERED_OPS}, got {sorted(o)}")
+        if not o[kinds[0]].get("filter") or o[kinds[0]].get("points") is not None:
+            raise ValueError(f"operation {i} needs a filter and no points; events of single points belong into the log")
+        ops.append((int(o["seq"]), i, {kinds[0]: o[kinds[0]]}))
+    ops.sort(key=lambda x: x[:2])
+    if not ops:
+        return apply_changelog(coll, log, seq, op)
+    spark = coll.df.sparkSession
+    before = F.array(*[F.lit(n).cast("long") for n, _, _ in ops])  # a request's list
+    stage = F.size(F.filter(before, lambda n: n < F.col(seq).cast("long")))  # the barriers that an event comes after
+    path = f"{checkpoint_dir(spark)}/changelog-{uuid.uuid4().hex}"
+    log.withColumn("_stage", stage).write.partitionBy("_stage").parquet(path)
+    staged = spark.read.schema(T.StructType([*log.schema.fields, T.StructField("_stage", T.IntegerType())])).parquet(path)
+    full = {r["_stage"] for r in staged.select("_stage").distinct().collect()}  # at most one row for each barrier and one
+    state = coll
+    for k in range(len(ops) + 1):
+        if k in full:
+            state = apply_changelog(state, staged.filter(F.col("_stage") == k).drop("_stage"), seq, op)
+        if k < len(ops):
+            state = apply_op(state, ops[k][2])
+            if checkpoint_every and (k + 1) % checkpoint_every == 0:
+                state = state.with_df(state.df.checkpoint(eager=True))
+    return state

@@ -305,6 +305,8 @@ def scroll(coll: Collection, filter: dict | None = None, limit: int = 10, offset
         if offset is not None:
             df = df.filter(F.col(coll.id) >= F.lit(offset))
         return project(coll, df, with_payload, with_vector).orderBy("id").limit(skip + limit).offset(skip)
+    if offset is not None:
+        raise ValueError("offset is an id and needs the order of ids; with order_by pass skip or start_from")
     if isinstance(order_by, str):
         order_by = {"key": order_by}
     if set(order_by) - {"key", "direction", "start_from"}:

@@ -88,6 +88,8 @@ def run(coll: Collection, request: dict, *, lookup: dict[str, Collection] | None
                 FU.dbsf(branches) if q["fusion"] == "dbsf" else None)
             if fused is None:
                 raise ValueError(f"unknown fusion {q['fusion']!r}")
+            if filt:  # of the fused ids those that meet the request's own filter
+                fused = fused.join(S.filtered(base, filt).select(F.col(base.id).alias("id")), "id", "left_semi")
             top = FU.top_per_query(fused, limit, offset).select("id", "score")
             if thr is not None:
                 top = top.filter(F.col("score") >= thr)
@@ -105,6 +107,8 @@ def run(coll: Collection, request: dict, *, lookup: dict[str, Collection] | None
         return run(coll, inner, lookup=lookup, sparse_postings=sparse_postings, candidates=cand)
     kind = _kind(q)
     common = dict(limit=limit, offset=offset, with_payload=payload, with_vector=with_vector)
+    if src is not None and kind in ("vector", "order_by", "sample", "none"):
+        raise ValueError("lookup_from needs a query by id")
     if kind == "vector":
         return S.search(base, list(q), using=using, filter=filt, score_threshold=thr, **common), \
             base.vector(using).distance
@@ -146,14 +150,19 @@ def run(coll: Collection, request: dict, *, lookup: dict[str, Collection] | None
         no_threshold()
         return S.sample(base, limit=limit, skip=offset, filter=filt, with_payload=payload, with_vector=with_vector), D.COSINE
     if kind == "sparse":
-        from pointframe.operators import sparse as SP
+        if src is not None:
+            raise ValueError("lookup_from needs a query by id")
         if sparse_postings is None:
-            raise ValueError("a sparse query needs sparse_postings (id, idx, val)")
+            from pointframe.operators.sparse_kernel import search_sparse
+            return search_sparse(base, q, using=using, filter=filt, score_threshold=thr, **common), D.COSINE
+        from pointframe.operators import sparse as SP
         post = sparse_postings
         if candidates is not None or filt:
             keep = S.filtered(base, filt).select(F.col(base.id).alias("id"))
             post = post.join(keep, "id", "left_semi")
-        return above(SP.sparse_search(post, q, limit=offset + limit).offset(offset)), D.COSINE
+        hits = above(SP.sparse_search(post, q, limit=offset + limit).offset(offset))
+        cols = S.payload_columns(base, payload) + S.vector_columns(base, with_vector)
+        return (hits.join(base.df.select(F.col(base.id).alias("id"), *cols), "id") if cols else hits), D.COSINE
     if kind == "none":
         no_threshold()
         return S.scroll(base, filter=filt, limit=limit, skip=offset, with_payload=payload, with_vector=with_vector), D.COSINE
@@ -202,6 +211,9 @@ def query_batch(coll: Collection, requests: list[dict], **kw) -> DataFrame:
         if "score" not in df.columns:
             df = df.withColumn("score", F.lit(None).cast("double"))
         parts.append(df.select(F.lit(i).cast("long").alias("query_id"), "id", "score"))
+    if not parts:
+        kind = coll.df.schema[coll.id].dataType.simpleString()
+        return coll.df.sparkSession.createDataFrame([], f"query_id long, id {kind}, score double")
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

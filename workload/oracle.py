@@ -10,7 +10,7 @@ from __future__ import annotations
 import math
 
 from workload import spark_queries as SQ
-from workload.tables import QUERY_POINT, QUERY_VECTOR
+from workload.tables import QUERY_POINT, QUERY_VECTOR, SPARSE_QUERY
 
 ORACLE: dict[str, str] = {}
 
@@ -633,6 +633,58 @@ SELECT vec_id,
             WHEN vec_id % 9 = 0 THEN 900 WHEN vec_id % 9 = 3 THEN 903 WHEN vec_id % 9 IN (2, 4, 5) THEN NULL ELSE label END AS label
 FROM embeddings WHERE vec_id % 9 <> 1 OR vec_id % 27 = 1"""
 
+# ---------------------------------------------------------------- sparse vectors of a collection, weighted batches
+
+ORACLE["sparse_idf_batch"] = f"""
+WITH post AS {_POST},
+q AS (SELECT id AS query_id, idx, CAST(val AS DOUBLE) AS qval FROM {postings_sql('benchmark', 'item_id', 'text')}),
+n AS (SELECT count(DISTINCT id) AS n FROM post),
+df AS (SELECT idx, count(DISTINCT id) AS df FROM post GROUP BY idx),
+s AS (SELECT q.query_id, p.id, round(sum(CAST(p.val AS DOUBLE) * q.qval * ln((n.n - df.df + 0.5) / (df.df + 0.5) + 1)), 6) AS score
+      FROM post p JOIN q USING (idx) JOIN df USING (idx), n GROUP BY q.query_id, p.id)
+SELECT query_id, id, score, rank FROM (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, id) AS rank FROM s) WHERE rank <= 5"""
+
+ORACLE["sparse_payload"] = f"""
+WITH q AS (SELECT unnest({SPARSE_QUERY[0]}) AS idx, unnest({SPARSE_QUERY[1]}) AS qval)
+SELECT p.id, d.source, round(sum(CAST(p.val AS DOUBLE) * q.qval), 6) AS score
+FROM {_POST} p JOIN q USING (idx) JOIN documents d ON d.doc_id = p.id WHERE d.lang = 'en'
+GROUP BY p.id, d.source ORDER BY score DESC, p.id LIMIT 10 OFFSET 2"""
+
+ORACLE["fusion_filtered"] = ORACLE["fusion_rrf"].replace("e.vec_id = f.id ORDER", "e.vec_id = f.id WHERE e.label >= 3 ORDER")
+ORACLE["search_not_finite"] = f"""
+SELECT id, label, score, unnest(['expression', 'kernel']) AS engine FROM (
+  SELECT vec_id AS id, label, round({cos(E, QV)}, 6) AS score FROM embeddings WHERE vec_id % 5 <> 0
+  ORDER BY score DESC, id LIMIT 10)"""
+
+# ---------------------------------------------------------------- a log in stages
+
+
+def _stage_sql(name: str, state: str, low: str, high: str) -> str:
+    """CTEs that fold the events of ``ev`` with low < seq <= high into a state (vec_id, embedding, label)."""
+    return f"""
+{name}_e AS (SELECT vec_id, embedding, label, NULL::BIGINT AS seq, 'base' AS op FROM {state}
+             UNION ALL SELECT * FROM ev WHERE seq > {low} AND seq <= {high}),
+{name}_f AS (SELECT * FROM {name}_e WHERE op IN ('base', 'upsert', 'delete')
+             QUALIFY row_number() OVER (PARTITION BY vec_id ORDER BY seq DESC NULLS LAST) = 1),
+{name}_p AS (SELECT e.vec_id, e.label FROM {name}_e e JOIN {name}_f f USING (vec_id)
+             WHERE e.op = 'set_payload' AND e.label IS NOT NULL AND (f.seq IS NULL OR e.seq > f.seq)
+             QUALIFY row_number() OVER (PARTITION BY e.vec_id ORDER BY e.seq DESC) = 1),
+{name} AS (SELECT f.vec_id, f.embedding, coalesce(p.label, f.label) AS label FROM {name}_f f LEFT JOIN {name}_p p USING (vec_id)
+           WHERE f.op <> 'delete')"""
+
+
+_EVENTS = ORACLE["apply_changelog"].split("UNION ALL", 1)[1].split("),\nfullrow")[0]
+ORACLE["apply_changelog_filters"] = f"""
+WITH ev(vec_id, embedding, label, seq, op) AS ({_EVENTS}),
+{_stage_sql('a', 'embeddings', '-1000000', '60')},
+a2 AS (SELECT * FROM a WHERE NOT coalesce(label >= 105 AND label < 500, false)),
+{_stage_sql('b', 'a2', '60', '120')},
+b2 AS (SELECT vec_id, embedding, CASE WHEN label = 77 THEN 1000 ELSE label END AS label FROM b),
+b3 AS (SELECT vec_id, embedding, CASE WHEN label < 2 THEN NULL ELSE label END AS label FROM b2),
+{_stage_sql('c', 'b3', '120', '1000000000')}
+SELECT * FROM c"""
+
 # ---------------------------------------------------------------- approximate search
 
 # cells by the nearest of the points 0 to 7, the three cells nearest to the query, exact inside

@@ -370,9 +370,24 @@ def q_discover_batch(spark, sf):
     return XD.discover_batch(W.embeddings(spark, sf), DISCOVER_BATCH)
 
 
+import tempfile  # noqa: E402
+import uuid  # noqa: E402
+
+from pointframe.session import checkpoint_dir, ensure_checkpoint_dir  # noqa: E402
+
+
+def _shared_folder(spark):
+    """The session's shared folder; a folder of its own only for a local master without the setting."""
+    if spark.sparkContext.master.startswith("local["):
+        ensure_checkpoint_dir(spark, tempfile.mkdtemp(prefix="pointframe-"))
+    else:
+        checkpoint_dir(spark)
+
+
 # ---------------------------------------------------------------- step 5: prefetch, fusion, sparse
 
 from pointframe.operators import sparse as SP  # noqa: E402
+from pointframe.operators import sparse_kernel as SK  # noqa: E402
 from pointframe.plans import query as PQ  # noqa: E402
 
 PREFETCH = [{"query": QV[:32], "using": "front", "limit": 30},
@@ -394,6 +409,23 @@ def q_fusion_dbsf(spark, sf):
     return PQ.query(W.multi_embeddings(spark, sf), {"prefetch": PREFETCH, "query": {"fusion": "dbsf"}, "limit": 10})
 
 
+@register("fusion_filtered")
+def q_fusion_filtered(spark, sf):
+    """The request's own filter holds for what is fused, whatever its branches found."""
+    return PQ.query(W.multi_embeddings(spark, sf), {"prefetch": PREFETCH, "query": {"fusion": "rrf"}, "limit": 10,
+                                                    "filter": {"must": [{"key": "label", "range": {"gte": 3}}]}})
+
+
+@register("search_not_finite")
+def q_search_not_finite(spark, sf):
+    """Every fifth vector has a component that is no number: no score, on either engine."""
+    e = W.embeddings(spark, sf)
+    odd = F.transform("embedding", lambda x, i: F.when((F.col("vec_id") % 5 == 0) & (i == 3), F.lit(float("nan")).cast("float")).otherwise(x))
+    coll = e.with_df(e.df.withColumn("embedding", odd))
+    one = S.search(coll, QV, limit=10, engine="expression").withColumn("engine", F.lit("expression"))
+    return one.unionByName(S.search(coll, QV, limit=10, engine="kernel").withColumn("engine", F.lit("kernel")))
+
+
 QUERY_BATCH = [
     {"query": QV, "limit": 5},
     {"query": [-x for x in QV], "limit": 3, "filter": {"must": [{"key": "label", "range": {"lt": 4}}]}},
@@ -422,26 +454,57 @@ def q_sparse_vectors(spark, sf):
     return sv.select("id", F.col("sparse.indices").alias("indices"), F.col("sparse.values").alias("values"))
 
 
+def packed_documents(spark, sf):
+    """``documents`` as packed sparse vectors, read and tokenised once into a table below the shared folder."""
+    _shared_folder(spark)
+    path = f"{checkpoint_dir(spark)}/packed-{uuid.uuid4().hex}"
+    SK.pack_text(W.load(spark, sf, "documents"), "doc_id", "text").write.parquet(path)
+    return spark.read.parquet(path)
+
+
 @register("sparse_search")
 def q_sparse_search(spark, sf):
-    return SP.sparse_search(doc_postings(spark, sf), bench_query(spark, sf), limit=10)
+    _shared_folder(spark)
+    docs = SK.pack_text(W.load(spark, sf, "documents"), "doc_id", "text")
+    query = bench_query(spark, sf).withColumn("query_id", F.lit(0))
+    return SK.sparse_topk(docs, query, 10).select("id", "score")
 
 
 @register("sparse_idf")
 def q_sparse_idf(spark, sf):
-    # N = points holding any entry, counted from the collection (no postings aggregation)
-    from pointframe.functions import text as TX
-    docs = W.load(spark, sf, "documents")
-    n = docs.filter(F.size(TX.tokens(F.col("text"), "word")) > 0).agg(F.count(F.lit(1)).alias("n")).select("n").scalar()
-    return SP.sparse_search(doc_postings(spark, sf), bench_query(spark, sf), limit=10, modifier="idf", n_points=n)
+    query = bench_query(spark, sf).withColumn("query_id", F.lit(0))
+    return SK.sparse_topk(packed_documents(spark, sf), query, 10, modifier="idf").select("id", "score")
+
+
+def item_queries(spark, sf):
+    return SP.token_counts(W.load(spark, sf, "benchmark"), "item_id", "text").select(
+        F.col("id").alias("query_id"), "idx", F.col("val").cast("double").alias("qval"))
 
 
 @register("sparse_search_batch")
 def q_sparse_search_batch(spark, sf):
-    b = W.load(spark, sf, "benchmark")
-    qs = SP.token_counts(b, "item_id", "text").select(F.col("id").alias("query_id"), "idx",
-                                                      F.col("val").cast("double").alias("qval"))
-    return SP.sparse_search_batch(doc_postings(spark, sf), qs, limit=5)
+    _shared_folder(spark)
+    docs = SK.pack_text(W.load(spark, sf, "documents"), "doc_id", "text")
+    return SK.sparse_topk(docs, item_queries(spark, sf), 5)
+
+
+@register("sparse_idf_batch")
+def q_sparse_idf_batch(spark, sf):
+    return SK.sparse_topk(packed_documents(spark, sf), item_queries(spark, sf), 5, modifier="idf")
+
+
+SPARSE_FILTER = {"must": [{"key": "lang", "match": {"value": "en"}}]}
+
+
+@register("sparse_payload")
+def q_sparse_payload(spark, sf):
+    """A collection's sparse vector, with filter and payload, through the universal query."""
+    _shared_folder(spark)
+    docs = W.load(spark, sf, "documents")
+    vec = SK.pack_text(docs, "doc_id", "text").select(F.col("id").alias("doc_id"), F.struct("indices", "values").alias("words"))
+    coll = make_collection(docs.select("doc_id", "lang", "source").join(vec, "doc_id", "left"), id="doc_id", sparse={"words": "words"})
+    return PQ.query(coll, {"query": {"indices": W.SPARSE_QUERY[0], "values": W.SPARSE_QUERY[1]}, "using": "words", "filter": SPARSE_FILTER,
+                           "limit": 10, "offset": 2, "with_payload": ["source"]})
 
 
 # ---------------------------------------------------------------- step 7: indexes, profile, shards, stats
@@ -686,6 +749,18 @@ def q_apply_changelog(spark, sf):
     return U.apply_changelog(W.embeddings(spark, sf), changelog(spark, sf)).df
 
 
+# operations that choose their points by a filter, between the events of the log
+FILTERED_OPS = [{"seq": 60, "delete": {"filter": {"must": [{"key": "label", "range": {"gte": 105, "lt": 500}}]}}},
+                {"seq": 120, "set_payload": {"payload": {"label": 1000}, "filter": {"must": [{"key": "label", "match": {"value": 77}}]}}},
+                {"seq": 120, "clear_payload": {"filter": {"must": [{"key": "label", "range": {"lt": 2}}]}}}]
+
+
+@register("apply_changelog_filters")
+def q_apply_changelog_filters(spark, sf):
+    _shared_folder(spark)
+    return U.apply_staged_changelog(W.embeddings(spark, sf), changelog(spark, sf), FILTERED_OPS).df
+
+
 # ---------------------------------------------------------------- step 8: ANN and quantization (rows-only + invariant tests)
 
 from pointframe.operators import ann as A  # noqa: E402
@@ -766,21 +841,10 @@ def q_quant_rescore(spark, sf):
 
 # ---------------------------------------------------------------- step 9: sources, snapshots, streaming
 
-import tempfile  # noqa: E402
-import uuid  # noqa: E402
-
-from pointframe.session import checkpoint_dir, ensure_checkpoint_dir  # noqa: E402
 from pointframe.sources import collection as SC  # noqa: E402
 from pointframe.sources import snapshot as SN  # noqa: E402
 from pointframe.streaming import ops as STR  # noqa: E402
 
-def _shared_folder(spark):
-    """The session's shared folder; a folder of its own only for a local master without the setting."""
-    if spark.sparkContext.master.startswith("local["):
-        ensure_checkpoint_dir(spark, tempfile.mkdtemp(prefix="pointframe-"))
-    else:
-        checkpoint_dir(spark)
-
 
 @register("validate_collection")
 def q_validate_collection(spark, sf):

@@ -19,6 +19,8 @@ TABLES = ("region nation customer supplier part orders lineitem events documents
 # fixed values: the literal query vector used by the vector queries (64 dims)
 QUERY_VECTOR = [round(math.sin(0.7 * i + 0.3), 6) for i in range(64)]
 QUERY_POINT = 7
+# fixed values: hashed words (the, of, and, in, license) and their weights
+SPARSE_QUERY = ([150749894, 146770004, 199611859, 20667390, 119043991], [1.0, 0.5, 0.5, 0.25, 3.0])
 
 
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
