@@ -327,20 +327,39 @@ def test_line_dedup_finds_one_character_edits_in_short_and_unspaced_lines(spark,
     assert gone <= want and len(want) >= 75 and len(gone) >= 0.97 * len(want)
 
 
-def test_line_shingles_of_long_lines_do_not_depend_on_chunks(monkeypatch):
+def test_line_sets_and_keys_do_not_depend_on_runs(monkeypatch):
     import pointframe.llm.line_dedup as d
-    lines = [prose(random.Random(5), 300), "abc", "日本語" * 50, "x" * 9]
-    whole = [(t[s[i]:s[i + 1]]).tolist() for _, t, s in d.shingle_runs(lines) for i in range(len(s) - 1)]
-    monkeypatch.setattr(d, "CHUNK", 20)
-    assert whole == [(t[s[i]:s[i + 1]]).tolist() for _, t, s in d.shingle_runs(lines) for i in range(len(s) - 1)]
-    assert [len(x) for x in whole] == [len({t[k:k + 5] for k in range(max(1, len(t) - 4))}) for t in lines]
-
-
-def test_toxicity_scores_do_not_depend_on_the_number_of_slots(spark):
-    rows, labels = toxic_rows(random.Random(12))
-    docs = frame(spark, [*rows, (5000, None, "s"), (5001, rows[0][1], "s"), (5002, "", "s")])
-    table = spark.createDataFrame(labels, "doc_id long, toxic int")
-    few, many = ({r.id: r.score for r in score_toxicity(docs, table, slots=n).collect()} for n in (16, 1 << 20))
-    assert len(few) == len(many) == len(rows) + 3 and few[0] == few[5001]
-    assert max(abs(few[i] - many[i]) for i in many) < 1e-6
-    assert sum((many[i] >= 0.7) == bool(t) for i, t in labels) >= 0.97 * len(labels)
+    lines = [prose(random.Random(5), 300), "abc", "日本語" * 50, "x" * 9, "a"] * 3
+    sets, keys = [x.tolist() for x in d.shingle_sets(lines)], d.band_keys(lines, 4, 3)
+    assert [len(x) for x in sets] == [len({t[k:k + 5] for k in range(max(1, len(t) - 4))}) for t in lines]
+    assert (keys[:5] == keys[5:10]).all() and len({tuple(k) for k in keys.tolist()}) == 5
+    monkeypatch.setattr(d, "CHUNK", 50)
+    monkeypatch.setattr(d, "LINES", 2)
+    assert sets == [x.tolist() for x in d.shingle_sets(lines)] and (keys == d.band_keys(lines, 4, 3)).all()
+
+
+def test_line_components_match_brute_force(spark):
+    """Every candidate pair is decided exactly: with one minimum in a band and many bands no pair of 0.8 is missed here."""
+    rng = random.Random(11)
+    base = [prose(rng, 12, 300) for _ in range(12)]
+    lines = {}
+    for k in range(240):
+        t = list(rng.choice(base))
+        for _ in range(rng.choice([0, 1, 2, 3, 5, 8])):
+            t[rng.randrange(len(t))] = rng.choice("abcxyz #")
+        lines[k] = " ".join("".join(t).split())
+    sets = {k: {t[i:i + 5] for i in range(max(1, len(t) - 4))} for k, t in lines.items()}
+    root = {k: k for k in lines}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for a in lines:
+        for b in range(a):
+            if 10 * len(sets[a] & sets[b]) >= 8 * len(sets[a] | sets[b]):
+                x, y = sorted((find(a), find(b)))
+                root[y] = x
+    gone = {r.id: r.keep_id for r in duplicate_lines(frame(spark, [(k, t, "s") for k, t in lines.items()]), bands=40, rows=1).collect()}
+    assert {k: gone.get(k, k) for k in lines} == {k: find(k) for k in lines}
