@@ -5,9 +5,7 @@
   code = round((x - lo) / (hi - lo) * 255) - 128, clipped.
 * **binary**: one sign bit per dimension packed into ``array<bigint>`` words;
   distance = Hamming (``bit_count`` of XOR).
-* **product** (Jegou, Douze and Schmid, TPAMI 2011): the vector is cut into ``m``
-  sub-vectors, each coded by a k-means centroid id (``pyspark.ml``); the query
-  builds an m x K table of partial dot products and a code is scored by lookups.
+* **product**: see ``pq.py``; each metric has its own look-up tables.
 
 ``quantized_search`` takes ``limit * oversampling`` candidates by the code score,
 then (``rescore=True``) joins them back to the original vectors - a broadcast of
@@ -20,13 +18,12 @@ from __future__ import annotations
 import math
 
 import numpy as np
-from pyspark.ml.clustering import KMeans
-from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pointframe.functions import distance as D
-from pointframe.operators.search import project, ranked, search
+from pointframe.operators import pq as PQ
+from pointframe.operators.search import filtered, payload_columns, project, ranked, search
 from pointframe.sources.collection import Collection
 
 CODE_COLUMNS = ("qcode", "bcode", "pqcode")
@@ -100,41 +97,10 @@ def hamming(code: Column, words: list[int]) -> Column:
 
 
 def build_pq(coll: Collection, m: int = 8, k: int = 16, *, using: str | None = None, seed: int = 0,
-             max_iter: int = 20, train_rows: int | None = None) -> tuple[Collection, DataFrame]:
-    """Train ``m`` sub-space codebooks of ``k`` centroids; add ``pqcode array<int>``.
-
-    Returns the coded collection and the codebook table ``sub, code, centroid``.
-    Codebooks are fitted on a seeded sample of about ``train_rows`` points; every
-    point is coded.
-    """
-    spec = coll.vector(using)
-    d = spec.size
-    if d % m:
-        raise ValueError(f"dimension {d} is not divisible by m={m}")
-    w = d // m
-    spark = coll.df.sparkSession
-    from pointframe.operators.ann import training_sample
-    df = training_sample(coll.df.filter(F.col(spec.column).isNotNull()), train_rows, None, seed)
-    books, code_cols = [], []
-    for s in range(m):
-        sub = F.slice(spec.column, s * w + 1, w).cast("array<double>")
-        model = KMeans(k=k, seed=seed + s, maxIter=max_iter, featuresCol="_f", predictionCol="_c") \
-            .fit(df.select(array_to_vector(sub).alias("_f")))
-        centers = [[float(x) for x in c] for c in model.clusterCenters()]
-        books += [(s, j, c) for j, c in enumerate(centers)]
-        # nearest centroid by squared distance, as an expression over the k centers (bounded constant)
-        dists = [D.euclid(sub, c) for c in centers]
-        code_cols.append(F.array_position(F.array(*dists), F.array_min(F.array(*dists))).cast("int") - 1)
-    coded = coll.df.withColumn("pqcode", F.array(*code_cols))
-    book_df = spark.createDataFrame(books, "sub int, code int, centroid array<double>")
-    return coll.with_df(coded), book_df
-
-
-def pq_score(code: Column, table: list[list[float]]) -> Column:
-    """Approximate dot product: sum over sub-spaces of table[s][code_s]."""
-    t = F.lit(table).cast("array<array<double>>")
-    return F.aggregate(F.transform(code, lambda c, i: F.element_at(F.element_at(t, i + 1), c + 1)),
-                       F.lit(0.0), lambda acc, x: acc + x)
+             max_iter: int = 20, train_rows: int | None = 100_000) -> tuple[Collection, DataFrame]:
+    """Trains the codebooks (``pq.train_pq``) and codes every point: the collection with ``pqcode``, and the table ``sub, code, centroid``."""
+    books = PQ.train_pq(coll, m, k, using=using, seed=seed, max_iter=max_iter, train_rows=train_rows)
+    return PQ.encode_pq(coll, books, using=using), books
 
 
 # ---------------------------------------------------------------- search with codes
@@ -142,34 +108,34 @@ def pq_score(code: Column, table: list[list[float]]) -> Column:
 
 def quantized_search(coll: Collection, vector, *, method: str, limit: int = 10, using: str | None = None,
                      oversampling: float = 2.0, rescore: bool = True, ignore: bool = False,
-                     bounds: DataFrame | None = None, codebooks: DataFrame | None = None,
-                     with_payload=True) -> DataFrame:
+                     bounds: DataFrame | None = None, codebooks: DataFrame | None = None, coarse: DataFrame | None = None,
+                     filter: dict | None = None, with_payload=True) -> DataFrame:
     """Two-stage search over codes (``method`` in scalar, binary, pq): ``id, <payload>, score``."""
     spec = coll.vector(using)
     if ignore:
-        return search(coll, vector, using=using, limit=limit, with_payload=with_payload)
+        return search(coll, vector, using=using, limit=limit, filter=filter, with_payload=with_payload)
     q = [float(x) for x in vector]
+    keep = [c for c in payload_columns(coll, with_payload) if c not in CODE_COLUMNS]
     fetch = max(limit, int(math.ceil(limit * oversampling)))
     if method == "scalar":
         lo, hi = bounds.select("lo").scalar(), bounds.select("hi").scalar()
-        df = coll.df.withColumn("_lo", lo).withColumn("_hi", hi)
+        df = filtered(coll, filter).withColumn("_lo", lo).withColumn("_hi", hi)
         approx = D.raw_score(scalar_dequantized(F.col("qcode"), F.col("_lo"), F.col("_hi")), q, spec.distance)
         higher = D.higher_is_better(spec.distance)
     elif method == "binary":
-        df = coll.df
+        df = filtered(coll, filter)
         approx = -hamming(F.col("bcode"), _query_words(q, spec.size)).cast("double")
         higher = True
     elif method == "pq":
-        # the query's m x K table is a scalar subquery: project it before the lambda uses it
-        df = coll.df.withColumn("_tab", _pq_table(codebooks, q))
-        approx = F.aggregate(F.transform(F.col("pqcode"),
-                                         lambda c, i: F.element_at(F.element_at(F.col("_tab"), i + 1), c + 1)),
-                             F.lit(0.0), lambda acc, x: acc + x)
-        higher = True
+        rows = filtered(coll, filter)
+        hits = PQ.pq_candidates(rows, coll.id, codebooks, q, spec.distance, fetch, coarse=coarse)
+        if rescore:
+            exact = rows.join(F.broadcast(hits.select(F.col("id").alias(coll.id))), coll.id, "left_semi")
+            return ranked(coll, exact, q, using=using, limit=limit, with_payload=keep)
+        payload = project(coll, coll.df, keep).join(F.broadcast(hits.limit(limit)), "id")  # at most fetch rows
+        return payload.select("id", *keep, "score").orderBy(*D.order_columns(spec.distance))
     else:
         raise ValueError("method must be scalar, binary or pq")
-    from pointframe.operators.search import payload_columns
-    keep = [c for c in payload_columns(coll, with_payload) if c not in CODE_COLUMNS]
     first = project(coll, df, keep, extra=[F.round(approx, 6).alias("score")])
     order = [F.col("score").desc_nulls_last() if higher else F.col("score").asc_nulls_last(), F.col("id").asc()]
     # NULL codes sort last; filter after the cut so the code score is computed once per row
@@ -179,17 +145,3 @@ def quantized_search(coll: Collection, vector, *, method: str, limit: int = 10,
     ids = cand.select(F.col("id").alias(coll.id))
     exact = coll.df.join(F.broadcast(ids), coll.id, "left_semi")
     return ranked(coll, exact, q, using=using, limit=limit, with_payload=keep)
-
-
-def _pq_table(codebooks: DataFrame, q: list[float]) -> Column:
-    """The query's m x K table of partial dot products, computed by Spark from the
-    codebook table (m x K rows) and returned as a scalar subquery."""
-    qarr = F.lit(q)
-    part = codebooks.select(
-        "sub", "code",
-        F.aggregate(F.transform("centroid", lambda c, i: c * F.element_at(
-            qarr, F.col("sub") * F.size("centroid") + i + 1)), F.lit(0.0), lambda a, b: a + b).alias("v"))
-    per_sub = part.groupBy("sub").agg(F.sort_array(F.collect_list(F.struct("code", "v"))).alias("_s"))
-    table = per_sub.agg(F.sort_array(F.collect_list(F.struct("sub", F.transform("_s", lambda e: e["v"]).alias("t"))))
-                        .alias("_t")).select(F.transform("_t", lambda e: e["t"]).alias("tab"))
-    return table.select("tab").scalar()

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from pointframe.operators import ann as A
 from pointframe.operators import quantize as Qz
+from pointframe.operators.kernel import score_matrix
 from pointframe.operators.search import search
 from pointframe.sources.collection import make_collection
 
@@ -110,3 +111,40 @@ def test_pq_scores_approximate_dot(clustered):
                               with_payload=False)
     exact = _ids(search(dot_coll, q, limit=10, with_payload=False))
     assert _ids(got) == exact
+
+
+@pytest.mark.parametrize("distance", ["Cosine", "Dot", "Euclid", "Manhattan"])
+@pytest.mark.parametrize("coarse", [False, True])
+def test_pq_scores_are_those_of_the_coded_vectors(spark, distance, coarse):
+    """For every metric the score of a code is the metric's score of the vector that the code stands for."""
+    rng = np.random.default_rng(3)
+    v = np.abs(rng.standard_normal((300, 8))) + 3 * rng.integers(0, 2, (300, 1))
+    rows = [(i, v[i].tolist(), int(i % 2), i % 3) for i in range(300)] + [(900, None, 0, 0), (901, [float("nan")] * 8, 0, 0), (902, [1.0], 0, 0)]
+    coll = make_collection(spark.createDataFrame(rows, "id long, vec array<double>, cell int, label int"), id="id", vectors={"": ("vec", 8, distance)})
+    cells = spark.createDataFrame([(0, [0.5] * 8), (1, [1.0] * 8)], "cell int, centroid array<double>") if coarse else None
+    books = Qz.PQ.train_pq(coll, 4, 6, seed=1, train_rows=None, max_iter=5, coarse=cells)
+    coded = Qz.PQ.encode_pq(coll, books, coarse=cells)
+    held = {r.id: r.pqcode for r in coded.df.collect()}
+    assert all(held[i] is None for i in (900, 901, 902)) and all(len(held[i]) == 4 for i in range(300))
+    c = Qz.PQ.books_of(books)
+    approx = np.stack([np.concatenate([c[s, held[i][s]] for s in range(4)]) + ((0.5 + 0.5 * (i % 2)) if coarse else 0) for i in range(300)])
+    q = np.arange(8) / 4 + 0.5
+    score = score_matrix(q[None, :], approx, distance)[0].round(6)
+    best = sorted((i for i in range(300) if i % 3 == 1), key=lambda i: (-score[i] if distance in ("Cosine", "Dot") else score[i], i))[:7]
+    got = Qz.quantized_search(coded, q.tolist(), method="pq", codebooks=books, coarse=cells, limit=7, rescore=False,
+                              filter={"must": [{"key": "label", "match": {"value": 1}}]}).collect()
+    assert [r.id for r in got] == best and [r.score for r in got] == pytest.approx([score[i] for i in best], abs=2e-6)
+
+
+def test_pq_training_lowers_the_error(clustered):
+    coll, _ = clustered[0], clustered[1]
+    rows = [r for r in coll.df.collect()]
+    x = np.stack([np.asarray(r[coll.vector().column], dtype=float) for r in rows])
+
+    def error(rounds):
+        books = Qz.PQ.books_of(Qz.PQ.train_pq(coll, 4, 8, seed=2, max_iter=rounds))
+        codes = Qz.PQ.nearest_codes(x, books)
+        width = books.shape[2]
+        return sum(((x[:, s * width:(s + 1) * width] - books[s, codes[:, s]]) ** 2).sum() for s in range(4))
+
+    assert error(8) < 0.8 * error(0)

@@ -657,6 +657,44 @@ SELECT id, label, score, unnest(['expression', 'kernel']) AS engine FROM (
   SELECT vec_id AS id, label, round({cos(E, QV)}, 6) AS score FROM embeddings WHERE vec_id % 5 <> 0
   ORDER BY score DESC, id LIMIT 10)"""
 
+# ---------------------------------------------------------------- product quantization with given codebooks
+
+
+def _pq_sql(total: str, order: str, where: str = "TRUE", limit: int = 10) -> str:
+    """Code every sub-vector by the nearest of the points 0 to 15, add up the parts of the coded vector."""
+    return f"""
+WITH p AS (SELECT vec_id, label, s, CAST(embedding[8 * s + 1:8 * s + 8] AS DOUBLE[]) AS v FROM embeddings, range(8) t(s) WHERE {where}),
+b AS (SELECT s, vec_id AS code, CAST(embedding[8 * s + 1:8 * s + 8] AS DOUBLE[]) AS c FROM embeddings, range(8) t(s) WHERE vec_id < 16),
+n AS (SELECT vec_id, label, s, c FROM p JOIN b USING (s)
+      QUALIFY row_number() OVER (PARTITION BY vec_id, s ORDER BY list_distance(v, c), code) = 1),
+q AS (SELECT s, ({QV})[8 * s + 1:8 * s + 8] AS q FROM range(8) t(s))
+SELECT vec_id AS id, label, round({total}, 6) AS score FROM n JOIN q USING (s)
+GROUP BY vec_id, label ORDER BY score {order}, id LIMIT {limit}"""
+
+
+_PQ_DOT = "sum(list_dot_product(c, q))"
+_PQ_EUCLID = "sqrt(sum(list_distance(c, q) * list_distance(c, q)))"
+ORACLE["quant_pq_dot"] = _pq_sql(_PQ_DOT, "DESC")
+ORACLE["quant_pq"] = _pq_sql(f"{_PQ_DOT} / (sqrt(sum(list_dot_product(c, c))) * sqrt({dot(QV, QV)}))", "DESC")
+ORACLE["quant_pq_euclid"] = _pq_sql(_PQ_EUCLID, "ASC")
+ORACLE["quant_pq_manhattan"] = _pq_sql("sum(" + manhattan("c", "q") + ")", "ASC")
+ORACLE["quant_pq_rescore"] = f"""
+SELECT vec_id AS id, label, round({euclid(E, QV)}, 6) AS score FROM embeddings
+WHERE vec_id IN (SELECT id FROM ({_pq_sql(_PQ_EUCLID, "ASC", "label >= 2", 30)})) ORDER BY score, id LIMIT 10"""
+
+_LO, _HI = SQ.SCALAR_BOUNDS
+_CODED = (f"list_transform({E}, lambda x: {_LO} + (least(255.0, greatest(0.0, round((x - {_LO}) * (255.0 / ({_HI} - {_LO})))))) * ({_HI} - {_LO}) / 255.0)")
+ORACLE["quant_scalar"] = f"""
+SELECT vec_id AS id, label, round({cos('c', QV)}, 6) AS score FROM (SELECT vec_id, label, {_CODED} AS c FROM embeddings)
+ORDER BY score DESC, id LIMIT 10"""
+ORACLE["quant_rescore"] = f"""
+SELECT vec_id AS id, label, round({cos(E, QV)}, 6) AS score FROM embeddings WHERE vec_id IN (
+  SELECT vec_id FROM (SELECT vec_id, {_CODED} AS c FROM embeddings) ORDER BY round({cos('c', QV)}, 6) DESC, vec_id LIMIT 30)
+ORDER BY score DESC, id LIMIT 10"""
+ORACLE["quant_binary"] = f"""
+SELECT vec_id AS id, label, -list_sum(list_transform(range(1, 65), lambda i: CASE WHEN (embedding[i] > 0) <> (({QV})[i] > 0) THEN 1.0 ELSE 0.0 END))::DOUBLE AS score
+FROM embeddings ORDER BY score DESC, id LIMIT 10"""
+
 # ---------------------------------------------------------------- a log in stages
 
 

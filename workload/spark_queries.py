@@ -811,10 +811,25 @@ def q_ann_graph_beam(spark, sf):
     return G.probe_graph(index, [QV, [-x for x in QV], QV[32:] + QV[:32]], limit=10, nprobe=4, ef=100)
 
 
-@register("quant_scalar")
-def q_quant_scalar(spark, sf):
+# fixed values: given bounds of the codes
+SCALAR_BOUNDS = (-0.35, 0.35)
+
+
+def _bounds(spark):
+    return spark.range(1).select(F.lit(SCALAR_BOUNDS[0]).alias("lo"), F.lit(SCALAR_BOUNDS[1]).alias("hi"))
+
+
+@register("quant_scalar_fitted")
+def q_quant_scalar_fitted(spark, sf):
+    """Bounds from the data; ten times the points of the result are scored exactly."""
     e = W.embeddings(spark, sf)
     b = Qz.scalar_bounds(e, 0.99)
+    return Qz.quantized_search(Qz.scalar_quantize(e, b), QV, method="scalar", limit=10, bounds=b, oversampling=10.0)
+
+
+@register("quant_scalar")
+def q_quant_scalar(spark, sf):
+    e, b = W.embeddings(spark, sf), _bounds(spark)
     return Qz.quantized_search(Qz.scalar_quantize(e, b), QV, method="scalar", limit=10, bounds=b, rescore=False)
 
 
@@ -824,17 +839,38 @@ def q_quant_binary(spark, sf):
     return Qz.quantized_search(Qz.binary_quantize(e), QV, method="binary", limit=10, rescore=False)
 
 
-@register("quant_pq")
-def q_quant_pq(spark, sf):
-    e = W.embeddings(spark, sf)
-    coded, books = Qz.build_pq(e, m=8, k=16, seed=2)
-    return Qz.quantized_search(coded, QV, method="pq", limit=10, codebooks=books, rescore=False)
+def _given_books(spark, sf, m=8, k=16):
+    """Codebooks by a rule: code j of every sub-space is that part of point j."""
+    e = W.load(spark, sf, "embeddings").filter(F.col("vec_id") < k)
+    sub = F.explode(F.sequence(F.lit(0), F.lit(m - 1))).alias("sub")
+    return e.select(sub, F.col("vec_id").cast("int").alias("code"), "embedding").select(
+        "sub", "code", F.slice("embedding", F.col("sub") * (64 // m) + 1, F.lit(64 // m)).cast("array<double>").alias("centroid"))
+
+
+def _pq(distance):
+    def q(spark, sf):
+        books = _given_books(spark, sf)
+        coded = Qz.PQ.encode_pq(W.embeddings_as(spark, sf, distance), books)
+        return Qz.quantized_search(coded, QV, method="pq", limit=10, codebooks=books, rescore=False)
+    return q
+
+
+for _distance in ("Cosine", "Dot", "Euclid", "Manhattan"):
+    register("quant_pq" if _distance == "Cosine" else f"quant_pq_{_distance.lower()}")(_pq(_distance))
+
+
+@register("quant_pq_rescore")
+def q_quant_pq_rescore(spark, sf):
+    """Codes choose 30 of the filtered points, the vectors rank them."""
+    books = _given_books(spark, sf)
+    coded = Qz.PQ.encode_pq(W.embeddings_as(spark, sf, "Euclid"), books)
+    return Qz.quantized_search(coded, QV, method="pq", limit=10, codebooks=books, oversampling=3.0,
+                               filter={"must": [{"key": "label", "range": {"gte": 2}}]})
 
 
 @register("quant_rescore")
 def q_quant_rescore(spark, sf):
-    e = W.embeddings(spark, sf)
-    b = Qz.scalar_bounds(e, 0.99)
+    e, b = W.embeddings(spark, sf), _bounds(spark)
     return Qz.quantized_search(Qz.scalar_quantize(e, b), QV, method="scalar", limit=10, bounds=b,
                                oversampling=3.0, rescore=True)
 
