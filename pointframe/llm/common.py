@@ -91,15 +91,16 @@ def _width(kind: T.DataType, c: Column) -> Column:
     return F.lit(8)
 
 
-def sized(df: DataFrame, max_rows: int = 2_000_000, max_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
-    """``df`` marked for broadcast if a count proves that it has at most ``max_rows`` rows and ``max_bytes`` in all.
-
-    Beyond that the plain frame comes back and the join shuffles; rows are the same.
-    Pass a materialized frame, or it is computed twice.
-    """
+def is_small(df: DataFrame, max_rows: int = 2_000_000, max_bytes: int = MAX_BROADCAST_BYTES) -> bool:
+    """Whether a count proves that ``df`` (materialized, or it is computed for this) has at most so many rows and bytes."""
     width = reduce(Column.__add__, [_width(f.dataType, df[f.name]) for f in df.schema.fields], F.lit(16)).cast("long")
     n, size = df.agg(F.count("*"), F.coalesce(F.sum(width), F.lit(0))).first()
-    return F.broadcast(df) if n <= max_rows and size <= max_bytes else df
+    return n <= max_rows and size <= max_bytes
+
+
+def sized(df: DataFrame, max_rows: int = 2_000_000, max_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
+    """``df`` marked for broadcast if it ``is_small``. Beyond that the plain frame comes back and the join shuffles; rows are the same."""
+    return F.broadcast(df) if is_small(df, max_rows, max_bytes) else df
 
 
 def ascii_lower(c: Column | str) -> Column:

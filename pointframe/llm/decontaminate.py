@@ -16,8 +16,9 @@ An item of fewer than ``SHORT`` words has masks of its own length: its positions
 cut into groups, and each mask ignores as many groups as substitutions are
 admitted, so whichever words are substituted, one mask ignores them all.
 
-Every position carries its window of words, cut from the text before anything is
-joined, so what moves does not grow with a text's length.
+While the seeds are few enough to broadcast, positions stay beside their text and only hits cut
+their window out of it. Beyond that positions move, and each carries its window of words, cut
+before the join, so what moves does not grow with a text's length.
 
 Defined results: null, blank and pure-punctuation texts overlap nothing. Repeated documents or
 items give one row per pair of ids; a null id is an id like others. Empty tables
@@ -32,7 +33,7 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pointframe.llm.common import materialize, pick, plain, sized
+from pointframe.llm.common import is_small, materialize, pick, plain, sized
 
 # spaced seeds (1 = compared, 0 = ignored); the first alone hits every way to substitute
 # two of thirteen words, the second also some ways to substitute three
@@ -128,8 +129,12 @@ def find_overlaps(docs: DataFrame, benchmark: DataFrame, id: str = "doc_id", tex
     table = materialize(seeds(items, general, short), "seeds")
     hashed = pick(docs, id=id, text=text).select("id", word_hashes(F.col("text")).alias("ws"))
     every = general | {k: m for own in short.values() for k, m in own.items()}
-    at = windows(hashed, every, min_words - 1, max(min_words, *map(len, every.values())))
-    hits = at.join(sized(table, max_broadcast), "key")
+    if is_small(table, max_broadcast):
+        at = hashed.select("id", "ws", F.posexplode_outer("ws").alias("pos", "w")).drop("w")
+        at = at.select("id", "ws", "pos", F.explode(_keys(F.col("ws"), F.col("pos"), every)).alias("key")).where("key is not null")
+        hits = at.join(F.broadcast(table), "key")
+    else:
+        hits = windows(hashed, every, min_words - 1, max(min_words, *map(len, every.values()))).join(table, "key")
     scored = agreement(hits.withColumn("item_words", F.size("item")), min_words, "id", "item_id", "item_words")
     width = F.least(F.lit(min_words), F.col("item_words"))
     # the threshold stands above the aggregate: inside the join's condition it would keep the join,
