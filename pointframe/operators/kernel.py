@@ -15,16 +15,18 @@ then the id. However many points tie, a task keeps k of them. The final cut is a
 from __future__ import annotations
 
 import math
+import uuid
 from decimal import ROUND_HALF_UP, Decimal
 
 import numpy as np
 import pyarrow as pa
+from pyspark.core.broadcast import Broadcast
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pointframe.functions import distance as D
 from pointframe.plans.partitioning import spread
-from pointframe.session import ship_package
+from pointframe.session import checkpoint_dir, ship_package
 
 TIE_EPS = 2e-6
 DEFAULT_MAX_BROADCAST_BYTES = 256 << 20
@@ -211,27 +213,39 @@ def knn(points: DataFrame, id_col: str, vec_col: str, queries: DataFrame, *,
                       *[F.col(c).alias(f"_m{j}") for j, c in enumerate(point_mask_cols or [])])
     if dim is None:
         dim = q.agg(F.max(F.size("qvec")).alias("d")).first()["d"] or 1
-    # at most max_rows + 1 query rows reach the driver at once; more are cut into blocks by a
-    # hash of the id, each of about two thirds of the bound
+    # at most max_rows + 1 query rows reach the driver at once
     max_rows = max(1, max_broadcast_bytes // (8 * dim))
     fetched = q.limit(max_rows + 1).toArrow()
+    n_masks = len(point_mask_cols or [])
     if fetched.num_rows <= max_rows:
-        blocks = [fetched]
-    else:
-        n = math.ceil(1.5 * q.count() / max_rows)
-        block = F.pmod(F.xxhash64("query_id"), F.lit(n))
-        blocks = (q.where(block == i).toArrow() for i in range(n))
-    cands = None
-    for table in blocks:
-        if cands is not None and not table.num_rows:
+        return _finish(_block_candidates(p, fetched, distance, n_masks, id_type)[0], distance, k_lit)
+    return _finish(_in_turn(p, q, max_rows, distance, n_masks, id_type), distance, k_lit)
+
+
+def _in_turn(p: DataFrame, q: DataFrame, max_rows: int, distance: str, n_masks: int, id_type: str) -> DataFrame:
+    """Candidates of more queries than one block holds. The queries are evaluated once, into a table by block below the shared
+    folder; each block is broadcast, its candidates are written there, and its broadcast is destroyed before the next is read.
+    Blocks go by a hash of the id, each of about two thirds of the bound."""
+    spark = p.sparkSession
+    folder = f"{checkpoint_dir(spark)}/knn-{uuid.uuid4().hex}"
+    kept = q.withColumn("_block", F.xxhash64("query_id"))
+    kept.write.parquet(f"{folder}/queries")
+    kept = spark.read.parquet(f"{folder}/queries")
+    n = math.ceil(1.5 * kept.count() / max_rows)
+    schema = None
+    for i in range(n):
+        table = kept.where(F.pmod("_block", F.lit(n)) == i).drop("_block").toArrow()
+        if not table.num_rows:
             continue
-        part = _block_candidates(p, table, distance, len(point_mask_cols or []), id_type)
-        cands = part if cands is None else cands.unionByName(part)
-    return _finish(cands, distance, k_lit)
+        part, held = _block_candidates(p, table, distance, n_masks, id_type)
+        schema = part.schema
+        part.write.parquet(f"{folder}/found/{i}")
+        held.destroy()
+    return spark.read.schema(schema).parquet(f"{folder}/found/*")
 
 
-def _block_candidates(p: DataFrame, qt: pa.Table, distance: str, n_masks: int, id_type: str) -> DataFrame:
-    """Candidates of one block of queries (at most ``max_broadcast_bytes``) from every point partition."""
+def _block_candidates(p: DataFrame, qt: pa.Table, distance: str, n_masks: int, id_type: str) -> tuple[DataFrame, Broadcast]:
+    """Candidates of one block of queries (at most ``max_broadcast_bytes``) from every point partition, and what was broadcast."""
     spark = p.sparkSession
     ship_package(spark)
     Q = _matrix(qt.column("qvec"))
@@ -298,4 +312,4 @@ def _block_candidates(p: DataFrame, qt: pa.Table, distance: str, n_masks: int, i
     qid = str(qt.schema.field("query_id").type)
     kind = "string" if "string" in qid else "int" if qid == "int32" else "long"
     # CPU-heavy scan: give it every core when the points arrive in fewer partitions
-    return spread(p).mapInArrow(run, f"query_id {kind}, id {id_type}, raw double, _k int")
+    return spread(p).mapInArrow(run, f"query_id {kind}, id {id_type}, raw double, _k int"), bc
