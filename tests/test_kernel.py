@@ -121,7 +121,7 @@ def test_ties_leave_k_candidates_per_task(spark):
     df = spark.range(20000).select(F.col("id"), F.array(F.lit(1.0), F.lit(2.0)).alias("v")).repartition(3)
     q = pa.table({"query_id": pa.array([0]), "qvec": pa.array([[1.0, 2.0]]), "_k": pa.array([10], pa.int32()),
                   "_mask": pa.array([None], pa.int32()), "_excl": pa.array([None], pa.int64())})
-    part = kernel._block_candidates(df.select("id", F.col("v").alias("pvec")), q, "Cosine", 0, "long")
+    part, _ = kernel._block_candidates(df.select("id", F.col("v").alias("pvec")), q, "Cosine", 0, "long")
     tasks = part.rdd.getNumPartitions()
     assert part.count() <= tasks * 10
 
