@@ -117,3 +117,31 @@ def test_stream_search_replay_does_not_duplicate(spark, emb, tmpdir_path):
     out = spark.read.parquet(sink)
     assert out.count() == 9
     assert out.filter(F.col("epoch") == 1).count() == 3
+
+
+def test_encoding_tells_moved_values_apart(spark):
+    def sums(rows, ddl):
+        return [SN.table_checksum(spark.createDataFrame([r], ddl)).first()["checksum"] for r in rows]
+
+    assert len(set(sums([(1, None), (None, 1), (None, None), (1, 1)], "a int, b int"))) == 4
+    assert len(set(sums([([1, 2], [3]), ([1], [2, 3]), ([], [1, 2, 3]), ([1, None], [3]), (None, [3])], "a array<int>, b array<int>"))) == 5
+    assert len(set(sums([(("x", "yz"), "w"), (("xy", "z"), "w"), (None, "w"), ((None, None), "w")], "s struct<p: string, q: string>, t string"))) == 4
+    assert len(set(sums([({"a": 1, "b": 2},), ({"a": 2, "b": 1},), ({"b": 2, "a": 1},)], "m map<string, int>"))) == 2
+    one, two = (SN.table_checksum(spark.createDataFrame([(1, 2)], ddl)).first()["checksum"] for ddl in ("a int, b int", "b int, a int"))
+    assert one != two
+
+
+def test_restore_names_the_damaged_buckets(spark, tmpdir_path):
+    import hashlib
+    path = os.path.join(tmpdir_path, "s")
+    df = spark.range(500).selectExpr("id", "id % 7 as a", "if(id % 3 = 0, null, id) as b")
+    m = SN.snapshot_write(df, path, "t", id="id").first()
+    assert m["id_column"] == "id" and len(m["root"]) == 64 and SN.damaged_buckets(spark, path).count() == 0
+    moved = df.selectExpr("id", "if(id = 33, null, a) as a", "if(id = 33, a, b) as b")  # a value moves to another column
+    bad = SN.damaged_buckets(spark, path, moved).collect()
+    assert [(r.bucket, r.n_rows == r.found_rows) for r in bad] == [(int(hashlib.md5(b"33").hexdigest()[:2], 16), True)]
+    moved.write.mode("overwrite").parquet(f"{path}/data")
+    with pytest.raises(ValueError, match=rf"damaged buckets \[{bad[0].bucket}\]"):
+        SN.snapshot_restore(spark, path)
+    tree = spark.read.parquet(f"{path}/tree").groupBy("level").count().collect()
+    assert {r.level: r["count"] for r in tree} == {0: 256, 1: 16, 2: 1}

@@ -695,6 +695,16 @@ ORACLE["quant_binary"] = f"""
 SELECT vec_id AS id, label, -list_sum(list_transform(range(1, 65), lambda i: CASE WHEN (embedding[i] > 0) <> (({QV})[i] > 0) THEN 1.0 ELSE 0.0 END))::DOUBLE AS score
 FROM embeddings ORDER BY score DESC, id LIMIT 10"""
 
+ORACLE["snapshot_roundtrip"] = "SELECT * FROM embeddings"
+# buckets: the first byte of the id's MD5
+ORACLE["snapshot_damage"] = """
+WITH r AS (
+  SELECT vec_id, 1 AS was, CASE WHEN vec_id % 101 <> 50 THEN 1 ELSE 0 END AS now,
+         vec_id % 101 = 50 OR (vec_id % 97 = 0 AND label IS NOT NULL) AS odd FROM embeddings
+  UNION ALL SELECT vec_id + 1000000, 0, 1, true FROM embeddings WHERE vec_id % 211 = 7 ),
+b AS (SELECT ('0x' || substr(md5(vec_id::VARCHAR), 1, 2))::INT AS bucket, * FROM r)
+SELECT bucket, CAST(sum(was) AS BIGINT) AS n_rows, CAST(sum(now) AS BIGINT) AS found_rows FROM b GROUP BY bucket HAVING bool_or(odd)"""
+
 # ---------------------------------------------------------------- a log in stages
 
 

@@ -906,6 +906,27 @@ def q_from_batch(spark, sf):
     return SC.from_batch(blocks)
 
 
+@register("snapshot_roundtrip")
+def q_snapshot_roundtrip(spark, sf):
+    _shared_folder(spark)
+    path = f"{checkpoint_dir(spark)}/snapshot-{uuid.uuid4().hex}"
+    SN.snapshot_write(W.embeddings(spark, sf).df, path, "embeddings", id="vec_id")
+    return SN.snapshot_restore(spark, path)
+
+
+@register("snapshot_damage")
+def q_snapshot_damage(spark, sf):
+    """The buckets that hold changed, lost or added rows, and how many rows they have."""
+    _shared_folder(spark)
+    path = f"{checkpoint_dir(spark)}/snapshot-{uuid.uuid4().hex}"
+    df = W.embeddings(spark, sf).df
+    SN.snapshot_write(df, path, "embeddings", id="vec_id")
+    v = F.col("vec_id")
+    other = df.filter(v % 101 != 50).withColumn("label", F.when(v % 97 == 0, F.lit(None)).otherwise(F.col("label")))
+    other = other.unionByName(df.filter(v % 211 == 7).withColumn("vec_id", v + 1_000_000))
+    return SN.damaged_buckets(spark, path, other)
+
+
 @register("snapshot_checksum")
 def q_snapshot_checksum(spark, sf):
     return SN.table_checksum(_emb_df(spark, sf))
