@@ -705,6 +705,10 @@ WITH r AS (
 b AS (SELECT ('0x' || substr(md5(vec_id::VARCHAR), 1, 2))::INT AS bucket, * FROM r)
 SELECT bucket, CAST(sum(was) AS BIGINT) AS n_rows, CAST(sum(now) AS BIGINT) AS found_rows FROM b GROUP BY bucket HAVING bool_or(odd)"""
 
+ORACLE["count_estimate_sketches"] = """
+SELECT l::INT AS label, t AS tagged, (SELECT count(*) FROM embeddings WHERE label = l AND (NOT t OR vec_id % 5 <> 0)) AS count, true AS near
+FROM range(4) a(l), (VALUES (true), (false)) b(t)"""
+
 # ---------------------------------------------------------------- a log in stages
 
 

@@ -879,6 +879,7 @@ def q_quant_rescore(spark, sf):
 # ---------------------------------------------------------------- step 9: sources, snapshots, streaming
 
 from pointframe.sources import collection as SC  # noqa: E402
+from pointframe.operators import sketches as SKC  # noqa: E402
 from pointframe.sources import snapshot as SN  # noqa: E402
 from pointframe.streaming import ops as STR  # noqa: E402
 
@@ -906,6 +907,24 @@ def q_from_batch(spark, sf):
     return SC.from_batch(blocks)
 
 
+@register("count_estimate_sketches")
+def q_count_estimate_sketches(spark, sf):
+    """Per label, and for pairs of a label and a tag, whether the estimate from sketches is near the exact count."""
+    _shared_folder(spark)
+    path = f"{checkpoint_dir(spark)}/sketches-{uuid.uuid4().hex}"
+    coll = W.embeddings_payload(spark, sf)
+    SKC.build_count_sketches(coll, ["label", "tags"], path, lg_k=14)
+    out = None
+    for label in range(4):
+        for tags in (None, [label, label + 1]):
+            must = [{"key": "label", "match": {"value": label}}] + ([{"key": "tags", "match": {"any": tags}}] if tags else [])
+            exact = S.count(coll, {"must": must}).select(F.lit(label).alias("label"), F.lit(bool(tags)).alias("tagged"), "count")
+            about = SKC.estimate_count(spark, path, {"must": must}).select("count").scalar()
+            row = exact.withColumn("about", about)
+            out = row if out is None else out.unionByName(row)
+    return out.select("label", "tagged", "count", (F.abs(F.col("about") - F.col("count")) <= F.greatest(F.lit(3), 0.1 * F.col("count"))).alias("near"))
+
+
 @register("snapshot_roundtrip")
 def q_snapshot_roundtrip(spark, sf):
     _shared_folder(spark)
