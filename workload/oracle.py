@@ -247,6 +247,7 @@ _PAIRS = f"""(SELECT a, b, score FROM (
   SELECT a.vec_id AS a, b.vec_id AS b, round({cos(d('a.embedding'), d('b.embedding'))}, 6) AS score
   FROM {_SAMPLE} a, {_SAMPLE} b WHERE a.vec_id < b.vec_id ORDER BY score DESC, a, b LIMIT {_M['limit']}))"""
 ORACLE["matrix_pairs"] = f"SELECT a, b, score FROM {_PAIRS}"
+ORACLE["matrix_pairs_blocked"] = ORACLE["matrix_pairs"]
 _IDS = f"(SELECT row_number() OVER (ORDER BY vec_id) - 1 AS index, vec_id AS id FROM {_SAMPLE})"
 ORACLE["matrix_ids"] = f"SELECT index, id FROM {_IDS}"
 ORACLE["matrix_offsets"] = f"""

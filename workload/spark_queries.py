@@ -287,11 +287,20 @@ MATRIX = {"sample": 200, "limit": 50, "seed": 7}
 
 @register("matrix_pairs")
 def q_matrix_pairs(spark, sf):
+    _shared_folder(spark)
     return M.matrix_pairs(W.embeddings(spark, sf), **MATRIX)
 
 
+@register("matrix_pairs_blocked")
+def q_matrix_pairs_blocked(spark, sf):
+    """The same pairs from blocks of seven points."""
+    _shared_folder(spark)
+    return M.matrix_pairs(W.embeddings(spark, sf), **MATRIX, block=7)
+
+
 @register("matrix_offsets")
 def q_matrix_offsets(spark, sf):
+    _shared_folder(spark)
     return M.matrix_offsets(W.embeddings(spark, sf), **MATRIX)
 
 
