@@ -774,7 +774,7 @@ def q_apply_changelog_filters(spark, sf):
 # ---------------------------------------------------------------- step 8: ANN and quantization (rows-only + invariant tests)
 
 from pointframe.operators import ann as A  # noqa: E402
-from pointframe.operators import graph as G  # noqa: E402
+from pointframe.operators import graph as GR  # noqa: E402
 from pointframe.operators import quantize as Qz  # noqa: E402
 
 
@@ -804,7 +804,7 @@ def _graph(spark, sf):
     _shared_folder(spark)
     e = W.embeddings(spark, sf)
     cents = e.df.filter(F.col("vec_id") < 8).select(F.col("vec_id").cast("int").alias("cell"), F.col("embedding").alias("centroid"))
-    return e, G.build_graph(e, cents, f"{checkpoint_dir(spark)}/ann-{uuid.uuid4().hex}", degree=12, rounds=3, seed=7)
+    return e, GR.build_graph(e, cents, f"{checkpoint_dir(spark)}/ann-{uuid.uuid4().hex}", degree=12, rounds=3, seed=7)
 
 
 @register("ann_graph")
@@ -818,7 +818,7 @@ def q_ann_graph(spark, sf):
 @register("ann_graph_beam")
 def q_ann_graph_beam(spark, sf):
     e, index = _graph(spark, sf)
-    return G.probe_graph(index, [QV, [-x for x in QV], QV[32:] + QV[:32]], limit=10, nprobe=4, ef=100)
+    return GR.probe_graph(index, [QV, [-x for x in QV], QV[32:] + QV[:32]], limit=10, nprobe=4, ef=100)
 
 
 # fixed values: given bounds of the codes
