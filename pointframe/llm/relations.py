@@ -14,7 +14,7 @@ holds at most (den - num) / (den + num) of both sizes together.
    difference of their differences, so whether they link is read off what sets them apart from the
    reference. These small sets get lists and an order of their own, the rarest tokens first; a token that only one
    component has counts as private. A group of near copies meets on what its members
-   changed, not on what all of them hold.
+   changed, not on what all of them hold. Parities of a difference's cells bound from below how much two sets differ.
 3. Different references. Lists are cut into blocks by size and by position, and a pair of blocks that
    cannot reach the threshold is skipped before any pair is made. What is left is paired as
    groups (one entry for all sets of a reference in a block); the references are intersected once. A
@@ -33,6 +33,9 @@ from pyspark.sql import functions as F
 from pointframe.llm.common import materialize, sized
 from pointframe.llm.components import connected_components
 
+SKETCH = 4  # longs of parities, a power of two
+STARS = 2  # rounds in which sets of one reference try a head of their lists
+
 
 def link(overlap: Column, a: Column, b: Column, num: int, den: int) -> Column:
     return (overlap * (num + den) >= (a + b) * num) & (overlap > 0)
@@ -97,6 +100,17 @@ def references(posts: DataFrame, sets: DataFrame, num: int, den: int, shared: in
     return done, materialize(member, "members")
 
 
+def parity(tokens: Column, word: int) -> Column:
+    """Word ``word`` of the parities: whether an odd number of the tokens falls into each of 64 cells. A token
+    that only one of two sets holds changes one bit of all words, so bits that differ never outnumber such tokens."""
+    def flip(acc: Column, t: Column) -> Column:
+        bit = F.call_function("shiftleft", F.lit(1).cast("long"), t.bitwiseAND(F.lit(63).cast("long")).cast("int"))
+        own = F.shiftright(t, 6).bitwiseAND(F.lit(SKETCH - 1).cast("long")) == word
+        return acc.bitwiseXOR(F.when(own, bit).otherwise(F.lit(0).cast("long")))
+
+    return F.aggregate(tokens, F.lit(0).cast("long"), flip)
+
+
 def same_reference(member: DataFrame, num: int, den: int) -> DataFrame:
     """Links (a, b) between sets of one reference and different components, at least one of them not linked to the reference.
 
@@ -104,11 +118,13 @@ def same_reference(member: DataFrame, num: int, den: int) -> DataFrame:
     """
     total, gap = num + den, den - num
     open_ = sized(materialize(member.where("not linked").select("ref").distinct(), "open"))
-    member = materialize(member.join(open_, "ref", "left_semi").withColumn("d", F.size("diff").cast("long")), "open_members")
-    rows = member.select("ref", "id", "n", "nref", "d", "linked", "comp", F.explode("diff").alias("t"))
+    words = [f"w{k}" for k in range(SKETCH)]
+    member = member.join(open_, "ref", "left_semi").withColumn("d", F.size("diff").cast("long"))
+    member = materialize(member.select("*", *[parity(F.col("diff"), k).alias(w) for k, w in enumerate(words)]), "open_members")
+    rows = member.select("ref", "id", "n", "nref", "d", "linked", "comp", *words, F.explode("diff").alias("t"))
     lists = rows.groupBy("ref", "t").agg(F.count("*").alias("c"), F.min("comp").alias("low"), F.max("comp").alias("high"))
     lists = lists.where("low != high").select("ref", "t", "c")
-    key = ["ref", "id", "n", "nref", "d", "linked", "comp"]
+    key = ["ref", "id", "n", "nref", "d", "linked", "comp", *words]
     own = rows.join(lists, ["ref", "t"]).groupBy(*key).agg(F.sort_array(F.collect_list(F.struct("c", "t"))).alias("l"))
     # reach: how many tokens of the set follow from this one on, in the order that has private ones first
     entry = own.select(*key, F.size("l").alias("s"), F.posexplode("l").alias("p", "x")).select(
@@ -118,18 +134,40 @@ def same_reference(member: DataFrame, num: int, den: int) -> DataFrame:
     # ... and of such a set all but what the sizes leave to be missing
     wide = F.col("reach") * num >= F.col("d") * num - F.col("n") * gap
     entry = materialize(entry.withColumn("half", half).where(half | (~F.col("linked") & wide)), "entries")
-    x = entry.where("half").select("ref", "t", *[F.col(c).alias(f"x_{c}") for c in ("id", "n", "d", "linked", "comp", "reach")])
-    y = entry.where("not linked").select("ref", "t", *[F.col(c).alias(f"y_{c}") for c in ("id", "n", "d", "half", "comp", "reach")])
+    sets = member.select(F.struct("ref", "id").alias("id"), F.col("d").alias("n"), F.col("diff").alias("tokens"))
+    apart = sum((F.bit_count(F.col(f"x_{w}").bitwiseXOR(F.col(f"y_{w}"))) for w in words), F.lit(0))
     need = (F.col("x_d") + F.col("y_d")) * total - gap * (F.col("x_n") + F.col("y_n"))
     once = F.col("x_linked") | (F.col("y_half") & (F.col("x_id") < F.col("y_id")))
-    met = x.join(y, ["ref", "t"]).where((F.col("x_comp") != F.col("y_comp")) & once & fits(F.col("x_n"), F.col("y_n"), num, den)
-                                       & (2 * F.least("x_reach", "y_reach") * total >= need))
-    pairs = met.select(F.struct("ref", F.col("x_id").alias("id")).alias("a"), F.struct("ref", F.col("y_id").alias("id")).alias("b"),
-                       (F.col("x_n") + F.col("y_n")).alias("sizes")).distinct()
-    pairs = materialize(pairs, "pairs")
-    found = compare(pairs.select("a", "b"), member.select(F.struct("ref", "id").alias("id"), F.col("d").alias("n"), F.col("diff").alias("tokens")))
-    found = found.join(sized(pairs), ["a", "b"]).where((F.col("na") + F.col("nb") - 2 * F.col("i")) * total <= gap * F.col("sizes"))
-    return found.select(F.col("a.id").alias("a"), F.col("b.id").alias("b"))
+    can = ((F.col("x_comp") != F.col("y_comp")) & fits(F.col("x_n"), F.col("y_n"), num, den)
+           & (2 * F.least("x_reach", "y_reach") * total >= need) & (apart * total <= gap * (F.col("x_n") + F.col("y_n"))))
+    cols = ("id", "n", "d", "linked", "half", "comp", "reach", *words)
+
+    def sides() -> tuple[DataFrame, DataFrame]:
+        return tuple(entry.where(w).select("ref", "t", *[F.col(c).alias(f"{side}_{c}") for c in cols]) for side, w in (("x", "half"), ("y", "not linked")))
+
+    def verified(pairs: DataFrame) -> DataFrame:
+        """Of pairs (ref, x_id, y_id, x_n, y_n, x_comp, y_comp) those that link."""
+        pairs = materialize(pairs.select(F.struct("ref", F.col("x_id").alias("id")).alias("a"), F.struct("ref", F.col("y_id").alias("id")).alias("b"),
+                                         (F.col("x_n") + F.col("y_n")).alias("sizes"), "x_comp", "y_comp"), "pairs")
+        found = compare(pairs.select("a", "b"), sets).join(sized(pairs), ["a", "b"])
+        return materialize(found.where((F.col("na") + F.col("nb") - 2 * F.col("i")) * total <= gap * F.col("sizes")).select(
+            F.col("a.id").alias("a"), F.col("b.id").alias("b"), "x_comp", "y_comp"), "linked")
+
+    edges = None
+    for k in range(STARS):  # most links lie inside groups: every set tries one head of its lists first, another one each round
+        x, y = sides()
+        draw = F.xxhash64(F.lit(k), "ref", "x_id")
+        heads = x.groupBy("ref", "t").agg(F.min(F.struct(draw, *[c for c in x.columns if c not in ("ref", "t")])).alias("head")).select("ref", "t", "head.*")
+        met = y.join(heads, ["ref", "t"]).where(can).groupBy("ref", "y_id", "x_id", "x_n", "y_n", "x_comp", "y_comp").agg(F.count("*").alias("v"))
+        best = met.groupBy("ref", "y_id").agg(F.max(F.struct("v", "x_id", "x_n", "y_n", "x_comp", "y_comp")).alias("m")).select("ref", "y_id", "m.*")
+        found = verified(best)
+        edges = found.select("a", "b") if edges is None else edges.unionByName(found.select("a", "b"))
+        joined = connected_components(found.select(F.col("x_comp").alias("a"), F.col("y_comp").alias("b")))
+        entry = entry.join(sized(materialize(joined.select(F.col("v").alias("comp"), "root"), "joined")), "comp", "left")
+        entry = materialize(entry.withColumn("comp", F.coalesce("root", "comp")).drop("root"), "entries")
+    x, y = sides()
+    rest = x.join(y, ["ref", "t"]).where(can & once).select("ref", "x_id", "y_id", "x_n", "y_n", "x_comp", "y_comp").distinct()
+    return edges.unionByName(verified(rest).select("a", "b"))
 
 
 def _sides(df: DataFrame, *cols: str) -> tuple[DataFrame, DataFrame]:
