@@ -20,6 +20,8 @@ def connected_components(edges: DataFrame, max_rounds: int = 200) -> DataFrame:
     """
     both = edges.select("a", "b").where("a != b").distinct()
     both = materialize(both.unionByName(both.select(F.col("b").alias("a"), F.col("a").alias("b"))), "edges")
+    if both.isEmpty():
+        return both.select(F.col("a").alias("v"), F.col("b").alias("root"))
     roots = materialize(both.groupBy(F.col("a").alias("v")).agg(F.min("b").alias("m")).select("v", F.least("v", "m").alias("root")), "roots")
     for _ in range(max_rounds):
         near = (both.join(roots.select(F.col("v").alias("b"), "root"), "b").groupBy("a").agg(F.min("root").alias("m"))

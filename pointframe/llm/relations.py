@@ -134,6 +134,8 @@ def same_reference(member: DataFrame, num: int, den: int) -> DataFrame:
     # ... and of such a set all but what the sizes leave to be missing
     wide = F.col("reach") * num >= F.col("d") * num - F.col("n") * gap
     entry = materialize(entry.withColumn("half", half).where(half | (~F.col("linked") & wide)), "entries")
+    if entry.isEmpty():
+        return member.select(F.col("id").alias("a"), F.col("id").alias("b")).limit(0)
     sets = member.select(F.struct("ref", "id").alias("id"), F.col("d").alias("n"), F.col("diff").alias("tokens"))
     apart = sum((F.bit_count(F.col(f"x_{w}").bitwiseXOR(F.col(f"y_{w}"))) for w in words), F.lit(0))
     need = (F.col("x_d") + F.col("y_d")) * total - gap * (F.col("x_n") + F.col("y_n"))
@@ -162,6 +164,8 @@ def same_reference(member: DataFrame, num: int, den: int) -> DataFrame:
         best = met.groupBy("ref", "y_id").agg(F.max(F.struct("v", "x_id", "x_n", "y_n", "x_comp", "y_comp")).alias("m")).select("ref", "y_id", "m.*")
         found = verified(best)
         edges = found.select("a", "b") if edges is None else edges.unionByName(found.select("a", "b"))
+        if found.isEmpty():
+            break
         joined = connected_components(found.select(F.col("x_comp").alias("a"), F.col("y_comp").alias("b")))
         entry = entry.join(sized(materialize(joined.select(F.col("v").alias("comp"), "root"), "joined")), "comp", "left")
         entry = materialize(entry.withColumn("comp", F.coalesce("root", "comp")).drop("root"), "entries")
@@ -219,6 +223,8 @@ def opened(rest: DataFrame, lists: DataFrame, met: DataFrame, sets: DataFrame, n
     total = num + den
     bound = F.col("i") + F.col("x_beside") + F.col("y_beside")
     more = materialize(met.where(bound * total >= (F.col("x_lo") + F.col("y_lo")) * num).select("x_ref", "y_ref", "i"), "opened")
+    if more.isEmpty():
+        return met.select(F.col("x_ref").alias("a"), F.col("y_ref").alias("b")).limit(0)
     x, y = _sides(rest, "id", "n", "reach", "comp", "ref", "beside")
     pairs = x.join(lists.join(sized(more), ["x_ref", "y_ref"]), ["h", "x_ref"]).join(y, ["h", "y_ref"]).where(
         (F.col("x_comp") != F.col("y_comp")) & fits(F.col("x_n"), F.col("y_n"), num, den)
