@@ -162,7 +162,9 @@ def run(coll: Collection, request: dict, *, lookup: dict[str, Collection] | None
             post = post.join(keep, "id", "left_semi")
         hits = above(SP.sparse_search(post, q, limit=offset + limit).offset(offset))
         cols = S.payload_columns(base, payload) + S.vector_columns(base, with_vector)
-        return (hits.join(base.df.select(F.col(base.id).alias("id"), *cols), "id") if cols else hits), D.COSINE
+        if cols:  # at most limit rows, in their order again
+            hits = hits.join(base.df.select(F.col(base.id).alias("id"), *cols), "id").orderBy(F.col("score").desc(), "id")
+        return hits, D.COSINE
     if kind == "none":
         no_threshold()
         return S.scroll(base, filter=filt, limit=limit, skip=offset, with_payload=payload, with_vector=with_vector), D.COSINE
