@@ -1,11 +1,16 @@
 """Many-query k-nearest-neighbour kernel (Q5, and the batch forms of R3, X3, M1, M2).
 
-The query side is cut into blocks of at most ``max_broadcast_bytes`` (usually one).
-Each block's matrix is broadcast in turn; each point partition is scanned through
-``mapInArrow`` (zero-copy Arrow -> NumPy), scored with one matrix operation per Arrow
-batch, and keeps its k best rows per query. Points are never exchanged (a
-round-robin ``spread`` only when the scan yields fewer partitions than cores) and
-never copied per block; at most ``tasks x queries x k`` candidate rows move.
+The query side is cut into blocks of at most ``max_broadcast_bytes`` and ``TURN_QUERIES``
+queries (usually one block). Each block's matrix is broadcast in turn; each point partition
+is scanned through ``mapInArrow`` (zero-copy Arrow -> NumPy), scored with matrix operations,
+and keeps its k best rows per query. Points are never exchanged (a round-robin ``spread``
+only when the scan yields fewer partitions than cores) and never copied per block; at most
+``tasks x queries x k`` candidate rows move.
+
+Queries that would take more than ``TURNS`` blocks are not broadcast at all: queries and
+points are dealt into cells of at most about ``CELL_ROWS`` rows a side, every cell of points
+meets every cell of queries in one group of a cogroup, and each group keeps its k best.
+A group's time and memory do not depend on the size of the input, only their number does.
 
 Every task cuts on exactly what the final cut uses: the score as Spark rounds it,
 then the id. However many points tie, a task keeps k of them. The final cut is a
@@ -32,6 +37,11 @@ TIE_EPS = 2e-6
 DEFAULT_MAX_BROADCAST_BYTES = 256 << 20
 # elements of one score matrix chunk (queries x points) held at once in a task
 SCORE_CHUNK_ELEMS = 1 << 23
+# queries of one broadcast, and how many broadcasts are made in turn at most
+TURN_QUERIES = 1 << 14
+TURNS = 8
+# rows of a cell, of points as of queries
+CELL_ROWS = 1 << 16
 
 
 # ---------------------------------------------------------------- NumPy core
@@ -132,6 +142,8 @@ class TopK:
         self.i: list[np.ndarray] = []
         self.s: list[np.ndarray] = []
         self.n = 0
+        # per query: no row whose score is worse than this by more than TIE_EPS is among the k best (worse is larger here)
+        self.bound = np.full(len(k), np.inf)
 
     def add_scores(self, S: np.ndarray, q_index: np.ndarray, ids: np.ndarray,
                    mask: np.ndarray | None = None) -> None:
@@ -140,23 +152,25 @@ class TopK:
         if m == 0 or b == 0:
             return
         kmax = int(self.k[q_index].max())
-        valid = ~np.isnan(S)
+        key = -S if self.higher else S
+        valid = key <= (self.bound[q_index] + TIE_EPS)[:, None]  # false for NaN
         if mask is not None:
             valid &= mask
-        if b > kmax:
+        if b > kmax and np.count_nonzero(valid) > 2 * m * kmax:
             # a cheap superset first: whatever could round to the k-th best
-            key = np.where(valid, -S if self.higher else S, np.inf)
-            kth = np.partition(key, kmax - 1, axis=1)[:, kmax - 1]
+            kth = np.partition(np.where(valid, key, np.inf), kmax - 1, axis=1)[:, kmax - 1]
             valid &= key <= (kth[:, None] + TIE_EPS)
+            self.bound[q_index] = np.minimum(self.bound[q_index], kth)
         r, c = np.nonzero(valid)
-        score = round_half_up(S[r, c])
-        q = q_index[r].astype(np.int64)
-        keep = _select(q, ids[c], score, self.k, self.higher)
+        self._add(q_index[r].astype(np.int64), ids[c], round_half_up(S[r, c]), kmax)
+
+    def _add(self, q: np.ndarray, ids: np.ndarray, score: np.ndarray, kmax: int) -> None:
+        keep = _select(q, ids, score, self.k, self.higher)
         self.q.append(q[keep])
-        self.i.append(ids[c][keep])
+        self.i.append(ids[keep])
         self.s.append(score[keep])
         self.n += len(keep)
-        if self.n > 4 * max(1, len(self.k)) * max(1, kmax) + 100_000:
+        if self.n > 3 * max(1, len(self.k)) * max(1, kmax) + 100_000:
             self.compact()
 
     def compact(self) -> None:
@@ -166,6 +180,11 @@ class TopK:
         keep = _select(q, i, s, self.k, self.higher)
         self.q, self.i, self.s = [q[keep]], [i[keep]], [s[keep]]
         self.n = len(keep)
+        # rows come query by query, the best first: where there are k the last one is the bound
+        held = np.bincount(self.q[0], minlength=len(self.k))
+        full = (held >= self.k) & (held > 0)
+        last = self.s[0][np.cumsum(held)[full] - 1]
+        self.bound[full] = np.minimum(self.bound[full], -last if self.higher else last)
 
     def result(self):
         self.compact()
@@ -214,24 +233,35 @@ def knn(points: DataFrame, id_col: str, vec_col: str, queries: DataFrame, *,
     if dim is None:
         dim = q.agg(F.max(F.size("qvec")).alias("d")).first()["d"] or 1
     # at most max_rows + 1 query rows reach the driver at once
-    max_rows = max(1, max_broadcast_bytes // (8 * dim))
+    max_rows = max(1, min(max_broadcast_bytes // (8 * dim), TURN_QUERIES))
     fetched = q.limit(max_rows + 1).toArrow()
     n_masks = len(point_mask_cols or [])
     if fetched.num_rows <= max_rows:
         return _finish(_block_candidates(p, fetched, distance, n_masks, id_type)[0], distance, k_lit)
-    return _finish(_in_turn(p, q, max_rows, distance, n_masks, id_type), distance, k_lit)
+    return _finish(_in_blocks(p, q, max_rows, distance, n_masks, id_type, dim), distance, k_lit)
 
 
-def _in_turn(p: DataFrame, q: DataFrame, max_rows: int, distance: str, n_masks: int, id_type: str) -> DataFrame:
-    """Candidates of more queries than one block holds. The queries are evaluated once, into a table by block below the shared
-    folder; each block is broadcast, its candidates are written there, and its broadcast is destroyed before the next is read.
-    Blocks go by a hash of the id, each of about two thirds of the bound."""
+def _in_blocks(p: DataFrame, q: DataFrame, max_rows: int, distance: str, n_masks: int, id_type: str, dim: int) -> DataFrame:
+    """Candidates of more queries than one block holds. The queries are evaluated once, into a table below the shared folder; few
+    blocks are broadcast in turn, many meet the points in cells. The candidates are written below the shared folder either way."""
     spark = p.sparkSession
     folder = f"{checkpoint_dir(spark)}/knn-{uuid.uuid4().hex}"
     kept = q.withColumn("_block", F.xxhash64("query_id"))
     kept.write.parquet(f"{folder}/queries")
-    kept = spark.read.parquet(f"{folder}/queries")
-    n = math.ceil(1.5 * kept.count() / max_rows)
+    kept = spark.read.schema(kept.schema).parquet(f"{folder}/queries")
+    count = kept.count()
+    n = math.ceil(1.5 * count / max_rows)
+    if n > TURNS:
+        part = _cells(p, kept.drop("_block"), count, distance, n_masks, id_type, dim)
+        part.write.parquet(f"{folder}/found/0")
+        return spark.read.schema(part.schema).parquet(f"{folder}/found/*")
+    return _in_turn(p, kept, n, folder, distance, n_masks, id_type)
+
+
+def _in_turn(p: DataFrame, kept: DataFrame, n: int, folder: str, distance: str, n_masks: int, id_type: str) -> DataFrame:
+    """Each block of queries is broadcast, its candidates are written, and its broadcast is destroyed before the next is read.
+    Blocks go by a hash of the id, each of about two thirds of the bound."""
+    spark = p.sparkSession
     schema = None
     for i in range(n):
         table = kept.where(F.pmod("_block", F.lit(n)) == i).drop("_block").toArrow()
@@ -244,70 +274,109 @@ def _in_turn(p: DataFrame, q: DataFrame, max_rows: int, distance: str, n_masks:
     return spark.read.schema(schema).parquet(f"{folder}/found/*")
 
 
-def _block_candidates(p: DataFrame, qt: pa.Table, distance: str, n_masks: int, id_type: str) -> tuple[DataFrame, Broadcast]:
-    """Candidates of one block of queries (at most ``max_broadcast_bytes``) from every point partition, and what was broadcast."""
+def _cells(p: DataFrame, q: DataFrame, count: int, distance: str, n_masks: int, id_type: str, dim: int) -> DataFrame:
+    """Candidates of every group of a cell of points and a cell of queries, dealt by hashes of whole rows."""
     spark = p.sparkSession
     ship_package(spark)
-    Q = _matrix(qt.column("qvec"))
-    meta = {
+    rows = max(1, min(CELL_ROWS, (CELL_ROWS << 9) // (8 * dim)))
+    across = max(1, math.ceil(count / rows))
+    down = max(1, math.ceil(p.count() / rows), math.ceil(2 * spark.sparkContext.defaultParallelism / across))
+    tasks = 4 * across * down  # so that few groups share a task
+    where = lambda n, *c: F.pmod(F.xxhash64(*c), F.lit(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    points = p.withColumn("_x", where(down, "id", "pvec")).withColumn("_y", every(across)).repartition(tasks, "_x", "_y")
+    queries = q.withColumn("_y", where(across, "query_id", "qvec")).withColumn("_x", every(down)).repartition(tasks, "_x", "_y")
+    names, kind = ["query_id", "id", "raw", "_k"], _query_kind(q)
+
+    def group(left: pa.Table, right: pa.Table) -> pa.Table:
+        Q, meta = _query_block(right)
+        found = list(_scan(left.to_batches(), Q, meta, distance, n_masks)) if len(Q) else []
+        if not found:
+            none = pa.array([], pa.string()), pa.array([], pa.int64())
+            return pa.table([none[0] if kind == "string" else none[1].cast(pa.int32()) if kind == "int" else none[1],
+                             none[0] if id_type == "string" else none[1], pa.array([], pa.float64()), pa.array([], pa.int32())], names=names)
+        return pa.Table.from_batches(found)
+
+    pairs = points.groupBy("_x", "_y").cogroup(queries.groupBy("_x", "_y"))
+    return pairs.applyInArrow(group, f"query_id {kind}, id {id_type}, raw double, _k int")
+
+
+def _query_kind(q: DataFrame) -> str:
+    kind = q.schema["query_id"].dataType.simpleString()
+    return kind if kind in ("string", "int") else "long"
+
+
+def _query_block(qt: pa.Table) -> tuple[np.ndarray, dict]:
+    """The matrix of a block of queries, and their ids, limits, filters and excluded points."""
+    return _matrix(qt.column("qvec")), {
         "qid": qt.column("query_id").combine_chunks(),
         "k": qt.column("_k").to_numpy(zero_copy_only=False).astype(np.int64),
         "mask": qt.column("_mask").to_pandas().fillna(-1).to_numpy().astype(np.int64),
         "excl": qt.column("_excl").to_pylist(),
     }
-    bc = spark.sparkContext.broadcast((Q, meta))
-    higher = D.higher_is_better(distance)
 
-    def run(batches):
-        Qm, m = bc.value
-        nq = Qm.shape[0]
-        top = TopK(m["k"], higher)
-        q_all = np.arange(nq)
-        any_mask = (m["mask"] >= 0).any()
-        excl = {}  # point id -> queries that leave it out
-        for i, x in enumerate(m["excl"]):
-            if x is not None:
-                excl.setdefault(x, []).append(i)
-        for batch in batches:
+
+def _scan(batches, Qm: np.ndarray, m: dict, distance: str, n_masks: int):
+    """The k best points of the batches for each query of a block, as one batch (none if there are none)."""
+    nq = Qm.shape[0]
+    top = TopK(m["k"], D.higher_is_better(distance))
+    q_all = np.arange(nq)
+    any_mask = (m["mask"] >= 0).any()
+    excl = {}  # point id -> queries that leave it out
+    for i, x in enumerate(m["excl"]):
+        if x is not None:
+            excl.setdefault(x, []).append(i)
+    for batch in batches:
+        if batch.num_rows == 0:
+            continue
+        pv = batch.column("pvec")
+        ok = usable_rows(pv, Qm.shape[1])
+        ids = id_array(batch.column("id"))
+        if not ok.all():
+            batch = batch.filter(pa.array(ok))
+            pv, ids = batch.column("pvec"), ids[ok]
             if batch.num_rows == 0:
                 continue
-            pv = batch.column("pvec")
-            ok = usable_rows(pv, Qm.shape[1])
-            ids = id_array(batch.column("id"))
-            if not ok.all():
-                batch = batch.filter(pa.array(ok))
-                pv, ids = batch.column("pvec"), ids[ok]
-                if batch.num_rows == 0:
-                    continue
-            P = _matrix(pv)
-            masks = None
-            if n_masks:
-                masks = np.stack([np.asarray(batch.column(f"_m{j}").fill_null(False).to_numpy(zero_copy_only=False),
-                                             dtype=bool) for j in range(n_masks)])
-            out_q = out_p = None
-            if excl:
-                cells = [(i, j) for j, x in enumerate(ids.tolist()) if x in excl for i in excl[x]]
-                out_q, out_p = (np.array(c, dtype=np.int64) for c in zip(*cells, strict=True)) if cells else (None, None)
-            step = max(1, SCORE_CHUNK_ELEMS // max(1, P.shape[0]))
-            for s in range(0, nq, step):
-                qi = q_all[s:s + step]
-                S = score_matrix(Qm[qi], P, distance)
-                mk = None
-                if any_mask:
-                    sel = m["mask"][qi]
-                    mk = np.ones(S.shape, dtype=bool)
-                    has = sel >= 0
-                    mk[has] = masks[sel[has]]
-                if out_q is not None:
-                    here = (out_q >= s) & (out_q < s + len(qi))
-                    mk = np.ones(S.shape, dtype=bool) if mk is None else mk
+        P = _matrix(pv)
+        masks = None
+        if n_masks:
+            masks = np.stack([np.asarray(batch.column(f"_m{j}").fill_null(False).to_numpy(zero_copy_only=False),
+                                         dtype=bool) for j in range(n_masks)])
+        out_q = out_p = None
+        if excl:
+            cells = [(i, j) for j, x in enumerate(ids.tolist()) if x in excl for i in excl[x]]
+            out_q, out_p = (np.array(c, dtype=np.int64) for c in zip(*cells, strict=True)) if cells else (None, None)
+        step = max(1, SCORE_CHUNK_ELEMS // max(1, P.shape[0]))
+        for s in range(0, nq, step):
+            qi = q_all[s:s + step]
+            mk = None
+            if any_mask:
+                sel = m["mask"][qi]
+                mk = np.ones((len(qi), len(P)), dtype=bool)
+                has = sel >= 0
+                mk[has] = masks[sel[has]]
+            if out_q is not None:
+                here = (out_q >= s) & (out_q < s + len(qi))
+                if here.any():
+                    mk = np.ones((len(qi), len(P)), dtype=bool) if mk is None else mk
                     mk[out_q[here] - s, out_p[here]] = False
-                top.add_scores(S, qi, ids, mk)
-        qi, ids, score = top.result()
-        if len(qi):
-            yield pa.RecordBatch.from_arrays(
-                [m["qid"].take(pa.array(qi)), arrow_ids(ids), pa.array(score), pa.array(m["k"][qi].astype(np.int32))],
-                names=["query_id", "id", "raw", "_k"])
+            top.add_scores(score_matrix(Qm[qi], P, distance), qi, ids, mk)
+    qi, ids, score = top.result()
+    if len(qi):
+        yield pa.RecordBatch.from_arrays(
+            [m["qid"].take(pa.array(qi)), arrow_ids(ids), pa.array(score), pa.array(m["k"][qi].astype(np.int32))],
+            names=["query_id", "id", "raw", "_k"])
+
+
+def _block_candidates(p: DataFrame, qt: pa.Table, distance: str, n_masks: int, id_type: str) -> tuple[DataFrame, Broadcast]:
+    """Candidates of one block of queries (at most ``max_broadcast_bytes``) from every point partition, and what was broadcast."""
+    spark = p.sparkSession
+    ship_package(spark)
+    bc = spark.sparkContext.broadcast(_query_block(qt))
+
+    def run(batches):
+        Qm, m = bc.value
+        yield from _scan(batches, Qm, m, distance, n_masks)
 
     qid = str(qt.schema.field("query_id").type)
     kind = "string" if "string" in qid else "int" if qid == "int32" else "long"

@@ -252,3 +252,23 @@ def test_query_blocks_are_broadcast_in_turn(spark, emb, monkeypatch):
     assert len(made) >= 4 and most[0] == 1 and not alive
     monkeypatch.undo()
     assert blocked == _rows(knn_join(emb, q, k=4))
+
+
+@pytest.mark.parametrize("distance", ["Cosine", "Euclid", "Manhattan"])
+def test_many_blocks_meet_in_cells(spark, monkeypatch, distance):
+    """More blocks than are broadcast in turn: cells of points and queries, filters, limits and left-out points included."""
+    rng = np.random.default_rng(4)
+    vecs = rng.normal(size=(90, 6)).round(1)
+    rows = [(f"p{i % 80:02d}", None if i == 7 else [float(x) for x in vecs[i % 70]], i % 3 == 0) for i in range(90)]
+    points = spark.createDataFrame(rows, "id string, v array<float>, odd boolean").repartition(3)
+    queries = spark.createDataFrame([(i % 40, [float(x) for x in vecs[i]], 1 + i % 4, 0 if i % 2 else None, f"p{i:02d}") for i in range(45)] + [(None, [0.5] * 6, 2, None, None)],
+                                    "query_id int, vector array<double>, lim int, f int, self string")
+    monkeypatch.setattr(kernel, "_in_turn", lambda *a: pytest.fail("broadcast"))
+    call = lambda size: kernel.knn(points, "id", "v", queries, k="lim", distance=distance, point_mask_cols=["odd"], query_mask_col="f",
+                                   exclude_col="self", dim=6, max_broadcast_bytes=size)
+    want = call(1 << 20)
+    monkeypatch.setattr(kernel, "CELL_ROWS", 20)
+    got = call(2 * 8 * 6)
+    assert got.schema == want.schema
+    key = lambda rows: sorted(map(str, map(tuple, rows)))
+    assert key(got.collect()) == key(want.collect()) and want.count() > 60
