@@ -164,6 +164,44 @@ class TopK:
         r, c = np.nonzero(valid)
         self._add(q_index[r].astype(np.int64), ids[c], round_half_up(S[r, c]), kmax)
 
+    def add_euclid(self, Q: np.ndarray, P: np.ndarray, q_index: np.ndarray, ids: np.ndarray, q_sq: np.ndarray, p_sq: np.ndarray,
+                   mask: np.ndarray | None = None) -> None:
+        """Add the distances of a block of queries and points with the squared lengths ``q_sq`` and ``p_sq``. Products of matrices only
+        bound the squared distances from below; of pairs that could be among the k best the distance comes from the differences."""
+        m, b = len(Q), len(P)
+        if m == 0 or b == 0:
+            return
+        kmax = int(self.k[q_index].max())
+        loss = 4 * (P.shape[1] + 8) * np.finfo(np.float64).eps  # a product is off by less than this part of q_sq + p_sq
+        with np.errstate(invalid="ignore", over="ignore"):
+            low = (-2.0 * Q) @ P.T
+            low += (1 - loss) * p_sq  # and (1 - loss) * q_sq, which stands on the other side
+            most = float(q_sq.max()) + float(p_sq.max())
+            if not most < 1e300:  # also NaN: squares that are no bound
+                low[~np.isfinite(low) | ~(q_sq[:, None] + p_sq < 1e300)] = -np.inf
+
+            def within() -> np.ndarray:
+                limit = np.square(self.bound[q_index] + TIE_EPS) * (1 + 1e-12)
+                return low <= np.where(limit < 1e300, limit - (1 - loss) * q_sq, np.inf)[:, None]
+
+            valid = within()
+            if mask is not None:
+                valid &= mask
+            if most < 1e300 and b > kmax and np.count_nonzero(valid) > 2 * m * kmax:
+                kth = np.partition(np.where(valid, low, np.inf), kmax - 1, axis=1)[:, kmax - 1]
+                kth += (1 - loss) * q_sq + 2 * loss * (q_sq + p_sq.max())  # the k smallest bounds belong to distances of at most this
+                self.bound[q_index] = np.minimum(self.bound[q_index], np.sqrt(np.maximum(kth, 0)))
+                valid &= within()
+        r, c = np.nonzero(valid)
+        step = max(1, SCORE_CHUNK_ELEMS // P.shape[1])
+        for s in range(0, len(r), step):
+            rs, cs = r[s:s + step], c[s:s + step]
+            with np.errstate(invalid="ignore", over="ignore"):
+                diff = Q[rs] - P[cs]
+                dist = np.sqrt(np.einsum("ij,ij->i", diff, diff))
+            known = ~np.isnan(dist)
+            self._add(q_index[rs[known]].astype(np.int64), ids[cs[known]], round_half_up(dist[known]), kmax)
+
     def _add(self, q: np.ndarray, ids: np.ndarray, score: np.ndarray, kmax: int) -> None:
         keep = _select(q, ids, score, self.k, self.higher)
         self.q.append(q[keep])
@@ -320,6 +358,8 @@ def _scan(batches, Qm: np.ndarray, m: dict, distance: str, n_masks: int):
     """The k best points of the batches for each query of a block, as one batch (none if there are none)."""
     nq = Qm.shape[0]
     top = TopK(m["k"], D.higher_is_better(distance))
+    euclid = distance == D.EUCLID
+    q_sq = np.einsum("ij,ij->i", Qm, Qm) if euclid else None
     q_all = np.arange(nq)
     any_mask = (m["mask"] >= 0).any()
     excl = {}  # point id -> queries that leave it out
@@ -338,6 +378,7 @@ def _scan(batches, Qm: np.ndarray, m: dict, distance: str, n_masks: int):
             if batch.num_rows == 0:
                 continue
         P = _matrix(pv)
+        p_sq = np.einsum("ij,ij->i", P, P) if euclid else None
         masks = None
         if n_masks:
             masks = np.stack([np.asarray(batch.column(f"_m{j}").fill_null(False).to_numpy(zero_copy_only=False),
@@ -360,7 +401,10 @@ def _scan(batches, Qm: np.ndarray, m: dict, distance: str, n_masks: int):
                 if here.any():
                     mk = np.ones((len(qi), len(P)), dtype=bool) if mk is None else mk
                     mk[out_q[here] - s, out_p[here]] = False
-            top.add_scores(score_matrix(Qm[qi], P, distance), qi, ids, mk)
+            if euclid:
+                top.add_euclid(Qm[qi], P, qi, ids, q_sq[qi], p_sq, mk)
+            else:
+                top.add_scores(score_matrix(Qm[qi], P, distance), qi, ids, mk)
     qi, ids, score = top.result()
     if len(qi):
         yield pa.RecordBatch.from_arrays(

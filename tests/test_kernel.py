@@ -272,3 +272,20 @@ def test_many_blocks_meet_in_cells(spark, monkeypatch, distance):
     assert got.schema == want.schema
     key = lambda rows: sorted(map(str, map(tuple, rows)))
     assert key(got.collect()) == key(want.collect()) and want.count() > 60
+
+
+def test_euclid_by_bounds_is_the_plain_cut():
+    rng = np.random.default_rng(5)
+    for scale in (1e-3, 1.0, 1e5):
+        Q = rng.normal(size=(30, 8)) * scale
+        P = np.vstack([Q, Q + 1e-7 * scale, Q[:5].round(3), rng.normal(size=(900, 8)) * scale])
+        P[3], P[4], P[5] = np.nan, np.inf, 1e200
+        ids = rng.permutation(len(P)).astype(np.int64)
+        fast, plain = (kernel.TopK(np.full(30, 6), False) for _ in range(2))
+        with np.errstate(all="ignore"):
+            for a in range(0, len(P), 200):
+                part = P[a:a + 200]
+                fast.add_euclid(Q, part, np.arange(30), ids[a:a + 200], (Q * Q).sum(1), (part * part).sum(1))
+                plain.add_scores(kernel.score_matrix(Q, part, "Euclid"), np.arange(30), ids[a:a + 200])
+                fast.compact()
+        assert [x.tolist() for x in fast.result()] == [x.tolist() for x in plain.result()]
