@@ -36,7 +36,9 @@ from pointframe.session import checkpoint_dir, ship_package
 TIE_EPS = 2e-6
 DEFAULT_MAX_BROADCAST_BYTES = 256 << 20
 # elements of one score matrix chunk (queries x points) held at once in a task
-SCORE_CHUNK_ELEMS = 1 << 23
+SCORE_CHUNK_ELEMS = 1 << 20
+# points scored at once
+POINT_ROWS = 1 << 13
 # queries of one broadcast, and how many broadcasts are made in turn at most
 TURN_QUERIES = 1 << 14
 TURNS = 8
@@ -366,9 +368,7 @@ def _scan(batches, Qm: np.ndarray, m: dict, distance: str, n_masks: int):
     for i, x in enumerate(m["excl"]):
         if x is not None:
             excl.setdefault(x, []).append(i)
-    for batch in batches:
-        if batch.num_rows == 0:
-            continue
+    for batch in (b.slice(at, POINT_ROWS) for b in batches for at in range(0, b.num_rows, POINT_ROWS)):
         pv = batch.column("pvec")
         ok = usable_rows(pv, Qm.shape[1])
         ids = id_array(batch.column("id"))

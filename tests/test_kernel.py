@@ -289,3 +289,16 @@ def test_euclid_by_bounds_is_the_plain_cut():
                 plain.add_scores(kernel.score_matrix(Q, part, "Euclid"), np.arange(30), ids[a:a + 200])
                 fast.compact()
         assert [x.tolist() for x in fast.result()] == [x.tolist() for x in plain.result()]
+
+
+def test_a_task_scores_little_at_once():
+    n = 20_000
+    ids = np.arange(n)
+    batch = pa.RecordBatch.from_pydict({"id": ids, "pvec": pa.array([[float(i % 7), 1.0] for i in range(n)], pa.list_(pa.float32()))})
+    m = {"qid": pa.array(np.arange(600)), "k": np.full(600, 3), "mask": np.full(600, -1), "excl": [None] * 600}
+    import tracemalloc
+    tracemalloc.start()
+    out = list(kernel._scan([batch], np.ones((600, 2)), m, "Cosine", 0))
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert out[0].num_rows == 1800 and most < 96 << 20
