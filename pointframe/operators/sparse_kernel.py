@@ -38,6 +38,18 @@ from pointframe.session import checkpoint_dir, ship_package
 
 BLOCK = 128
 MAX_BROADCAST_BYTES = 64 << 20
+# words or entries that a task looks at together
+ENTRIES = 1 << 18
+
+
+def _pieces(b: pa.RecordBatch, column: str, entries: int) -> Iterator[pa.RecordBatch]:
+    """Runs of rows of a batch whose lists hold about ``entries`` values at most (a longer list is a run of its own)."""
+    ends = b.column(column).offsets.to_numpy()
+    at = 0
+    while at < b.num_rows:
+        end = max(at + 1, int(np.searchsorted(ends, ends[at] + entries, side="right")) - 1)
+        yield b.slice(at, end - at)
+        at = end
 
 
 def pack_text(df: DataFrame, id_col: str, text_col: str, tokenizer: str = "word") -> DataFrame:
@@ -47,7 +59,7 @@ def pack_text(df: DataFrame, id_col: str, text_col: str, tokenizer: str = "word"
     ship_package(df.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in (x for whole in batches for x in _pieces(whole, "t", ENTRIES)):
             column = b.column("t")
             ends = column.offsets.to_numpy() - column.offsets[0].as_py()
             words = column.flatten().dictionary_encode()
@@ -141,9 +153,7 @@ def _cut(ids: pa.Array, score: np.ndarray, k: int) -> tuple[pa.Array, np.ndarray
 def _task(queries: _Queries, k: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         best: dict[int, tuple[pa.Array, np.ndarray]] = {}
-        kind = None
-        for b in batches:
-            kind = b.schema.field("id").type
+        for b in (x for whole in batches for x in _pieces(whole, "indices", ENTRIES)):
             column = b.column("indices")
             starts = column.offsets.to_numpy() - column.offsets[0].as_py()
             posts = Postings(starts, column.flatten().to_numpy(zero_copy_only=False), b.column("values").flatten().to_numpy(zero_copy_only=False), queries.terms)

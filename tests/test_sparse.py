@@ -114,3 +114,21 @@ def test_options_are_honoured_or_refused(spark, coll):
     postings = spark.createDataFrame([(3, 5, 1.0), (4, 5, 2.0)], "id long, idx int, val double")
     got = query(coll, {"query": {"indices": [5], "values": [1.0]}, "with_payload": ["label"]}, sparse_postings=postings).collect()
     assert {(r.id, r.score, r.label) for r in got} == {(3, 1.0, 1), (4, 2.0, 0)}
+
+
+def test_a_task_looks_at_few_entries_at_once(monkeypatch):
+    """Large batches are taken in pieces: what a task holds does not depend on the rows or lengths of a batch; the hits do not change."""
+    import pyarrow as pa
+
+    from pointframe.operators import sparse_kernel as SK
+    rng = np.random.default_rng(3)
+    rows = [sorted(rng.choice(50, size=rng.integers(0, 30), replace=False).tolist()) for _ in range(2000)]
+    batch = pa.RecordBatch.from_pydict({"id": pa.array(np.arange(2000)), "indices": pa.array(rows, pa.list_(pa.int32())),
+                                        "values": pa.array([[1.0 + i % 3 for i in r] for r in rows], pa.list_(pa.float32()))}).slice(100)
+    queries = SK._Queries(np.array([0, 0, 1]), np.array([3, 7, 40]), np.array([1.0, 0.5, 2.0]))
+    whole = [b.to_pydict() for b in SK._task(queries, 5)([batch])]
+    seen, make = [], SK.Postings
+    monkeypatch.setattr(SK, "Postings", lambda starts, idx, *a: (seen.append(len(idx)), make(starts, idx, *a))[1])
+    monkeypatch.setattr(SK, "ENTRIES", 200, raising=False)
+    assert [b.to_pydict() for b in SK._task(queries, 5)([batch])] == whole
+    assert max(seen) <= 200 and sum(seen) == sum(map(len, rows[100:]))
