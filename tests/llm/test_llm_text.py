@@ -363,3 +363,20 @@ def test_line_components_match_brute_force(spark):
                 root[y] = x
     gone = {r.id: r.keep_id for r in duplicate_lines(frame(spark, [(k, t, "s") for k, t in lines.items()]), bands=40, rows=1).collect()}
     assert {k: gone.get(k, k) for k in lines} == {k: find(k) for k in lines}
+
+
+def test_line_sets_are_stored_by_a_dictionary(spark):
+    """Hashes that many lines share take a place in a dictionary each time, also when there are more of them than Parquet's usual dictionary holds."""
+    import os
+
+    from pyspark.sql import functions as F
+
+    from pointframe.llm.common import materialize
+    from pointframe.llm.line_dedup import SETS_AS
+    # skewed as the shingles of texts are: a few are everywhere, most come once or twice
+    draw = lambda k: F.floor(600_000 * F.pow(F.pmod(F.xxhash64("id", k), F.lit(1 << 20)) / (1 << 20), 6.0))
+    sets = spark.range(0, 20_000, 1, 1).select("id", F.transform(F.sequence(F.lit(0), F.lit(59)), lambda k: F.xxhash64(draw(k))).alias("tokens"))
+    size = lambda t: sum(os.path.getsize(f.removeprefix("file://")) for f in t.inputFiles())
+    usual, small = materialize(sets, "sets"), materialize(sets, "sets", **SETS_AS)
+    assert size(small) < 0.75 * size(usual)
+    assert small.exceptAll(sets).isEmpty() and small.count() == 20_000
