@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pointframe.llm.common import materialize, pick, plain, sized
+from pointframe.llm.common import materialize, pick, plain, scratch, sized
 from pointframe.llm.components import connected_components
 from pointframe.llm.relations import links
 from pointframe.session import ship_package
@@ -218,18 +218,33 @@ class JaccardJoin:
 
     def components(self) -> DataFrame:
         """Per row: id, n, component."""
-        rows = materialize(self.sizes(), "sizes")
-        classes = materialize(rows.where("n > 0 and id is not null").groupBy("n", "d1", "d2").agg(
-            F.min("id").alias("rep")), "classes")
-        members = rows.where("id is not null").drop("prefix").join(classes, ["n", "d1", "d2"])
-        same = materialize(members.where("id != rep").select(F.col("id").alias("a"), F.col("rep").alias("b")).distinct(), "same")
-        reps = rows.join(classes, (rows["n"] == classes["n"]) & (rows["d1"] == classes["d1"]) & (rows["d2"] == classes["d2"])
-                         & (rows["id"] == classes["rep"]), "left_semi")
-        # copies need no lists of their own; an id that also represents another text of its own stays
-        copies = same.select(F.col("a").alias("id")).distinct().join(classes.select(F.col("rep").alias("id")).distinct(), "id", "left_anti")
-        copies = sized(materialize(copies, "copies"), self.max_broadcast)
-        first = self.docs.where("id is not null").join(copies, "id", "left_anti")
-        last = self._frequent(reps, first)
+        with scratch() as keep:
+            sizes = materialize(self.sizes(), "sizes")
+            # the prefixes by hash are the larger part, and only the order's tail is read off them
+            rows = keep(sizes.drop("prefix"), "rows")
+            classes = materialize(rows.where("n > 0 and id is not null").groupBy("n", "d1", "d2").agg(
+                F.min("id").alias("rep")), "classes")
+            members = rows.where("id is not null").join(classes, ["n", "d1", "d2"])
+            same = keep(members.where("id != rep").select(F.col("id").alias("a"), F.col("rep").alias("b")).distinct(), "same")
+            reps = sizes.join(classes, (sizes["n"] == classes["n"]) & (sizes["d1"] == classes["d1"]) & (sizes["d2"] == classes["d2"])
+                              & (sizes["id"] == classes["rep"]), "left_semi")
+            # copies need no lists of their own; an id that also represents another text of its own stays
+            copies = same.select(F.col("a").alias("id")).distinct().join(classes.select(F.col("rep").alias("id")).distinct(), "id", "left_anti")
+            copies = sized(keep(copies, "copies"), self.max_broadcast)
+            first = self.docs.where("id is not null").join(copies, "id", "left_anti")
+            last = self._frequent(reps, first)
+        with scratch() as keep:
+            posts = keep(self._posts(first, last), "postings")
+        with scratch() as keep:
+            ids = sized(materialize(posts.select("id").distinct(), "indexed"), self.max_broadcast)
+            sets = materialize(self.full(first.join(ids, "id", "left_semi")), "sets")
+            edges = keep(links(posts, sets, self.num, self.den, shared=SHARED), "links")
+        comp = connected_components(edges.unionByName(same))
+        out = rows.select("id", "n").join(comp, F.col("id") == F.col("v"), "left")
+        return out.select("id", "n", F.coalesce("root", "id").alias("component"))
+
+    def _posts(self, first: DataFrame, last: np.ndarray) -> DataFrame:
+        """The lists (h, id, n, pos, cap) on which sets can meet."""
         index = materialize(self.prefixes(first, last).where("n > 0"), "prefixes")
         posts = index.select("id", "n", F.size("prefix").alias("length"), F.posexplode("prefix").alias("pos", "h"))
         for k in range(2):
@@ -242,14 +257,7 @@ class JaccardJoin:
             listed = listed.withColumn("cap", F.col("n") - F.greatest(F.lit(0), F.col("length") - F.col("k"))).drop("k")
             posts = posts.join(listed.where(F.col("cap") * self.den >= F.col("n") * self.num), ["id", "n", "length"])
             posts = posts if k else posts.drop("cap")
-        posts = materialize(posts.select("h", "id", "n", "pos", "cap"), "postings")
-
-        ids = sized(materialize(posts.select("id").distinct(), "indexed"), self.max_broadcast)
-        sets = materialize(self.full(first.join(ids, "id", "left_semi")), "sets")
-        edges = links(posts, sets, self.num, self.den, shared=SHARED)
-        comp = connected_components(edges.unionByName(same))
-        out = rows.select("id", "n").join(comp, F.col("id") == F.col("v"), "left")
-        return out.select("id", "n", F.coalesce("root", "id").alias("component"))
+        return posts.select("h", "id", "n", "pos", "cap")
 
 
 def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", **options) -> DataFrame:
@@ -268,11 +276,12 @@ def drop_near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text"
     i, t = f"c{names.index(id)}", f"c{names.index(text)}"
     key = F.xxhash64(F.col(i), F.col(t), F.col(t).isNull())
     keyed = tmp.select(key.alias("key"), F.col(i).alias("id"), F.col(t).alias("text"))
-    found = near_duplicates(keyed, "key", "text", n=n, num=num, den=den, **options).where("n > 0").select("id", "component")
-    found = materialize(found.distinct(), "near")
-    grouped = found.join(found.groupBy("component").count().where("count > 1").select("component"), "component")
-    grouped = materialize(keyed.select("key", F.col("id").alias("own")).distinct().join(
-        sized(materialize(grouped.select(F.col("id").alias("key"), "component"), "grouped")), "key"), "grouped")
-    kept = grouped.groupBy("component").agg(F.min(F.struct("own", "key")).alias("keep")).select(F.col("keep.key").alias("key"))
-    gone = materialize(grouped.select("key").distinct().join(kept, "key", "left_anti").withColumnRenamed("key", "gone_"), "gone")
+    with scratch() as keep:
+        found = near_duplicates(keyed, "key", "text", n=n, num=num, den=den, **options).where("n > 0").select("id", "component")
+        found = materialize(found.distinct(), "near")
+        grouped = found.join(found.groupBy("component").count().where("count > 1").select("component"), "component")
+        grouped = materialize(keyed.select("key", F.col("id").alias("own")).distinct().join(
+            sized(materialize(grouped.select(F.col("id").alias("key"), "component"), "grouped")), "key"), "grouped")
+        kept = grouped.groupBy("component").agg(F.min(F.struct("own", "key")).alias("keep")).select(F.col("keep.key").alias("key"))
+        gone = keep(grouped.select("key").distinct().join(kept, "key", "left_anti").withColumnRenamed("key", "gone_"), "gone")
     return tmp.join(sized(gone, 4_000_000), key == F.col("gone_"), "left_anti").toDF(*names)
