@@ -1,13 +1,15 @@
 """Scratch tables of the similarity joins: what goes when, what is stored, and which heads sets are compared with."""
 
 import os
+import time
 
 import pytest
+from pyspark.sql import functions as F
 
 from pointframe.llm import common
 from pointframe.llm.common import materialize, scratch
 from pointframe.llm.jaccard_join import drop_near_duplicates
-from pointframe.llm.line_dedup import duplicate_lines, expand, shingle_sets
+from pointframe.llm.line_dedup import duplicate_lines, entries_that_meet, expand, shingle_sets
 from pointframe.llm.relations import leaders
 
 
@@ -71,3 +73,30 @@ def test_sets_are_made_of_the_lines_of_pairs(spark):
     got = expand(spark.createDataFrame(pairs, "a long, b long, ta string, tb string")).collect()
     sets = [x.tolist() for x in shingle_sets(lines)]
     assert sorted((r.a, r.b, r.ta, r.tb) for r in got) == [(i, j, sets[i], sets[j]) for i, j, _, _ in pairs]
+
+
+def shuffle_files(spark):
+    files = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return {str(files.apply(k)) for k in range(files.size()) if "shuffle_" in str(files.apply(k))}
+
+
+def test_a_written_table_leaves_no_shuffle_files(spark, shared):
+    before, setting = shuffle_files(spark), spark.conf.get(common.CLEANUP, None)
+    counts = spark.range(20_000).groupBy((F.col("id") % 997).alias("k")).agg(F.count("*").alias("n"))
+    table = materialize(counts.join(counts.withColumnRenamed("n", "m"), "k"), "counts")
+    for _ in range(40):  # the files go in the background
+        if not (left := shuffle_files(spark) - before):
+            break
+        time.sleep(0.25)
+    assert not left and table.count() == 997 and spark.conf.get(common.CLEANUP, None) == setting
+
+
+def test_entries_stay_that_share_two_lists_with_one_line(spark, shared):
+    """1 and 2 share two lists, 3 and 4 three; 5 shares one list each with 1, 2 and 4; 6 is on one list."""
+    lists = {1: (10, 20, 30), 2: (10, 20, 40), 3: (50, 60, 70), 4: (50, 60, 70, 80), 5: (30, 40, 80), 6: (10,)}
+    listed = spark.createDataFrame([(i, h) for i, hs in lists.items() for h in hs], "id long, h long")
+    got = lambda shared, most: {(r.id, r.h) for r in entries_that_meet(listed, shared, most).collect()}
+    pair, triple = {(i, h) for i in (1, 2) for h in (10, 20)}, {(i, h) for i in (3, 4) for h in (50, 60, 70)}
+    assert got(2, 1000) == pair | triple and triple <= got(3, 1000)
+    every = {(i, h) for i, hs in lists.items() for h in hs}
+    assert got(2, 5) == every - {(6, 10)} and got(1, 1000) == every
