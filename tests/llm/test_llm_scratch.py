@@ -100,3 +100,14 @@ def test_entries_stay_that_share_two_lists_with_one_line(spark, shared):
     assert got(2, 1000) == pair | triple and triple <= got(3, 1000)
     every = {(i, h) for i, hs in lists.items() for h in hs}
     assert got(2, 5) == every - {(6, 10)} and got(1, 1000) == every
+
+
+def test_pairs_of_lists_are_dealt_out_without_the_lists(spark, shared):
+    """Lines 1 and 2 share the last two of 70 lists, 3 shares one with each; a bit per list comes back, beyond 64 of them too."""
+    lists = {1: [*range(100, 168), 1000, 1001], 2: [*range(200, 268), 1000, 1001], 3: [100, 200, 300]}
+    listed = spark.createDataFrame([(i, h) for i, hs in lists.items() for h in hs], "id long, h long")
+    got = entries_that_meet(listed, 2, 100_000)
+    assert {(r.id, r.h) for r in got.collect()} == {(i, h) for i in (1, 2) for h in (1000, 1001)}
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    semi = next(x for x in plan.split("\n") if "LeftSemi" in x)
+    assert "bit_or" in plan and semi and not any("other#" in x for x in plan.split("\n") if "Aggregate" in x)
