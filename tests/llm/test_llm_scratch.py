@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from pointframe.llm import common
-from pointframe.llm.common import materialize, scratch
+from pointframe.llm.common import in_parts, materialize, parted, scratch
 from pointframe.llm.jaccard_join import drop_near_duplicates
 from pointframe.llm.line_dedup import duplicate_lines, entries_that_meet, expand, shingle_sets
 from pointframe.llm.relations import leaders
@@ -111,3 +111,37 @@ def test_pairs_of_lists_are_dealt_out_without_the_lists(spark, shared):
     plan = got._jdf.queryExecution().optimizedPlan().toString()
     semi = next(x for x in plan.split("\n") if "LeftSemi" in x)
     assert "bit_or" in plan and semi and not any("other#" in x for x in plan.split("\n") if "Aggregate" in x)
+
+
+def test_parts_are_written_in_turn_and_go_when_they_are_read(spark, shared, monkeypatch):
+    """Of the parts that are still to be read and the one that is, shuffle files and tables take up space, of no other."""
+    rows = spark.range(40).selectExpr("id % 8 as k", "id")
+    assert [r.n for part in in_parts(rows, 1, "k") for r in part.groupBy().agg(F.count("*").alias("n")).collect()] == [40]
+    monkeypatch.setattr(common, "PART_ROWS", 1)
+    folders = lambda: {d for d in held(shared) if d.startswith("part_=")}
+    with scratch() as keep:
+        whole, parts = parted(rows, F.col("k") % 4)
+        assert whole.count() == 40 and whole.columns == ["k", "id"]
+        seen = []
+
+        def counted():
+            for part in parts:
+                seen.append(folders())
+                yield part.groupBy("k").agg(F.count("*").alias("n"))
+
+        table = keep(counted(), "counted")
+        assert seen == [{f"part_={j}" for j in range(k, 4)} for k in range(4)] and not folders()
+    assert sorted((r.k, r.n) for r in table.collect()) == [(k, 5) for k in range(8)]
+
+
+def test_lines_in_parts_give_the_same_groups(spark, shared, monkeypatch):
+    words = "the quick brown fox jumps over a lazy dog while seven old wizards quietly mix poison under pale moonlight".split()
+    line = lambda k: " ".join(words[(k * 5 + i) % len(words)] for i in range(14))
+    rows = [(i, f"{line(i % 7)} {i % 3}\nown {i * i} words {i}\n{line(i % 7)}") for i in range(30)] + [(None, None), (3, line(2))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = lambda: sorted(map(tuple, duplicate_lines(docs).collect()), key=repr)
+    whole = found()
+    written = []
+    monkeypatch.setattr(common, "PART_ROWS", 1)
+    monkeypatch.setattr(common, "_shuffles_go", lambda spark, go=common._shuffles_go: written.append(1) or go(spark))
+    assert found() == whole and len(whole) > 30 and len(written) > 30
